@@ -92,10 +92,15 @@ def generate_dim_date_procedure(
     """Stage the span, merge it into the current version of ``dim_table``
     (ignored when ``initial_load``) and commit the result as a new version."""
     proc = "GENERATE_DIM_DATE"
-    target = None if initial_load else dim_table.read()
-    new_dim = dim_ops.generate_date_dim(
-        spark, start, end, fin_cal, as_of, target=target, initial_load=initial_load, load_ts=load_ts
-    )
+    try:
+        target = None if initial_load else dim_table.read()
+        new_dim = dim_ops.generate_date_dim(
+            spark, start, end, fin_cal, as_of, target=target, initial_load=initial_load, load_ts=load_ts
+        )
+    except Exception as err:
+        code, message, state = _error_fields(err)
+        logs.log_error(proc, "stage dates", code, message, state, traceback.format_exc())
+        raise
     run_step(spark, logs, proc, "merge into dim_date", _write_step(dim_table, new_dim), raise_errors=True)
     return "ALL OK"
 
