@@ -105,12 +105,16 @@ def period_to_date(
 def by_fiscal_period(
     fact: DataFrame, date_col: str, fin_cal: DataFrame, measures: dict[str, Column], fin_unique_checked: bool
 ) -> DataFrame:
-    """Totals per financial year and period (X2 + aggregate): the fact is
-    joined to the financial calendar cut to the fact's own date span (unique
-    dates, so its size is bounded by the span) and aggregated partial-first."""
-    lo, hi = _date_minmax(fact, date_col)
-    fin = fin_cal.where(F.col("calendar_date").between(F.lit(lo), F.lit(hi))).select(
-        F.col("calendar_date").alias("_d"), F.col("financial_year").alias("fin_year"),
+    """Totals per financial year and period (X2 + aggregate).
+
+    The financial calendar has one row per day once its dates are checked
+    unique, so its row count is bounded by its own date span (read from the
+    calendar, not from the fact): within the bound it is broadcast and the
+    fact never shuffles before the partial aggregate."""
+    lo, hi = _date_minmax(fin_cal, "calendar_date")
+    fin = fin_cal.select(
+        F.col("calendar_date").alias("_d"),
+        F.col("financial_year").alias("fin_year"),
         F.col("financial_period").alias("fin_period"),
     )
     ok = fin_unique_checked and span_is_broadcastable(lo, hi + dt.timedelta(days=1))
@@ -192,7 +196,11 @@ def incremental_load(
     """Append the rows newer than the table's high-water mark to
     ``target_path`` and log the new mark and row count (X6). ``upper``
     optionally caps this load (a later call picks up the rest). The count
-    and new mark are observed during the write, not by extra jobs."""
+    and new mark are observed during the write, not by extra jobs.
+
+    Each load writes its own folder ``load_from=<previous mark>`` with
+    overwrite, so a load retried after a failure between the write and the
+    log entry replaces its earlier output instead of duplicating it."""
     from pyspark.sql import Observation
 
     hwm = logs.last_process_date(table_name, schema_name, country)
@@ -202,8 +210,9 @@ def incremental_load(
     if upper is not None:
         inc = inc.where(F.col(ts_col) <= F.lit(upper.strftime("%Y-%m-%d %H:%M:%S.%f")).cast("timestamp_ntz"))
     obs = Observation("increment")
-    inc.observe(obs, F.count(F.lit(1)).alias("rows"), F.max(ts_col).alias("hwm")).write.mode("append").parquet(
-        target_path
+    tag = hwm.strftime("%Y%m%dT%H%M%S%f") if hwm is not None else "start"
+    inc.observe(obs, F.count(F.lit(1)).alias("rows"), F.max(ts_col).alias("hwm")).write.mode("overwrite").parquet(
+        f"{target_path}/load_from={tag}"
     )
     rows, new_hwm = obs.get["rows"], obs.get["hwm"]
     logs.log_process_date(table_name, schema_name, new_hwm if rows else hwm, rows, country, ts=load_ts)

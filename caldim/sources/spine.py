@@ -47,16 +47,16 @@ def second_spine(spark: SparkSession, num_partitions: int | None = None) -> Data
 
 def fact_date_span(frames: list[tuple[DataFrame, str]], whole_years: bool = True) -> tuple[dt.date, dt.date]:
     """(START, END) covering every date of the given (DataFrame, column)
-    pairs: one aggregate per input, each a partial min/max per task, so only
-    one row per task crosses the network. With ``whole_years`` the span is
-    widened to 1 January of the first year and 1 January after the last."""
-    lo = hi = None
+    pairs, in one job: the date columns are unioned (no shuffle) and reduced
+    by a partial min/max per task, so one row per task crosses the network.
+    With ``whole_years`` the span is widened to 1 January of the first year
+    and 1 January after the last."""
+    dates = None
     for df, c in frames:
-        r = df.select(F.min(cal.as_date(c)).alias("lo"), F.max(cal.as_date(c)).alias("hi")).first()
-        if r["lo"] is None:
-            continue
-        lo = r["lo"] if lo is None else min(lo, r["lo"])
-        hi = r["hi"] if hi is None else max(hi, r["hi"])
+        d = df.select(cal.as_date(c).alias("d"))
+        dates = d if dates is None else dates.unionByName(d)
+    r = dates.agg(F.min("d").alias("lo"), F.max("d").alias("hi")).first()
+    lo, hi = r["lo"], r["hi"]
     if lo is None:
         raise EmptySpan("no dates in the inputs")
     if whole_years:
