@@ -34,6 +34,30 @@ def assert_unique_dates(fin_cal: DataFrame) -> None:
         raise DuplicateCalendarDate(f"calendar date {dup[0]['calendar_date']} occurs {dup[0]['count']} times")
 
 
+def check_and_position(fin_cal: DataFrame, as_of: dt.date) -> Position:
+    """One job over the financial calendar: raise on duplicate dates (they
+    would fan out the join and reach the merge twice) and read the as-of
+    position (raise if the as-of date is missing)."""
+    hit = F.col("calendar_date") == F.lit(as_of)
+    pos = F.struct(
+        fis.year_no(F.col("financial_year")).alias("y"),
+        F.col("financial_quarter").cast("int").alias("q"),
+        fis.period_no(F.col("financial_period")).alias("p"),
+        fis.week_no(F.col("financial_week")).alias("w"),
+    )
+    r = fin_cal.agg(
+        (F.count(F.lit(1)) - F.count_distinct("calendar_date")).alias("dups"),
+        F.count_if(hit).alias("hits"),
+        F.max(F.when(hit, pos)).alias("pos"),
+    ).first()
+    if r["dups"]:
+        raise DuplicateCalendarDate(f"{r['dups']} duplicate calendar date(s) in the financial calendar")
+    if not r["hits"]:
+        raise asof_rules.AsOfNotFound(f"as-of date {as_of} has no row in the financial calendar")
+    p = r["pos"]
+    return Position(as_of, p["y"], p["q"], p["p"], p["w"])
+
+
 def _asof_inputs() -> dict[str, Column]:
     return {
         c: F.col(c)
@@ -67,9 +91,12 @@ def stage_date(
     calendar (one row) unless given.
     """
     fin = fin_cal.select(*fis.FIN_COLUMNS)
-    if check_unique:
-        assert_unique_dates(fin)
-    pos = position or asof_rules.position_from_fin_calendar(fin, as_of)
+    if position is not None:
+        pos = position
+        if check_unique:
+            assert_unique_dates(fin)
+    else:
+        pos = check_and_position(fin, as_of) if check_unique else asof_rules.position_from_fin_calendar(fin, as_of)
     # Unique dates inside the span: at most one row per spine day, a proven
     # bound, so the calendar is broadcast and the spine never shuffles.
     fin_in_span = fin.where((F.col("calendar_date") >= F.lit(start)) & (F.col("calendar_date") < F.lit(end)))

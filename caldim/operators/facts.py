@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from caldim.functions import calendar as cal
 from caldim.functions import timeofday as tod
 from caldim.sources.logs import LogTables
-from caldim.sources.spine import broadcast_if_bounded, date_spine, span_is_broadcastable
+from caldim.sources.spine import BROADCAST_MAX_ROWS, broadcast_if_bounded, date_spine, span_is_broadcastable
 
 # Output prefix of each to-date flag of the date dimension.
 TO_DATE_FLAGS = {
@@ -61,9 +61,10 @@ def flagged_span(dim: DataFrame, flags: list[str]) -> tuple[dt.date, dt.date] |
     return None if r[0] is None else (r[0], r[1])
 
 
-def dim_span(dim: DataFrame) -> tuple[dt.date, dt.date]:
+def dim_span(dim: DataFrame) -> tuple[dt.date, dt.date, int]:
+    """(first date, day after the last date, row count) of a dimension."""
     r = dim.agg(F.min("calendar_date"), F.max("calendar_date"), F.count(F.lit(1))).first()
-    return r[0], r[1] + dt.timedelta(days=1)
+    return r[0], r[1] + dt.timedelta(days=1), r[2]
 
 
 def period_to_date(
@@ -87,7 +88,9 @@ def period_to_date(
     by = by or []
     span = flagged_span(dim, list(flags.values()))
     lo, hi = span if span else (dt.date(1, 1, 1), dt.date(1, 1, 1))
-    start, end = dim_span(dim)
+    # the dimension has one row per date (the merge keys on it), so the
+    # flagged range bounds the broadcast side
+    start, end = lo, hi + dt.timedelta(days=1)
     flag_cols = dim.where(F.col("calendar_date").between(F.lit(lo), F.lit(hi))).select(
         F.col("calendar_date").alias("_d"), *[(F.col(c) == "YES").alias("_f_" + k) for k, c in flags.items()]
     )
@@ -228,8 +231,10 @@ def dimension_checks(
     """Quality checks of a date dimension (X8), one row per check with the
     number of failures: duplicate dates, missing days inside its span, days
     without a financial-calendar row, and fact dates it does not cover."""
-    start, end = dim_span(dim)
-    bounded = span_is_broadcastable(start, end)
+    start, end, n_rows = dim_span(dim)
+    # the dimension under check may hold duplicates, so its measured row
+    # count (not its span) is the broadcast bound
+    bounded = n_rows <= BROADCAST_MAX_ROWS
     dates = dim.select("calendar_date")
     dup = (
         dates.groupBy("calendar_date").count().where(F.col("count") > 1)
@@ -237,7 +242,7 @@ def dimension_checks(
         .select(F.lit("duplicate_dates").alias("check_name"), "failures")
     )
     gaps = (
-        date_spine(spark, start, end).join(dates, "calendar_date", "left_anti")
+        date_spine(spark, start, end).join(broadcast_if_bounded(dates, bounded), "calendar_date", "left_anti")
         .agg(F.count(F.lit(1)).alias("failures"))
         .select(F.lit("missing_dates").alias("check_name"), "failures")
     )
