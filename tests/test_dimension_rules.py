@@ -92,8 +92,19 @@ def test_prev_year_wtd_generate_variant(spark, fin, as_of):
     assert st.where(F.col("previous_yr_cal_wtd") == "YES").count() == EXPECTED[as_of][10]
 
 
+BOUNDARY = [
+    dt.date(1995, 6, 26),  # first day of FY1996, a 53-week year
+    dt.date(1996, 6, 30),  # last day of FY1996 (week 53)
+    dt.date(1996, 7, 1),  # first day of FY1997, a 52-week year
+    dt.date(1997, 6, 29),  # last day of FY1997
+    dt.date(1999, 12, 27),  # a Monday; its financial period spans New Year
+    dt.date(2000, 1, 2),  # a Sunday, second day of the year
+]
+
+
 @pytest.mark.parametrize("as_of,variant", [(dt.date(1998, 7, 15), "roll"), (dt.date(1997, 1, 1), "roll"),
-                                           (dt.date(2000, 12, 31), "generate"), (dt.date(1996, 2, 29), "generate")])
+                                           (dt.date(2000, 12, 31), "generate"), (dt.date(1996, 2, 29), "generate")]
+                         + [(a, v) for a in BOUNDARY for v in ("roll", "generate")])
 def test_asof_rules_match_python(spark, fin, gen_dim, as_of, variant):
     dim = roll_date_dim(gen_dim, as_of, variant=variant)
     cols = ["day_status", *schemas.ASOF_COLUMNS]
