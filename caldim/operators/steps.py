@@ -129,3 +129,17 @@ def roll_dim_date_procedure(
         raise
     run_step(spark, logs, proc, "update dim_date", _write_step(dim_table, rolled), raise_errors=True)
     return "ALL OK"
+
+
+def build_time_of_day_procedure(
+    spark: SparkSession, tod_table: VersionedTable, logs: LogTables, load_ts: dt.datetime | None = None
+) -> str:
+    """Build the 86 400-row time-of-day dimension and commit it as a new
+    version (the CREATE OR REPLACE TABLE AS SELECT of the original)."""
+    from caldim.operators.time_of_day import time_of_day_dim
+
+    run_step(
+        spark, logs, "BUILD_DIM_TIME_OF_DAY", "create dim_time_of_day",
+        _write_step(tod_table, time_of_day_dim(spark, load_ts)), raise_errors=True,
+    )
+    return "ALL OK"

@@ -17,7 +17,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from caldim import schemas
-from caldim.functions import asof as asof_rules
 from caldim.functions import calendar as cal
 from caldim.functions import fiscal as fis
 from caldim.functions import timeofday as tod

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from caldim import schemas
-from caldim.operators.dimension import generate_date_dim, insert_rows, merge_dim, stage_date
+from caldim.operators.dimension import generate_date_dim, merge_dim
 from caldim.operators.steps import generate_dim_date_procedure, roll_dim_date_procedure, run_step
 from caldim.sources.logs import LogTables
 from caldim.sources.store import VersionedTable
@@ -149,3 +149,17 @@ def test_generate_failure_is_logged_and_raised(spark, fin, scratch):
     err = logs.errors().first()
     assert err["procedure_name"] == "GENERATE_DIM_DATE" and err["error_code"] == "AsOfNotFound"
     assert table.current_version() is None
+
+
+def test_command_line(spark, fin, scratch):
+    from caldim.__main__ import main
+
+    fin.write.parquet(f"{scratch}/fin")
+    assert main(["generate", "--start", "1994-01-01", "--end", "2002-01-01", "--fin", f"{scratch}/fin",
+                 "--base", scratch, "--as-of", "1998-07-14", "--initial-load"]) == 0
+    assert main(["roll", "--base", scratch, "--as-of", "1998-07-15"]) == 0
+    assert main(["time-of-day", "--base", scratch]) == 0
+    dim = VersionedTable(spark, f"{scratch}/dim_date")
+    assert dim.current_version() == 2 and dim.read().count() == 2922
+    assert VersionedTable(spark, f"{scratch}/dim_time_of_day").read().count() == 86_400
+    assert LogTables(spark, f"{scratch}/logs").audit().count() == 3

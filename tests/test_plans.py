@@ -1,6 +1,5 @@
 """Physical-plan properties the jobs rely on at scale."""
 
-import datetime as dt
 
 from pyspark.sql import functions as F
 
