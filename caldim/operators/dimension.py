@@ -116,6 +116,16 @@ def stage_date(
     ).select(*schemas.STAGE_COLUMNS)
 
 
+def calendar_dim(spark: SparkSession, start: dt.date, end: dt.date) -> DataFrame:
+    """date_key, calendar_date and the calendar columns that depend on the
+    date alone, one row per day from ``start`` to ``end`` (excluded)."""
+    d = F.col("calendar_date")
+    cols = cal.calendar_columns(d)
+    return date_spine(spark, start, end).select(
+        cal.date_key(d).alias("date_key"), d, *[v.alias(k) for k, v in cols.items()]
+    )
+
+
 def insert_rows(stage: DataFrame, load_ts: dt.datetime | None = None) -> DataFrame:
     """Stage rows as inserted into an empty target: DATE_KEY assigned,
     LAST_UPDATE_DATE = load time."""

@@ -24,11 +24,11 @@ from caldim.operators import dimension as dim_ops
 from caldim.operators import facts
 from caldim.operators import views
 from caldim.operators.steps import run_step
-from caldim.operators.time_of_day import TIME_OF_DAY_ROWS, time_of_day_dim
+from caldim.operators.time_of_day import TIME_OF_DAY_ROWS, time_of_day_dim, with_time_of_day
 from caldim.session import work_dir
 from caldim.sources.fincal import formula_financial_calendar
 from caldim.sources.logs import LogTables
-from caldim.sources.spine import date_spine, fact_date_span
+from caldim.sources.spine import date_spine, fact_date_span, span_is_broadcastable
 from caldim.sources.tables import read_table, table_path
 
 # Parameters of the registered queries.
@@ -73,9 +73,7 @@ def date_spine_q(spark, base):
 
 def calendar_columns_q(spark, base):
     i = Inputs(spark, base)
-    d = F.col("calendar_date")
-    cols = cal.calendar_columns(d)
-    return date_spine(spark, i.start, i.end).select(cal.date_key(d).alias("date_key"), d, *[v.alias(k) for k, v in cols.items()])
+    return dim_ops.calendar_dim(spark, i.start, i.end)
 
 
 def fiscal_columns_q(spark, base):
@@ -152,7 +150,7 @@ def _money(c: str):
 
 def events_time_of_day_q(spark, base):
     ev = _events(spark, base, "event_id", "ts")
-    return tod.with_time_of_day(ev, "ts").drop("ts")
+    return with_time_of_day(ev, "ts", load_ts=TS_MERGE).drop("ts")
 
 
 def time_of_day_event_counts_q(spark, base):
@@ -231,8 +229,14 @@ def lineitem_calendar_rollup_q(spark, base):
 
 
 def lineitem_date_attributes_q(spark, base):
+    """Calendar columns of every line item by a broadcast join to a calendar
+    dimension over the fact span (which covers every ship date)."""
+    i = Inputs(spark, base)
     li = read_table(spark, base, "lineitem", "l_orderkey", "l_linenumber", "l_shipdate")
-    return cal.with_date_attributes(li, "l_shipdate").drop("l_shipdate")
+    dim = dim_ops.calendar_dim(spark, i.start, i.end)
+    return facts.with_calendar_attributes(li, "l_shipdate", dim, span_is_broadcastable(i.start, i.end)).drop(
+        "l_shipdate"
+    )
 
 
 def dim_quality_checks_q(spark, base):

@@ -89,3 +89,13 @@ def test_dimension_checks_find_faults(spark, fin, dim):
     assert got["duplicate_dates"] == 1 and got["missing_dates"] == 1 and got["dates_without_fin_row"] == 1
     missing_orders_day = orders.where(cal.as_date("o_orderdate") == dt.date(1996, 5, 5)).count()
     assert got["fact_dates_outside_dim:o_orderdate"] == (1 if missing_orders_day else 0)
+
+
+def test_calendar_join_path_equals_expressions(spark):
+    from caldim.operators.dimension import calendar_dim
+
+    li = read_table(spark, SF001, "lineitem", "l_orderkey", "l_linenumber", "l_shipdate")
+    by_expr = cal.with_date_attributes(li, "l_shipdate")
+    by_join = facts.with_calendar_attributes(li, "l_shipdate", calendar_dim(spark, START, END), True)
+    assert by_expr.columns == by_join.columns
+    assert by_expr.exceptAll(by_join).count() == 0 and by_join.count() == li.count()

@@ -22,7 +22,7 @@ def test_flagship_pushes_date_range_and_prunes_columns(spark):
     assert p.count("Exchange hashpartitioning") == 1  # only the final aggregate shuffles
 
 
-def test_attribute_enrichment_has_no_shuffle_or_join(spark):
+def test_expression_enrichment_has_no_shuffle_or_join(spark):
     li = read_table(spark, SF001, "lineitem", "l_orderkey", "l_shipdate")
     ev = read_table(spark, SF001, "events", "event_id", "ts")
     for df in (cal.with_date_attributes(li, "l_shipdate"), tod.with_time_of_day(ev, "ts")):
