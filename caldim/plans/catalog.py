@@ -167,15 +167,20 @@ def time_of_day_event_counts_q(spark, base):
 
 
 def time_of_day_view_q(spark, base):
-    """Events per daypart and hour through the business view, joined on the
-    dimension key (the view has exactly 86 400 rows: broadcast)."""
+    """Events per daypart and hour through the business view: events are
+    counted per dimension key first (at most 86 400 rows), which then meet
+    the view (exactly 86 400 rows: broadcast) and are summed per label."""
     view = views.time_of_day_view(time_of_day_dim(spark, TS_MERGE))
     assert TIME_OF_DAY_ROWS == 86_400
-    ev = _events(spark, base, "ts").select((tod.second_of_day(F.col("ts")) + 1).alias("Time Of Day Key"))
+    per_key = (
+        _events(spark, base, "ts")
+        .groupBy(tod.time_key(tod.second_of_day(F.col("ts"))).alias("Time Of Day Key"))
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
     return (
-        ev.join(F.broadcast(view), "Time Of Day Key")
+        per_key.join(F.broadcast(view), "Time Of Day Key")
         .groupBy("Day-Part", "Interval 01 Hour")
-        .agg(F.count(F.lit(1)).alias("Events"))
+        .agg(F.sum("n").alias("Events"))
     )
 
 
