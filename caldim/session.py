@@ -50,12 +50,20 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
     Only where none is configured (local tests) is one created here."""
-    sc = spark.sparkContext
-    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    d = spark.conf.get("spark.checkpoint.dir", None)
+    sc = None
+    try:
+        sc = spark.sparkContext
+        d = sc.getCheckpointDir() or d
+    except Exception:  # noqa: BLE001 - no SparkContext on a Spark Connect client
+        sc = None
     if not d:
         d = tempfile.mkdtemp(prefix="caldim-ckpt-")
-        sc.setCheckpointDir(d)
-        d = sc.getCheckpointDir() or d
+        if sc is not None:
+            sc.setCheckpointDir(d)
+            d = sc.getCheckpointDir() or d
+        else:
+            spark.conf.set("spark.checkpoint.dir", d)
     return d.rstrip("/")
 
 

@@ -163,3 +163,17 @@ def test_command_line(spark, fin, scratch):
     assert dim.current_version() == 2 and dim.read().count() == 2922
     assert VersionedTable(spark, f"{scratch}/dim_time_of_day").read().count() == 86_400
     assert LogTables(spark, f"{scratch}/logs").audit().count() == 3
+
+
+def test_interrupted_write_keeps_current_version(spark, scratch):
+    from pyspark.sql import functions as F
+
+    t = VersionedTable(spark, f"{scratch}/t")
+    t.write(spark.range(3))
+    bad = spark.range(1000).select(F.when(F.col("id") == 999, F.lit("x")).otherwise(F.col("id").cast("string"))
+                                   .cast("int").alias("id"))
+    with pytest.raises(Exception):
+        t.write(bad)  # fails inside the job (ANSI cast), after some tasks may have written
+    assert t.current_version() == 1 and t.read().count() == 3
+    assert t.write(spark.range(5)) == (2, 5)  # the retry reuses and overwrites the failed folder
+    assert t.read().count() == 5
