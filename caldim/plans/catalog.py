@@ -106,6 +106,45 @@ def date_dim_q(spark, base):
     return Inputs(spark, base).dim()
 
 
+def date_dim_generate_q(spark, base):
+    """The whole dimension in the generate variant of the as-of rules."""
+    return Inputs(spark, base).dim(variant="generate")
+
+
+def lineitem_by_week_status_q(spark, base):
+    """Line items and revenue per financial-week status label (Current Week,
+    Previous Week, ... of the rolled dimension): daily totals first, then
+    one broadcast join of at most one row per day."""
+    i = Inputs(spark, base)
+    li = read_table(spark, base, "lineitem", "l_shipdate", "l_extendedprice", "l_discount")
+    revenue = _money("l_extendedprice") * (F.lit(1) - _money("l_discount"))
+    daily = facts.daily_totals(li, "l_shipdate", {"revenue": revenue})
+    status = i.dim().select(F.col("calendar_date").alias("_d"), "fin_week_status")
+    j = daily.join(F.broadcast(status) if span_is_broadcastable(i.start, i.end) else status, "_d", "left")
+    return j.groupBy("fin_week_status").agg(
+        F.sum("rows").alias("n_rows"), F.sum("revenue").cast("double").alias("revenue")
+    )
+
+
+def orders_by_week_wtd_sql_q(spark, base):
+    """Orders per "Financial Week WTD" label through the business view
+    ``date``, in Spark SQL (the view is published as a temp view)."""
+    i = Inputs(spark, base)
+    views.register_views(spark, dim=i.dim())
+    read_table(spark, base, "orders", "o_orderdate", "o_totalprice").createOrReplaceTempView("caldim_orders")
+    return spark.sql(
+        """
+        SELECT d.`Financial Week WTD` AS week_wtd,
+               count(*) AS n_rows,
+               CAST(sum(CAST(o.o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS sales
+        FROM caldim_orders o
+        JOIN date d ON d.`Calendar Date` = CAST(o.o_orderdate AS DATE)
+        WHERE d.`Financial Week WTD` IS NOT NULL
+        GROUP BY d.`Financial Week WTD`
+        """
+    )
+
+
 def date_view_q(spark, base):
     return views.date_view(Inputs(spark, base).dim())
 
@@ -296,6 +335,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "prev_to_date_flags": prev_to_date_flags_q,
     "prev_yr_wtd_generate_variant": prev_yr_wtd_generate_variant_q,
     "date_dim": date_dim_q,
+    "date_dim_generate": date_dim_generate_q,
     "date_view": date_view_q,
     "merge_upsert": merge_upsert_q,
     "merge_initial_load": merge_initial_load_q,
@@ -310,6 +350,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "orders_fiscal_attributes": orders_fiscal_attributes_q,
     "lineitem_calendar_rollup": lineitem_calendar_rollup_q,
     "lineitem_date_attributes": lineitem_date_attributes_q,
+    "lineitem_by_week_status": lineitem_by_week_status_q,
+    "orders_by_week_wtd_sql": orders_by_week_wtd_sql_q,
     "dim_quality_checks": dim_quality_checks_q,
     "audit_log": audit_log_q,
     "error_log": error_log_q,

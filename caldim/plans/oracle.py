@@ -331,6 +331,18 @@ def oracle_sql() -> dict[str, str]:
     from caldim.operators.views import DATE_VIEW_NAMES, WEEK_WTD_NAME
 
     view_cols = ", ".join(f'{c} AS "{n}"' for c, n in DATE_VIEW_NAMES)
+    q["date_dim_generate"] = dim_select(variant="generate")
+    q["lineitem_by_week_status"] = f"""{_full_dim_ctes()}
+SELECT d.fin_week_status, count(*) AS n_rows,
+       CAST(sum({MONEY.format('l.l_extendedprice')} * (1 - {MONEY.format('l.l_discount')})) AS DOUBLE) AS revenue
+FROM lineitem l LEFT JOIN dim d ON d.calendar_date = CAST(l.l_shipdate AS DATE)
+GROUP BY 1"""
+    q["orders_by_week_wtd_sql"] = f"""{_full_dim_ctes()},
+lab AS (SELECT calendar_date, CASE WHEN current_cal_wtd = 'YES' THEN 'WTD' WHEN previous_wk_cal_wtd = 'YES' THEN 'WTD-LW'
+                                   WHEN previous_yr_cal_wtd = 'YES' THEN 'WTD-LY' END AS week_wtd FROM dim)
+SELECT week_wtd, count(*) AS n_rows, {_money_sum('o.o_totalprice', 'sales')}
+FROM orders o JOIN lab ON lab.calendar_date = CAST(o.o_orderdate AS DATE)
+WHERE week_wtd IS NOT NULL GROUP BY 1"""
     q["date_view"] = dim_select(
         view_cols + f""", CASE WHEN current_cal_wtd = 'YES' THEN 'WTD' WHEN previous_wk_cal_wtd = 'YES' THEN 'WTD-LW'
         WHEN previous_yr_cal_wtd = 'YES' THEN 'WTD-LY' END AS "{WEEK_WTD_NAME}\""""
