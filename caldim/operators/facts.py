@@ -127,7 +127,8 @@ def period_to_date(
     flag_cols = dim.where(F.col("calendar_date").between(F.lit(lo), F.lit(hi))).select(
         F.col("calendar_date").alias("_d"), *[(F.col(c) == "YES").alias("_f_" + k) for k, c in flags.items()]
     )
-    f = fact.where(date_range_filter(date_col, lo, hi)).withColumn("_d", cal.as_date(date_col))
+    is_date = dict(fact.dtypes).get(date_col) == "date"
+    f = fact.where(date_range_filter(date_col, lo, hi, is_date)).withColumn("_d", cal.as_date(date_col))
     j = f.join(broadcast_if_bounded(flag_cols, span_is_broadcastable(start, end)), "_d")
     aggs = []
     for k in flags:

@@ -28,6 +28,12 @@ def test_orders_period_to_date_fixture(spark, dim):
     assert round(float(r["ytd_sales"]), 2) == 305014480.85
 
 
+def test_period_to_date_on_a_date_column(spark, dim):
+    orders = read_table(spark, SF001, "orders", "o_orderdate").select(F.to_date("o_orderdate").alias("d"))
+    out = facts.period_to_date(orders, "d", {}, dim)
+    assert out.first()["ytd_rows"] == 1183
+
+
 def test_period_to_date_brute_force(spark, dim):
     """Same totals as a plain join of every order to the dimension."""
     orders = read_table(spark, SF001, "orders", "o_orderdate", "o_orderpriority", "o_totalprice")
