@@ -24,7 +24,7 @@ from caldim.operators import dimension as dim_ops
 from caldim.operators import facts
 from caldim.operators import views
 from caldim.operators.steps import run_step
-from caldim.operators.time_of_day import TIME_OF_DAY_ROWS, time_of_day_dim, with_time_of_day
+from caldim.operators.time_of_day import time_of_day_dim, with_time_of_day
 from caldim.session import work_dir
 from caldim.sources.fincal import formula_financial_calendar
 from caldim.sources.logs import LogTables
@@ -210,7 +210,6 @@ def time_of_day_view_q(spark, base):
     counted per dimension key first (at most 86 400 rows), which then meet
     the view (exactly 86 400 rows: broadcast) and are summed per label."""
     view = views.time_of_day_view(time_of_day_dim(spark, TS_MERGE))
-    assert TIME_OF_DAY_ROWS == 86_400
     per_key = (
         _events(spark, base, "ts")
         .groupBy(tod.time_key(tod.second_of_day(F.col("ts"))).alias("Time Of Day Key"))
