@@ -22,7 +22,9 @@ SESSION_CONF = {
 }
 
 
-def build_session(master: str = "local[*]", shuffle_partitions: int = 8, app: str = "caldim") -> SparkSession:
+def build_session(
+    master: str = "local[*]", shuffle_partitions: int = 8, app: str = "caldim", extra_conf: dict | None = None
+) -> SparkSession:
     """A session for tests, benchmarks and local runs (the UI stays off)."""
     b = (
         SparkSession.builder.master(master)
@@ -32,7 +34,7 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8, app: st
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.driver.memory", os.environ.get("CALDIM_DRIVER_MEMORY", "8g"))
     )
-    for k, v in SESSION_CONF.items():
+    for k, v in {**SESSION_CONF, **(extra_conf or {})}.items():
         b = b.config(k, v)
     spark = b.getOrCreate()
     apply_conf(spark)
