@@ -140,15 +140,24 @@ def period_to_date(
 
 
 def by_fiscal_period(
-    fact: DataFrame, date_col: str, fin_cal: DataFrame, measures: dict[str, Column], fin_unique_checked: bool
+    fact: DataFrame,
+    date_col: str,
+    fin_cal: DataFrame,
+    measures: dict[str, Column],
+    fin_unique_checked: bool,
+    fin_span: tuple[dt.date, dt.date] | None = None,
 ) -> DataFrame:
     """Totals per financial year and period (X2 + aggregate).
 
     The financial calendar has one row per day once its dates are checked
     unique, so its row count is bounded by its own date span (read from the
-    calendar, not from the fact): within the bound it is broadcast. The fact
+    calendar, not from the fact; pass ``fin_span`` = (first date, day after
+    the last) when it is known): within the bound it is broadcast. The fact
     is first reduced to daily totals, so the join sees one row per day."""
-    lo, hi = _date_minmax(fin_cal, "calendar_date")
+    if fin_span is not None:
+        lo, hi = fin_span[0], fin_span[1] - dt.timedelta(days=1)
+    else:
+        lo, hi = _date_minmax(fin_cal, "calendar_date")
     fin = fin_cal.select(
         F.col("calendar_date").alias("_d"),
         F.col("financial_year").alias("fin_year"),

@@ -247,7 +247,9 @@ def orders_by_fin_period_q(spark, base):
     i = Inputs(spark, base)
     orders = read_table(spark, base, "orders", "o_orderdate", "o_totalprice")
     dim_ops.assert_unique_dates(i.fin)
-    out = facts.by_fiscal_period(orders, "o_orderdate", i.fin, {"sales": _money("o_totalprice")}, True)
+    out = facts.by_fiscal_period(
+        orders, "o_orderdate", i.fin, {"sales": _money("o_totalprice")}, True, fin_span=(i.start, i.end)
+    )
     return out.select("fin_year", "fin_period", F.col("rows").alias("n_rows"), F.col("sales").cast("double"))
 
 

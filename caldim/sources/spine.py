@@ -47,18 +47,23 @@ def second_spine(spark: SparkSession, num_partitions: int | None = None) -> Data
 
 def fact_date_span(frames: list[tuple[DataFrame, str]], whole_years: bool = True) -> tuple[dt.date, dt.date]:
     """(START, END) covering every date of the given (DataFrame, column)
-    pairs, in one job: the date columns are unioned (no shuffle) and reduced
-    by a partial min/max per task, so one row per task crosses the network.
-    With ``whole_years`` the span is widened to 1 January of the first year
-    and 1 January after the last."""
+    pairs, in one job: the raw columns are unioned (no shuffle) and reduced
+    by a partial min/max per task, so one row per task crosses the network;
+    the two results are turned into dates on the driver (to_date is
+    monotonic). With ``whole_years`` the span is widened to 1 January of the
+    first year and 1 January after the last."""
+    types = {dict(df.dtypes)[c] for df, c in frames}
+    same = len(types) == 1
     dates = None
     for df, c in frames:
-        d = df.select(cal.as_date(c).alias("d"))
+        d = df.select((F.col(c) if same else cal.as_date(c)).alias("d"))
         dates = d if dates is None else dates.unionByName(d)
     r = dates.agg(F.min("d").alias("lo"), F.max("d").alias("hi")).first()
     lo, hi = r["lo"], r["hi"]
     if lo is None:
         raise EmptySpan("no dates in the inputs")
+    lo = lo.date() if isinstance(lo, dt.datetime) else lo
+    hi = hi.date() if isinstance(hi, dt.datetime) else hi
     if whole_years:
         return dt.date(lo.year, 1, 1), dt.date(hi.year + 1, 1, 1)
     return lo, hi + dt.timedelta(days=1)
