@@ -56,18 +56,21 @@ def _two(x: Column) -> Column:
     return F.lpad(x.cast("string"), 2, "0")
 
 
+def _hms(h: Column, m: Column, sec: Column) -> Column:
+    # concat, not concat_ws: a NULL part must give NULL, not ""
+    return F.concat(_two(h), F.lit(":"), _two(m), F.lit(":"), _two(sec))
+
+
 def hh24(s: Column) -> Column:
     h, m, sec = _parts(s)
-    return F.concat_ws(":", _two(h), _two(m), _two(sec))
+    return _hms(h, m, sec)
 
 
 def hh12(s: Column) -> Column:
     """'hh:mm:ss AM', with 12 for the hour after midnight and after noon."""
     h, m, sec = _parts(s)
     h12 = ((h + 11) % 12) + 1
-    return F.concat(
-        F.concat_ws(":", _two(h12), _two(m), _two(sec)), F.lit(" "), F.when(h < 12, "AM").otherwise("PM")
-    )
+    return F.concat(_hms(h12, m, sec), F.lit(" "), F.when(h < 12, "AM").otherwise("PM"))
 
 
 def minute_of_day(s: Column) -> Column:
@@ -88,11 +91,13 @@ def interval_label(s: Column, width_minutes: int) -> Column:
 
 
 def daypart(s: Column) -> Column:
+    """Daypart of a second of day; NULL for NULL (like every other column,
+    and like a fact row that finds no dimension row)."""
     h = (s / 3600).cast("int")
-    out = None
+    out = F.when(s.isNull(), F.lit(None).cast("string"))
     for name, first, last in DAYPARTS:
         cond = h.between(first, last)
-        out = F.when(cond, name) if out is None else out.when(cond, name)
+        out = out.when(cond, name)
     return out.otherwise(OTHER_DAYPART)
 
 

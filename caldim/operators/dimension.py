@@ -46,7 +46,7 @@ def check_and_position(fin_cal: DataFrame, as_of: dt.date) -> Position:
         fis.week_no(F.col("financial_week")).alias("w"),
     )
     r = fin_cal.agg(
-        (F.count(F.lit(1)) - F.count_distinct("calendar_date")).alias("dups"),
+        (F.count("calendar_date") - F.count_distinct("calendar_date")).alias("dups"),
         F.count_if(hit).alias("hits"),
         F.max(F.when(hit, pos)).alias("pos"),
     ).first()

@@ -264,6 +264,8 @@ def incremental_load(
         f"{target_path}/load_from={tag}"
     )
     rows, new_hwm = obs.get["rows"], obs.get["hwm"]
+    if isinstance(new_hwm, dt.date) and not isinstance(new_hwm, dt.datetime):
+        new_hwm = dt.datetime.combine(new_hwm, dt.time())  # a DATE column: midnight
     logs.log_process_date(table_name, schema_name, new_hwm if rows else hwm, rows, country, ts=load_ts)
     return rows, new_hwm
 

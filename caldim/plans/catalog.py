@@ -40,14 +40,19 @@ HWM_FIRST_LOAD = dt.datetime(1998, 7, 15, 0, 0, 0)
 STEP_PROCEDURE = "CALDIM_CHECKS"
 
 
+DATE_COLUMNS = {"orders": "o_orderdate", "lineitem": "l_shipdate"}
+
+
 class Inputs:
-    """Span, spine and financial calendar derived from one table folder."""
+    """Span, spine and financial calendar derived from one table folder: the
+    span covers the dates of the fact tables a query uses (default both)."""
 
-    def __init__(self, spark: SparkSession, base: str):
+    def __init__(self, spark: SparkSession, base: str, span_from: tuple[str, ...] = ("orders", "lineitem")):
         self.spark, self.base = spark, base
         self.orders = read_table(spark, base, "orders")
         self.lineitem = read_table(spark, base, "lineitem")
-        self.start, self.end = fact_date_span([(self.orders, "o_orderdate"), (self.lineitem, "l_shipdate")])
+        frames = {"orders": self.orders, "lineitem": self.lineitem}
+        self.start, self.end = fact_date_span([(frames[t], DATE_COLUMNS[t]) for t in span_from])
         self.fin = formula_financial_calendar(date_spine(self.spark, self.start, self.end))
 
     @property
@@ -115,7 +120,7 @@ def lineitem_by_week_status_q(spark, base):
     """Line items and revenue per financial-week status label (Current Week,
     Previous Week, ... of the rolled dimension): daily totals first, then
     one broadcast join of at most one row per day."""
-    i = Inputs(spark, base)
+    i = Inputs(spark, base, span_from=("lineitem",))
     li = read_table(spark, base, "lineitem", "l_shipdate", "l_extendedprice", "l_discount")
     revenue = _money("l_extendedprice") * (F.lit(1) - _money("l_discount"))
     daily = facts.daily_totals(li, "l_shipdate", {"revenue": revenue})
@@ -129,7 +134,7 @@ def lineitem_by_week_status_q(spark, base):
 def orders_by_week_wtd_sql_q(spark, base):
     """Orders per "Financial Week WTD" label through the business view
     ``date``, in Spark SQL (the view is published as a temp view)."""
-    i = Inputs(spark, base)
+    i = Inputs(spark, base, span_from=("orders",))
     views.register_views(spark, dim=i.dim())
     read_table(spark, base, "orders", "o_orderdate", "o_totalprice").createOrReplaceTempView("caldim_orders")
     return spark.sql(
@@ -216,7 +221,7 @@ def time_of_day_view_q(spark, base):
         .agg(F.count(F.lit(1)).alias("n"))
     )
     return (
-        per_key.join(F.broadcast(view), "Time Of Day Key")
+        per_key.join(F.broadcast(view), "Time Of Day Key", "left")
         .groupBy("Day-Part", "Interval 01 Hour")
         .agg(F.sum("n").alias("Events"))
     )
@@ -235,7 +240,7 @@ def events_interval_profile_q(spark, base):
 
 
 def orders_period_to_date_q(spark, base):
-    i = Inputs(spark, base)
+    i = Inputs(spark, base, span_from=("orders",))
     orders = read_table(spark, base, "orders", "o_orderdate", "o_orderpriority", "o_totalprice")
     out = facts.period_to_date(orders, "o_orderdate", {"sales": _money("o_totalprice")}, i.dim(), by=["o_orderpriority"])
     return out.select(
@@ -244,7 +249,7 @@ def orders_period_to_date_q(spark, base):
 
 
 def orders_by_fin_period_q(spark, base):
-    i = Inputs(spark, base)
+    i = Inputs(spark, base, span_from=("orders",))
     orders = read_table(spark, base, "orders", "o_orderdate", "o_totalprice")
     dim_ops.assert_unique_dates(i.fin)
     out = facts.by_fiscal_period(
@@ -254,7 +259,7 @@ def orders_by_fin_period_q(spark, base):
 
 
 def orders_fiscal_attributes_q(spark, base):
-    i = Inputs(spark, base)
+    i = Inputs(spark, base, span_from=("orders",))
     orders = read_table(spark, base, "orders", "o_orderkey", "o_orderdate")
     dim_ops.assert_unique_dates(i.fin)
     out = fis.with_fiscal_attributes(orders, "o_orderdate", i.fin, broadcast_ok=True)
@@ -276,7 +281,7 @@ def lineitem_calendar_rollup_q(spark, base):
 def lineitem_date_attributes_q(spark, base):
     """Calendar columns of every line item by a broadcast join to a calendar
     dimension over the fact span (which covers every ship date)."""
-    i = Inputs(spark, base)
+    i = Inputs(spark, base, span_from=("lineitem",))
     li = read_table(spark, base, "lineitem", "l_orderkey", "l_linenumber", "l_shipdate")
     dim = dim_ops.calendar_dim(spark, i.start, i.end)
     return facts.with_calendar_attributes(li, "l_shipdate", dim, span_is_broadcastable(i.start, i.end)).drop(

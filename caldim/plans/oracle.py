@@ -24,18 +24,26 @@ def _wc(expr: str) -> str:
     return f"CAST(date_trunc('week', {expr}) AS DATE)"
 
 
-# Span: whole calendar years around every order date and ship date.
-BOUNDS = """
+# Span: whole calendar years around the dates of the named fact tables.
+DATE_COLUMNS = {"orders": "o_orderdate", "lineitem": "l_shipdate"}
+BOTH = ("orders", "lineitem")
+
+
+def _bounds(tables: tuple[str, ...] = BOTH) -> str:
+    union = "\n        UNION ALL ".join(f"SELECT CAST({DATE_COLUMNS[t]} AS DATE) AS d FROM {t}" for t in tables)
+    return f"""
 bounds AS (
   SELECT make_date(CAST(year(min(d)) AS INTEGER), 1, 1) AS start_d,
          make_date(CAST(year(max(d)) AS INTEGER) + 1, 1, 1) AS end_d,
          CAST(year(min(d)) AS INTEGER) AS y0,
          CAST(year(max(d)) AS INTEGER) AS y1
-  FROM (SELECT CAST(o_orderdate AS DATE) AS d FROM orders
-        UNION ALL SELECT CAST(l_shipdate AS DATE) AS d FROM lineitem) x
+  FROM ({union}) x
 )"""
 
 
+BOUNDS = _bounds()
+
+
 def _spine(name: str, lo: str, hi: str) -> str:
     """Days from lo (included) to hi (excluded); lo and hi read ``bounds``."""
     return f"""
@@ -203,8 +211,10 @@ def _with(*ctes: str) -> str:
     return "WITH " + ",".join(ctes)
 
 
-def _full_dim_ctes(a=C.AS_OF, variant="roll", ts=C.TS_MERGE) -> str:
-    return _with(BOUNDS, _spine("spine", "start_d", "end_d"), FIN, _base("spine", "base"), _dim("dim", "base", a, variant, ts))
+def _full_dim_ctes(a=C.AS_OF, variant="roll", ts=C.TS_MERGE, tables=BOTH) -> str:
+    return _with(
+        _bounds(tables), _spine("spine", "start_d", "end_d"), FIN, _base("spine", "base"), _dim("dim", "base", a, variant, ts)
+    )
 
 
 DIM_COLS = CAL_COLS + ", last_update_date"
@@ -265,7 +275,7 @@ def _tod_select(s: str) -> str:
 
 
 def _daypart(h: str) -> str:
-    return f"""CASE WHEN {h} BETWEEN 9 AND 10 THEN 'BREAKFAST' WHEN {h} BETWEEN 11 AND 14 THEN 'LUNCH'
+    return f"""CASE WHEN {h} IS NULL THEN NULL WHEN {h} BETWEEN 9 AND 10 THEN 'BREAKFAST' WHEN {h} BETWEEN 11 AND 14 THEN 'LUNCH'
          WHEN {h} BETWEEN 15 AND 16 THEN 'AFTERNOON' WHEN {h} BETWEEN 17 AND 20 THEN 'DINNER'
          WHEN {h} BETWEEN 21 AND 22 THEN 'LATE NIGHT' ELSE 'OTHER' END"""
 
@@ -293,7 +303,7 @@ def orders_period_to_date_sql() -> str:
         f"CAST(sum(CASE WHEN f.{c} = 'YES' THEN {MONEY.format('o.o_totalprice')} END) AS DOUBLE) AS {k}_sales"
         for k, c in FLAGS
     )
-    return f"""{_full_dim_ctes()},
+    return f"""{_full_dim_ctes(tables=("orders",))},
 span AS (SELECT min(calendar_date) AS lo, max(calendar_date) AS hi FROM dim WHERE {any_flag})
 SELECT o.o_orderpriority,
   {aggs}
@@ -302,8 +312,8 @@ WHERE f.calendar_date BETWEEN (SELECT lo FROM span) AND (SELECT hi FROM span)
 GROUP BY o.o_orderpriority"""
 
 
-def _fin_only() -> str:
-    return _with(BOUNDS, _spine("spine", "start_d", "end_d"), FIN)
+def _fin_only(tables=BOTH) -> str:
+    return _with(_bounds(tables), _spine("spine", "start_d", "end_d"), FIN)
 
 
 def _money_sum(col: str, alias: str) -> str:
@@ -332,12 +342,12 @@ def oracle_sql() -> dict[str, str]:
 
     view_cols = ", ".join(f'{c} AS "{n}"' for c, n in DATE_VIEW_NAMES)
     q["date_dim_generate"] = dim_select(variant="generate")
-    q["lineitem_by_week_status"] = f"""{_full_dim_ctes()}
+    q["lineitem_by_week_status"] = f"""{_full_dim_ctes(tables=("lineitem",))}
 SELECT d.fin_week_status, count(*) AS n_rows,
        CAST(sum({MONEY.format('l.l_extendedprice')} * (1 - {MONEY.format('l.l_discount')})) AS DOUBLE) AS revenue
 FROM lineitem l LEFT JOIN dim d ON d.calendar_date = CAST(l.l_shipdate AS DATE)
 GROUP BY 1"""
-    q["orders_by_week_wtd_sql"] = f"""{_full_dim_ctes()},
+    q["orders_by_week_wtd_sql"] = f"""{_full_dim_ctes(tables=("orders",))},
 lab AS (SELECT calendar_date, CASE WHEN current_cal_wtd = 'YES' THEN 'WTD' WHEN previous_wk_cal_wtd = 'YES' THEN 'WTD-LW'
                                    WHEN previous_yr_cal_wtd = 'YES' THEN 'WTD-LY' END AS week_wtd FROM dim)
 SELECT week_wtd, count(*) AS n_rows, {_money_sum('o.o_totalprice', 'sales')}
@@ -373,12 +383,12 @@ WITH slots AS (SELECT printf('%02d:%02d:00-%02d:%02d:59', range // 12, (range %
 SELECT s.interval, CAST(coalesce(a.n_rows, 0) AS BIGINT) AS n_rows, CAST(coalesce(a.value_sum, 0) AS DOUBLE) AS value_sum
 FROM slots s LEFT JOIN agg a ON a.interval = s.interval"""
     q["orders_period_to_date"] = orders_period_to_date_sql()
-    q["orders_by_fin_period"] = f"""{_fin_only()}
+    q["orders_by_fin_period"] = f"""{_fin_only(("orders",))}
 SELECT f.financial_year AS fin_year, f.financial_period AS fin_period, count(*) AS n_rows,
        {_money_sum('o.o_totalprice', 'sales')}
 FROM orders o LEFT JOIN fin f ON f.calendar_date = CAST(o.o_orderdate AS DATE)
 GROUP BY 1, 2"""
-    q["orders_fiscal_attributes"] = f"""{_with(BOUNDS, _spine('spine', 'start_d', 'end_d'), FIN, _base('spine', 'base'))}
+    q["orders_fiscal_attributes"] = f"""{_with(_bounds(("orders",)), _spine('spine', 'start_d', 'end_d'), FIN, _base('spine', 'base'))}
 SELECT o.o_orderkey, {cols_of('b.' + c for c in schemas.FISCAL_COLUMNS)}
 FROM orders o LEFT JOIN base b ON b.calendar_date = CAST(o.o_orderdate AS DATE)"""
     q["lineitem_calendar_rollup"] = f"""
@@ -416,7 +426,8 @@ FROM (SELECT count(*) AS n FROM orders WHERE TRY_CAST(o_orderpriority AS INTEGER
 WITH first AS (SELECT max(o_orderdate) AS hwm, count(*) AS n FROM orders WHERE o_orderdate <= {hwm})
 SELECT 'orders' AS table_name, 'tpch' AS schema_name, hwm AS last_process_date, n AS last_process_rowcount, 'NZ' AS country FROM first
 UNION ALL
-SELECT 'orders', 'tpch', max(o_orderdate), count(*), 'NZ' FROM orders WHERE o_orderdate > (SELECT hwm FROM first)"""
+SELECT 'orders', 'tpch', coalesce(max(o_orderdate), (SELECT hwm FROM first)), count(*), 'NZ'
+FROM orders WHERE o_orderdate > (SELECT hwm FROM first)"""
     q["events_stream_daypart"] = f"""
 SELECT window_start, window_start + INTERVAL 30 MINUTE AS window_end, daypart, count(*) AS events,
        CAST(sum({MONEY.format('value')}) AS DOUBLE) AS value_sum

@@ -47,13 +47,15 @@ def second_spine(spark: SparkSession, num_partitions: int | None = None) -> Data
 
 def fact_date_span(frames: list[tuple[DataFrame, str]], whole_years: bool = True) -> tuple[dt.date, dt.date]:
     """(START, END) covering every date of the given (DataFrame, column)
-    pairs, in one job: the raw columns are unioned (no shuffle) and reduced
-    by a partial min/max per task, so one row per task crosses the network;
-    the two results are turned into dates on the driver (to_date is
-    monotonic). With ``whole_years`` the span is widened to 1 January of the
-    first year and 1 January after the last."""
+    pairs, in one job: the columns are unioned (no shuffle) and reduced by a
+    partial min/max per task, so one row per task crosses the network. Zone
+    free columns of one type (all date or all timestamp_ntz) are reduced raw
+    and turned into dates on the driver (to_date is monotonic); any other mix
+    (zoned timestamps, text) is converted in Spark, in the session zone. With
+    ``whole_years`` the span is widened to 1 January of the first year and
+    1 January after the last."""
     types = {dict(df.dtypes)[c] for df, c in frames}
-    same = len(types) == 1
+    same = len(types) == 1 and types <= {"date", "timestamp_ntz"}
     dates = None
     for df, c in frames:
         d = df.select((F.col(c) if same else cal.as_date(c)).alias("d"))

@@ -2,20 +2,24 @@
 
 Layout under a table folder:
 
-    <path>/v=<n>/        one complete version, written once
-    <path>/_commits/     append-only JSON log, one file per committed version
-
-A writer computes version n+1 from version n, writes it to a fresh folder
-and only then appends the commit record, so a reader (which resolves the
-highest committed version) never sees a half-written version, and a failed
-or interrupted write leaves version n current. A retried write overwrites
-its own uncommitted folder. Nothing is ever overwritten while it is being
-read. One writer per table is assumed.
+    <path>/v=<n>-<id>/   one write attempt of version n, written once
+    <path>/_commits/     append-only JSON log, one record per committed version
+
+A writer computes version n+1 from version n, writes it to a folder of its
+own and only then appends the commit record naming that folder, so a reader
+(which resolves the highest committed version) never sees a half-written
+version, a failed or interrupted write leaves version n current (its folder
+is simply never committed), and no committed folder is ever overwritten.
+Before committing, the writer checks that version n is still the current
+one and raises ``ConcurrentCommit`` otherwise. The check and the append are
+not one atomic step: tables with several simultaneous writers need a
+transactional table format; one writer per table is assumed here.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -25,12 +29,17 @@ from pyspark.sql import types as T
 COMMIT_SCHEMA = T.StructType(
     [
         T.StructField("version", T.LongType(), False),
+        T.StructField("folder", T.StringType(), True),
         T.StructField("rows", T.LongType(), True),
         T.StructField("committed_at", T.StringType(), True),
     ]
 )
 
 
+class ConcurrentCommit(RuntimeError):
+    """Another writer committed a version while this one was writing."""
+
+
 def _missing(e: AnalysisException) -> bool:
     cond = e.getCondition() or ""
     return cond.startswith("PATH_NOT_FOUND") or "Path does not exist" in str(e)
@@ -49,30 +58,43 @@ class VersionedTable:
                 return None
             raise
 
-    def current_version(self) -> int | None:
+    def _head(self, version: int | None = None):
+        """The commit record of the given (or the highest) version."""
         commits = self._commits()
         if commits is None:
             return None
-        return commits.agg(F.max("version")).first()[0]
+        if version is not None:
+            commits = commits.where(F.col("version") == version)
+        return commits.orderBy(F.col("version").desc(), F.col("committed_at").desc()).limit(1).take(1) or None
+
+    def current_version(self) -> int | None:
+        head = self._head()
+        return None if head is None else head[0]["version"]
 
     def version_path(self, version: int) -> str:
-        return f"{self.path}/v={version}"
+        head = self._head(version)
+        if head is None:
+            raise FileNotFoundError(f"version {version} of {self.path} is not committed")
+        return f"{self.path}/{head[0]['folder']}"
 
     def read(self, version: int | None = None) -> DataFrame | None:
         """The given or the current version; None if nothing is committed."""
-        v = self.current_version() if version is None else version
-        return None if v is None else self.spark.read.parquet(self.version_path(v))
+        head = self._head(version)
+        return None if head is None else self.spark.read.parquet(f"{self.path}/{head[0]['folder']}")
 
     def write(self, df: DataFrame, row_count_name: str = "number of rows inserted") -> tuple[int, int]:
         """Write ``df`` as the next version; returns (version, rows). The row
         count is observed during the write itself, not by a second job."""
         cur = self.current_version()
         n = 1 if cur is None else cur + 1
-        obs = Observation(f"rows_v{n}")
-        df.observe(obs, F.count(F.lit(1)).alias(row_count_name)).write.mode("overwrite").parquet(
-            self.version_path(n)
+        folder = f"v={n}-{uuid.uuid4().hex[:12]}"
+        obs = Observation(f"rows_v{n}_{folder[-12:]}")
+        df.observe(obs, F.count(F.lit(1)).alias(row_count_name)).write.mode("errorifexists").parquet(
+            f"{self.path}/{folder}"
         )
         rows = obs.get[row_count_name]
-        commit = self.spark.createDataFrame([(n, rows, dt.datetime.now().isoformat())], COMMIT_SCHEMA)
+        if self.current_version() != cur:
+            raise ConcurrentCommit(f"{self.path}: version {n} was committed by another writer")
+        commit = self.spark.createDataFrame([(n, folder, rows, dt.datetime.now().isoformat())], COMMIT_SCHEMA)
         commit.coalesce(1).write.mode("append").json(f"{self.path}/_commits")
         return n, rows

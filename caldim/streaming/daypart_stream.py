@@ -55,12 +55,16 @@ def start_daypart_stream(
     available_now: bool = True,
     max_files_per_trigger: int | None = None,
 ) -> StreamingQuery:
-    """Start the stream over the parquet files at ``source_path``: a folder,
-    or one file (then its folder is watched for files of that name)."""
-    schema = spark.read.parquet(source_path).schema
+    """Start the stream over the parquet files at ``source_path``: a folder
+    (or glob), or one file (then its folder is watched for files of that
+    name)."""
+    batch = spark.read.parquet(source_path)
+    schema = batch.schema
     reader = spark.readStream.schema(schema)
-    if source_path.endswith(".parquet"):
-        folder, _, name = source_path.rpartition("/")
+    files = batch.inputFiles()
+    bare = source_path.rstrip("/").split("://")[-1]
+    if len(files) == 1 and files[0].rstrip("/").endswith(bare) and "*" not in bare:
+        folder, _, name = source_path.rstrip("/").rpartition("/")
         reader = reader.option("pathGlobFilter", name)
         source_path = folder
     if max_files_per_trigger:

@@ -175,5 +175,25 @@ def test_interrupted_write_keeps_current_version(spark, scratch):
     with pytest.raises(Exception):
         t.write(bad)  # fails inside the job (ANSI cast), after some tasks may have written
     assert t.current_version() == 1 and t.read().count() == 3
-    assert t.write(spark.range(5)) == (2, 5)  # the retry reuses and overwrites the failed folder
+    assert t.write(spark.range(5)) == (2, 5)  # the retry writes a fresh folder; the failed one is never read
     assert t.read().count() == 5
+
+
+def test_concurrent_commit_is_refused(spark, scratch):
+    from caldim.sources.store import ConcurrentCommit
+
+    t = VersionedTable(spark, f"{scratch}/t")
+    t.write(spark.range(3))
+    other = VersionedTable(spark, f"{scratch}/t")
+
+    class Racing(VersionedTable):
+        def current_version(self):
+            v = super().current_version()
+            if not getattr(self, "_raced", False) and v == 1:
+                self._raced = True
+                other.write(spark.range(4))  # another writer commits version 2 meanwhile
+            return v
+
+    with pytest.raises(ConcurrentCommit):
+        Racing(spark, f"{scratch}/t").write(spark.range(5))
+    assert t.current_version() == 2 and t.read().count() == 4
