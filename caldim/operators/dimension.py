@@ -29,7 +29,8 @@ def ts_literal(ts: dt.datetime | None) -> Column:
 def assert_unique_dates(fin_cal: DataFrame) -> None:
     """Raise if a calendar date occurs twice: it would fan out the join and
     reach the merge with two source rows for one key."""
-    dup = fin_cal.groupBy("calendar_date").count().where(F.col("count") > 1).limit(1).take(1)
+    dates = fin_cal.where(F.col("calendar_date").isNotNull())  # NULL dates join nothing
+    dup = dates.groupBy("calendar_date").count().where(F.col("count") > 1).limit(1).take(1)
     if dup:
         raise DuplicateCalendarDate(f"calendar date {dup[0]['calendar_date']} occurs {dup[0]['count']} times")
 

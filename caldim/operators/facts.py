@@ -191,7 +191,8 @@ def interval_profile(
     spark: SparkSession, fact: DataFrame, ts_col: str, width_minutes: int, measures: dict[str, Column]
 ) -> DataFrame:
     """Row count and measures per time-of-day interval, with a zero row for
-    every interval without data (X5).
+    every interval without data (X5), plus a NULL-interval row when some
+    rows have no time.
 
     The fact is aggregated on the integer bucket number (partial-then-final,
     at most 1440/width groups); the text label is formatted afterwards on
@@ -205,7 +206,9 @@ def interval_profile(
         F.col("id").cast("int").alias("_b"),
         tod.interval_label((F.col("id") * (width_minutes * 60)).cast("int"), width_minutes).alias("interval"),
     )
-    out = spine.join(F.broadcast(agg), "_b", "left")
+    out = spine.join(F.broadcast(agg), "_b", "left").unionByName(
+        agg.where(F.col("_b").isNull()).withColumn("interval", F.lit(None).cast("string"))
+    )
     return out.select(
         "interval",
         F.coalesce(F.col("rows"), F.lit(0).cast("long")).alias("rows"),
@@ -215,14 +218,15 @@ def interval_profile(
 
 def daypart_profile(spark: SparkSession, fact: DataFrame, ts_col: str, measures: dict[str, Column]) -> DataFrame:
     """Row count and measures per daypart, every daypart present (zero rows
-    included)."""
+    included), plus a NULL-daypart row when some rows have no time."""
     part = tod.daypart(tod.second_of_day(F.col(ts_col)))
     agg = fact.groupBy(part.alias("daypart")).agg(
         F.count(F.lit(1)).alias("rows"), *[F.sum(m).alias(k) for k, m in measures.items()]
     )
     names = [p[0] for p in tod.DAYPARTS] + [tod.OTHER_DAYPART]
     spine = spark.createDataFrame([(n,) for n in names], "daypart string")
-    out = spine.join(F.broadcast(agg), "daypart", "left")
+    # rows without a time form one extra row with a NULL daypart: none dropped
+    out = spine.join(F.broadcast(agg), "daypart", "left").unionByName(agg.where(F.col("daypart").isNull()))
     return out.select(
         "daypart",
         F.coalesce(F.col("rows"), F.lit(0).cast("long")).alias("rows"),
@@ -266,8 +270,9 @@ def incremental_load(
     rows, new_hwm = obs.get["rows"], obs.get["hwm"]
     if isinstance(new_hwm, dt.date) and not isinstance(new_hwm, dt.datetime):
         new_hwm = dt.datetime.combine(new_hwm, dt.time())  # a DATE column: midnight
-    logs.log_process_date(table_name, schema_name, new_hwm if rows else hwm, rows, country, ts=load_ts)
-    return rows, new_hwm
+    mark = new_hwm if rows else hwm  # an empty load keeps the previous mark
+    logs.log_process_date(table_name, schema_name, mark, rows, country, ts=load_ts)
+    return rows, mark
 
 
 def dimension_checks(

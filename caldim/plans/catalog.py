@@ -49,10 +49,9 @@ class Inputs:
 
     def __init__(self, spark: SparkSession, base: str, span_from: tuple[str, ...] = ("orders", "lineitem")):
         self.spark, self.base = spark, base
-        self.orders = read_table(spark, base, "orders")
-        self.lineitem = read_table(spark, base, "lineitem")
-        frames = {"orders": self.orders, "lineitem": self.lineitem}
-        self.start, self.end = fact_date_span([(frames[t], DATE_COLUMNS[t]) for t in span_from])
+        self.start, self.end = fact_date_span(
+            [(read_table(spark, base, t, DATE_COLUMNS[t]), DATE_COLUMNS[t]) for t in span_from]
+        )
         self.fin = formula_financial_calendar(date_spine(self.spark, self.start, self.end))
 
     @property
@@ -291,7 +290,8 @@ def lineitem_date_attributes_q(spark, base):
 
 def dim_quality_checks_q(spark, base):
     i = Inputs(spark, base)
-    return facts.dimension_checks(spark, i.dim(), i.fin, [(i.orders, "o_orderdate"), (i.lineitem, "l_shipdate")])
+    fact_dates = [(read_table(spark, base, t, c), c) for t, c in DATE_COLUMNS.items()]
+    return facts.dimension_checks(spark, i.dim(), i.fin, fact_dates)
 
 
 def audit_log_q(spark, base):

@@ -25,7 +25,7 @@ def _wc(expr: str) -> str:
 
 
 # Span: whole calendar years around the dates of the named fact tables.
-DATE_COLUMNS = {"orders": "o_orderdate", "lineitem": "l_shipdate"}
+DATE_COLUMNS = C.DATE_COLUMNS
 BOTH = ("orders", "lineitem")
 
 
@@ -374,14 +374,16 @@ WITH parts(daypart) AS (VALUES ('BREAKFAST'), ('LUNCH'), ('AFTERNOON'), ('DINNER
      agg AS (SELECT serving_time AS daypart, count(*) AS n_rows, sum({MONEY.format('value')}) AS value_sum
              FROM (SELECT value, {_tod_select(SOD)} FROM events) x GROUP BY 1)
 SELECT p.daypart, CAST(coalesce(a.n_rows, 0) AS BIGINT) AS n_rows, CAST(coalesce(a.value_sum, 0) AS DOUBLE) AS value_sum
-FROM parts p LEFT JOIN agg a ON a.daypart = p.daypart"""
+FROM parts p LEFT JOIN agg a ON a.daypart = p.daypart
+UNION ALL SELECT daypart, n_rows, CAST(value_sum AS DOUBLE) FROM agg WHERE daypart IS NULL"""
     q["events_interval_profile"] = f"""
 WITH slots AS (SELECT printf('%02d:%02d:00-%02d:%02d:59', range // 12, (range % 12) * 5, range // 12, (range % 12) * 5 + 4) AS interval
                FROM range(288)),
      agg AS (SELECT interval_05_min AS interval, count(*) AS n_rows, sum({MONEY.format('value')}) AS value_sum
              FROM (SELECT value, {_tod_select(SOD)} FROM events) x GROUP BY 1)
 SELECT s.interval, CAST(coalesce(a.n_rows, 0) AS BIGINT) AS n_rows, CAST(coalesce(a.value_sum, 0) AS DOUBLE) AS value_sum
-FROM slots s LEFT JOIN agg a ON a.interval = s.interval"""
+FROM slots s LEFT JOIN agg a ON a.interval = s.interval
+UNION ALL SELECT interval, n_rows, CAST(value_sum AS DOUBLE) FROM agg WHERE interval IS NULL"""
     q["orders_period_to_date"] = orders_period_to_date_sql()
     q["orders_by_fin_period"] = f"""{_fin_only(("orders",))}
 SELECT f.financial_year AS fin_year, f.financial_period AS fin_period, count(*) AS n_rows,

@@ -54,7 +54,7 @@ def fact_date_span(frames: list[tuple[DataFrame, str]], whole_years: bool = True
     (zoned timestamps, text) is converted in Spark, in the session zone. With
     ``whole_years`` the span is widened to 1 January of the first year and
     1 January after the last."""
-    types = {dict(df.dtypes)[c] for df, c in frames}
+    types = {df.select(c).dtypes[0][1] for df, c in frames}
     same = len(types) == 1 and types <= {"date", "timestamp_ntz"}
     dates = None
     for df, c in frames:

@@ -13,7 +13,9 @@ is simply never committed), and no committed folder is ever overwritten.
 Before committing, the writer checks that version n is still the current
 one and raises ``ConcurrentCommit`` otherwise. The check and the append are
 not one atomic step: tables with several simultaneous writers need a
-transactional table format; one writer per table is assumed here.
+transactional table format; one writer per table is assumed here. A failed
+or refused attempt leaves its folder uncommitted; readers never see it, and
+storage lifecycle rules may remove folders absent from the commit log.
 """
 
 from __future__ import annotations
@@ -65,7 +67,12 @@ class VersionedTable:
             return None
         if version is not None:
             commits = commits.where(F.col("version") == version)
-        return commits.orderBy(F.col("version").desc(), F.col("committed_at").desc()).limit(1).take(1) or None
+        return commits.orderBy(F.col("version").desc(), F.col("committed_at").desc()).take(1) or None
+
+    @staticmethod
+    def _folder(record) -> str:
+        # records written before folders were named per attempt lack "folder"
+        return record["folder"] or f"v={record['version']}"
 
     def current_version(self) -> int | None:
         head = self._head()
@@ -75,12 +82,15 @@ class VersionedTable:
         head = self._head(version)
         if head is None:
             raise FileNotFoundError(f"version {version} of {self.path} is not committed")
-        return f"{self.path}/{head[0]['folder']}"
+        return f"{self.path}/{self._folder(head[0])}"
 
     def read(self, version: int | None = None) -> DataFrame | None:
-        """The given or the current version; None if nothing is committed."""
-        head = self._head(version)
-        return None if head is None else self.spark.read.parquet(f"{self.path}/{head[0]['folder']}")
+        """The given version (FileNotFoundError if it was never committed) or
+        the current one (None if nothing is committed yet)."""
+        if version is not None:
+            return self.spark.read.parquet(self.version_path(version))
+        head = self._head()
+        return None if head is None else self.spark.read.parquet(f"{self.path}/{self._folder(head[0])}")
 
     def write(self, df: DataFrame, row_count_name: str = "number of rows inserted") -> tuple[int, int]:
         """Write ``df`` as the next version; returns (version, rows). The row

@@ -11,6 +11,9 @@ State is bounded by the watermark: windows older than it are dropped.
 
 from __future__ import annotations
 
+import os
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -43,6 +46,17 @@ def daypart_windows(stream: DataFrame, ts_col: str, window: str, watermark: str,
     )
 
 
+def _is_single_file(source_path: str, files: list[str]) -> bool:
+    """True when ``source_path`` names one data file (not a folder or glob)."""
+    if len(files) != 1 or any(ch in source_path for ch in "*?["):
+        return False
+    src = source_path.rstrip("/")
+    if "://" not in src and not src.startswith("file:"):
+        src = os.path.abspath(src)
+    strip = lambda p: re.sub(r"^file:(//)?", "", p)
+    return strip(files[0]) == strip(src)
+
+
 def start_daypart_stream(
     spark: SparkSession,
     source_path: str,
@@ -61,10 +75,11 @@ def start_daypart_stream(
     batch = spark.read.parquet(source_path)
     schema = batch.schema
     reader = spark.readStream.schema(schema)
-    files = batch.inputFiles()
-    bare = source_path.rstrip("/").split("://")[-1]
-    if len(files) == 1 and files[0].rstrip("/").endswith(bare) and "*" not in bare:
-        folder, _, name = source_path.rstrip("/").rpartition("/")
+    if _is_single_file(source_path, batch.inputFiles()):
+        src = source_path.rstrip("/")
+        if "://" not in src and not src.startswith("file:"):
+            src = os.path.abspath(src)
+        folder, _, name = src.rpartition("/")
         reader = reader.option("pathGlobFilter", name)
         source_path = folder
     if max_files_per_trigger:

@@ -57,3 +57,50 @@ def test_span_of_text_and_zoned_columns(spark):
     zoned = o.select(F.col("o_orderdate").cast("timestamp").alias("d"))
     assert fact_date_span([(as_text, "d")]) == fact_date_span([(o, "o_orderdate")]) == fact_date_span([(zoned, "d")])
     assert fact_date_span([(o, "o_orderdate")], whole_years=False) == (dt.date(1995, 1, 1), dt.date(2001, 8, 2))
+
+
+def test_profiles_keep_rows_without_time(spark):
+    ev = read_table(spark, SF001, "events", "event_id", "ts").withColumn(
+        "ts", F.when(F.col("event_id") % 10 == 0, F.lit(None)).otherwise(F.col("ts"))
+    )
+    n_null = ev.where(F.col("ts").isNull()).count()
+    parts = {r["daypart"]: r["rows"] for r in facts.daypart_profile(spark, ev, "ts", {}).collect()}
+    assert parts[None] == n_null and sum(parts.values()) == ev.count() and len(parts) == 7
+    iv = facts.interval_profile(spark, ev, "ts", 60, {})
+    assert iv.count() == 25 and iv.agg(F.sum("rows")).first()[0] == ev.count()
+
+
+def test_stream_source_given_as_a_relative_file(spark, scratch):
+    import os
+
+    from caldim.streaming.daypart_stream import _is_single_file
+
+    rel = os.path.relpath(f"{SF001}/events.parquet")  # relative to the (shared) working folder
+    files = spark.read.parquet(rel).inputFiles()
+    assert _is_single_file(rel, files) and _is_single_file("./" + rel, files)
+    assert not _is_single_file(SF001, files * 2)
+    assert not _is_single_file(f"{SF001}/*.parquet", files)
+
+
+def test_reading_an_uncommitted_version_fails(spark, scratch):
+    import pytest
+
+    from caldim.sources.store import VersionedTable
+
+    t = VersionedTable(spark, f"{scratch}/t")
+    t.write(spark.range(2))
+    with pytest.raises(FileNotFoundError):
+        t.read(7)
+
+
+def test_empty_increment_returns_the_previous_mark(spark, scratch):
+    logs = LogTables(spark, scratch)
+    src = read_table(spark, SF001, "orders", "o_orderkey", "o_orderdate")
+    _, h1 = facts.incremental_load(spark, logs, src, "o_orderdate", f"{scratch}/o", "orders")
+    n2, h2 = facts.incremental_load(spark, logs, src, "o_orderdate", f"{scratch}/o", "orders")
+    assert n2 == 0 and h2 == h1 == logs.last_process_date("orders")
+
+
+def test_span_accepts_any_column_case(spark):
+    o = read_table(spark, SF001, "orders", "o_orderdate")
+    assert fact_date_span([(o, "O_ORDERDATE")]) == fact_date_span([(o, "o_orderdate")])
