@@ -18,24 +18,20 @@ TS0, TS1, TS2 = dt.datetime(2020, 1, 1), dt.datetime(2020, 1, 2), dt.datetime(20
 def _rows(spark, data, with_key):
     """Tiny target/stage frames: all dimension columns NULL except the key,
     date_desc (x) and fin_year_status (s)."""
+    from pyspark.sql import types as T
+
     cols = schemas.DIM_DATE_COLUMNS if with_key else schemas.STAGE_COLUMNS
-    base = spark.range(len(data)).select(
-        *[F.lit(None).cast(t).alias(c) for c, t in _types(spark).items() if c in cols]
-    )
-    out = []
-    for i, (d, x, s) in enumerate(data):
-        out.append((d, x, s))
-    from pyspark.sql import Row
-
-    df = spark.createDataFrame([Row(calendar_date=d, date_desc=x, fin_year_status=s) for d, x, s in out],
-                               "calendar_date date, date_desc string, fin_year_status string")
-    filler = base.limit(1).drop("calendar_date", "date_desc", "fin_year_status")
-    full = df.crossJoin(filler) if len(data) else df
-    if with_key:
-        full = full.withColumn("date_key", F.lit(1).cast("int")).withColumn("last_update_date", F.lit(TS0.isoformat(sep=" ")).cast("timestamp_ntz"))
-    else:
-        full = full.withColumn("last_update_date", F.lit(TS1.isoformat(sep=" ")).cast("timestamp_ntz"))
-    return full.select(*cols)
+    types = _types(spark)
+    schema = T.StructType([T.StructField(c, types[c], True) for c in cols])
+    ts = TS0 if with_key else TS1
+    rows = []
+    for d, x, st in data:
+        r = {c: None for c in cols}
+        r.update(calendar_date=d, date_desc=x, fin_year_status=st, last_update_date=ts)
+        if with_key:
+            r["date_key"] = 1
+        rows.append(tuple(r[c] for c in cols))
+    return spark.createDataFrame(rows, schema)
 
 
 _TYPES = {}
@@ -48,7 +44,7 @@ def _types(spark):
 
         fin = formula_financial_calendar(date_spine(spark, dt.date(2020, 1, 1), dt.date(2020, 1, 5)))
         d = generate_date_dim(spark, dt.date(2020, 1, 1), dt.date(2020, 1, 5), fin, dt.date(2020, 1, 2))
-        _TYPES.update({f.name: f.dataType.simpleString() for f in d.schema.fields})
+        _TYPES.update({f.name: f.dataType for f in d.schema.fields})
     return _TYPES
 
 
