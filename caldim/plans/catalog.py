@@ -183,6 +183,23 @@ def roll_dim_q(spark, base):
     return dim_ops.roll_date_dim(generated, AS_OF, load_ts=TS_MERGE)
 
 
+def procedures_generate_roll_q(spark, base):
+    """End to end: the generate procedure (initial load, as of the day
+    before) and the roll procedure (as of AS_OF) commit two versions of a
+    versioned table in the work folder; the current version is read back."""
+    from caldim.operators.steps import generate_dim_date_procedure, roll_dim_date_procedure
+    from caldim.sources.store import VersionedTable
+
+    i = Inputs(spark, base)
+    root = work_dir(spark, "procedures")
+    table, logs = VersionedTable(spark, f"{root}/dim_date"), LogTables(spark, f"{root}/logs")
+    generate_dim_date_procedure(
+        spark, table, logs, i.start, i.end, i.fin, PRIOR_AS_OF, initial_load=True, load_ts=TS_TARGET
+    )
+    roll_dim_date_procedure(spark, table, logs, as_of=AS_OF, load_ts=TS_MERGE)
+    return table.read()
+
+
 def _events(spark, base, *cols):
     return read_table(spark, base, "events", *cols)
 
@@ -346,6 +363,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "merge_upsert": merge_upsert_q,
     "merge_initial_load": merge_initial_load_q,
     "roll_dim": roll_dim_q,
+    "procedures_generate_roll": procedures_generate_roll_q,
     "events_time_of_day": events_time_of_day_q,
     "time_of_day_event_counts": time_of_day_event_counts_q,
     "time_of_day_view": time_of_day_view_q,

@@ -360,6 +360,7 @@ WHERE week_wtd IS NOT NULL GROUP BY 1"""
     q["merge_upsert"] = merge_upsert_sql()
     q["merge_initial_load"] = merge_initial_load_sql()
     q["roll_dim"] = dim_select()
+    q["procedures_generate_roll"] = dim_select()
     q["events_time_of_day"] = f"SELECT event_id, {_tod_select(SOD)} FROM events"
     q["time_of_day_event_counts"] = f"""
 WITH d AS (SELECT {_tod_select('CAST(range AS INTEGER)')} FROM range(86400)),
