@@ -29,8 +29,9 @@ def with_time_of_day(df: DataFrame, ts: str, prefix: str = "", load_ts: dt.datet
 
     The dimension always has exactly 86 400 rows (a fixed bound, about 10 MB
     broadcast) and covers every second, so the join never loses a row; per
-    fact row it costs a hash probe instead of six text formats (measured
-    about 6x faster than ``functions.timeofday.with_time_of_day``)."""
+    fact row it costs a hash probe instead of building six labels (on 6 M
+    rows 1.0 s against 1.6 s for ``functions.timeofday.with_time_of_day``,
+    and 4.5 s for printf-style formatting)."""
     dim = time_of_day_dim(df.sparkSession, load_ts).drop("last_update_date")
     dim = dim.select(*[F.col(c).alias(prefix + c) for c in dim.columns])
     key = prefix + "time_of_day_key"
