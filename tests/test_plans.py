@@ -47,3 +47,20 @@ def test_no_python_udf_anywhere(spark):
             continue  # these run side effects when built
         p = _plan(q(spark, SF001))
         assert "BatchEvalPython" not in p and "ArrowEvalPython" not in p, name
+
+
+def test_as_of_lookup_on_a_stored_dimension_is_pushed_down(spark, fin, scratch):
+    import datetime as dt
+
+    from pyspark.sql import functions as F
+
+    from caldim.operators.dimension import generate_date_dim
+    from caldim.sources.store import VersionedTable
+    from conftest import END, START
+
+    t = VersionedTable(spark, f"{scratch}/dim_date")
+    t.write(generate_date_dim(spark, START, END, fin, dt.date(1998, 7, 14)))
+    q = t.read().where(F.col("calendar_date") == F.lit(dt.date(1998, 7, 15))).select("fin_year", "fin_period")
+    p = _plan(q)
+    assert "PushedFilters: [IsNotNull(calendar_date), EqualTo(calendar_date,1998-07-15)]" in p
+    assert "ReadSchema: struct<calendar_date:date,fin_period:string,fin_year:string>" in p
