@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from caldim import schemas
-from caldim.sources.store import _missing
+from caldim.sources.store import _missing, path_exists
 
 
 def now() -> dt.datetime:
@@ -29,6 +29,8 @@ class LogTables:
         self.process_date_path = f"{self.base}/dw_process_date"
 
     def _read(self, path: str, schema) -> DataFrame:
+        if path_exists(self.spark, path) is False:
+            return self.spark.createDataFrame([], schema)
         try:
             return self.spark.read.schema(schema).parquet(path)
         except AnalysisException as e:

@@ -47,12 +47,27 @@ def _missing(e: AnalysisException) -> bool:
     return cond.startswith("PATH_NOT_FOUND") or "Path does not exist" in str(e)
 
 
+def path_exists(spark: SparkSession, path: str) -> bool | None:
+    """Whether ``path`` exists, asked of the Hadoop file system behind the
+    session (no Spark job, no failed query in the logs); None where that is
+    not reachable (e.g. a Spark Connect client), and callers then try the
+    read and catch PATH_NOT_FOUND."""
+    try:
+        sc = spark.sparkContext
+        jpath = sc._jvm.org.apache.hadoop.fs.Path(path)
+        return bool(jpath.getFileSystem(sc._jsc.hadoopConfiguration()).exists(jpath))
+    except Exception:  # noqa: BLE001
+        return None
+
+
 class VersionedTable:
     def __init__(self, spark: SparkSession, path: str):
         self.spark = spark
         self.path = path.rstrip("/")
 
     def _commits(self) -> DataFrame | None:
+        if path_exists(self.spark, f"{self.path}/_commits") is False:
+            return None
         try:
             return self.spark.read.schema(COMMIT_SCHEMA).json(f"{self.path}/_commits")
         except AnalysisException as e:
