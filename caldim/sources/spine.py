@@ -18,6 +18,13 @@ from caldim.functions.timeofday import SECONDS_PER_DAY
 # A dimension row is a few hundred bytes; a side of at most this many rows is
 # broadcast to every task without a shuffle of the other side.
 BROADCAST_MAX_ROWS = 200_000
+# Rows per spine partition: spark.range would otherwise split a few thousand
+# days over defaultParallelism (every core of the cluster) mostly empty tasks.
+SPINE_ROWS_PER_PARTITION = 25_000
+
+
+def spine_partitions(n: int) -> int:
+    return max(1, -(-n // SPINE_ROWS_PER_PARTITION))
 
 
 class EmptySpan(ValueError):
@@ -35,14 +42,14 @@ def day_count(start: dt.date, end: dt.date) -> int:
 def date_spine(spark: SparkSession, start: dt.date, end: dt.date, num_partitions: int | None = None) -> DataFrame:
     """calendar_date for every day from ``start`` to ``end`` (excluded)."""
     n = day_count(start, end)
-    return spark.range(0, n, 1, num_partitions).select(
+    return spark.range(0, n, 1, num_partitions or spine_partitions(n)).select(
         F.date_add(F.lit(start), F.col("id").cast("int")).alias("calendar_date")
     )
 
 
 def second_spine(spark: SparkSession, num_partitions: int | None = None) -> DataFrame:
     """second_of_day 0..86399."""
-    return spark.range(0, SECONDS_PER_DAY, 1, num_partitions).select(F.col("id").cast("int").alias("second_of_day"))
+    return spark.range(0, SECONDS_PER_DAY, 1, num_partitions or spine_partitions(SECONDS_PER_DAY)).select(F.col("id").cast("int").alias("second_of_day"))
 
 
 def fact_date_span(frames: list[tuple[DataFrame, str]], whole_years: bool = True) -> tuple[dt.date, dt.date]:
