@@ -243,6 +243,28 @@ def time_of_day_view_q(spark, base):
     )
 
 
+def events_by_daypart_sql_q(spark, base):
+    """Events per daypart and half hour in Spark SQL through the business
+    view ``time_of_day`` (published as a temp view). The hint broadcasts the
+    view: it has exactly 86 400 rows, a bound that does not grow with the
+    events."""
+    views.register_views(spark, tod=time_of_day_dim(spark, TS_MERGE))
+    read_table(spark, base, "events", "ts", "value").createOrReplaceTempView("caldim_events")
+    return spark.sql(
+        """
+        SELECT /*+ BROADCAST(t) */
+               t.`Day-Part` AS day_part,
+               t.`Interval 30 Min` AS interval_30_min,
+               count(*) AS n_rows,
+               CAST(sum(CAST(e.value AS DECIMAL(18,2))) AS DOUBLE) AS value_sum
+        FROM caldim_events e
+        JOIN time_of_day t
+          ON t.`Time Of Day Key` = hour(e.ts) * 3600 + minute(e.ts) * 60 + second(e.ts) + 1
+        GROUP BY t.`Day-Part`, t.`Interval 30 Min`
+        """
+    )
+
+
 def events_daypart_q(spark, base):
     ev = _events(spark, base, "ts", "value")
     out = facts.daypart_profile(spark, ev, "ts", {"value_sum": _money("value")})
@@ -368,6 +390,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "time_of_day_event_counts": time_of_day_event_counts_q,
     "time_of_day_view": time_of_day_view_q,
     "events_daypart": events_daypart_q,
+    "events_by_daypart_sql": events_by_daypart_sql_q,
     "events_interval_profile": events_interval_profile_q,
     "orders_period_to_date": orders_period_to_date_q,
     "orders_by_fin_period": orders_by_fin_period_q,

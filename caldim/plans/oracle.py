@@ -370,6 +370,10 @@ FROM d LEFT JOIN e ON d.time_of_day_key = e.k"""
     q["time_of_day_view"] = f"""
 SELECT serving_time AS "Day-Part", interval_01_hour AS "Interval 01 Hour", count(*) AS "Events"
 FROM (SELECT {_tod_select(SOD)} FROM events) x GROUP BY 1, 2"""
+    q["events_by_daypart_sql"] = f"""
+SELECT serving_time AS day_part, interval_30_min, count(*) AS n_rows,
+       CAST(sum({MONEY.format('value')}) AS DOUBLE) AS value_sum
+FROM (SELECT value, {_tod_select(SOD)} FROM events WHERE ts IS NOT NULL) x GROUP BY 1, 2"""
     q["events_daypart"] = f"""
 WITH parts(daypart) AS (VALUES ('BREAKFAST'), ('LUNCH'), ('AFTERNOON'), ('DINNER'), ('LATE NIGHT'), ('OTHER')),
      agg AS (SELECT serving_time AS daypart, count(*) AS n_rows, sum({MONEY.format('value')}) AS value_sum
