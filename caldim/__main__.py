@@ -3,6 +3,8 @@
     python -m caldim generate --start 2015-01-01 --end 2031-01-01 --fin <path> --base <path> [--as-of D] [--initial-load]
     python -m caldim roll --base <path> [--as-of D] [--zone Pacific/Auckland]
     python -m caldim time-of-day --base <path>
+    python -m caldim step --base <path> --procedure P --step S --sql "select count(*) from fact_sales" \
+        [--view fact_sales=<parquet path> ...]
 
 ``--base`` is the folder holding ``dim_date``, ``dim_time_of_day`` and the log
 tables. Without --as-of, generate uses today and roll uses yesterday, both in
@@ -34,7 +36,12 @@ def main(argv: list[str] | None = None) -> int:
     g.add_argument("--initial-load", action="store_true")
     r = sub.add_parser("roll", help="roll the as-of columns of the date dimension")
     t = sub.add_parser("time-of-day", help="build the time-of-day dimension")
-    for p in (g, r, t):
+    st = sub.add_parser("step", help="run one SQL statement and log its first value or its error")
+    st.add_argument("--procedure", required=True)
+    st.add_argument("--step", required=True)
+    st.add_argument("--sql", required=True)
+    st.add_argument("--view", action="append", default=[], help="name=parquet path, exposed to the SQL")
+    for p in (g, r, t, st):
         p.add_argument("--base", required=True)
         p.add_argument("--as-of", type=_date)
         p.add_argument("--zone", default="Pacific/Auckland")
@@ -62,10 +69,15 @@ def main(argv: list[str] | None = None) -> int:
         out = steps.roll_dim_date_procedure(
             spark, VersionedTable(spark, f"{base}/dim_date"), logs, a.as_of or today - dt.timedelta(days=1)
         )
-    else:
+    elif a.cmd == "time-of-day":
         out = steps.build_time_of_day_procedure(spark, VersionedTable(spark, f"{base}/dim_time_of_day"), logs)
+    else:
+        for v in a.view:
+            name, _, path = v.partition("=")
+            spark.read.parquet(path).createOrReplaceTempView(name)
+        out = steps.run_step(spark, logs, a.procedure, a.step, a.sql)
     print(out)
-    return 0
+    return 0 if a.cmd != "step" or not out.startswith(f"{a.step} failed:") else 1
 
 
 if __name__ == "__main__":

@@ -193,3 +193,16 @@ def test_concurrent_commit_is_refused(spark, scratch):
     with pytest.raises(ConcurrentCommit):
         Racing(spark, f"{scratch}/t").write(spark.range(5))
     assert t.current_version() == 2 and t.read().count() == 4
+
+
+def test_command_line_step(spark, scratch):
+    from caldim.__main__ import main
+
+    ok = main(["step", "--base", scratch, "--procedure", "test_procedure", "--step", "count_step",
+               "--sql", "select count(*) AS n from fact_sales", "--view", "fact_sales=/root/testdata/sf0.01/orders.parquet"])
+    bad = main(["step", "--base", scratch, "--procedure", "test_procedure", "--step", "bad_step",
+                "--sql", "select nope from fact_sales"])
+    assert (ok, bad) == (0, 1)
+    logs = LogTables(spark, f"{scratch}/logs")
+    assert logs.audit().first()["step_result"] == "n: 15000"
+    assert logs.errors().first()["sql_step"] == "bad_step"
