@@ -17,7 +17,7 @@ from caldim.functions import asof as asof_rules
 from caldim.functions import calendar as cal
 from caldim.functions import fiscal as fis
 from caldim.functions.asof import DuplicateCalendarDate, Position
-from caldim.sources.spine import broadcast_if_bounded, date_spine, span_is_broadcastable
+from caldim.sources.spine import broadcast_if_bounded, date_spine, span_is_broadcastable, to_date
 
 
 def ts_literal(ts: dt.datetime | None) -> Column:
@@ -89,8 +89,9 @@ def stage_date(
     """The 46 stage columns for every day from ``start`` to ``end`` (excluded).
 
     The financial position of ``as_of`` is read from the whole financial
-    calendar (one row) unless given.
+    calendar (one row) unless given. Dates may be given as 'YYYY-MM-DD'.
     """
+    start, end, as_of = to_date(start), to_date(end), to_date(as_of)
     fin = fin_cal.select(*fis.FIN_COLUMNS)
     if position is not None:
         pos = position
@@ -193,6 +194,7 @@ def roll_date_dim(
 ) -> DataFrame:
     """Rewrite the as-of columns of every row for a new as-of date (the
     daily roll). The position is read from the dimension itself."""
+    as_of = to_date(as_of)
     pos = position or asof_rules.position_from_dim(dim, as_of)
     new = {
         "day_status": asof_rules.day_status(F.col("calendar_date"), as_of, variant),

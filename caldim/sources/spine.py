@@ -31,16 +31,29 @@ class EmptySpan(ValueError):
     """END is not after START."""
 
 
-def day_count(start: dt.date, end: dt.date) -> int:
+def to_date(x: dt.date | str) -> dt.date:
+    """A date, or 'YYYY-MM-DD' text parsed strictly (bad text raises)."""
+    if isinstance(x, dt.datetime):
+        return x.date()
+    if isinstance(x, dt.date):
+        return x
+    return dt.date.fromisoformat(x)
+
+
+def day_count(start: dt.date | str, end: dt.date | str) -> int:
     """Number of days from START (included) to END (excluded)."""
+    start, end = to_date(start), to_date(end)
     n = (end - start).days
     if n <= 0:
         raise EmptySpan(f"end {end} must be after start {start}")
     return n
 
 
-def date_spine(spark: SparkSession, start: dt.date, end: dt.date, num_partitions: int | None = None) -> DataFrame:
+def date_spine(
+    spark: SparkSession, start: dt.date | str, end: dt.date | str, num_partitions: int | None = None
+) -> DataFrame:
     """calendar_date for every day from ``start`` to ``end`` (excluded)."""
+    start, end = to_date(start), to_date(end)
     n = day_count(start, end)
     return spark.range(0, n, 1, num_partitions or spine_partitions(n)).select(
         F.date_add(F.lit(start), F.col("id").cast("int")).alias("calendar_date")

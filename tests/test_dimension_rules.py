@@ -163,3 +163,11 @@ def test_date_without_financial_row(spark, fin):
     r = st.where(F.col("calendar_date") == dt.date(1994, 6, 1)).first()
     assert r["fin_year"] is None and r["fin_year_status"] is None and r["current_cal_ptd"] == "NO"
     assert r["fin_yearhalf"] == 2
+
+
+def test_text_dates_are_accepted_and_checked(spark, fin):
+    a = stage_date(spark, "1998-01-01", "1998-02-01", fin, "1998-07-15")
+    b = stage_date(spark, dt.date(1998, 1, 1), dt.date(1998, 2, 1), fin, dt.date(1998, 7, 15))
+    assert a.count() == 31 and a.exceptAll(b).count() == 0
+    with pytest.raises(ValueError):
+        stage_date(spark, "1998-13-01", "1998-02-01", fin, "1998-07-15")
