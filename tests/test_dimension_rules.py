@@ -166,8 +166,9 @@ def test_date_without_financial_row(spark, fin):
 
 
 def test_text_dates_are_accepted_and_checked(spark, fin):
-    a = stage_date(spark, "1998-01-01", "1998-02-01", fin, "1998-07-15")
-    b = stage_date(spark, dt.date(1998, 1, 1), dt.date(1998, 2, 1), fin, dt.date(1998, 7, 15))
+    ts = dt.datetime(2020, 1, 1)
+    a = stage_date(spark, "1998-01-01", "1998-02-01", fin, "1998-07-15", load_ts=ts)
+    b = stage_date(spark, dt.date(1998, 1, 1), dt.date(1998, 2, 1), fin, dt.date(1998, 7, 15), load_ts=ts)
     assert a.count() == 31 and a.exceptAll(b).count() == 0
     with pytest.raises(ValueError):
         stage_date(spark, "1998-13-01", "1998-02-01", fin, "1998-07-15")
