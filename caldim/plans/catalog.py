@@ -71,42 +71,51 @@ class Inputs:
 
 
 def date_spine_q(spark, base):
+    """One row per day of the span, END excluded."""
     i = Inputs(spark, base)
     return date_spine(spark, i.start, i.end)
 
 
 def calendar_columns_q(spark, base):
+    """Section 2.6 rows 1-7, 9-24: date_key and the calendar columns of every day."""
     i = Inputs(spark, base)
     return dim_ops.calendar_dim(spark, i.start, i.end)
 
 
 def fiscal_columns_q(spark, base):
+    """Section 2.6 rows 25-32: financial columns (J1 join to the financial calendar)."""
     i = Inputs(spark, base)
     return i.dim().select("calendar_date", *schemas.FISCAL_COLUMNS)
 
 
 def day_status_q(spark, base):
+    """Section 2.6 row 8: day status, roll variant, as of AS_OF."""
     return Inputs(spark, base).dim().select("calendar_date", "day_status")
 
 
 def fin_statuses_q(spark, base):
+    """Section 2.6 rows 33-36: financial year/quarter/period/week statuses (J3 position)."""
     return Inputs(spark, base).dim().select("calendar_date", *schemas.ASOF_COLUMNS[:4])
 
 
 def cal_to_date_flags_q(spark, base):
+    """Section 2.6 rows 37-41: week/month/period/quarter/year to date flags."""
     return Inputs(spark, base).dim().select("calendar_date", *schemas.ASOF_COLUMNS[4:9])
 
 
 def prev_to_date_flags_q(spark, base):
+    """Section 2.6 rows 42-46: previous-week and previous-year to date flags."""
     return Inputs(spark, base).dim().select("calendar_date", *schemas.ASOF_COLUMNS[9:])
 
 
 def prev_yr_wtd_generate_variant_q(spark, base):
+    """Generate-variant rules (no '2 Days Ago', 4 week labels, open-ended year-ago week)."""
     d = Inputs(spark, base).dim(variant="generate")
     return d.select("calendar_date", "day_status", "fin_week_status", "previous_yr_cal_wtd")
 
 
 def date_dim_q(spark, base):
+    """The generated 47-column dimension (initial load)."""
     return Inputs(spark, base).dim()
 
 
@@ -150,6 +159,7 @@ def orders_by_week_wtd_sql_q(spark, base):
 
 
 def date_view_q(spark, base):
+    """The business view `date`, 46 renames plus 'Financial Week WTD'."""
     return views.date_view(Inputs(spark, base).dim())
 
 
@@ -178,6 +188,7 @@ def merge_initial_load_q(spark, base):
 
 
 def roll_dim_q(spark, base):
+    """A dimension generated as of the day before, rolled to AS_OF."""
     i = Inputs(spark, base)
     generated = i.dim(as_of=PRIOR_AS_OF, variant="generate", ts=TS_TARGET)
     return dim_ops.roll_date_dim(generated, AS_OF, load_ts=TS_MERGE)
@@ -209,6 +220,7 @@ def _money(c: str):
 
 
 def events_time_of_day_q(spark, base):
+    """X4/section 2.7: every event with its time-of-day columns (broadcast join)."""
     ev = _events(spark, base, "event_id", "ts")
     return with_time_of_day(ev, "ts", load_ts=TS_MERGE).drop("ts")
 
@@ -266,18 +278,21 @@ def events_by_daypart_sql_q(spark, base):
 
 
 def events_daypart_q(spark, base):
+    """Events and value per daypart, every daypart present."""
     ev = _events(spark, base, "ts", "value")
     out = facts.daypart_profile(spark, ev, "ts", {"value_sum": _money("value")})
     return out.select("daypart", F.col("rows").alias("n_rows"), F.col("value_sum").cast("double"))
 
 
 def events_interval_profile_q(spark, base):
+    """Events and value per five-minute interval, empty intervals as zero rows."""
     ev = _events(spark, base, "ts", "value")
     out = facts.interval_profile(spark, ev, "ts", 5, {"value_sum": _money("value")})
     return out.select("interval", F.col("rows").alias("n_rows"), F.col("value_sum").cast("double"))
 
 
 def orders_period_to_date_q(spark, base):
+    """X3 (flagship): to-date counts and sales per order priority, as of AS_OF."""
     i = Inputs(spark, base, span_from=("orders",))
     orders = read_table(spark, base, "orders", "o_orderdate", "o_orderpriority", "o_totalprice")
     out = facts.period_to_date(orders, "o_orderdate", {"sales": _money("o_totalprice")}, i.dim(), by=["o_orderpriority"])
@@ -287,6 +302,7 @@ def orders_period_to_date_q(spark, base):
 
 
 def orders_by_fin_period_q(spark, base):
+    """Orders and sales per financial year and period."""
     i = Inputs(spark, base, span_from=("orders",))
     orders = read_table(spark, base, "orders", "o_orderdate", "o_totalprice")
     dim_ops.assert_unique_dates(i.fin)
@@ -297,6 +313,7 @@ def orders_by_fin_period_q(spark, base):
 
 
 def orders_fiscal_attributes_q(spark, base):
+    """Every order with its financial columns."""
     i = Inputs(spark, base, span_from=("orders",))
     orders = read_table(spark, base, "orders", "o_orderkey", "o_orderdate")
     dim_ops.assert_unique_dates(i.fin)
@@ -305,6 +322,7 @@ def orders_fiscal_attributes_q(spark, base):
 
 
 def lineitem_calendar_rollup_q(spark, base):
+    """Line items, quantity and revenue per calendar year, quarter and month."""
     li = read_table(spark, base, "lineitem", "l_shipdate", "l_quantity", "l_extendedprice", "l_discount")
     revenue = _money("l_extendedprice") * (F.lit(1) - _money("l_discount"))
     out = facts.calendar_rollup(
@@ -328,12 +346,14 @@ def lineitem_date_attributes_q(spark, base):
 
 
 def dim_quality_checks_q(spark, base):
+    """Duplicate dates, missing days, days without a financial row, uncovered fact dates."""
     i = Inputs(spark, base)
     fact_dates = [(read_table(spark, base, t, c), c) for t, c in DATE_COLUMNS.items()]
     return facts.dimension_checks(spark, i.dim(), i.fin, fact_dates)
 
 
 def audit_log_q(spark, base):
+    """Two logged steps over the tables and the resulting audit rows."""
     logs = LogTables(spark, work_dir(spark, "logs"))
     li = read_table(spark, base, "lineitem", "l_orderkey")
     od = read_table(spark, base, "orders", "o_orderkey")
@@ -343,6 +363,7 @@ def audit_log_q(spark, base):
 
 
 def error_log_q(spark, base):
+    """A step failing on the data (ANSI cast) and the resulting error row."""
     logs = LogTables(spark, work_dir(spark, "logs"))
     od = read_table(spark, base, "orders", "o_orderpriority")
     bad = od.agg(F.sum(F.col("o_orderpriority").cast("int")).alias("priority_sum"))
@@ -351,6 +372,7 @@ def error_log_q(spark, base):
 
 
 def process_date_increment_q(spark, base):
+    """Two incremental loads of orders by high-water mark; the process-date rows."""
     root = work_dir(spark, "incr")
     logs = LogTables(spark, root)
     src = read_table(spark, base, "orders")
@@ -361,6 +383,7 @@ def process_date_increment_q(spark, base):
 
 
 def events_stream_daypart_q(spark, base):
+    """Events per 30-minute window and daypart by Structured Streaming."""
     from caldim.streaming.daypart_stream import read_latest, start_daypart_stream
 
     root = work_dir(spark, "stream")
