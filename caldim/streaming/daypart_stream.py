@@ -97,11 +97,38 @@ def start_daypart_stream(
     return w.start()
 
 
-def read_latest(spark: SparkSession, out_path: str, value_col: bool = True) -> DataFrame:
+KEYS = ["window_start", "window_end", "daypart"]
+
+
+def read_latest(spark: SparkSession, out_path: str, value_col: bool = True, snapshot=None) -> DataFrame:
     """Current result: for each (window, daypart) the row of the latest batch
-    (a partial-then-final max_by aggregate, no sort)."""
-    df = spark.read.parquet(out_path)
+    (a partial-then-final max_by aggregate, no sort). With a ``snapshot``
+    (a ``VersionedTable`` filled by ``compact``), only batches after the
+    snapshot are read, the rest come from the snapshot."""
+    from caldim.sources.store import path_exists
+
     cols = ["events"] + (["value_sum"] if value_col else [])
-    return df.groupBy("window_start", "window_end", "daypart").agg(
-        *[F.max_by(c, "batch_id").alias(c) for c in cols]
-    )
+    snap = snapshot.read() if snapshot is not None else None
+    through = snap.agg(F.max("through_batch")).first()[0] if snap is not None else None
+    parts = []
+    if snap is not None:
+        parts.append(snap.withColumnRenamed("through_batch", "batch_id").select(*KEYS, *cols, "batch_id"))
+    if path_exists(spark, out_path) is not False:
+        batches = spark.read.parquet(out_path)
+        if through is not None:
+            batches = batches.where(F.col("batch_id") > through)  # partition pruning
+        parts.append(batches.select(*KEYS, *cols, "batch_id"))
+    df = parts[0]
+    for p in parts[1:]:
+        df = df.unionByName(p)
+    return df.groupBy(*KEYS).agg(*[F.max_by(c, "batch_id").alias(c) for c in cols])
+
+
+def compact(spark: SparkSession, out_path: str, snapshot, value_col: bool = True) -> tuple[int, int]:
+    """Fold every batch written so far into a new version of ``snapshot``
+    (a ``VersionedTable``), tagged with the last batch it covers; later reads
+    skip those batch folders, which storage lifecycle rules may then remove.
+    Run it between stream triggers or from a separate job."""
+    last = spark.read.parquet(out_path).agg(F.max("batch_id")).first()[0]
+    current = read_latest(spark, out_path, value_col, snapshot)
+    return snapshot.write(current.withColumn("through_batch", F.lit(last).cast("int")))
