@@ -72,10 +72,17 @@ def main(argv: list[str] | None = None) -> int:
     elif a.cmd == "time-of-day":
         out = steps.build_time_of_day_procedure(spark, VersionedTable(spark, f"{base}/dim_time_of_day"), logs)
     else:
-        for v in a.view:
-            name, _, path = v.partition("=")
-            spark.read.parquet(path).createOrReplaceTempView(name)
-        out = steps.run_step(spark, logs, a.procedure, a.step, a.sql)
+
+        def action():
+            # views are registered inside the step, so a bad path is logged too
+            for v in a.view:
+                name, sep, path = v.partition("=")
+                if not sep or not name or not path:
+                    raise ValueError(f"--view expects name=path, got {v!r}")
+                spark.read.parquet(path).createOrReplaceTempView(name)
+            return steps.first_value(spark, a.sql)
+
+        out = steps.run_step(spark, logs, a.procedure, a.step, action)
     print(out)
     return 0 if a.cmd != "step" or not out.startswith(f"{a.step} failed:") else 1
 

@@ -29,7 +29,8 @@ class EmptyResult(RuntimeError):
     """The statement returned no row, so it has no first value to log."""
 
 
-def _first_value(spark: SparkSession, action: Step) -> tuple[str, object]:
+def first_value(spark: SparkSession, action: Step) -> tuple[str, object]:
+    """Name and value of the first column of the first row of a step."""
     if callable(action) and not isinstance(action, DataFrame):
         return action()
     df = spark.sql(action) if isinstance(action, str) else action
@@ -58,7 +59,7 @@ def run_step(
     return it; on failure log the error and return '<step> failed: <message>'
     (or re-raise when ``raise_errors``)."""
     try:
-        name, value = _first_value(spark, action)
+        name, value = first_value(spark, action)
     except Exception as err:  # noqa: BLE001 - every failure is logged
         code, message, state = _error_fields(err)
         logs.log_error(procedure, step, code, message, state, traceback.format_exc(), ts=ts)

@@ -14,7 +14,9 @@ from __future__ import annotations
 import os
 import re
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -100,35 +102,81 @@ def start_daypart_stream(
 KEYS = ["window_start", "window_end", "daypart"]
 
 
-def read_latest(spark: SparkSession, out_path: str, value_col: bool = True, snapshot=None) -> DataFrame:
+def _out_schema(value_col: bool) -> T.StructType:
+    fields = [
+        T.StructField("window_start", T.TimestampNTZType()),
+        T.StructField("window_end", T.TimestampNTZType()),
+        T.StructField("daypart", T.StringType()),
+        T.StructField("events", T.LongType()),
+    ]
+    if value_col:
+        fields.append(T.StructField("value_sum", T.DecimalType(28, 2)))
+    return T.StructType([*fields, T.StructField("batch_id", T.LongType())])
+
+
+def _batches(spark: SparkSession, out_path: str, value_col: bool) -> DataFrame | None:
+    """All batch output, read with its declared schema (so an emptied folder
+    reads as no rows); None when the folder does not exist."""
+    from caldim.sources.store import path_exists
+
+    if path_exists(spark, out_path) is False:
+        return None
+    try:
+        return spark.read.schema(_out_schema(value_col)).parquet(out_path)
+    except AnalysisException as e:
+        from caldim.sources.store import _missing
+
+        if _missing(e):
+            return None
+        raise
+
+
+def read_latest(
+    spark: SparkSession, out_path: str, value_col: bool = True, snapshot=None, upto: int | None = None
+) -> DataFrame:
     """Current result: for each (window, daypart) the row of the latest batch
     (a partial-then-final max_by aggregate, no sort). With a ``snapshot``
     (a ``VersionedTable`` filled by ``compact``), only batches after the
-    snapshot are read, the rest come from the snapshot."""
-    from caldim.sources.store import path_exists
-
+    snapshot are read, the rest come from the snapshot. ``upto`` ignores
+    batches after that id."""
     cols = ["events"] + (["value_sum"] if value_col else [])
     snap = snapshot.read() if snapshot is not None else None
     through = snap.agg(F.max("through_batch")).first()[0] if snap is not None else None
     parts = []
     if snap is not None:
-        parts.append(snap.withColumnRenamed("through_batch", "batch_id").select(*KEYS, *cols, "batch_id"))
-    if path_exists(spark, out_path) is not False:
-        batches = spark.read.parquet(out_path)
+        parts.append(snap.withColumn("batch_id", F.col("through_batch").cast("long")).select(*KEYS, *cols, "batch_id"))
+    batches = _batches(spark, out_path, value_col)
+    if batches is not None:
         if through is not None:
             batches = batches.where(F.col("batch_id") > through)  # partition pruning
+        if upto is not None:
+            batches = batches.where(F.col("batch_id") <= upto)
         parts.append(batches.select(*KEYS, *cols, "batch_id"))
+    if not parts:
+        return spark.createDataFrame([], _out_schema(value_col)).select(*KEYS, *cols)
     df = parts[0]
     for p in parts[1:]:
         df = df.unionByName(p)
     return df.groupBy(*KEYS).agg(*[F.max_by(c, "batch_id").alias(c) for c in cols])
 
 
-def compact(spark: SparkSession, out_path: str, snapshot, value_col: bool = True) -> tuple[int, int]:
-    """Fold every batch written so far into a new version of ``snapshot``
-    (a ``VersionedTable``), tagged with the last batch it covers; later reads
-    skip those batch folders, which storage lifecycle rules may then remove.
-    Run it between stream triggers or from a separate job."""
-    last = spark.read.parquet(out_path).agg(F.max("batch_id")).first()[0]
-    current = read_latest(spark, out_path, value_col, snapshot)
-    return snapshot.write(current.withColumn("through_batch", F.lit(last).cast("int")))
+def compact(spark: SparkSession, out_path: str, snapshot, value_col: bool = True) -> tuple[int, int] | None:
+    """Fold every completed batch written so far into a new version of
+    ``snapshot`` (a ``VersionedTable``), tagged with the last batch it
+    covers; later reads skip those batch folders, which storage lifecycle
+    rules may then remove. The newest batch counts as completed only once its
+    ``_SUCCESS`` marker exists, so a compaction that overlaps the stream's
+    write of that batch leaves it for the next compaction. Returns None when
+    there is nothing new to fold."""
+    from caldim.sources.store import path_exists
+
+    batches = _batches(spark, out_path, value_col)
+    last = batches.agg(F.max("batch_id")).first()[0] if batches is not None else None
+    if last is not None and path_exists(spark, f"{out_path}/batch_id={last}/_SUCCESS") is False:
+        last -= 1
+    snap = snapshot.read()
+    through = snap.agg(F.max("through_batch")).first()[0] if snap is not None else None
+    if last is None or last < 0 or (through is not None and last <= through):
+        return None
+    current = read_latest(spark, out_path, value_col, snapshot, upto=last)
+    return snapshot.write(current.withColumn("through_batch", F.lit(last).cast("long")))

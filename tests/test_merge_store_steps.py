@@ -206,3 +206,13 @@ def test_command_line_step(spark, scratch):
     logs = LogTables(spark, f"{scratch}/logs")
     assert logs.audit().first()["step_result"] == "n: 15000"
     assert logs.errors().first()["sql_step"] == "bad_step"
+
+
+def test_command_line_step_with_a_bad_view_is_logged(spark, scratch):
+    from caldim.__main__ import main
+
+    assert main(["step", "--base", scratch, "--procedure", "p", "--step", "s", "--sql", "select 1",
+                 "--view", "no_equals_sign"]) == 1
+    assert main(["step", "--base", scratch, "--procedure", "p", "--step", "t", "--sql", "select 1",
+                 "--view", f"x={scratch}/missing"]) == 1
+    assert sorted(r["sql_step"] for r in LogTables(spark, f"{scratch}/logs").errors().collect()) == ["s", "t"]

@@ -132,3 +132,20 @@ def test_stream_compaction(spark, scratch):
     via_snapshot = read_latest(spark, out, snapshot=snap)
     assert via_snapshot.exceptAll(full).count() == 0 and via_snapshot.count() == full.count()
     assert via_snapshot.agg(F.sum("events")).first()[0] == ev.count()
+
+
+def test_snapshot_read_after_batch_folders_are_gone(spark, scratch):
+    from caldim.sources.store import VersionedTable
+    from caldim.streaming.daypart_stream import compact, read_latest, start_daypart_stream
+
+    ev = spark.read.parquet(f"{SF001}/events.parquet")
+    out, snap = f"{scratch}/out", VersionedTable(spark, f"{scratch}/snapshot")
+    start_daypart_stream(spark, f"{SF001}/events.parquet", out, f"{scratch}/ckpt").awaitTermination()
+    assert compact(spark, out, snap) is not None
+    assert compact(spark, out, snap) is None  # nothing new to fold
+    # the batch folders removed by lifecycle rules: an empty or a missing output folder
+    empty = f"{scratch}/empty_out"
+    spark.range(0).write.parquet(empty)
+    for where in (empty, f"{scratch}/never_written"):
+        got = read_latest(spark, where, snapshot=snap)
+        assert got.agg(F.sum("events")).first()[0] == ev.count()
