@@ -187,6 +187,22 @@ def calendar_rollup(fact: DataFrame, date_col: str, measures: dict[str, Column],
     )
 
 
+def _with_zero_rows(agg: DataFrame, spine: DataFrame, key: str, measures: list[str]) -> DataFrame:
+    """Add a zero row for every spine key missing from ``agg``: the spine's
+    zero rows are unioned in and the few resulting rows re-aggregated, so the
+    fact is scanned once and no join is needed. Rows whose key is NULL (no
+    time) stay as their own row."""
+    types = {k: agg.schema[k].dataType for k in measures}
+    zeros = spine.select(
+        key, F.lit(0).cast("long").alias("rows"), *[F.lit(0).cast(t).alias(k) for k, t in types.items()]
+    )
+    return (
+        agg.unionByName(zeros)
+        .groupBy(key)
+        .agg(F.sum("rows").alias("rows"), *[F.sum(k).cast(t).alias(k) for k, t in types.items()])
+    )
+
+
 def interval_profile(
     spark: SparkSession, fact: DataFrame, ts_col: str, width_minutes: int, measures: dict[str, Column]
 ) -> DataFrame:
@@ -196,24 +212,16 @@ def interval_profile(
 
     The fact is aggregated on the integer bucket number (partial-then-final,
     at most 1440/width groups); the text label is formatted afterwards on
-    the bucket spine only, never per fact row."""
+    those few rows only, never per fact row."""
     n = 24 * 60 // width_minutes
     bucket = (tod.second_of_day(F.col(ts_col)) / (width_minutes * 60)).cast("int")
     agg = fact.groupBy(bucket.alias("_b")).agg(
         F.count(F.lit(1)).alias("rows"), *[F.sum(m).alias(k) for k, m in measures.items()]
     )
-    spine = spark.range(0, n, 1, 1).select(
-        F.col("id").cast("int").alias("_b"),
-        tod.interval_label((F.col("id") * (width_minutes * 60)).cast("int"), width_minutes).alias("interval"),
-    )
-    out = spine.join(F.broadcast(agg), "_b", "left").unionByName(
-        agg.where(F.col("_b").isNull()).withColumn("interval", F.lit(None).cast("string"))
-    )
-    return out.select(
-        "interval",
-        F.coalesce(F.col("rows"), F.lit(0).cast("long")).alias("rows"),
-        *[F.coalesce(F.col(k), F.lit(0).cast(out.schema[k].dataType)).alias(k) for k in measures],
-    )
+    spine = spark.range(0, n, 1, 1).select(F.col("id").cast("int").alias("_b"))
+    out = _with_zero_rows(agg, spine, "_b", list(measures))
+    label = tod.interval_label((F.col("_b") * (width_minutes * 60)).cast("int"), width_minutes)
+    return out.select(label.alias("interval"), "rows", *measures)
 
 
 def daypart_profile(spark: SparkSession, fact: DataFrame, ts_col: str, measures: dict[str, Column]) -> DataFrame:
@@ -225,13 +233,7 @@ def daypart_profile(spark: SparkSession, fact: DataFrame, ts_col: str, measures:
     )
     names = [p[0] for p in tod.DAYPARTS] + [tod.OTHER_DAYPART]
     spine = spark.createDataFrame([(n,) for n in names], "daypart string")
-    # rows without a time form one extra row with a NULL daypart: none dropped
-    out = spine.join(F.broadcast(agg), "daypart", "left").unionByName(agg.where(F.col("daypart").isNull()))
-    return out.select(
-        "daypart",
-        F.coalesce(F.col("rows"), F.lit(0).cast("long")).alias("rows"),
-        *[F.coalesce(F.col(k), F.lit(0).cast(out.schema[k].dataType)).alias(k) for k in measures],
-    )
+    return _with_zero_rows(agg, spine, "daypart", list(measures)).select("daypart", "rows", *measures)
 
 
 def incremental_load(

@@ -65,3 +65,10 @@ def test_as_of_lookup_on_a_stored_dimension_is_pushed_down(spark, fin, scratch):
     p = _plan(q)
     assert "PushedFilters: [IsNotNull(calendar_date), EqualTo(calendar_date,1998-07-15)]" in p
     assert "ReadSchema: struct<calendar_date:date,fin_period:string,fin_year:string>" in p
+
+
+def test_profiles_scan_the_fact_once(spark):
+    for q in (catalog.events_daypart_q, catalog.events_interval_profile_q):
+        p = _plan(q(spark, SF001))
+        assert p.count("Scan parquet") == 1, p  # also matches "FileScan parquet"
+        assert "Join" not in p
