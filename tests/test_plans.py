@@ -72,3 +72,16 @@ def test_profiles_scan_the_fact_once(spark):
         p = _plan(q(spark, SF001))
         assert p.count("Scan parquet") == 1, p  # also matches "FileScan parquet"
         assert "Join" not in p
+
+
+def test_each_fact_table_is_scanned_once(spark):
+    import re
+
+    side_effects = ("audit_log", "error_log", "process_date_increment", "events_stream_daypart",
+                    "procedures_generate_roll")
+    for name, q in catalog.QUERIES.items():
+        if name in side_effects:
+            continue
+        p = _plan(q(spark, SF001))
+        tables = re.findall(r"sf0\.01/(\w+)\.parquet", p)
+        assert len(tables) == len(set(tables)), (name, tables)
