@@ -85,3 +85,26 @@ def test_each_fact_table_is_scanned_once(spark):
         p = _plan(q(spark, SF001))
         tables = re.findall(r"sf0\.01/(\w+)\.parquet", p)
         assert len(tables) == len(set(tables)), (name, tables)
+
+
+def test_date_partitioned_fact_is_pruned(spark, scratch):
+    import datetime as dt
+
+    from pyspark.sql import functions as F
+
+    from caldim.operators import facts
+    from caldim.operators.dimension import generate_date_dim, roll_date_dim
+    from caldim.sources.fincal import formula_financial_calendar
+    from caldim.sources.spine import date_spine
+    from conftest import SF0001
+
+    o = spark.read.parquet(f"{SF0001}/orders.parquet").withColumn("d", F.to_date("o_orderdate"))
+    o.write.partitionBy("d").parquet(f"{scratch}/orders_by_day")
+    po = spark.read.parquet(f"{scratch}/orders_by_day")
+    start, end = dt.date(1994, 1, 1), dt.date(2002, 1, 1)
+    fin = formula_financial_calendar(date_spine(spark, start, end))
+    dim = roll_date_dim(generate_date_dim(spark, start, end, fin, dt.date(1998, 7, 14)), dt.date(1998, 7, 15))
+    out = facts.period_to_date(po, "d", {}, dim)
+    p = _plan(out)
+    assert "PartitionFilters: [isnotnull(d" in p and "(d#" in p and "dynamicpruningexpression" in p
+    assert out.first()["ytd_rows"] == o.where((F.col("d") >= "1998-01-01") & (F.col("d") <= "1998-07-15")).count()
