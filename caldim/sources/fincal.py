@@ -15,7 +15,16 @@ from caldim import schemas
 
 
 def read_financial_calendar(spark: SparkSession, path: str, fmt: str = "parquet", **options) -> DataFrame:
-    """Read the financial calendar with its declared schema (no inference)."""
+    """Read the financial calendar into its declared schema, matching
+    columns by name (case-insensitive), never by position: parquet and ORC
+    with the schema applied at the scan; text formats (csv with a header,
+    json) read as text and cast column by column (ANSI casts: bad values
+    raise instead of turning NULL)."""
+    if fmt in ("csv", "json"):
+        # without inferSchema every csv column is text; json keeps primitives as text
+        opts = {"header": "true", **options} if fmt == "csv" else {"primitivesAsString": "true", **options}
+        raw = spark.read.format(fmt).options(**opts).load(path)
+        return raw.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schemas.FIN_CALENDAR])
     return spark.read.format(fmt).schema(schemas.FIN_CALENDAR).options(**options).load(path)
 
 

@@ -54,3 +54,22 @@ def test_financial_calendar_from_csv(spark, fin, scratch):
     back = read_financial_calendar(spark, f"{scratch}/fin_csv", "csv", header="true")
     assert [(f.name, f.dataType) for f in back.schema] == [(f.name, f.dataType) for f in schemas.FIN_CALENDAR]
     assert back.exceptAll(fin).count() == 0 and back.count() == fin.count()
+
+
+def test_financial_calendar_csv_columns_matched_by_name(spark, fin, scratch):
+    cols = list(reversed(fin.columns))
+    shuffled = fin.select(*[F.col(c).alias(c.upper()) for c in cols])
+    shuffled.write.option("header", "true").csv(f"{scratch}/fin_upper_reversed")
+    back = read_financial_calendar(spark, f"{scratch}/fin_upper_reversed", "csv")
+    assert back.columns == fin.columns and back.exceptAll(fin).count() == 0
+
+
+def test_financial_calendar_bad_text_raises(spark, scratch):
+    import pytest
+
+    spark.createDataFrame([("1998-13-45", "1998-07-13", "1999-03", "1999-P-01", "1", "1999", "FY1999")],
+                          "calendar_date string, week_commencing string, financial_week string, "
+                          "financial_period string, financial_quarter string, financial_year string, "
+                          "financial_year_format string").write.option("header", "true").csv(f"{scratch}/bad")
+    with pytest.raises(Exception):
+        read_financial_calendar(spark, f"{scratch}/bad", "csv").collect()
