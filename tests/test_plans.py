@@ -105,6 +105,12 @@ def test_date_partitioned_fact_is_pruned(spark, scratch):
     fin = formula_financial_calendar(date_spine(spark, start, end))
     dim = roll_date_dim(generate_date_dim(spark, start, end, fin, dt.date(1998, 7, 14)), dt.date(1998, 7, 15))
     out = facts.period_to_date(po, "d", {}, dim)
-    p = _plan(out)
+    # scan metadata is cut at spark.sql.maxMetadataStringLength (100 chars by default)
+    old = spark.conf.get("spark.sql.maxMetadataStringLength")
+    spark.conf.set("spark.sql.maxMetadataStringLength", "100000")
+    try:
+        p = _plan(out)
+    finally:
+        spark.conf.set("spark.sql.maxMetadataStringLength", old)
     assert "PartitionFilters: [isnotnull(d" in p and "(d#" in p and "dynamicpruningexpression" in p
     assert out.first()["ytd_rows"] == o.where((F.col("d") >= "1998-01-01") & (F.col("d") <= "1998-07-15")).count()
