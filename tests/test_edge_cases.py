@@ -104,3 +104,13 @@ def test_empty_increment_returns_the_previous_mark(spark, scratch):
 def test_span_accepts_any_column_case(spark):
     o = read_table(spark, SF001, "orders", "o_orderdate")
     assert fact_date_span([(o, "O_ORDERDATE")]) == fact_date_span([(o, "o_orderdate")])
+
+
+def test_default_roll_as_of_is_yesterday_in_the_business_zone():
+    from zoneinfo import ZoneInfo
+
+    from caldim.operators.dimension import default_roll_as_of
+
+    for zone in ("Pacific/Auckland", "UTC", "America/Los_Angeles"):
+        today = dt.datetime.now(ZoneInfo(zone)).date()
+        assert default_roll_as_of(zone) in (today - dt.timedelta(days=1), today)  # midnight may pass mid-test
