@@ -161,3 +161,28 @@ def _digest(batches):
 def word_count(text: str) -> int:
     """Words of a text by the pattern itself (for tests)."""
     return len(re.findall(WORD.encode(), text.encode().lower()))
+
+
+def oracle_sql(size: int = 10) -> str:
+    """All windows of documents joined to those of items, by their text."""
+    words = f"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+      'abcdefghijklmnopqrstuvwxyz'), '{WORD}')"""
+    return f"""
+    WITH item AS (SELECT coalesce(CAST(item_id AS VARCHAR), '') AS item, {words} AS w FROM benchmark),
+    win AS (
+      SELECT DISTINCT item, len(part) AS n, array_to_string(part, ' ') AS p FROM (
+        SELECT item, w[i:i + {size - 1}] AS part
+        FROM (SELECT item, w, unnest(range(1, greatest(1, len(w) - {size - 1}) + 1)) AS i FROM item WHERE len(w) > 0))),
+    doc AS (SELECT doc_id, {words} AS w FROM documents),
+    dw AS (
+      SELECT doc_id, n, i, array_to_string(w[i:i + n - 1], ' ') AS p FROM (
+        SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM doc, (SELECT DISTINCT n FROM win) WHERE len(w) >= n)),
+    occ AS (SELECT doc_id, i, dw.n, item FROM dw JOIN win ON dw.p = win.p AND dw.n = win.n),
+    hit AS (SELECT doc_id, count(DISTINCT k) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS k FROM occ) GROUP BY doc_id),
+    found AS (
+      SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+      FROM (SELECT DISTINCT doc_id, item FROM occ) GROUP BY doc_id)
+    SELECT doc.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+           CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(items, '')) AS items_sha256,
+           coalesce(n_hit, 0) > 0 AS contaminated
+    FROM doc LEFT JOIN hit USING (doc_id) LEFT JOIN found USING (doc_id)"""

@@ -129,7 +129,49 @@ def scan(docs: DataFrame, scope: int = SCOPE) -> DataFrame:
     rows = found.join(linked, "row", "left").withColumn(
         "every", F.when(F.col("more").isNull(), F.col("base")).otherwise(F.array_sort(F.concat("base", "more")))
     )
+    kinds = F.transform("base", lambda x: x["kind"])
     counts = [
-        F.size(F.filter("base", lambda x, k=k: x["kind"] == k)).cast("long").alias(f"n_{KINDS[k]}") for k in range(3)
+        (F.size(kinds) - F.size(F.array_remove(kinds, F.lit(k)))).cast("long").alias(f"n_{KINDS[k]}") for k in range(3)
     ]
     return rows.select("doc_id", *counts, F.sha2(_written("base"), 256).alias("base_sha256"), _written("every").alias("spans"))
+
+
+def oracle_sql(scope: int = SCOPE) -> str:
+    """Base spans by sums of what lies between matches, parts by their distance."""
+
+    def kind(k: int, pattern: str, docs: str, wanted: str) -> str:
+        p = pattern.replace("'", "''")
+        return f"""
+      SELECT doc_id, {k} AS kind, s, s + length(m) AS e FROM (
+        SELECT doc_id, ms[i] AS m, gs[i] AS g,
+               list_sum(list_transform(bs[1:i], lambda x: length(x)))
+               + coalesce(list_sum(list_transform(ms[1:i - 1], lambda x: length(x))), 0) AS s
+        FROM (SELECT doc_id, ms, gs, bs, unnest(range(1, len(ms) + 1)) AS i FROM (
+          SELECT doc_id, regexp_extract_all(text, '{p}', 0) AS ms, string_split_regex(text, '{p}') AS bs,
+                 regexp_extract_all(text, '{p}', {2 if k == 0 else 0}) AS gs
+          FROM documents WHERE {docs})))
+      WHERE {wanted}"""
+
+    names = ", ".join(f"'{x}'" for x in KINDS)
+    written = f"concat_ws(':', [{names}][kind + 1], s, e), ',' ORDER BY s, kind, e"
+    return f"""
+    WITH base AS ({kind(0, ASSIGN, "true", "length(g) >= 6")} UNION ALL
+      {kind(1, ACCESS, "true", "length(m) >= 20")} UNION ALL {kind(2, HEX, f"regexp_matches(text, '{HEX_LONG}')", "length(m) >= 24")}),
+    weak AS ({kind(3, KEY, f"text LIKE '%AKIA%' AND regexp_matches(text, '{KEY_LONG}')",
+        "length(m) = 40 AND regexp_matches(m, '[A-Z]') AND regexp_matches(m, '[a-z]') AND regexp_matches(m, '[0-9]')")}
+      UNION ALL {kind(4, ENDPOINT, "text LIKE '%AKIA%' AND text LIKE '%://%'", "true")}),
+    near_access AS (
+      SELECT w.* FROM weak w WHERE EXISTS (
+        SELECT 1 FROM base b WHERE b.doc_id = w.doc_id AND b.kind = 1 AND w.s <= b.e + {scope} AND b.s <= w.e + {scope})),
+    secrets AS (SELECT * FROM base WHERE kind = 0 UNION ALL SELECT * FROM near_access WHERE kind = 3),
+    more AS (
+      SELECT * FROM near_access WHERE kind = 3 UNION ALL
+      SELECT w.* FROM near_access w WHERE kind = 4 AND EXISTS (
+        SELECT 1 FROM secrets b WHERE b.doc_id = w.doc_id AND w.s <= b.e + {scope} AND b.s <= w.e + {scope})),
+    b AS (
+      SELECT doc_id, count_if(kind = 0) AS n0, count_if(kind = 1) AS n1, count_if(kind = 2) AS n2,
+             string_agg({written}) AS line FROM base GROUP BY doc_id),
+    e AS (SELECT doc_id, string_agg({written}) AS line FROM (SELECT * FROM base UNION ALL SELECT * FROM more) GROUP BY doc_id)
+    SELECT d.doc_id, CAST(coalesce(n0, 0) AS BIGINT) AS n_assign, CAST(coalesce(n1, 0) AS BIGINT) AS n_access,
+           CAST(coalesce(n2, 0) AS BIGINT) AS n_hex, sha256(coalesce(b.line, '')) AS base_sha256, coalesce(e.line, '') AS spans
+    FROM documents d LEFT JOIN b USING (doc_id) LEFT JOIN e USING (doc_id)"""
