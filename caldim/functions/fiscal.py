@@ -74,9 +74,13 @@ def with_fiscal_attributes(df: DataFrame, date_col: str, fin_cal: DataFrame, bro
     the calendar (see ``caldim.sources.spine.broadcast_if_bounded``)."""
     from caldim.sources.spine import broadcast_if_bounded
 
-    f = fin_cal.select(*FIN_COLUMNS).withColumnRenamed("calendar_date", "_fin_date")
+    day = F.col("calendar_date")
+    cols = fiscal_columns(day, {c: F.col(c) for c in FIN_COLUMNS[1:]})
+    # computed once per day; a fact row only takes them over
+    finished = fin_cal.select(day.alias("_fin_date"), *[v.alias(k) for k, v in cols.items()])
     joined = df.withColumn("_fact_date", cal.as_date(date_col)).join(
-        broadcast_if_bounded(f, broadcast_ok), F.col("_fact_date") == F.col("_fin_date"), "left"
+        broadcast_if_bounded(finished, broadcast_ok), F.col("_fact_date") == F.col("_fin_date"), "left"
     )
-    cols = fiscal_columns(F.col("_fact_date"), {c: F.col(c) for c in FIN_COLUMNS[1:]})
-    return joined.withColumns(cols).drop("_fact_date", "_fin_date", *FIN_COLUMNS[1:])
+    # dates without a calendar row count as second half
+    joined = joined.withColumn("fin_yearhalf", F.coalesce("fin_yearhalf", F.lit(2)))
+    return joined.drop("_fact_date", "_fin_date")

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from caldim import schemas
@@ -22,10 +22,28 @@ from caldim.sources.spine import broadcast_if_bounded, date_spine, span_is_broad
 
 def ts_literal(ts: dt.datetime | None) -> Column:
     """A timestamp_ntz literal, built from text so no time zone applies."""
-    ts = ts or dt.datetime.now()
+    ts = ts or dt.datetime.now(dt.timezone.utc)
     return F.lit(ts.strftime("%Y-%m-%d %H:%M:%S.%f")).cast("timestamp_ntz")
 
 
+class Counts:
+    """Row counts of the logical statements inside one plan, observed while
+    the plan's single write runs."""
+
+    def __init__(self):
+        self._seen: dict[str, Observation] = {}
+
+    def rows(self, df: DataFrame, name: str) -> DataFrame:
+        return self.observe(df, name, rows=F.count(F.lit(1)))
+
+    def observe(self, df: DataFrame, name: str, **metrics: Column) -> DataFrame:
+        self._seen[name] = Observation()
+        return df.observe(self._seen[name], *[v.alias(k) for k, v in metrics.items()])
+
+    def __getitem__(self, name: str) -> dict[str, int]:
+        return self._seen[name].get
+
+
 def assert_unique_dates(fin_cal: DataFrame) -> None:
     """Raise if a calendar date occurs twice: it would fan out the join and
     reach the merge with two source rows for one key."""
@@ -85,12 +103,16 @@ def stage_date(
     load_ts: dt.datetime | None = None,
     position: Position | None = None,
     check_unique: bool = True,
+    counts: Counts | None = None,
 ) -> DataFrame:
     """The 46 stage columns for every day from ``start`` to ``end`` (excluded).
 
     The financial position of ``as_of`` is read from the whole financial
     calendar (one row) unless given. Dates may be given as 'YYYY-MM-DD'.
+    ``counts`` observes the rows of the spine, the calendar, the financial
+    calendar within the span, and the two joined.
     """
+    seen = counts.rows if counts else lambda df, name: df
     start, end, as_of = to_date(start), to_date(end), to_date(as_of)
     fin = fin_cal.select(*fis.FIN_COLUMNS)
     if position is not None:
@@ -103,10 +125,15 @@ def stage_date(
     # bound, so the calendar is broadcast and the spine never shuffles.
     fin_in_span = fin.where((F.col("calendar_date") >= F.lit(start)) & (F.col("calendar_date") < F.lit(end)))
     d = F.col("calendar_date")
+    calendar = seen(seen(date_spine(spark, start, end), "date spine").withColumns(cal.calendar_columns(d)), "calendar")
+    fin_in_span = seen(fin_in_span, "financial calendar")
     base = (
-        date_spine(spark, start, end)
-        .join(broadcast_if_bounded(fin_in_span, span_is_broadcastable(start, end)), "calendar_date", "left")
-        .withColumns(cal.calendar_columns(d))
+        seen(
+            calendar.join(
+                broadcast_if_bounded(fin_in_span, span_is_broadcastable(start, end)), "calendar_date", "left"
+            ),
+            "joined",
+        )
         .withColumns(fis.fiscal_columns(d, {c: F.col(c) for c in fis.FIN_COLUMNS[1:]}))
         .withColumn("day_status", asof_rules.day_status(d, as_of, variant))
     )
@@ -138,7 +165,9 @@ def insert_rows(stage: DataFrame, load_ts: dt.datetime | None = None) -> DataFra
     )
 
 
-def merge_dim(target: DataFrame | None, stage: DataFrame, load_ts: dt.datetime | None = None) -> DataFrame:
+def merge_dim(
+    target: DataFrame | None, stage: DataFrame, load_ts: dt.datetime | None = None, counts: Counts | None = None
+) -> DataFrame:
     """Upsert ``stage`` into ``target`` on calendar_date.
 
     matched      -> each column coalesce(stage, target) (a NULL never clears),
@@ -148,15 +177,19 @@ def merge_dim(target: DataFrame | None, stage: DataFrame, load_ts: dt.datetime |
 
     Presence markers on both sides tell "no row" from "row with NULLs". The
     full outer join shuffles both sides on the date key; a dimension has one
-    row per day, so this stays small at any fact volume.
+    row per day, so this stays small at any fact volume. ``counts`` observes
+    the inserted and the updated rows.
     """
     if target is None:
-        return insert_rows(stage, load_ts)
+        out = insert_rows(stage, load_ts)
+        return counts.observe(out, "merge", inserted=F.count(F.lit(1)), updated=F.count_if(F.lit(False))) if counts else out
     t = target.select(*[F.col(c).alias("t_" + c) for c in schemas.DIM_DATE_COLUMNS], F.lit(True).alias("_t"))
     s = stage.select(*[F.col(c).alias("s_" + c) for c in schemas.STAGE_COLUMNS], F.lit(True).alias("_s"))
     j = t.join(s, F.col("t_calendar_date") == F.col("s_calendar_date"), "full_outer")
     ts = ts_literal(load_ts)
     in_t, in_s = F.col("_t").isNotNull(), F.col("_s").isNotNull()
+    if counts:
+        j = counts.observe(j, "merge", inserted=F.count_if(~in_t), updated=F.count_if(in_t & in_s))
     return j.select(
         F.when(in_t, F.col("t_date_key")).otherwise(cal.date_key(F.col("s_calendar_date"))).alias("date_key"),
         F.when(in_t, F.col("t_calendar_date")).otherwise(F.col("s_calendar_date")).alias("calendar_date"),
@@ -178,11 +211,15 @@ def generate_date_dim(
     initial_load: bool = False,
     load_ts: dt.datetime | None = None,
     variant: str = "generate",
+    counts: Counts | None = None,
 ) -> DataFrame:
     """Stage the span and merge it into ``target`` (emptied first when
-    ``initial_load``); returns the new dimension, 47 columns."""
-    stage = stage_date(spark, start, end, fin_cal, as_of, variant=variant, load_ts=load_ts)
-    return merge_dim(None if initial_load else target, stage, load_ts)
+    ``initial_load``); returns the new dimension, 47 columns. ``counts``
+    observes the rows of each logical statement."""
+    stage = stage_date(spark, start, end, fin_cal, as_of, variant=variant, load_ts=load_ts, counts=counts)
+    if counts:
+        stage = counts.rows(stage, "stage")
+    return merge_dim(None if initial_load else target, stage, load_ts, counts)
 
 
 def roll_date_dim(

@@ -16,14 +16,15 @@ Design rules at fact scale:
 from __future__ import annotations
 
 import datetime as dt
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from caldim.functions import calendar as cal
 from caldim.functions import timeofday as tod
-from caldim.sources.logs import LogTables
-from caldim.sources.spine import BROADCAST_MAX_ROWS, broadcast_if_bounded, date_spine, span_is_broadcastable
+from caldim.sources.logs import LogTables, utc_now
+from caldim.sources.spine import broadcast_if_bounded, span_is_broadcastable
 
 # Output prefix of each to-date flag of the date dimension.
 TO_DATE_FLAGS = {
@@ -57,14 +58,18 @@ def date_range_filter(col: str, lo: dt.date, hi: dt.date, is_date: bool = False)
 def flagged_span(dim: DataFrame, flags: list[str]) -> tuple[dt.date, dt.date] | None:
     """First and last date any of ``flags`` marks (one-row aggregate over the
     dimension); None when no date is marked."""
-    any_yes = None
-    for f in flags:
-        c = F.col(f) == "YES"
-        any_yes = c if any_yes is None else (any_yes | c)
-    r = dim.where(any_yes).agg(F.min("calendar_date"), F.max("calendar_date")).first()
+    r = dim.where(any_flag(flags)).agg(F.min("calendar_date"), F.max("calendar_date")).first()
     return None if r[0] is None else (r[0], r[1])
 
 
+def any_flag(flags: list[str]) -> Column:
+    """Whether a dimension row carries at least one of the to-date flags."""
+    hit = F.lit(False)
+    for f in flags:
+        hit = hit | F.coalesce(F.col(f) == "YES", F.lit(False))
+    return hit
+
+
 def dim_span(dim: DataFrame) -> tuple[dt.date, dt.date, int]:
     """(first date, day after the last date, row count) of a dimension."""
     r = dim.agg(F.min("calendar_date"), F.max("calendar_date"), F.count(F.lit(1))).first()
@@ -111,9 +116,11 @@ def period_to_date(
 
     ``dim`` is a date dimension rolled to the wanted as-of date. For each
     flag F and measure M the output has ``F_M`` = sum of M over the rows of
-    the flagged dates, and ``F_rows`` = their count. The fact is cut to the
-    dates any flag marks (pushed to the scan), probes the broadcast flag
-    columns on an int date key and is aggregated partial-then-final on
+    the flagged dates, and ``F_rows`` = their count. A group is in the output
+    if and only if one of its rows falls on a date that some flag marks: the
+    join keeps the dimension's flagged dates alone. The range from the first
+    to the last of them only prunes the scan. The fact probes the broadcast
+    flag columns on an int date key and is aggregated partial-then-final on
     ``by``. (Reducing to daily totals first was measured no faster here:
     the probe is cheap and the flag sums need no text.)
     """
@@ -124,7 +131,8 @@ def period_to_date(
     # the dimension has one row per date (the merge keys on it), so the
     # flagged range bounds the broadcast side
     start, end = lo, hi + dt.timedelta(days=1)
-    flag_cols = dim.where(F.col("calendar_date").between(F.lit(lo), F.lit(hi))).select(
+    flagged = dim.where(any_flag(list(flags.values())) & F.col("calendar_date").between(F.lit(lo), F.lit(hi)))
+    flag_cols = flagged.select(
         F.col("calendar_date").alias("_d"), *[(F.col(c) == "YES").alias("_f_" + k) for k, c in flags.items()]
     )
     is_date = dict(fact.dtypes).get(date_col) == "date"
@@ -232,10 +240,20 @@ def daypart_profile(spark: SparkSession, fact: DataFrame, ts_col: str, measures:
         F.count(F.lit(1)).alias("rows"), *[F.sum(m).alias(k) for k, m in measures.items()]
     )
     names = [p[0] for p in tod.DAYPARTS] + [tod.OTHER_DAYPART]
-    spine = spark.createDataFrame([(n,) for n in names], "daypart string")
+    # a range and a literal array: no Python tasks for six rows
+    label = F.element_at(F.array(*(F.lit(n) for n in names)), (F.col("id") + 1).cast("int"))
+    spine = spark.range(0, len(names), 1, 1).select(label.alias("daypart"))
     return _with_zero_rows(agg, spine, "daypart", list(measures)).select("daypart", "rows", *measures)
 
 
+class Load(NamedTuple):
+    """Rows loaded, the new mark, and rows of the source without a time."""
+
+    rows: int
+    mark: dt.datetime
+    rows_without_time: int
+
+
 def incremental_load(
     spark: SparkSession,
     logs: LogTables,
@@ -247,75 +265,89 @@ def incremental_load(
     country: str | None = None,
     upper: dt.datetime | None = None,
     load_ts: dt.datetime | None = None,
-) -> tuple[int, dt.datetime | None]:
-    """Append the rows newer than the table's high-water mark to
-    ``target_path`` and log the new mark and row count (X6). ``upper``
-    optionally caps this load (a later call picks up the rest). The count
-    and new mark are observed during the write, not by extra jobs.
+) -> Load:
+    """Append the rows with mark <= ``ts_col`` < ``upper`` to ``target_path``
+    and log ``upper`` as the new mark with the row count (X6).
+
+    Half-open loads never split rows of equal time: all rows of an instant
+    fall in one load. ``upper`` must be an instant that no more rows will
+    precede; the default is midnight of the load's day (UTC), so a column of
+    dates is loaded one whole closed day after another and what arrives later
+    on the day itself waits for the next load. A load whose ``upper`` does not
+    pass the mark loads nothing and keeps it.
+
+    Rows without a time belong to no interval: all of the source's are kept,
+    newest state only, in ``<target_path>_without_time``, and counted in the
+    result and, if there are any, in the audit table.
 
     Each load writes its own folder ``load_from=<previous mark>`` with
     overwrite, so a load retried after a failure between the write and the
-    log entry replaces its earlier output instead of duplicating it."""
+    log entry replaces its earlier output instead of duplicating it. Counts
+    are observed during the writes, not by extra jobs."""
     from pyspark.sql import Observation
 
-    hwm = logs.last_process_date(table_name, schema_name, country)
-    inc = source
-    if hwm is not None:
-        inc = inc.where(F.col(ts_col) > F.lit(hwm.strftime("%Y-%m-%d %H:%M:%S.%f")).cast("timestamp_ntz"))
-    if upper is not None:
-        inc = inc.where(F.col(ts_col) <= F.lit(upper.strftime("%Y-%m-%d %H:%M:%S.%f")).cast("timestamp_ntz"))
-    obs = Observation("increment")
-    tag = hwm.strftime("%Y%m%dT%H%M%S%f") if hwm is not None else "start"
-    inc.observe(obs, F.count(F.lit(1)).alias("rows"), F.max(ts_col).alias("hwm")).write.mode("overwrite").parquet(
-        f"{target_path}/load_from={tag}"
-    )
-    rows, new_hwm = obs.get["rows"], obs.get["hwm"]
-    if isinstance(new_hwm, dt.date) and not isinstance(new_hwm, dt.datetime):
-        new_hwm = dt.datetime.combine(new_hwm, dt.time())  # a DATE column: midnight
-    mark = new_hwm if rows else hwm  # an empty load keeps the previous mark
-    logs.log_process_date(table_name, schema_name, mark, rows, country, ts=load_ts)
-    return rows, mark
+    mark = logs.last_process_date(table_name, schema_name, country)
+    load_ts = load_ts or utc_now()
+    upper = upper or dt.datetime.combine(load_ts.date(), dt.time())
+    if mark is not None and upper < mark:
+        upper = mark
+    time = F.col(ts_col)
+
+    def instant(x: dt.datetime) -> Column:
+        return F.lit(x.strftime("%Y-%m-%d %H:%M:%S.%f")).cast("timestamp_ntz")
+
+    inc = source.where(time < instant(upper))
+    if mark is not None:
+        inc = inc.where(time >= instant(mark))
+    tag = mark.strftime("%Y%m%dT%H%M%S%f") if mark is not None else "start"
+
+    def written(df: DataFrame, path: str) -> int:
+        obs = Observation()
+        df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(path)
+        return obs.get["rows"]
+
+    rows = written(inc, f"{target_path}/load_from={tag}") if upper != mark else 0
+    without = written(source.where(time.isNull()), f"{target_path}_without_time")
+    if without:
+        logs.log_audit("INCREMENTAL_LOAD", table_name, f"rows without {ts_col}: {without}", schema_name, table_name, load_ts)
+    logs.log_process_date(table_name, schema_name, upper, rows, country, ts=load_ts)
+    return Load(rows, upper, without)
 
 
 def dimension_checks(
-    spark: SparkSession,
-    dim: DataFrame,
-    fin_cal: DataFrame,
-    facts: list[tuple[DataFrame, str]],
+    dim: DataFrame, fin_cal: DataFrame, facts: list[tuple[DataFrame, str]]
 ) -> DataFrame:
     """Quality checks of a date dimension (X8), one row per check with the
-    number of failures: duplicate dates, missing days inside its span, days
-    without a financial-calendar row, and fact dates it does not cover."""
-    start, end, n_rows = dim_span(dim)
-    # the dimension under check may hold duplicates, so its measured row
-    # count (not its span) is the broadcast bound
-    bounded = n_rows <= BROADCAST_MAX_ROWS
-    dates = dim.select("calendar_date")
-    dup = (
-        dates.groupBy("calendar_date").count().where(F.col("count") > 1)
-        .agg(F.count(F.lit(1)).alias("failures"))
-        .select(F.lit("duplicate_dates").alias("check_name"), "failures")
-    )
-    gaps = (
-        date_spine(spark, start, end).join(broadcast_if_bounded(dates, bounded), "calendar_date", "left_anti")
-        .agg(F.count(F.lit(1)).alias("failures"))
-        .select(F.lit("missing_dates").alias("check_name"), "failures")
-    )
-    fin_dates = fin_cal.select("calendar_date").where(
-        (F.col("calendar_date") >= F.lit(start)) & (F.col("calendar_date") < F.lit(end))
-    )
-    no_fin = (
-        dates.join(fin_dates, "calendar_date", "left_anti")
-        .agg(F.count(F.lit(1)).alias("failures"))
-        .select(F.lit("dates_without_fin_row").alias("check_name"), "failures")
-    )
-    out = dup.unionByName(gaps).unionByName(no_fin)
-    for df, c in facts:
-        fact_dates = df.select(cal.as_date(c).alias("calendar_date")).distinct()
-        miss = (
-            fact_dates.join(broadcast_if_bounded(dates, bounded), "calendar_date", "left_anti")
-            .agg(F.count(F.lit(1)).alias("failures"))
-            .select(F.lit(f"fact_dates_outside_dim:{c}").alias("check_name"), "failures")
+    number of failures: duplicate dates, missing days inside its span, rows
+    without a financial-calendar row, and fact dates it does not cover (rows
+    without a date are not judged).
+
+    Every source is reduced to its dates with a count, map-side first; the
+    counts meet in one grouping by date, and one aggregate over the days
+    gives all checks."""
+
+    def per_date(df: DataFrame, date: Column, name: str) -> DataFrame:
+        names = ["dim", "fin", *(f"fact{k}" for k in range(len(facts)))]
+        return (
+            df.select(date.alias("d")).where("d is not null").groupBy("d").agg(F.count(F.lit(1)).alias("n"))
+            .select("d", *[(F.col("n") if x == name else F.lit(0).cast("long")).alias(x) for x in names])
         )
-        out = out.unionByName(miss)
-    return out
+
+    parts = [per_date(dim, F.col("calendar_date"), "dim"), per_date(fin_cal, F.col("calendar_date"), "fin")]
+    parts += [per_date(df, cal.as_date(c), f"fact{k}") for k, (df, c) in enumerate(facts)]
+    both = parts[0]
+    for p in parts[1:]:
+        both = both.unionByName(p)
+    days = both.groupBy("d").agg(*[F.sum(x).alias(x) for x in both.columns[1:]])
+    held = F.col("dim") > 0
+    first, last = (f(F.when(held, F.col("d"))) for f in (F.min, F.max))
+    checks = {
+        "duplicate_dates": F.count_if(F.col("dim") > 1),
+        "missing_dates": F.coalesce(F.datediff(last, first) + 1 - F.count_if(held), F.lit(0)),
+        "dates_without_fin_row": F.coalesce(F.sum(F.when(F.col("fin") == 0, F.col("dim"))), F.lit(0)),
+        **{
+            f"fact_dates_outside_dim:{c}": F.count_if((F.col(f"fact{k}") > 0) & ~held) for k, (_, c) in enumerate(facts)
+        },
+    }
+    row = days.agg(*[v.cast("long").alias(k) for k, v in checks.items()])
+    return row.unpivot([], list(checks), "check_name", "failures")

@@ -14,7 +14,8 @@ from collections.abc import Callable
 from typing import Union
 
 from pyspark.errors import PySparkException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from caldim.operators import dimension as dim_ops
 from caldim.sources.logs import LogTables
@@ -30,14 +31,23 @@ class EmptyResult(RuntimeError):
 
 
 def first_value(spark: SparkSession, action: Step) -> tuple[str, object]:
-    """Name and value of the first column of the first row of a step."""
+    """Name and value of the first column of the first row of a step.
+
+    The whole statement runs, every row and column of it, in one job: its
+    rows go to the ``noop`` sink and the first value is observed on the way
+    (``take(1)`` would run a prefix and miss an error further on)."""
     if callable(action) and not isinstance(action, DataFrame):
         return action()
     df = spark.sql(action) if isinstance(action, str) else action
-    rows = df.take(1)
-    if not rows:
+    if not df.columns:
+        raise EmptyResult("the statement returned no row")
+    rows = df.toDF(*[f"c{k}" for k in range(len(df.columns))]).withColumn("n", F.monotonically_increasing_id())
+    seen = Observation()
+    rows = rows.observe(seen, F.count(F.lit(1)).alias("rows"), F.min_by("c0", "n").alias("value"))
+    rows.write.format("noop").mode("overwrite").save()
+    if not seen.get["rows"]:
         raise EmptyResult("the statement returned no row")
-    return df.columns[0], rows[0][0]
+    return df.columns[0], seen.get["value"]
 
 
 def _error_fields(err: BaseException) -> tuple[str, str, str | None]:
@@ -71,12 +81,14 @@ def run_step(
     return message
 
 
-def _write_step(table: VersionedTable, df: DataFrame) -> Callable[[], tuple[str, object]]:
-    def go():
-        _, rows = table.write(df)
-        return "number of rows inserted", rows
-
-    return go
+def _logged(logs: LogTables, procedure: str, step: str, ts: dt.datetime | None, action):
+    """Run ``action``; a failure is logged under ``step`` and raised."""
+    try:
+        return action()
+    except Exception as err:
+        code, message, state = _error_fields(err)
+        logs.log_error(procedure, step, code, message, state, traceback.format_exc(), ts=ts)
+        raise
 
 
 def generate_dim_date_procedure(
@@ -91,18 +103,32 @@ def generate_dim_date_procedure(
     load_ts: dt.datetime | None = None,
 ) -> str:
     """Stage the span, merge it into the current version of ``dim_table``
-    (ignored when ``initial_load``) and commit the result as a new version."""
-    proc = "GENERATE_DIM_DATE"
-    try:
-        target = None if initial_load else dim_table.read()
-        new_dim = dim_ops.generate_date_dim(
-            spark, start, end, fin_cal, as_of, target=target, initial_load=initial_load, load_ts=load_ts
+    (ignored when ``initial_load``) and commit the result as a new version.
+
+    The statements of the procedure are one plan and one write; each has its
+    audit row with the rows it made, observed during that write."""
+    proc, counts = "GENERATE_DIM_DATE", dim_ops.Counts()
+
+    def build() -> tuple[DataFrame | None, DataFrame]:
+        before = dim_table.read()
+        return before, dim_ops.generate_date_dim(
+            spark, start, end, fin_cal, as_of, target=before, initial_load=initial_load, load_ts=load_ts, counts=counts
         )
-    except Exception as err:
-        code, message, state = _error_fields(err)
-        logs.log_error(proc, "stage dates", code, message, state, traceback.format_exc())
-        raise
-    run_step(spark, logs, proc, "merge into dim_date", _write_step(dim_table, new_dim), raise_errors=True)
+
+    before, new_dim = _logged(logs, proc, "stage dates", load_ts, build)
+    deleted = before.count() if initial_load and before is not None else 0
+    _logged(logs, proc, "merge into dim_date", load_ts, lambda: dim_table.write(new_dim))
+    steps = [
+        (f"insert {name}", f"number of rows inserted: {counts[name]['rows']}")
+        for name in ("date spine", "calendar", "financial calendar", "joined", "stage")
+    ]
+    if initial_load:
+        steps.append(("truncate dim_date", f"number of rows deleted: {deleted}"))
+    done = counts["merge"]
+    steps.append(
+        ("merge into dim_date", f"number of rows inserted: {done['inserted']}, number of rows updated: {done['updated']}")
+    )
+    logs.log_audits(proc, steps, ts=load_ts)
     return "ALL OK"
 
 
@@ -117,18 +143,17 @@ def roll_dim_date_procedure(
     business zone) and commit the result as a new version."""
     proc = "ROLL_DIM_DATE"
     as_of = as_of or dim_ops.default_roll_as_of()
-    current = dim_table.read()
-    if current is None:
-        err = FileNotFoundError(f"no committed version of {dim_table.path}")
-        logs.log_error(proc, "read dim_date", type(err).__name__, str(err), None, None)
-        raise err
-    try:
-        rolled = dim_ops.roll_date_dim(current, as_of, load_ts=load_ts)
-    except Exception as err:
-        code, message, state = _error_fields(err)
-        logs.log_error(proc, "read position", code, message, state, traceback.format_exc())
-        raise
-    run_step(spark, logs, proc, "update dim_date", _write_step(dim_table, rolled), raise_errors=True)
+
+    def current() -> DataFrame:
+        dim = dim_table.read()
+        if dim is None:
+            raise FileNotFoundError(f"no committed version of {dim_table.path}")
+        return dim
+
+    dim = _logged(logs, proc, "read dim_date", load_ts, current)
+    rolled = _logged(logs, proc, "read position", load_ts, lambda: dim_ops.roll_date_dim(dim, as_of, load_ts=load_ts))
+    _, rows = _logged(logs, proc, "update dim_date", load_ts, lambda: dim_table.write(rolled))
+    logs.log_audit(proc, "update dim_date", f"number of rows updated: {rows}", ts=load_ts)
     return "ALL OK"
 
 
@@ -139,8 +164,7 @@ def build_time_of_day_procedure(
     version (the CREATE OR REPLACE TABLE AS SELECT of the original)."""
     from caldim.operators.time_of_day import time_of_day_dim
 
-    run_step(
-        spark, logs, "BUILD_DIM_TIME_OF_DAY", "create dim_time_of_day",
-        _write_step(tod_table, time_of_day_dim(spark, load_ts)), raise_errors=True,
-    )
+    proc, step = "BUILD_DIM_TIME_OF_DAY", "create dim_time_of_day"
+    _, rows = _logged(logs, proc, step, load_ts, lambda: tod_table.write(time_of_day_dim(spark, load_ts)))
+    logs.log_audit(proc, step, f"number of rows inserted: {rows}", ts=load_ts)
     return "ALL OK"

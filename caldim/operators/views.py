@@ -84,9 +84,12 @@ def time_of_day_view(tod: DataFrame) -> DataFrame:
     return tod.select(*[F.col(c).alias(n) for c, n in TIME_OF_DAY_VIEW_NAMES])
 
 
-def register_views(spark: SparkSession, dim: DataFrame | None = None, tod: DataFrame | None = None) -> None:
-    """Publish the views as temp views ``date`` and ``time_of_day``."""
+def register_views(
+    spark: SparkSession, dim: DataFrame | None = None, tod: DataFrame | None = None, suffix: str = ""
+) -> None:
+    """Publish the views as temp views ``date`` and ``time_of_day``, each name
+    followed by ``suffix`` (so that a job need not replace a caller's views)."""
     if dim is not None:
-        date_view(dim).createOrReplaceTempView("date")
+        date_view(dim).createOrReplaceTempView(f"date{suffix}")
     if tod is not None:
-        time_of_day_view(tod).createOrReplaceTempView("time_of_day")
+        time_of_day_view(tod).createOrReplaceTempView(f"time_of_day{suffix}")

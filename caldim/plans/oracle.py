@@ -24,23 +24,22 @@ def _wc(expr: str) -> str:
     return f"CAST(date_trunc('week', {expr}) AS DATE)"
 
 
-# Span: whole calendar years around the dates of the named fact tables.
-DATE_COLUMNS = C.DATE_COLUMNS
-BOTH = ("orders", "lineitem")
-
-
-def _bounds(tables: tuple[str, ...] = BOTH) -> str:
-    union = "\n        UNION ALL ".join(f"SELECT CAST({DATE_COLUMNS[t]} AS DATE) AS d FROM {t}" for t in tables)
-    return f"""
+# Span: whole calendar years around the dates of both fact tables, or the
+# START and END parameters of the queries that join facts to the dimension.
+FACT_BOUNDS = """
 bounds AS (
   SELECT make_date(CAST(year(min(d)) AS INTEGER), 1, 1) AS start_d,
          make_date(CAST(year(max(d)) AS INTEGER) + 1, 1, 1) AS end_d,
          CAST(year(min(d)) AS INTEGER) AS y0,
          CAST(year(max(d)) AS INTEGER) AS y1
-  FROM ({union}) x
+  FROM (SELECT CAST(o_orderdate AS DATE) AS d FROM orders UNION ALL SELECT CAST(l_shipdate AS DATE) AS d FROM lineitem) x
 )"""
 
 
+def _bounds(fixed: bool = False) -> str:
+    return f"bounds AS (SELECT {_d(C.START)} AS start_d, {_d(C.END)} AS end_d)" if fixed else FACT_BOUNDS
+
+
 BOUNDS = _bounds()
 
 
@@ -211,9 +210,9 @@ def _with(*ctes: str) -> str:
     return "WITH " + ",".join(ctes)
 
 
-def _full_dim_ctes(a=C.AS_OF, variant="roll", ts=C.TS_MERGE, tables=BOTH) -> str:
+def _full_dim_ctes(a=C.AS_OF, variant="roll", ts=C.TS_MERGE, fixed=False) -> str:
     return _with(
-        _bounds(tables), _spine("spine", "start_d", "end_d"), FIN, _base("spine", "base"), _dim("dim", "base", a, variant, ts)
+        _bounds(fixed), _spine("spine", "start_d", "end_d"), FIN, _base("spine", "base"), _dim("dim", "base", a, variant, ts)
     )
 
 
@@ -297,83 +296,173 @@ FLAGS = [
 
 
 def orders_period_to_date_sql() -> str:
-    any_flag = " OR ".join(f"{c} = 'YES'" for _, c in FLAGS)
+    any_flag = " OR ".join(f"f.{c} = 'YES'" for _, c in FLAGS)
     aggs = ",\n  ".join(
         f"CAST(count_if(f.{c} = 'YES') AS BIGINT) AS {k}_rows, "
         f"CAST(sum(CASE WHEN f.{c} = 'YES' THEN {MONEY.format('o.o_totalprice')} END) AS DOUBLE) AS {k}_sales"
         for k, c in FLAGS
     )
-    return f"""{_full_dim_ctes(tables=("orders",))},
-span AS (SELECT min(calendar_date) AS lo, max(calendar_date) AS hi FROM dim WHERE {any_flag})
+    return f"""{_full_dim_ctes(fixed=True)}
 SELECT o.o_orderpriority,
   {aggs}
 FROM orders o JOIN dim f ON CAST(o.o_orderdate AS DATE) = f.calendar_date
-WHERE f.calendar_date BETWEEN (SELECT lo FROM span) AND (SELECT hi FROM span)
+WHERE {any_flag}
 GROUP BY o.o_orderpriority"""
 
 
-def _fin_only(tables=BOTH) -> str:
-    return _with(_bounds(tables), _spine("spine", "start_d", "end_d"), FIN)
+def _fin_only(fixed: bool = False) -> str:
+    return _with(_bounds(fixed), _spine("spine", "start_d", "end_d"), FIN)
 
 
 def _money_sum(col: str, alias: str) -> str:
     return f"CAST(sum({MONEY.format(col)}) AS DOUBLE) AS {alias}"
 
 
+# The business names of the date view, in its order.
+DATE_VIEW = """
+    date_key AS "Date Key", calendar_date AS "Calendar Date", date_desc AS "Date Desc", day_name AS "Day Name",
+    day_name_abrv AS "Day Name Abrv", day_in_week_no AS "Day In Week No", day_in_month AS "Day In Month",
+    day_status AS "Day Status", weekday_flag AS "Weekday Flag", weekend_flag AS "Weekend Flag",
+    week_commencing_date_key AS "Week Commencing Date Key", week_commencing_date AS "Week Commencing Date",
+    week_ending_date_key AS "Week Ending Date Key", week_ending_date AS "Week Ending Date",
+    cal_year AS "Calendar Year", month_no AS "Calendar Month No", month AS "Calendar Month",
+    month_name AS "Calendar Month Name", month_name_abrv AS "Calendar Month Name Abrv",
+    monthend_flag AS "Calendar Monthend Flag", cal_week_in_year AS "Calendar Week In Year",
+    cal_day_in_year AS "Calendar Day In Year", cal_quarter_no AS "Calendar Quarter No",
+    cal_quarter AS "Calendar Quarter", fin_year AS "Financial Year", fin_year_name AS "Financial Year Name",
+    fin_year_status AS "Financial Year Status", fin_yearhalf AS "Financial Yearhalf",
+    fin_period AS "Financial Period", fin_period_status AS "Financial Period Status",
+    fin_quarter AS "Financial Quarter", fin_quarter_no AS "Financial Quarter No",
+    fin_quarter_status AS "Financial Quarter Status", fin_week_in_year AS "Financial Week In Year",
+    fin_week_status AS "Financial Week Status", fin_day_in_year AS "Financial Day In Year",
+    current_cal_wtd AS "Current Cal WTD", current_cal_mtd AS "Current Cal MTD", current_cal_ptd AS "Current Cal PTD",
+    current_cal_qtd AS "Current Cal QTD", current_cal_ytd AS "Current Cal YTD",
+    previous_wk_cal_wtd AS "Previous Wk Cal WTD", previous_yr_cal_wtd AS "Previous Yr Cal WTD",
+    previous_yr_cal_ptd AS "Previous Yr Cal PTD", previous_yr_cal_qtd AS "Previous Yr Cal QTD",
+    previous_yr_cal_ytd AS "Previous Yr Cal YTD",
+    CASE WHEN current_cal_wtd = 'YES' THEN 'WTD' WHEN previous_wk_cal_wtd = 'YES' THEN 'WTD-LW'
+         WHEN previous_yr_cal_wtd = 'YES' THEN 'WTD-LY' END AS "Financial Week WTD"
+"""
+
+FISCAL = "fin_day_in_year, fin_week_in_year, fin_period, fin_quarter_no, fin_quarter, fin_yearhalf, fin_year, fin_year_name"
+
+
+def procedure_audit_sql() -> str:
+    """Row counts of every statement, from the spans alone: the spine, the
+    calendar, the financial calendar, the join and the stage have a row a day."""
+    first, second = ("first", "make_date((y0 + y1) // 2 + 1, 1, 1)"), ("second", "make_date((y0 + y1) // 2, 1, 1)")
+    staged = ("date spine", "calendar", "financial calendar", "joined", "stage")
+    rows, key = [], 0
+
+    def add(proc: str, step: str, result: str, ts: dt.datetime) -> None:
+        nonlocal key
+        key += 1
+        rows.append(
+            f"SELECT CAST({key} AS BIGINT) AS audit_key, '{proc}' AS procedure_name, '{step}' AS sql_step, "
+            f"{result} AS step_result, CAST(NULL AS VARCHAR) AS schema_name, CAST(NULL AS VARCHAR) AS table_name, "
+            f"{_ts(ts)} AS audit_timestamp FROM n"
+        )
+
+    gen = "GENERATE_DIM_DATE"
+    for x in staged:
+        add(gen, f"insert {x}", "'number of rows inserted: ' || first", C.TS_TARGET)
+    add(gen, "truncate dim_date", "'number of rows deleted: 0'", C.TS_TARGET)
+    add(gen, "merge into dim_date", "'number of rows inserted: ' || first || ', number of rows updated: 0'", C.TS_TARGET)
+    for x in staged:
+        add(gen, f"insert {x}", "'number of rows inserted: ' || second", C.TS_MERGE)
+    merged = "'number of rows inserted: ' || (whole - first) || ', number of rows updated: ' || (first + second - whole)"
+    add(gen, "merge into dim_date", merged, C.TS_MERGE)
+    add("ROLL_DIM_DATE", "update dim_date", "'number of rows updated: ' || whole", C.TS_MERGE)
+    return (
+        f"WITH {FACT_BOUNDS}, n AS (SELECT date_diff('day', start_d, {first[1]}) AS first, "
+        f"date_diff('day', {second[1]}, end_d) AS second, date_diff('day', start_d, end_d) AS whole FROM bounds)\n"
+        + "\nUNION ALL ".join(rows)
+    )
+
+
+def quality_sql() -> str:
+    def checks(name: str, dim: str, fin: str) -> str:
+        outside = "".join(
+            f"""
+UNION ALL SELECT '{name}', 'fact_dates_outside_dim:{c}', (SELECT count(DISTINCT CAST({c} AS DATE)) FROM {t}
+    WHERE CAST({c} AS DATE) NOT IN (SELECT calendar_date FROM {dim}))"""
+            for t, c in (("orders", "o_orderdate"), ("lineitem", "l_shipdate"))
+        )
+        return f"""
+SELECT '{name}' AS dimension, 'duplicate_dates' AS check_name,
+  (SELECT count(*) FROM (SELECT calendar_date FROM {dim} GROUP BY 1 HAVING count(*) > 1) z) AS failures
+UNION ALL SELECT '{name}', 'missing_dates', (SELECT count(*) FROM spine WHERE calendar_date NOT IN (SELECT calendar_date FROM {dim}))
+UNION ALL SELECT '{name}', 'dates_without_fin_row', (SELECT count(*) FROM {dim} WHERE calendar_date NOT IN (SELECT calendar_date FROM {fin})){outside}"""
+
+    return f"""{_full_dim_ctes()},
+damaged AS (
+  SELECT calendar_date FROM dim WHERE year(calendar_date) <> (SELECT year(min(CAST(o_orderdate AS DATE))) + 1 FROM orders)
+  UNION ALL SELECT calendar_date FROM dim WHERE calendar_date = (SELECT max(CAST(o_orderdate AS DATE)) FROM orders)),
+shorter AS (SELECT * FROM fin WHERE calendar_date < (SELECT max(CAST(l_shipdate AS DATE)) FROM lineitem))
+{checks('sound', 'dim', 'fin')}
+UNION ALL {checks('damaged', 'damaged', 'shorter')}"""
+
+
 def oracle_sql() -> dict[str, str]:
-    cols_of = lambda names: ", ".join(names)
-    from caldim import schemas
 
     q: dict[str, str] = {}
     q["date_spine"] = f"{_with(BOUNDS, _spine('spine', 'start_d', 'end_d'))}\nSELECT calendar_date FROM spine"
     q["calendar_columns"] = (
         f"{_with(BOUNDS, _spine('spine', 'start_d', 'end_d'))}\nSELECT {_calendar_select()} FROM spine"
     )
-    q["fiscal_columns"] = dim_select("calendar_date, " + cols_of(schemas.FISCAL_COLUMNS))
+    q["fiscal_columns"] = dim_select("calendar_date, " + FISCAL)
     q["day_status"] = dim_select("calendar_date, day_status")
-    q["fin_statuses"] = dim_select("calendar_date, " + cols_of(schemas.ASOF_COLUMNS[:4]))
-    q["cal_to_date_flags"] = dim_select("calendar_date, " + cols_of(schemas.ASOF_COLUMNS[4:9]))
-    q["prev_to_date_flags"] = dim_select("calendar_date, " + cols_of(schemas.ASOF_COLUMNS[9:]))
+    q["fin_statuses"] = dim_select(
+        "calendar_date, fin_year_status, fin_quarter_status, fin_period_status, fin_week_status"
+    )
+    q["cal_to_date_flags"] = dim_select(
+        "calendar_date, current_cal_wtd, current_cal_mtd, current_cal_ptd, current_cal_qtd, current_cal_ytd"
+    )
+    q["prev_to_date_flags"] = dim_select(
+        "calendar_date, previous_wk_cal_wtd, previous_yr_cal_wtd, previous_yr_cal_ptd, previous_yr_cal_qtd, "
+        "previous_yr_cal_ytd"
+    )
     q["prev_yr_wtd_generate_variant"] = dim_select(
         "calendar_date, day_status, fin_week_status, previous_yr_cal_wtd", variant="generate"
     )
     q["date_dim"] = dim_select()
-    from caldim.operators.views import DATE_VIEW_NAMES, WEEK_WTD_NAME
-
-    view_cols = ", ".join(f'{c} AS "{n}"' for c, n in DATE_VIEW_NAMES)
     q["date_dim_generate"] = dim_select(variant="generate")
-    q["lineitem_by_week_status"] = f"""{_full_dim_ctes(tables=("lineitem",))}
+    q["lineitem_by_week_status"] = f"""{_full_dim_ctes(fixed=True)}
 SELECT d.fin_week_status, count(*) AS n_rows,
        CAST(sum({MONEY.format('l.l_extendedprice')} * (1 - {MONEY.format('l.l_discount')})) AS DOUBLE) AS revenue
 FROM lineitem l LEFT JOIN dim d ON d.calendar_date = CAST(l.l_shipdate AS DATE)
 GROUP BY 1"""
-    q["orders_by_week_wtd_sql"] = f"""{_full_dim_ctes(tables=("orders",))},
+    q["orders_by_week_wtd_sql"] = f"""{_full_dim_ctes(fixed=True)},
 lab AS (SELECT calendar_date, CASE WHEN current_cal_wtd = 'YES' THEN 'WTD' WHEN previous_wk_cal_wtd = 'YES' THEN 'WTD-LW'
                                    WHEN previous_yr_cal_wtd = 'YES' THEN 'WTD-LY' END AS week_wtd FROM dim)
 SELECT week_wtd, count(*) AS n_rows, {_money_sum('o.o_totalprice', 'sales')}
 FROM orders o JOIN lab ON lab.calendar_date = CAST(o.o_orderdate AS DATE)
 WHERE week_wtd IS NOT NULL GROUP BY 1"""
-    q["date_view"] = dim_select(
-        view_cols + f""", CASE WHEN current_cal_wtd = 'YES' THEN 'WTD' WHEN previous_wk_cal_wtd = 'YES' THEN 'WTD-LW'
-        WHEN previous_yr_cal_wtd = 'YES' THEN 'WTD-LY' END AS "{WEEK_WTD_NAME}\""""
-    )
+    q["date_view"] = dim_select(DATE_VIEW)
     q["merge_upsert"] = merge_upsert_sql()
     q["merge_initial_load"] = merge_initial_load_sql()
     q["roll_dim"] = dim_select()
     q["procedures_generate_roll"] = dim_select()
+    q["procedure_audit"] = procedure_audit_sql()
+    columns = "calendar_date, week_commencing, financial_week, financial_period, financial_quarter, financial_year, financial_year_format"
+    q["fin_calendar_scan"] = f"""{_fin_only()}
+SELECT {columns}, 'csv' AS file_format FROM fin UNION ALL SELECT {columns}, 'parquet' FROM fin"""
     q["events_time_of_day"] = f"SELECT event_id, {_tod_select(SOD)} FROM events"
     q["time_of_day_event_counts"] = f"""
 WITH d AS (SELECT {_tod_select('CAST(range AS INTEGER)')} FROM range(86400)),
      e AS (SELECT CAST({SOD} + 1 AS INTEGER) AS k, count(*) AS event_count FROM events GROUP BY 1)
 SELECT d.*, CAST(coalesce(e.event_count, 0) AS BIGINT) AS event_count
 FROM d LEFT JOIN e ON d.time_of_day_key = e.k"""
+    q["time_of_day_ctas"] = q["time_of_day_event_counts"].replace(
+        "SELECT d.*,", f"SELECT d.*, {_ts(C.TS_MERGE)} AS last_update_date,"
+    )
     q["time_of_day_view"] = f"""
 SELECT serving_time AS "Day-Part", interval_01_hour AS "Interval 01 Hour", count(*) AS "Events"
 FROM (SELECT {_tod_select(SOD)} FROM events) x GROUP BY 1, 2"""
     q["events_by_daypart_sql"] = f"""
 SELECT serving_time AS day_part, interval_30_min, count(*) AS n_rows,
        CAST(sum({MONEY.format('value')}) AS DOUBLE) AS value_sum
-FROM (SELECT value, {_tod_select(SOD)} FROM events WHERE ts IS NOT NULL) x GROUP BY 1, 2"""
+FROM (SELECT value, {_tod_select(SOD)} FROM events) x GROUP BY 1, 2"""
     q["events_daypart"] = f"""
 WITH parts(daypart) AS (VALUES ('BREAKFAST'), ('LUNCH'), ('AFTERNOON'), ('DINNER'), ('LATE NIGHT'), ('OTHER')),
      agg AS (SELECT serving_time AS daypart, count(*) AS n_rows, sum({MONEY.format('value')}) AS value_sum
@@ -390,13 +479,14 @@ SELECT s.interval, CAST(coalesce(a.n_rows, 0) AS BIGINT) AS n_rows, CAST(coalesc
 FROM slots s LEFT JOIN agg a ON a.interval = s.interval
 UNION ALL SELECT interval, n_rows, CAST(value_sum AS DOUBLE) FROM agg WHERE interval IS NULL"""
     q["orders_period_to_date"] = orders_period_to_date_sql()
-    q["orders_by_fin_period"] = f"""{_fin_only(("orders",))}
+    q["orders_by_fin_period"] = f"""{_fin_only(fixed=True)}
 SELECT f.financial_year AS fin_year, f.financial_period AS fin_period, count(*) AS n_rows,
        {_money_sum('o.o_totalprice', 'sales')}
 FROM orders o LEFT JOIN fin f ON f.calendar_date = CAST(o.o_orderdate AS DATE)
 GROUP BY 1, 2"""
-    q["orders_fiscal_attributes"] = f"""{_with(_bounds(("orders",)), _spine('spine', 'start_d', 'end_d'), FIN, _base('spine', 'base'))}
-SELECT o.o_orderkey, {cols_of('b.' + c for c in schemas.FISCAL_COLUMNS)}
+    q["orders_fiscal_attributes"] = f"""{_with(_bounds(fixed=True), _spine('spine', 'start_d', 'end_d'), FIN, _base('spine', 'base'))}
+SELECT o.o_orderkey, {", ".join("b." + c.strip() for c in FISCAL.split(",") if "yearhalf" not in c)},
+  coalesce(b.fin_yearhalf, 2) AS fin_yearhalf
 FROM orders o LEFT JOIN base b ON b.calendar_date = CAST(o.o_orderdate AS DATE)"""
     q["lineitem_calendar_rollup"] = f"""
 SELECT CAST(year(d) AS INTEGER) AS cal_year,
@@ -409,32 +499,41 @@ FROM (SELECT CAST(l_shipdate AS DATE) AS d, * FROM lineitem) x GROUP BY 1, 2, 3"
         f"SELECT l_orderkey, l_linenumber, {_calendar_select('d').replace('d AS calendar_date,', '')} "
         "FROM (SELECT CAST(l_shipdate AS DATE) AS d, * FROM lineitem) x"
     )
-    q["dim_quality_checks"] = f"""{_full_dim_ctes()}
-SELECT 'duplicate_dates' AS check_name, (SELECT count(*) FROM (SELECT calendar_date FROM dim GROUP BY 1 HAVING count(*) > 1) z) AS failures
-UNION ALL SELECT 'missing_dates', (SELECT count(*) FROM spine WHERE calendar_date NOT IN (SELECT calendar_date FROM dim))
-UNION ALL SELECT 'dates_without_fin_row', (SELECT count(*) FROM dim WHERE calendar_date NOT IN (SELECT calendar_date FROM fin))
-UNION ALL SELECT 'fact_dates_outside_dim:o_orderdate', (SELECT count(DISTINCT CAST(o_orderdate AS DATE)) FROM orders
-    WHERE CAST(o_orderdate AS DATE) NOT IN (SELECT calendar_date FROM dim))
-UNION ALL SELECT 'fact_dates_outside_dim:l_shipdate', (SELECT count(DISTINCT CAST(l_shipdate AS DATE)) FROM lineitem
-    WHERE CAST(l_shipdate AS DATE) NOT IN (SELECT calendar_date FROM dim))"""
-    q["audit_log"] = f"""
-SELECT CAST(1 AS BIGINT) AS audit_key, '{C.STEP_PROCEDURE}' AS procedure_name, 'count lineitem' AS sql_step,
-       'row_count: ' || CAST(count(*) AS VARCHAR) AS step_result, CAST(NULL AS VARCHAR) AS schema_name,
-       CAST(NULL AS VARCHAR) AS table_name FROM lineitem
-UNION ALL
-SELECT CAST(2 AS BIGINT), '{C.STEP_PROCEDURE}', 'count orders', 'row_count: ' || CAST(count(*) AS VARCHAR),
-       CAST(NULL AS VARCHAR), CAST(NULL AS VARCHAR) FROM orders"""
-    q["error_log"] = f"""
-SELECT CAST(1 AS BIGINT) AS error_key, '{C.STEP_PROCEDURE}' AS procedure_name, 'cast priority' AS sql_step,
-       'CAST_INVALID_INPUT' AS error_code, '22018' AS error_state
+    q["dim_quality_checks"] = quality_sql()
+
+    def audit(key: int, step: str, result: str, source: str) -> str:
+        return f"""
+SELECT CAST({key} AS BIGINT) AS audit_key, '{C.STEP_PROCEDURE}' AS procedure_name, '{step}' AS sql_step,
+       {result} AS step_result, CAST(NULL AS VARCHAR) AS schema_name, CAST(NULL AS VARCHAR) AS table_name,
+       {_ts(C.TS_MERGE)} AS audit_timestamp FROM {source}"""
+
+    q["audit_log"] = " UNION ALL ".join(
+        (
+            audit(1, "count lineitem", "'row_count: ' || CAST(count(*) AS VARCHAR)", "lineitem"),
+            audit(2, "count orders", "'row_count: ' || CAST(count(*) AS VARCHAR)", "orders"),
+            audit(3, "first order", "'first_order: ' || CAST(min(l_orderkey) AS VARCHAR)", "lineitem"),
+        )
+    )
+
+    def error(key: int, step: str, value: str) -> str:
+        return f"""
+SELECT CAST({key} AS BIGINT) AS error_key, '{C.STEP_PROCEDURE}' AS procedure_name, '{step}' AS sql_step,
+       'CAST_INVALID_INPUT' AS error_code, {value} AS bad_value, '22018' AS error_state,
+       {_ts(C.TS_MERGE)} AS error_timestamp
 FROM (SELECT count(*) AS n FROM orders WHERE TRY_CAST(o_orderpriority AS INTEGER) IS NULL) x WHERE n > 0"""
-    hwm = _ts(C.HWM_FIRST_LOAD)
+
+    q["error_log"] = error(1, "cast priority", "(SELECT chr(39) || max(o_orderpriority) || chr(39) FROM orders)") + " UNION ALL " + error(2, "cast last row", "chr(39) || 'last' || chr(39)")
+    lo, hi, loaded = _ts(C.HWM_FIRST_LOAD), _ts(C.HWM_LAST_LOAD), _ts(C.TS_MERGE)
     q["process_date_increment"] = f"""
-WITH first AS (SELECT max(o_orderdate) AS hwm, count(*) AS n FROM orders WHERE o_orderdate <= {hwm})
-SELECT 'orders' AS table_name, 'tpch' AS schema_name, hwm AS last_process_date, n AS last_process_rowcount, 'NZ' AS country FROM first
-UNION ALL
-SELECT 'orders', 'tpch', coalesce(max(o_orderdate), (SELECT hwm FROM first)), count(*), 'NZ'
-FROM orders WHERE o_orderdate > (SELECT hwm FROM first)"""
+WITH n AS (
+  SELECT count_if(o_orderdate < {lo}) AS before, count_if(o_orderdate >= {lo} AND o_orderdate < {hi}) AS later,
+         count_if(o_orderdate < {hi} AND (o_orderdate <> {lo} OR o_orderkey % 2 = 0)) AS other
+  FROM orders)
+SELECT schema_name, 'orders' AS table_name, last_process_date, last_process_rowcount, {loaded} AS last_update_date,
+       'NZ' AS country, rows_in_target
+FROM (SELECT 'tpch' AS schema_name, {lo} AS last_process_date, before AS last_process_rowcount, before + later AS rows_in_target FROM n
+      UNION ALL SELECT 'other', {hi}, other, other FROM n
+      UNION ALL SELECT 'tpch', {hi}, later, before + later FROM n) x"""
     q["events_stream_daypart"] = f"""
 SELECT window_start, window_start + INTERVAL 30 MINUTE AS window_end, daypart, count(*) AS events,
        CAST(sum({MONEY.format('value')}) AS DOUBLE) AS value_sum

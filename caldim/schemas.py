@@ -16,7 +16,7 @@ FIN_CALENDAR = T.StructType(
     ]
 )
 
-# Date dimension: 47 columns. STAGE_COLUMNS (46) lack DATE_KEY, which is
+# Column names of the date dimension. 47 columns. STAGE_COLUMNS (46) lack DATE_KEY, which is
 # assigned when a row is first inserted.
 CALENDAR_COLUMNS = [
     "date_desc",

@@ -51,7 +51,9 @@ def apply_conf(spark: SparkSession) -> None:
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only where none is configured (local tests) is one created here."""
+    Only on a ``local`` master (tests), where driver and executors are one
+    process, is one created here if none is configured; anywhere else the
+    executors could not read what others wrote to it, so that raises."""
     d = spark.conf.get("spark.checkpoint.dir", None)
     sc = None
     try:
@@ -60,6 +62,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     except Exception:  # noqa: BLE001 - no SparkContext on a Spark Connect client
         sc = None
     if not d:
+        if spark.conf.get("spark.master", "").split("[")[0] != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         d = tempfile.mkdtemp(prefix="caldim-ckpt-")
         if sc is not None:
             sc.setCheckpointDir(d)

@@ -1,7 +1,8 @@
 """Audit, error and process-date tables: append-only parquet datasets.
 
 The surrogate keys (AUDIT_KEY, ERROR_KEY) are assigned by the single writer
-as max(key) + 1; the tables hold a few rows per job run.
+as max(key) + 1; the tables hold a few rows per job run. A procedure hands
+over all its audit rows at once: one read of the highest key, one append.
 """
 
 from __future__ import annotations
@@ -16,8 +17,9 @@ from caldim import schemas
 from caldim.sources.store import _missing, path_exists
 
 
-def now() -> dt.datetime:
-    return dt.datetime.now().replace(tzinfo=None)
+def utc_now() -> dt.datetime:
+    """The wall clock in UTC, as every other time of the library."""
+    return dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
 
 
 class LogTables:
@@ -50,8 +52,8 @@ class LogTables:
     def _next_key(self, df: DataFrame, key: str) -> int:
         return (df.agg(F.max(key)).first()[0] or 0) + 1
 
-    def _append(self, path: str, schema, row: tuple) -> None:
-        self.spark.createDataFrame([row], schema).coalesce(1).write.mode("append").parquet(path)
+    def _append(self, path: str, schema, *rows: tuple) -> None:
+        self.spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(path)
 
     def log_audit(
         self,
@@ -62,10 +64,20 @@ class LogTables:
         table_name: str | None = None,
         ts: dt.datetime | None = None,
     ) -> int:
-        key = self._next_key(self.audit(), "audit_key")
-        self._append(
-            self.audit_path, schemas.AUDIT, (key, procedure, step, result, schema_name, table_name, ts or now())
-        )
+        return self.log_audits(procedure, [(step, result)], schema_name, table_name, ts)
+
+    def log_audits(
+        self,
+        procedure: str,
+        steps: list[tuple[str, str]],
+        schema_name: str | None = None,
+        table_name: str | None = None,
+        ts: dt.datetime | None = None,
+    ) -> int:
+        """Audit rows of (step, result) pairs, in order; the first one's key."""
+        key, ts = self._next_key(self.audit(), "audit_key"), ts or utc_now()
+        rows = [(key + k, procedure, step, result, schema_name, table_name, ts) for k, (step, result) in enumerate(steps)]
+        self._append(self.audit_path, schemas.AUDIT, *rows)
         return key
 
     def log_error(
@@ -80,7 +92,7 @@ class LogTables:
     ) -> int:
         key = self._next_key(self.errors(), "error_key")
         self._append(
-            self.error_path, schemas.ERROR, (key, procedure, step, code, message, state, stack, ts or now())
+            self.error_path, schemas.ERROR, (key, procedure, step, code, message, state, stack, ts or utc_now())
         )
         return key
 
@@ -96,14 +108,15 @@ class LogTables:
         self._append(
             self.process_date_path,
             schemas.PROCESS_DATE,
-            (table_name, schema_name, last_process_date, rowcount, ts or now(), country),
+            (table_name, schema_name, last_process_date, rowcount, ts or utc_now(), country),
         )
 
     def last_process_date(self, table_name: str, schema_name: str | None = None, country: str | None = None):
-        """High-water mark of a table: the latest last_process_date logged."""
-        df = self.process_dates().where(F.col("table_name") == table_name)
-        if schema_name is not None:
-            df = df.where(F.col("schema_name") == schema_name)
-        if country is not None:
-            df = df.where(F.col("country") == country)
+        """High-water mark of a table: the latest last_process_date logged for
+        exactly this schema and country, where none is a value of its own."""
+        df = self.process_dates().where(
+            (F.col("table_name") == table_name)
+            & F.col("schema_name").eqNullSafe(F.lit(schema_name))
+            & F.col("country").eqNullSafe(F.lit(country))
+        )
         return df.agg(F.max("last_process_date")).first()[0]

@@ -3,7 +3,7 @@
 Layout under a table folder:
 
     <path>/v=<n>-<id>/   one write attempt of version n, written once
-    <path>/_commits/     append-only JSON log, one record per committed version
+    <path>/_commits/     one JSON record per committed version
 
 A writer computes version n+1 from version n, writes it to a folder of its
 own and only then appends the commit record naming that folder, so a reader
@@ -11,9 +11,9 @@ own and only then appends the commit record naming that folder, so a reader
 version, a failed or interrupted write leaves version n current (its folder
 is simply never committed), and no committed folder is ever overwritten.
 Before committing, the writer checks that version n is still the current
-one and raises ``ConcurrentCommit`` otherwise. The check and the append are
-not one atomic step: tables with several simultaneous writers need a
-transactional table format; one writer per table is assumed here. A failed
+one, and the record of version n+1 is one file created without overwrite:
+of two writers the file system lets one create it, and the other raises
+``ConcurrentCommit``. A failed
 or refused attempt leaves its folder uncommitted; readers never see it, and
 storage lifecycle rules may remove folders absent from the commit log.
 """
@@ -21,8 +21,10 @@ storage lifecycle rules may remove folders absent from the commit log.
 from __future__ import annotations
 
 import datetime as dt
+import json
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -60,6 +62,31 @@ def path_exists(spark: SparkSession, path: str) -> bool | None:
         return None
 
 
+def single_file(spark: SparkSession, path: str) -> str | None:
+    """The full path if ``path`` names one file; None for a folder or a glob."""
+    if any(ch in path for ch in "*?["):
+        return None
+    jpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return fs.makeQualified(jpath).toString() if fs.exists(jpath) and fs.getFileStatus(jpath).isFile() else None
+
+
+def _create(spark: SparkSession, path: str, text: str) -> bool:
+    """Create a file with ``text``; False if it was there already."""
+    jpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs.mkdirs(jpath.getParent())
+    try:
+        out = fs.create(jpath, False)
+    except Py4JJavaError as e:
+        if "AlreadyExists" in e.java_exception.getClass().getName() or fs.exists(jpath):
+            return False
+        raise
+    out.write(bytearray(text, "utf-8"))
+    out.close()
+    return True
+
+
 class VersionedTable:
     def __init__(self, spark: SparkSession, path: str):
         self.spark = spark
@@ -118,8 +145,8 @@ class VersionedTable:
             f"{self.path}/{folder}"
         )
         rows = obs.get[row_count_name]
-        if self.current_version() != cur:
+        at = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None).isoformat()
+        record = json.dumps({"version": n, "folder": folder, "rows": rows, "committed_at": at})
+        if self.current_version() != cur or not _create(self.spark, f"{self.path}/_commits/{n:020d}.json", record):
             raise ConcurrentCommit(f"{self.path}: version {n} was committed by another writer")
-        commit = self.spark.createDataFrame([(n, folder, rows, dt.datetime.now().isoformat())], COMMIT_SCHEMA)
-        commit.coalesce(1).write.mode("append").json(f"{self.path}/_commits")
         return n, rows

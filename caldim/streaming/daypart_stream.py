@@ -11,9 +11,6 @@ State is bounded by the watermark: windows older than it are dropped.
 
 from __future__ import annotations
 
-import os
-import re
-
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -21,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from caldim.functions import timeofday as tod
+from caldim.sources.store import single_file
 
 
 def daypart_windows(stream: DataFrame, ts_col: str, window: str, watermark: str, value_col: str | None) -> DataFrame:
@@ -48,17 +46,6 @@ def daypart_windows(stream: DataFrame, ts_col: str, window: str, watermark: str,
     )
 
 
-def _is_single_file(source_path: str, files: list[str]) -> bool:
-    """True when ``source_path`` names one data file (not a folder or glob)."""
-    if len(files) != 1 or any(ch in source_path for ch in "*?["):
-        return False
-    src = source_path.rstrip("/")
-    if "://" not in src and not src.startswith("file:"):
-        src = os.path.abspath(src)
-    strip = lambda p: re.sub(r"^file:(//)?", "", p)
-    return strip(files[0]) == strip(src)
-
-
 def start_daypart_stream(
     spark: SparkSession,
     source_path: str,
@@ -70,18 +57,15 @@ def start_daypart_stream(
     watermark: str = "1 hour",
     available_now: bool = True,
     max_files_per_trigger: int | None = None,
+    schema: T.StructType | None = None,
 ) -> StreamingQuery:
     """Start the stream over the parquet files at ``source_path``: a folder
     (or glob), or one file (then its folder is watched for files of that
-    name)."""
-    batch = spark.read.parquet(source_path)
-    schema = batch.schema
-    reader = spark.readStream.schema(schema)
-    if _is_single_file(source_path, batch.inputFiles()):
-        src = source_path.rstrip("/")
-        if "://" not in src and not src.startswith("file:"):
-            src = os.path.abspath(src)
-        folder, _, name = src.rpartition("/")
+    name). Without ``schema`` it is read from a file's footer."""
+    reader = spark.readStream.schema(schema or spark.read.parquet(source_path).schema)
+    file = single_file(spark, source_path)
+    if file:
+        folder, _, name = file.rpartition("/")
         reader = reader.option("pathGlobFilter", name)
         source_path = folder
     if max_files_per_trigger:
@@ -91,8 +75,10 @@ def start_daypart_stream(
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         # A batch updates at most (windows it touches x 6 dayparts) rows, so
         # one file per batch instead of one per state partition (200 by
-        # default on a cluster) keeps the sink free of small files.
-        batch.coalesce(1).write.mode("overwrite").parquet(f"{out_path}/batch_id={batch_id}")
+        # default on a cluster) keeps the sink free of small files. The
+        # changed rows are shuffled to it: coalesce(1) would pull the state
+        # update of all partitions into that one task as well.
+        batch.repartition(1).write.mode("overwrite").parquet(f"{out_path}/batch_id={batch_id}")
 
     w = windows.writeStream.outputMode("update").foreachBatch(write_batch).option("checkpointLocation", checkpoint_path)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")

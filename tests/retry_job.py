@@ -51,7 +51,7 @@ out["read"] = t.read().count()
 out["distinct"] = t.read().select("o_orderkey").distinct().count()
 
 logs = LogTables(spark, root)
-n, _ = facts.incremental_load(spark, logs, flaky(orders), "o_orderdate", f"{root}/inc", "orders")
+n, _, _ = facts.incremental_load(spark, logs, flaky(orders), "o_orderdate", f"{root}/inc", "orders")
 out["incremental"] = n
 out["incremental_read"] = spark.read.parquet(f"{root}/inc").count()
 

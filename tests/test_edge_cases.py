@@ -17,10 +17,10 @@ from conftest import SF001
 def test_incremental_load_on_a_date_column(spark, scratch):
     logs = LogTables(spark, scratch)
     src = read_table(spark, SF001, "orders", "o_orderkey", "o_orderdate").withColumn("d", F.to_date("o_orderdate"))
-    n1, h1 = facts.incremental_load(spark, logs, src, "d", f"{scratch}/o", "orders", upper=dt.datetime(1998, 1, 1))
-    n2, _ = facts.incremental_load(spark, logs, src, "d", f"{scratch}/o", "orders")
+    n1, h1, _ = facts.incremental_load(spark, logs, src, "d", f"{scratch}/o", "orders", upper=dt.datetime(1998, 1, 1))
+    n2, h2, _ = facts.incremental_load(spark, logs, src, "d", f"{scratch}/o", "orders")
     assert n1 + n2 == src.count() and h1 == dt.datetime(1998, 1, 1)
-    assert logs.last_process_date("orders") == dt.datetime(2001, 8, 1)
+    assert logs.last_process_date("orders") == h2 > dt.datetime(2001, 8, 1)
 
 
 def test_stream_over_a_folder_named_like_a_file(spark, scratch):
@@ -73,13 +73,13 @@ def test_profiles_keep_rows_without_time(spark):
 def test_stream_source_given_as_a_relative_file(spark, scratch):
     import os
 
-    from caldim.streaming.daypart_stream import _is_single_file
+    from caldim.sources.store import single_file
 
     rel = os.path.relpath(f"{SF001}/events.parquet")  # relative to the (shared) working folder
-    files = spark.read.parquet(rel).inputFiles()
-    assert _is_single_file(rel, files) and _is_single_file("./" + rel, files)
-    assert not _is_single_file(SF001, files * 2)
-    assert not _is_single_file(f"{SF001}/*.parquet", files)
+    full = f"file:{SF001}/events.parquet"
+    assert single_file(spark, rel) == single_file(spark, "./" + rel) == single_file(spark, full) == full
+    assert single_file(spark, SF001) is None and single_file(spark, f"{SF001}/*.parquet") is None
+    assert single_file(spark, f"{SF001}/missing.parquet") is None
 
 
 def test_reading_an_uncommitted_version_fails(spark, scratch):
@@ -96,8 +96,8 @@ def test_reading_an_uncommitted_version_fails(spark, scratch):
 def test_empty_increment_returns_the_previous_mark(spark, scratch):
     logs = LogTables(spark, scratch)
     src = read_table(spark, SF001, "orders", "o_orderkey", "o_orderdate")
-    _, h1 = facts.incremental_load(spark, logs, src, "o_orderdate", f"{scratch}/o", "orders")
-    n2, h2 = facts.incremental_load(spark, logs, src, "o_orderdate", f"{scratch}/o", "orders")
+    _, h1, _ = facts.incremental_load(spark, logs, src, "o_orderdate", f"{scratch}/o", "orders")
+    n2, h2, _ = facts.incremental_load(spark, logs, src, "o_orderdate", f"{scratch}/o", "orders")
     assert n2 == 0 and h2 == h1 == logs.last_process_date("orders")
 
 

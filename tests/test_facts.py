@@ -71,27 +71,72 @@ def test_by_fiscal_period_sums_to_total(spark, fin):
     assert out.where(F.col("fin_year").isNull()).count() == 0
 
 
+def test_period_to_date_groups_need_a_flagged_row(spark, dim):
+    """Which groups appear does not depend on where the scan is cut."""
+    rows = [("flagged", dt.datetime(1998, 3, 1)), ("between", dt.datetime(1997, 12, 1)), ("before", dt.datetime(1996, 1, 1)),
+            ("outside", dt.datetime(2050, 1, 1)), ("none", None)]
+    df = spark.createDataFrame(rows, "g string, t timestamp_ntz")
+    got = {r["g"]: r["ytd_rows"] for r in facts.period_to_date(df, "t", {}, dim, by=["g"]).collect()}
+    assert got == {"flagged": 1}
+
+
+def _load(spark, logs, rows, path, upper, schema_name=None, country=None):
+    src = spark.createDataFrame([(i, t and dt.datetime.fromisoformat(t)) for i, t in rows], "i int, t timestamp_ntz")
+    upper = upper and dt.datetime.fromisoformat(upper)
+    got = facts.incremental_load(spark, logs, src, "t", path, "u", schema_name, country, upper=upper)
+    return got.rows, got.rows_without_time
+
+
 def test_incremental_load(spark, scratch):
     logs = LogTables(spark, scratch)
     src = read_table(spark, SF001, "orders")
-    n1, h1 = facts.incremental_load(spark, logs, src, "o_orderdate", f"{scratch}/o", "orders",
-                                    upper=dt.datetime(1998, 1, 1))
-    n2, h2 = facts.incremental_load(spark, logs, src, "o_orderdate", f"{scratch}/o", "orders")
-    n3, _ = facts.incremental_load(spark, logs, src, "o_orderdate", f"{scratch}/o", "orders")
-    assert n1 + n2 == src.count() and n3 == 0
+    day = dt.datetime(1998, 1, 1)
+    a = facts.incremental_load(spark, logs, src, "o_orderdate", f"{scratch}/o", "orders", upper=day)
+    b = facts.incremental_load(spark, logs, src, "o_orderdate", f"{scratch}/o", "orders")
+    c = facts.incremental_load(spark, logs, src, "o_orderdate", f"{scratch}/o", "orders")
+    assert a.rows == src.where(F.col("o_orderdate") < F.lit(day)).count() and a.mark == day
+    assert a.rows + b.rows == src.count() and c.rows == 0 and b.rows_without_time == 0
     assert spark.read.parquet(f"{scratch}/o").count() == src.count()
-    assert logs.last_process_date("orders") == h2 == src.agg(F.max("o_orderdate")).first()[0]
-    assert h1 < h2
+    # every closed day is loaded: the mark is the midnight before the load
+    assert logs.last_process_date("orders") == b.mark == c.mark > src.agg(F.max("o_orderdate")).first()[0]
+
+
+def test_rows_of_the_marks_own_day_are_loaded_late(spark, scratch):
+    logs, path = LogTables(spark, scratch), f"{scratch}/o"
+    rows = [(1, "2020-01-01"), (2, "2020-01-02")]
+    assert _load(spark, logs, rows, path, "2020-01-02") == (1, 0)
+    rows += [(3, "2020-01-02"), (4, "2020-01-02T12:00:00"), (5, "2020-01-03")]
+    assert _load(spark, logs, rows, path, "2020-01-03") == (3, 0)
+    assert _load(spark, logs, rows, path, "2020-01-01") == (0, 0)  # behind the mark: nothing, and the mark stays
+    assert _load(spark, logs, rows, path, None) == (1, 0)
+    assert sorted(r["i"] for r in spark.read.parquet(path).collect()) == [1, 2, 3, 4, 5]
+
+
+def test_rows_without_a_time_are_kept_and_counted(spark, scratch):
+    logs, path = LogTables(spark, scratch), f"{scratch}/o"
+    rows = [(1, "2020-01-01"), (2, None)]
+    assert _load(spark, logs, rows, path, "2020-01-02") == (1, 1)
+    assert _load(spark, logs, [*rows, (3, None)], path, "2020-01-03") == (0, 2)
+    assert sorted(r["i"] for r in spark.read.parquet(f"{path}_without_time").collect()) == [2, 3]
+    assert [r["step_result"] for r in logs.audit().orderBy("audit_key").collect()] == [
+        "rows without t: 1", "rows without t: 2"]
+
+
+def test_marks_belong_to_one_schema_and_country(spark, scratch):
+    logs, rows = LogTables(spark, scratch), [(1, "2020-01-01"), (2, "2020-01-02")]
+    for k, (schema_name, country) in enumerate([("A", "NZ"), (None, None), ("A", None), ("B", "NZ")]):
+        assert _load(spark, logs, rows, f"{scratch}/o{k}", "2021-01-01", schema_name, country) == (2, 0)
+    assert _load(spark, logs, rows, f"{scratch}/o1", "2021-01-01") == (0, 0)
 
 
 def test_dimension_checks_find_faults(spark, fin, dim):
     orders = read_table(spark, SF001, "orders", "o_orderdate")
-    clean = {r[0]: r[1] for r in facts.dimension_checks(spark, dim, fin, [(orders, "o_orderdate")]).collect()}
+    clean = {r[0]: r[1] for r in facts.dimension_checks(dim, fin, [(orders, "o_orderdate")]).collect()}
     assert set(clean.values()) == {0}
     broken = dim.where(F.col("calendar_date") != dt.date(1996, 5, 5)).unionByName(
         dim.where(F.col("calendar_date") == dt.date(1997, 2, 2)))
     fin_part = fin.where(F.col("calendar_date") != dt.date(1999, 9, 9))
-    got = {r[0]: r[1] for r in facts.dimension_checks(spark, broken, fin_part, [(orders, "o_orderdate")]).collect()}
+    got = {r[0]: r[1] for r in facts.dimension_checks(broken, fin_part, [(orders, "o_orderdate")]).collect()}
     assert got["duplicate_dates"] == 1 and got["missing_dates"] == 1 and got["dates_without_fin_row"] == 1
     missing_orders_day = orders.where(cal.as_date("o_orderdate") == dt.date(1996, 5, 5)).count()
     assert got["fact_dates_outside_dim:o_orderdate"] == (1 if missing_orders_day else 0)

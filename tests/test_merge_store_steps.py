@@ -105,10 +105,16 @@ def test_procedures_generate_then_roll(spark, fin, scratch):
     assert dim.count() == 2922 and dim.columns == schemas.DIM_DATE_COLUMNS
     assert dim.where(F.col("day_status") == "Today").first()["calendar_date"] == dt.date(1998, 7, 15)
     audit = logs.audit().orderBy("audit_key").collect()
-    assert [r["step_result"] for r in audit] == [
-        f"number of rows inserted: {(dt.date(1999, 1, 1) - START).days}", "number of rows inserted: 2922",
-        "number of rows inserted: 2922"]
-    assert [r["audit_key"] for r in audit] == [1, 2, 3]
+    first, second = (dt.date(1999, 1, 1) - START).days, (END - dt.date(1998, 1, 1)).days
+    staged = ["insert date spine", "insert calendar", "insert financial calendar", "insert joined", "insert stage"]
+    want = [(s, f"number of rows inserted: {first}") for s in staged]
+    want += [("truncate dim_date", "number of rows deleted: 0"),
+             ("merge into dim_date", f"number of rows inserted: {first}, number of rows updated: 0")]
+    want += [(s, f"number of rows inserted: {second}") for s in staged]
+    want += [("merge into dim_date", f"number of rows inserted: {2922 - first}, number of rows updated: 365"),
+             ("update dim_date", "number of rows updated: 2922")]
+    assert [(r["sql_step"], r["step_result"]) for r in audit] == want
+    assert [r["audit_key"] for r in audit] == list(range(1, len(want) + 1))
 
 
 def test_roll_failure_is_logged_and_raised(spark, fin, scratch):
@@ -130,12 +136,17 @@ def test_run_step_cases(spark, scratch):
     assert msg.startswith("runtime failed:")
     msg = run_step(spark, logs, "P", "empty", "SELECT id FROM range(0)")
     assert msg.startswith("empty failed:")
+    # the whole statement runs: an error in its last partition, or in another column, is an error
+    late = spark.range(0, 100, 1, 10).select(F.col("id"), F.when(F.col("id") == 99, "x").otherwise("1").cast("int").alias("v"))
+    assert run_step(spark, logs, "P", "late", late).startswith("late failed:")
+    assert run_step(spark, logs, "P", "first", "SELECT id, id AS id FROM range(0, 100, 1, 10) ORDER BY 1 DESC") == "id: 99"
     errs = {r["sql_step"]: r for r in logs.errors().collect()}
+    assert errs.pop("late")["error_code"] == "CAST_INVALID_INPUT"
     assert errs["analysis"]["error_code"] == "UNRESOLVED_COLUMN.WITH_SUGGESTION"
     assert errs["runtime"]["error_code"] == "CAST_INVALID_INPUT" and errs["runtime"]["error_state"] == "22018"
     assert errs["empty"]["error_code"] == "EmptyResult"
     assert sorted(r["error_key"] for r in errs.values()) == [1, 2, 3]
-    assert logs.audit().count() == 1
+    assert logs.audit().count() == 2
 
 
 def test_generate_failure_is_logged_and_raised(spark, fin, scratch):
@@ -158,7 +169,8 @@ def test_command_line(spark, fin, scratch):
     dim = VersionedTable(spark, f"{scratch}/dim_date")
     assert dim.current_version() == 2 and dim.read().count() == 2922
     assert VersionedTable(spark, f"{scratch}/dim_time_of_day").read().count() == 86_400
-    assert LogTables(spark, f"{scratch}/logs").audit().count() == 3
+    steps = [r["sql_step"] for r in LogTables(spark, f"{scratch}/logs").audit().collect()]
+    assert len(steps) == 9 and {"merge into dim_date", "update dim_date", "create dim_time_of_day"} <= set(steps)
 
 
 def test_interrupted_write_keeps_current_version(spark, scratch):
@@ -195,6 +207,45 @@ def test_concurrent_commit_is_refused(spark, scratch):
     assert t.current_version() == 2 and t.read().count() == 4
 
 
+def test_commit_record_is_never_overwritten(spark, scratch):
+    """Two writers that both saw version 1 as current: one commits version 2."""
+    from caldim.sources.store import ConcurrentCommit
+
+    class Stale(VersionedTable):
+        def current_version(self):
+            return 1
+
+    t = VersionedTable(spark, f"{scratch}/t")
+    t.write(spark.range(3))
+    t.write(spark.range(4))
+    with pytest.raises(ConcurrentCommit):
+        Stale(spark, f"{scratch}/t").write(spark.range(5))
+    assert t.current_version() == 2 and t.read().count() == 4
+
+
+def test_work_folder_needs_a_shared_place_on_a_cluster(spark, monkeypatch):
+    from caldim import session
+
+    class Conf:
+        def __init__(self, master):
+            self.master = master
+
+        def get(self, key, default=None):
+            return self.master if key == "spark.master" else default
+
+        def set(self, key, value):
+            pass
+
+    class Session:
+        def __init__(self, master):
+            self.conf = Conf(master)
+
+    for master in ("spark://host:7077", "yarn", "local-cluster[2,1,1024]"):
+        with pytest.raises(RuntimeError):
+            session.checkpoint_dir(Session(master))
+    assert session.checkpoint_dir(Session("local[2]"))
+
+
 def test_command_line_step(spark, scratch):
     from caldim.__main__ import main
 

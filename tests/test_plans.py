@@ -44,7 +44,8 @@ def test_dimension_builds_from_range_without_shuffle(spark):
 def test_no_python_udf_anywhere(spark):
     for name, q in catalog.QUERIES.items():
         if name in ("audit_log", "error_log", "process_date_increment", "events_stream_daypart",
-                    "procedures_generate_roll"):
+                    "procedures_generate_roll", "merge_initial_load", "procedure_audit", "fin_calendar_scan",
+                    "time_of_day_ctas"):
             continue  # these run side effects when built
         p = _plan(q(spark, SF001))
         assert "BatchEvalPython" not in p and "ArrowEvalPython" not in p, name
@@ -78,7 +79,8 @@ def test_each_fact_table_is_scanned_once(spark):
     import re
 
     side_effects = ("audit_log", "error_log", "process_date_increment", "events_stream_daypart",
-                    "procedures_generate_roll")
+                    "procedures_generate_roll", "merge_initial_load", "procedure_audit", "fin_calendar_scan",
+                    "time_of_day_ctas", "dim_quality_checks")  # the last reads its facts for two dimensions
     for name, q in catalog.QUERIES.items():
         if name in side_effects:
             continue
@@ -87,6 +89,35 @@ def test_each_fact_table_is_scanned_once(spark):
         assert len(tables) == len(set(tables)), (name, tables)
 
 
+def test_fact_queries_do_not_scan_facts_for_the_span(spark, monkeypatch):
+    """Queries that join facts to the dimension take its span as a parameter."""
+    def no_scan(*_):
+        raise AssertionError("a fact was scanned for its dates")
+
+    monkeypatch.setattr(catalog, "fact_date_span", no_scan)
+    for q in (catalog.orders_period_to_date_q, catalog.orders_by_fin_period_q, catalog.orders_fiscal_attributes_q,
+              catalog.orders_by_week_wtd_sql_q, catalog.lineitem_by_week_status_q, catalog.lineitem_date_attributes_q):
+        q(spark, SF001)
+
+
+def test_week_wtd_sql_pushes_the_range_and_shuffles_daily_totals_only(spark):
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        p = _plan(catalog.orders_by_week_wtd_sql_q(spark, SF001))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert "GreaterThanOrEqual(o_orderdate" in p and "BroadcastHashJoin" in p
+    scan = p[: p.index("FileScan parquet")]
+    assert "partial_sum" in scan[scan.rindex("Exchange"):]  # the fact's shuffle carries partial sums
+
+
+def test_fiscal_columns_are_computed_per_day(spark):
+    p = _plan(catalog.orders_fiscal_attributes_q(spark, SF001))
+    above = p[: p.index("BroadcastHashJoin")]
+    assert "BroadcastHashJoin" in p and "substring" not in above and "concat" not in above
+
+
 def test_date_partitioned_fact_is_pruned(spark, scratch):
     import datetime as dt
 

@@ -86,6 +86,22 @@ def test_stream_equals_batch(spark, scratch):
     assert got.agg(F.sum("events")).first()[0] == ev.count()
 
 
+def test_stream_state_is_updated_in_parallel(spark, scratch):
+    """The stage that updates the state has a task for each state partition."""
+    from caldim.streaming.daypart_stream import start_daypart_stream
+
+    q = start_daypart_stream(spark, f"{SF001}/events.parquet", f"{scratch}/out", f"{scratch}/ckpt")
+    run = str(q.runId)
+    q.awaitTermination()
+    tracker = spark.sparkContext.statusTracker()
+    stages = [s for j in tracker.getJobIdsForGroup(run) for s in tracker.getJobInfo(j).stageIds]
+    tasks = [i.numTasks for s in stages if (i := tracker.getStageInfo(s))]
+    partitions = q.lastProgress["stateOperators"][0]["numShufflePartitions"]
+    assert partitions == int(spark.conf.get("spark.sql.shuffle.partitions")) > 1 and partitions in tasks
+    batch = spark.read.parquet(f"{scratch}/out/batch_id=0")
+    assert len(batch.inputFiles()) == 1
+
+
 def test_stream_micro_batches_and_late_rows(spark, scratch):
     """Events arrive as three files: two in time order, then one of rows
     older than the watermark, which the stream drops (and says so)."""
