@@ -3,8 +3,9 @@
 Runs each query on the tables at $BENCH_SF_DIR (default /root/testdata/sf0.1)
 on local[$BENCH_CPUS] (default 8), materialises the full result with the
 ``noop`` sink (every column computed, nothing collected), and prints one JSON
-line with the median of $BENCH_REPEAT runs (default 3) per query. With
-$BENCH_EVENTLOG_DIR set, Spark's event log (stage and task times) is written
+line with, per query, the median of $BENCH_REPEAT runs (default 3), the first
+run (cold: code is compiled, file listings and footers are read) and the median
+of the others (warm), and the cores used and present. With $BENCH_EVENTLOG_DIR set, Spark's event log (stage and task times) is written
 there for offline reading.
 """
 
@@ -47,6 +48,8 @@ def main() -> None:
         extra = {"spark.eventLog.enabled": "true", "spark.eventLog.dir": os.environ["BENCH_EVENTLOG_DIR"]}
     spark = build_session(f"local[{cpus}]", shuffle_partitions=cpus, app="caldim-bench", extra_conf=extra)
     times: dict[str, float | None] = {}
+    cold: dict[str, float] = {}
+    warm: dict[str, float] = {}
     failed: dict[str, str] = {}
     for name in HEADLINE:
         fn = catalog.QUERIES[name]
@@ -57,6 +60,8 @@ def main() -> None:
                 fn(spark, sf_dir).write.format("noop").mode("overwrite").save()
                 runs.append(time.perf_counter() - t)
             times[name] = round(statistics.median(runs), 3)
+            cold[name] = round(runs[0], 3)
+            warm[name] = round(statistics.median(runs[1:] or runs), 3)
         except Exception as e:  # noqa: BLE001 - one failing query must not lose the others' timings
             times[name] = None
             failed[name] = f"{type(e).__name__}: {str(e)[:200]}"
@@ -69,7 +74,11 @@ def main() -> None:
                 "unit": "sec",
                 "queries": times,
                 "sf": float(m.group(1)) if m else sf_dir,
+                "cold": cold,
+                "warm": warm,
+                "sum_warm": round(sum(warm.values()), 3),
                 "cpus": cpus,
+                "cpus_present": os.cpu_count(),
                 "repeat": repeat,
                 **({"failed": failed} if failed else {}),
             }
