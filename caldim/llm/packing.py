@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import unicodedata
 import zlib
+from array import array
 from functools import lru_cache
 
 import numpy as np
@@ -35,12 +36,23 @@ from caldim.llm.common import prepare, stored, text_of
 #: Pieces that a task packs together, on average.
 GROUP = 4096
 #: Words whose ids a worker keeps; the store is emptied when full.
-KEPT_WORDS = 400_000
+KEPT_WORDS = 200_000
 #: ASCII separators that Python splits at and the tokenizer does not. Fixed value.
 NOT_SPACE = "\x1c\x1d\x1e\x1f"
 PUNCTUATION = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 
 
+class _Words(dict):
+    """Numbers of words; a new word is handed to ``add`` for its number."""
+
+    def __init__(self, add):
+        self.add = add
+
+    def __missing__(self, word: str) -> int:
+        number = self[word] = self.add(word)
+        return number
+
+
 class WordTokenizer:
     """Ids of a text by its white-space separated words.
 
@@ -61,28 +73,32 @@ class WordTokenizer:
         self._clear()
 
     def _clear(self) -> None:
-        self.at: dict[str, int] = {}
-        self.core: dict[str, list[int]] = {}
-        self.ids: list[int] = []
-        self.starts: list[int] = [0]
-        self.frozen = (np.zeros(0, np.int64), np.zeros(0, np.uint32))
+        self.at = _Words(self._add)
+        self.core: dict[str, bytes] = {}
+        self.ids, self.starts = array("I"), array("q", [0])
+
+    def _add(self, word: str) -> int:
+        self.ids.frombytes(self._encode(word))
+        self.starts.append(len(self.ids))
+        return len(self.starts) - 2
 
-    def _letters(self, word: str) -> list[int]:
+    def _letters(self, word: str) -> bytes:
+        """Ids as bytes: plain objects, which Python's garbage collector skips."""
         got = self.core.get(word)
         if got is None:
             shown = word if word.isascii() else word.encode().decode("latin-1").translate(self.chars)
-            got = self.core[word] = [t.id for t in self.model.tokenize(shown)]
+            got = self.core[word] = array("I", [t.id for t in self.model.tokenize(shown)]).tobytes()
         return got
 
-    def _encode(self, word: str) -> list[int]:
+    def _encode(self, word: str) -> bytes:
         """Ids of one word, without any store of whole words."""
         if word.isascii() or ("Σ" not in word and unicodedata.is_normalized("NFC", word)):
             low = word.lower()
             core = low.rstrip(PUNCTUATION)
             if core.isalpha() and "<|" not in word:
                 tail = low[len(core) :]
-                return self._letters(core) + (self._letters(tail) if tail else [])
-        return self.tok.encode(word, add_special_tokens=False).ids
+                return self._letters(core) + (self._letters(tail) if tail else b"")
+        return array("I", self.tok.encode(word, add_special_tokens=False).ids).tobytes()
 
     def __call__(self, text: str) -> np.ndarray:
         if any(c in text for c in NOT_SPACE):
@@ -90,33 +106,14 @@ class WordTokenizer:
         words = text.split()
         if not words:
             return np.zeros(0, np.uint32)
-        if len(self.at) > KEPT_WORDS or len(self.core) > KEPT_WORDS:
+        if len(self.at) > KEPT_WORDS:
             self._clear()
-        at = self.at
-        index = [at.get(w, -1) for w in words]
-        if -1 in index:
-            for k, w in enumerate(words):
-                if index[k] < 0:
-                    i = at.get(w)
-                    if i is None:
-                        self.ids.extend(self._encode(w))
-                        self.starts.append(len(self.ids))
-                        i = at[w] = len(self.starts) - 2
-                    index[k] = i
-        return self._gather(np.array(index))
-
-    def _gather(self, index: np.ndarray) -> np.ndarray:
-        s, flat = self.frozen
-        if len(s) != len(self.starts):  # grown in steps, so that new words cost little
-            known = max(0, len(s))
-            s = np.concatenate((s, np.array(self.starts[known:], np.int64)))
-            flat = np.concatenate((flat, np.array(self.ids[len(flat) :], np.uint32)))
-            self.frozen = (s, flat)
+        index = np.array(list(map(self.at.__getitem__, words)))
+        s, flat = np.frombuffer(self.starts, np.int64), np.frombuffer(self.ids, np.uint32)
         first = s[index]
         n = s[index + 1] - first
         ends = np.cumsum(n)
-        take = np.arange(ends[-1]) + np.repeat(first - ends + n, n)
-        return flat[take]
+        return flat[np.arange(ends[-1]) + np.repeat(first - ends + n, n)]
 
 
 @lru_cache(1)
