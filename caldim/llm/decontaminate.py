@@ -21,7 +21,6 @@ rows; empty tables work; other columns are ignored.
 from __future__ import annotations
 
 import hashlib
-import re
 
 import numpy as np
 import pyarrow as pa
@@ -158,11 +157,6 @@ def _digest(batches):
         )
 
 
-def word_count(text: str) -> int:
-    """Words of a text by the pattern itself (for tests)."""
-    return len(re.findall(WORD.encode(), text.encode().lower()))
-
-
 def oracle_sql(size: int = 10) -> str:
     """All windows of documents joined to those of items, by their text."""
     words = f"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',

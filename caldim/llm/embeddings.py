@@ -29,7 +29,6 @@ from __future__ import annotations
 import math
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -73,14 +72,14 @@ def block_links(
     a = unit(u)
     b = a if v is None else unit(v)
     w = np.float32(WIDTH * math.sqrt(2 - 2 * limit))
-    pa_, pb = (a @ dirs).astype(np.float32), (b @ dirs).astype(np.float32)
+    on_a, on_b = (a @ dirs).astype(np.float32), (b @ dirs).astype(np.float32)
     found = []
     for s in range(0, len(a), 256):
-        rows = pa_[s : s + 256]
+        rows = on_a[s : s + 256]
         count = np.zeros((len(rows), len(b)), np.uint8)
         for k in range(projections):
-            order = np.argsort(pb[:, k], kind="stable")
-            ranked = pb[order, k]
+            order = np.argsort(on_b[:, k], kind="stable")
+            ranked = on_b[order, k]
             # the window around each query is a run of the sorted projection
             low, high = np.searchsorted(ranked, rows[:, k] - w, "left"), np.searchsorted(ranked, rows[:, k] + w, "right")
             edge = np.zeros((len(rows), len(b) + 1), np.int8)

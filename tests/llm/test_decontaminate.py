@@ -4,7 +4,7 @@ import hashlib
 import re
 
 import pytest
-from llm_fixtures import SF0001, documents  # noqa: F401
+from llm_fixtures import documents  # noqa: F401
 from pyspark.sql import functions as F
 
 from caldim.llm import decontaminate as D
