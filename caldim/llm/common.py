@@ -40,10 +40,16 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def stored(df: DataFrame, name: str) -> DataFrame:
     """The rows written as Parquet below the shared work folder and read back:
-    cuts lineage, and survives the loss of executors."""
-    path = work_dir(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    cuts lineage, and survives the loss of executors. The shuffle files of the
+    write go with its end, as nothing reads them again."""
+    spark, cleanup = df.sparkSession, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    path, before = work_dir(spark, name), spark.conf.get(cleanup, None)
+    spark.conf.set(cleanup, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.set(cleanup, before) if before is not None else spark.conf.unset(cleanup)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def text_of(col: str = "text") -> Column:

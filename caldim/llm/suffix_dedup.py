@@ -42,12 +42,12 @@ from pyspark.sql import functions as F
 from caldim.llm.common import prepare, stored, text_of, utf8
 
 #: Bytes of the substrings among which a window's minimizer is chosen.
-GRAM = 16
+GRAM = 20
 #: Minimizers with this many documents or more are listed as frequent, the most
 #: frequent first, FREQUENT_MOST of them at most (8 bytes each).
-FREQUENT, FREQUENT_MOST = 2000, 200_000
-#: Bytes that are hashed, or contexts that are sorted, at once.
-SLICE = 1 << 20
+FREQUENT, FREQUENT_MOST = 20_000, 200_000
+#: Bytes that are hashed, and bytes of contexts that are sorted, at once.
+SLICE, SORT = 1 << 20, 1 << 18
 NO_ID = (1 << 63) - 1
 _LOW = np.uint64((1 << 20) - 1)
 
@@ -67,6 +67,18 @@ def _join(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return x
 
 
+def _grams(h: np.ndarray) -> np.ndarray:
+    """Hashes of the GRAM-byte substrings, from those of their halves, and so on."""
+    sized, size, out, have = h, 1, None, 0
+    while True:
+        if GRAM & size:
+            out = sized if out is None else _join(sized[: len(out) - size], out[size:][: len(sized)])
+            have += size
+        if have == GRAM:
+            return out
+        sized, size = _join(sized[: len(sized) - size], sized[size:]), 2 * size
+
+
 def contexts_of(raw: np.ndarray, off: np.ndarray, length: int):
     """(document, key, first window, windows) arrays of one slice of documents:
     runs of windows with the same minimizer, places within the document."""
@@ -74,11 +86,7 @@ def contexts_of(raw: np.ndarray, off: np.ndarray, length: int):
     base, n = off[0], int(off[-1] - off[0])
     if n < length:
         return none
-    h = _BYTES[raw[base : base + n]]
-    size = 1
-    while size < GRAM:
-        h = _join(h[: len(h) - size], h[size:])
-        size *= 2
+    h = _grams(_BYTES[raw[base : base + n]])
     doc = np.repeat(np.arange(len(off) - 1), np.diff(off))
     place = np.arange(n) - (off[:-1] - base)[doc]
     h = (h & ~_LOW) | (place[: len(h)].astype(np.uint64) & _LOW)
@@ -119,33 +127,43 @@ def suffix_ranks(s: np.ndarray, depth: int) -> np.ndarray:
     modulo 3, exact between suffixes whose first ``depth`` symbols differ:
     suffixes that share them hold neighbouring ranks, in no given order."""
     n = len(s)
-    t = np.concatenate((s, np.zeros(3, np.int64)))
+    t = np.concatenate((s, np.zeros(6, np.int64)))
     most = int(t.max()) + 1
-    one, two, zero = np.arange(1, n, 3), np.arange(2, n, 3), np.arange(0, n, 3)
+    # both rows of sampled places end with a triple beyond the text, the smallest of all
+    one, two, zero = np.arange(1, n + 3, 3), np.arange(2, n + 3, 3), np.arange(0, n, 3)
     sample = np.concatenate((one, two))
-    if not len(sample):
-        return np.zeros(n, np.int64)
     names = _triple_names(t[sample], t[sample + 1], t[sample + 2], most) + 1
     if depth > 3 and names.max() < len(names):
         names = suffix_ranks(names, -(-depth // 3)) + 1
-    rank = np.zeros(n + 3, np.int64)
+    rank = np.zeros(n + 6, np.int64)
     rank[sample] = names
     high = int(names.max()) + 1
     # a suffix at 0 mod 3 meets one at 1 by (symbol, rank), one at 2 by (symbol, symbol, rank)
     pair = lambda i: _packed(t[i], rank[i + 1], high)
     triple = lambda i: _packed(_packed(t[i], t[i + 1], most), rank[i + 2], high)
-    zero_pair, zero_triple, one_pair, two_triple = pair(zero), triple(zero), pair(one), triple(two)
-    by_pair, by_triple, below = np.sort(zero_pair), np.sort(zero_triple), np.sort(names)
-    out = np.empty(n, np.int64)
-    among = np.searchsorted(below, names, "left")
-    out[one] = among[: len(one)] + np.searchsorted(by_pair, one_pair, "left")
-    out[two] = among[len(one) :] + np.searchsorted(by_triple, two_triple, "left")
-    out[zero] = (
-        np.searchsorted(by_pair, zero_pair, "left")
-        + np.searchsorted(np.sort(one_pair), zero_pair, "left")
-        + np.searchsorted(np.sort(two_triple), zero_triple, "left")
-    )
-    return out
+    zeros, ones = _Sorted(pair(zero)), _Sorted(pair(one))
+    zeros3, twos = _Sorted(triple(zero)), _Sorted(triple(two))
+    times = np.bincount(names)
+    among = (np.cumsum(times) - times)[names]  # sampled suffixes below each sampled one
+    out = np.empty(n + 3, np.int64)
+    out[one] = among[: len(one)] + ones.above(zeros)
+    out[two] = among[len(one) :] + twos.above(zeros3)
+    out[zero] = zeros.above(zeros) + zeros.above(ones) + zeros3.above(twos)
+    return out[:n]
+
+
+class _Sorted:
+    """Values with their order, to count merges without random access."""
+
+    def __init__(self, values: np.ndarray):
+        self.order = np.argsort(values)
+        self.values = values[self.order]
+
+    def above(self, other: "_Sorted") -> np.ndarray:
+        """How many of ``other``'s values lie below each value, by place."""
+        out = np.empty(len(self.order), np.int64)
+        out[self.order] = np.searchsorted(other.values, self.values, "left")
+        return out
 
 
 def _packed(a: np.ndarray, b: np.ndarray, most: int) -> np.ndarray:
@@ -308,23 +326,37 @@ def _contexts(rows: DataFrame, shared: DataFrame, length: int) -> DataFrame:
                                 found.setdefault(body[w : w + length], []).append((a + d, w, 1, None))
                         else:
                             found.setdefault(body[f : f + c - 1 + length], []).append((a + d, f, c, k))
-            out = []
+            out, known = [], {}
             for ctx, places in found.items():
                 least = min(ids[p[0]] for p in places)
                 for d, f, c, k in places:
                     if ids[d] > least:
-                        out.append((f, ids[d], hashes[d], f, c, None))
+                        known.setdefault(d, []).append((f, c))
                     else:
                         key = _window_key(ctx) if k is None else k
                         out.append((key, ids[d], hashes[d], f, c, ctx))
                 if len(out) > 20_000:
                     yield _table(out, CONTEXT)
                     out = []
+            for d, runs in known.items():
+                out += [(int(hashes[d]) ^ int(ids[d]), ids[d], hashes[d], f, c, None) for f, c in _merged(runs)]
             yield _table(out, CONTEXT)
 
     return joined.mapInArrow(run, CONTEXT)
 
 
+def _merged(runs: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Runs (first window, windows) in order, those that meet as one."""
+    out: list[tuple[int, int]] = []
+    for f, c in sorted(runs):
+        if out and f <= out[-1][0] + out[-1][1]:
+            first = out[-1][0]
+            out[-1] = (first, max(out[-1][1], f + c - first))
+        else:
+            out.append((f, c))
+    return out
+
+
 def _window_key(window: bytes) -> int:
     return -1 - int.from_bytes(hashlib.blake2b(window, digest_size=7).digest(), "little")
 
@@ -383,7 +415,7 @@ def spans(rows: DataFrame, length: int) -> DataFrame:
                     out.append((o, h, s, s + n - 1 + length))
                     continue
                 if key != now:
-                    if size > SLICE:
+                    if size > SORT:
                         out += covered(groups, length)
                         groups, size = [], 0
                     groups.append({})
@@ -401,8 +433,8 @@ def spans(rows: DataFrame, length: int) -> DataFrame:
 def dedup(docs: DataFrame, length: int = 50, keep_text: bool = False) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept_sha256) of every document;
     with ``keep_text`` also kept, the remaining bytes."""
-    if length < 2 * GRAM:
-        raise ValueError(f"strings have {2 * GRAM} bytes at least")
+    if length < GRAM:
+        raise ValueError(f"strings have {GRAM} bytes at least")
     prepare(docs.sparkSession)
     rows = docs.select("doc_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("o"), text_of().alias("text"))
     rows = rows.withColumn("h", F.xxhash64("text"))
