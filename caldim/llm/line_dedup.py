@@ -45,6 +45,15 @@ def _judged(line: Column, min_chars: int) -> Column:
     return F.length(F.btrim(line, F.lit(" \t\r"))) >= min_chars
 
 
+def _salt() -> Column:
+    return F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int")
+
+
+def _salted(few: DataFrame) -> DataFrame:
+    """Each of some line keys once for every salt."""
+    return few.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+
+
 def boilerplate(lines: DataFrame, min_sites: int = MIN_SITES) -> DataFrame:
     """(key, first): keys of lines spread over ``min_sites`` sites, with the
     smallest doc_id. ``lines`` has doc_id, site and key."""
@@ -55,9 +64,9 @@ def boilerplate(lines: DataFrame, min_sites: int = MIN_SITES) -> DataFrame:
         .agg(F.hll_sketch_estimate(F.hll_sketch_agg("site", F.lit(LG_K))).alias("sites"), F.min("doc_id").alias("first"))
         .filter(F.col("sites") >= low)
     )
-    near = spread.filter(F.col("sites") <= high)
+    near = _salted(spread.filter(F.col("sites") <= high).select("key"))
     exact = (
-        lines.join(near.select("key"), "key", "left_semi")
+        lines.withColumn("salt", _salt()).join(near, ["key", "salt"], "left_semi")
         .groupBy("key", "site")
         .agg(F.min("doc_id").alias("first"))
         .groupBy("key")
@@ -79,8 +88,8 @@ def remove_boilerplate(
         .filter(_judged(F.col("line"), min_chars))
         .select("doc_id", "site", _key(F.col("line")).alias("key"))
     )
-    spread = boilerplate(lines, min_sites).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    here = lines.select("doc_id", "key", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int").alias("salt"))
+    spread = _salted(boilerplate(lines, min_sites))
+    here = lines.select("doc_id", "key", _salt().alias("salt"))
     cut = (
         here.join(spread, ["key", "salt"])
         .filter(~F.col("doc_id").eqNullSafe(F.col("first")))
