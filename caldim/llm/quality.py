@@ -77,8 +77,8 @@ def features(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         grams = np.concatenate((gram, _mix(gram[:-1] * _MIX + gram[1:])))
         where, count = np.unique(_mix(grams + np.uint64(salt)) & np.uint64(BUCKETS - 1), return_counts=True)
         v = np.sqrt(count)
-        at.append(where.astype(np.int64))
-        value.append(v / np.linalg.norm(v))
+        at.append(where.astype(np.int32))
+        value.append((v / np.linalg.norm(v)).astype(np.float32))
     return np.concatenate(at), np.concatenate(value)
 
 
