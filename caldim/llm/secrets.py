@@ -2,8 +2,9 @@
 
 Base kinds are found in whole texts by their patterns, leftmost and
 non-overlapping per kind, and dropped if too short. Beside them weak candidates
-are gathered: "key", a run of 40 base64 characters with upper and lower case
-letters and digits, and "endpoint", a URL. Alone these prove nothing; they are
+are gathered: "key", 40 base64 characters with upper and lower case letters and
+digits (a whole run, or what stands between "=" signs of a longer one, as in
+NAME=key), and "endpoint", a URL. Alone these prove nothing; they are
 reported only if the parts that complete a credential stand within ``scope``
 characters: an access identifier for a key; an access identifier and a secret
 (an assignment or a reported key) for an endpoint. The three kinds of parts meet
@@ -33,6 +34,12 @@ HEX_LONG = r"[0-9a-f]{24}"
 #: Weak candidates.
 KEY = r"[A-Za-z0-9/+=]+"
 KEY_LONG = r"[A-Za-z0-9/+=]{40}"
+#: A run of 40, or 40 (with padding) after a "=" that ends what stands before. ``oracle_sql`` has whole
+#: runs alone (its regular expressions cannot look around): it does not see the keys of NAME=key.
+KEY_EDGED = (
+    r"(?<![A-Za-z0-9/+=])[A-Za-z0-9/+=]{40}(?![A-Za-z0-9/+=])"
+    r"|(?<![A-Za-z0-9/+])(?:[A-Za-z0-9/+]{40}|[A-Za-z0-9/+]{39}=|[A-Za-z0-9/+]{38}==)(?![A-Za-z0-9/+=])"
+)
 ENDPOINT = r"""https?://[^\x00-\x20"'<>]+"""
 #: Kinds in the order that spans at one place are listed.
 KINDS = ("assign", "access", "hex", "key", "endpoint")
@@ -71,7 +78,7 @@ def spans(docs: DataFrame) -> DataFrame:
     assign = _found(t, ASSIGN, 0, lambda m, g: F.length(g) >= 6, 2)
     access = _found(t, ACCESS, 1, lambda m, g: F.length(m) >= 20)
     hexes = _found(t, HEX, 2, lambda m, g: F.length(m) >= 24)
-    keys = _found(t, KEY, 3, lambda m, g: (F.length(m) == 40) & m.rlike("[A-Z]") & m.rlike("[a-z]") & m.rlike("[0-9]"))
+    keys = _found(t, KEY_EDGED, 3, lambda m, g: m.rlike("[A-Z]") & m.rlike("[a-z]") & m.rlike("[0-9]"))
     urls = _found(t, ENDPOINT, 4, lambda m, g: F.lit(True))
     some = rows.select(
         "doc_id",

@@ -114,6 +114,30 @@ def test_secrets(documents):  # noqa: F811
     assert secrets.scan(df.limit(0)).count() == 0
 
 
+def test_keys_after_names(documents):  # noqa: F811
+    """NAME=key without spaces is a key beside its identifier, and completes an endpoint."""
+    aws = "wJalrXUtnFEMI/K7MDENG/bPxRfiCY" + "EXAMPLE1KE"
+    texts = [
+        (f"aws_access_key_id={ID}\naws_secret_access_key=@", aws),
+        (f"{ID} SecretAccessKey=@&x=1", aws),
+        (f"{ID} KEY==@", aws),
+        (f"{ID} KEY=@", aws[:39] + "="),
+        (f"{ID} @", aws[:38] + "=="),
+        (f"{ID} @", "k=" + aws[:38]),  # a whole run, as before
+        (f"{ID} https://h/ AWS_SECRET_ACCESS_KEY=@", aws),
+        (f"{ID} A=@ B=@", aws),
+    ]
+    none = [f"KEY={aws}", f"{ID} KEY={aws}x", f"{ID} KEY={aws}=", f"{ID} KEY={aws[:39]}", f"{ID} KEY={aws}={aws[:20]}", f"{ID} KEY={aws.lower()}"]
+    rows = [(k, t.replace("@", key)) for k, (t, key) in enumerate(texts)] + [(100 + k, t) for k, t in enumerate(none)]
+    got = {r.doc_id: [x for x in r.spans.split(",") if x.startswith(("key", "endpoint"))] for r in secrets.scan(documents(rows)).collect()}
+    for k, (t, key) in enumerate(texts):
+        want = [f"key:{m.start()}:{m.end()}" for m in re.finditer(re.escape(key), rows[k][1])]
+        assert len(want) == t.count("@")
+        assert [x for x in got[k] if x.startswith("key")] == want, (k, t)
+    assert [x for x in got[6] if x.startswith("endpoint")] == ["endpoint:21:31"]
+    assert not any(got[100 + k] for k in range(len(none)))
+
+
 # license scan
 
 
