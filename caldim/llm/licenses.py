@@ -8,6 +8,14 @@ a word seen in no file, each occurrence for itself. A unit's licence is the
 template of the largest cosine, from ``threshold`` up; a file's own licence is
 that of its best unit.
 
+Beside the notices a licence has an SPDX identifier, its full text and the
+usual header of a source file. An SPDX line's identifiers are looked up by name;
+licence files' whole texts are compared with the full texts, and each header
+line, with the two lines after it, with the headers. These templates also cover
+licences that resemble one of the notices', so that GPL 2 is not taken for
+GPL 3. An SPDX line decides (of several identifiers the first licence by name),
+then a full text, else the best of notices and headers, at a tie the notice.
+
 A file without an own licence inherits that of the nearest directory at or above
 its own which holds a licence file with a licence: directories (not files) are
 joined by path prefixes, then files take their directory's answer.
@@ -24,6 +32,9 @@ the first path; an empty table gives none; other columns are ignored but ``id``.
 
 from __future__ import annotations
 
+from functools import lru_cache
+from importlib.resources import files as package_files
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -46,6 +57,56 @@ TEMPLATES = {
 ANCHORS = "licen[sc]e|unlicense|copyright|rights reserved|public domain|redistribution|spdx"
 #: File names of licence files.
 LICENCE_FILE = r"^(licen[sc]e|copying|notice|unlicense)(\.[a-z]+)?$"
+#: Full texts in ``license_texts``, by their licence.
+FULL_TEXTS = {
+    "Apache-2.0": "Apache-2.0",
+    "BSD-2-Clause": "BSD-2-Clause",
+    "BSD-3-Clause": "BSD-3-Clause",
+    "CC0-1.0": "Public-Domain",
+    "GPL-2.0": "GPL-2.0",
+    "GPL-3.0": "GPL-3.0",
+    "ISC": "ISC",
+    "LGPL-2.1": "LGPL-2.1",
+    "LGPL-3.0": "LGPL-3.0",
+    "MIT": "MIT",
+    "MPL-2.0": "MPL-2.0",
+    "Unlicense": "Public-Domain",
+}
+_GNU = "it under the terms of the GNU {} as published by the Free Software Foundation, either version {} of the License, or (at your option) any later version"
+_CC = "By exercising the Licensed Rights (defined below), You accept and agree to be bound by the terms and conditions of this Creative Commons {} 4.0 International Public License"
+_CC_LINK = "This work is licensed under a Creative Commons {} 4.0 International License"
+_CC_KINDS = {
+    "CC-BY-4.0": "Attribution",
+    "CC-BY-NC-4.0": "Attribution-NonCommercial",
+    "CC-BY-NC-ND-4.0": "Attribution-NonCommercial-NoDerivatives",
+    "CC-BY-NC-SA-4.0": "Attribution-NonCommercial-ShareAlike",
+    "CC-BY-ND-4.0": "Attribution-NoDerivatives",
+    "CC-BY-SA-4.0": "Attribution-ShareAlike",
+}
+#: Three lines of source headers, (licence, text).
+HEADERS = [
+    ("AGPL-3.0", _GNU.format("Affero General Public License", 3)),
+    ("Apache-2.0", 'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License. You may obtain a copy of the License at'),
+    ("GPL-2.0", _GNU.format("General Public License", 2)),
+    ("GPL-3.0", _GNU.format("General Public License", 3)),
+    ("ISC", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies"),
+    ("LGPL-2.1", _GNU.format("Lesser General Public License", "2.1")),
+    ("LGPL-3.0", _GNU.format("Lesser General Public License", 3)),
+    ("MIT", 'Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights'),
+    ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/."),
+    ("Public-Domain", "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software"),
+    *((k, t.format(v)) for k, v in _CC_KINDS.items() for t in (_CC, _CC_LINK)),
+]
+#: Phrases of which the first of such three lines has one.
+HEADER_ANCHORS = ANCHORS + "|permission is hereby granted|permission to use, copy|source code form|gnu (affero|lesser)? ?general public"
+#: Licences by SPDX identifier, in lower case.
+SPDX = {
+    **{x.lower(): x for x in ("Apache-2.0", "BSD-2-Clause", "BSD-3-Clause", "ISC", "MIT", "MPL-2.0", *_CC_KINDS)},
+    **{f"{x}{y}".lower(): x for x in ("AGPL-3.0", "GPL-2.0", "GPL-3.0", "LGPL-2.1", "LGPL-3.0") for y in ("", "+", "-only", "-or-later")},
+    "unlicense": "Public-Domain",
+    "cc0-1.0": "Public-Domain",
+}
+SPDX_LINE = r"(?i)spdx-license-identifier:[ \t]*([^\n]*)"
 THRESHOLD = 0.6
 WORD = r"[\p{L}\p{N}]+"
 
@@ -56,6 +117,51 @@ def template_words(spark) -> DataFrame:
     return rows.select("license", F.explode(_words("t")).alias("word")).groupBy("license", "word").agg(F.count("*").alias("tf"))
 
 
+@lru_cache(1)
+def full_texts() -> list[tuple[str, str]]:
+    """(license, text) of the full texts."""
+    folder = package_files("caldim.llm") / "license_texts"
+    texts = [(name, (folder / f"{file}.txt").read_text()) for file, name in FULL_TEXTS.items()]
+    # the AGPL differs from the GPL by its name, and by a section and a paragraph on use over a network
+    gpl = dict(texts)["GPL-3.0"]
+    agpl = gpl.replace("GNU GENERAL PUBLIC", "GNU AFFERO GENERAL PUBLIC").replace("GNU General Public", "GNU Affero General Public")
+    return [*texts, ("AGPL-3.0", agpl)]
+
+
+def _known(templates: list[tuple[str, str]]):
+    """The distinct words of templates, as an array column."""
+    return F.array_distinct(_words(F.lit("\n".join(t for _, t in templates))))
+
+
+def _likest(units: DataFrame, templates: list[tuple[str, str]], df: DataFrame, n: int, threshold: float) -> DataFrame:
+    """(row, license, score) of the rows of ``units`` (row, words: units of the
+    row, each an array of words) whose best unit has a cosine from ``threshold``
+    up to one of ``templates``."""
+    spark = units.sparkSession
+    rows = spark.createDataFrame([(k, t) for k, (_, t) in enumerate(templates)], "k int, t string")
+    tf = rows.select("k", F.explode(_words("t")).alias("word")).groupBy("k", "word").agg(F.count("*").alias("tf"))
+    weight = F.log(F.lit(1.0 + n) / (1 + F.coalesce("df", F.lit(0)))) + 1
+    t = tf.join(F.broadcast(df), "word", "left").withColumn("idf", weight).withColumn("x", F.col("tf") * F.col("idf"))
+    norms = t.groupBy("k").agg(F.sqrt(F.sum(F.col("x") * F.col("x"))).alias("norm"))
+    y = t.join(F.broadcast(norms), "k").withColumn("y", F.col("x") / F.col("norm"))
+    # one row a word, a column a template: a unit's words meet all templates without more rows
+    wide = y.groupBy("word", "idf").agg(*(F.sum(F.when(F.col("k") == k, F.col("y")).otherwise(0.0)).alias(f"y{k}") for k in range(len(templates))))
+    rare = F.log(F.lit(1.0 + n)) + 1
+    words = units.select("row", F.posexplode("words").alias("unit", "w")).select("row", "unit", F.explode("w").alias("word"))
+    counts = (
+        words.join(F.broadcast(t.select("word").distinct().withColumn("known", F.lit(True))), "word", "left")
+        .groupBy("row", "unit", F.when(F.col("known"), F.col("word")).alias("word"))
+        .agg(F.count("*").alias("tf"))
+        .join(F.broadcast(wide), "word", "left")
+    )
+    square = F.when(F.col("word").isNull(), F.col("tf") * rare * rare).otherwise(F.pow(F.col("tf") * F.col("idf"), F.lit(2)))
+    dots = [F.sum(F.col("tf") * F.col("idf") * F.col(f"y{k}")).alias(f"d{k}") for k in range(len(templates))]
+    judged = counts.groupBy("row", "unit").agg(F.sqrt(F.sum(square)).alias("norm"), *dots)
+    scores = (F.struct((-F.round(F.col(f"d{k}") / F.col("norm"), 6)).alias("s"), F.lit(name).alias("license")) for k, (name, _) in enumerate(templates))
+    best = judged.select("row", F.array_min(F.array(*scores)).alias("b")).filter(-F.col("b.s") >= threshold)
+    return best.groupBy("row").agg(F.min("b").alias("b")).select("row", F.col("b.license").alias("license"), (-F.col("b.s")).alias("score"))
+
+
 def _words(col):
     return F.regexp_extract_all(F.lower(col), F.lit(f"({WORD})"), F.lit(1))
 
@@ -66,11 +172,17 @@ def scan(files: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     license_dir the directory that it was inherited from."""
     spark = files.sparkSession
     base = files.select("id", F.col("path").cast("string").alias("path"), text_of().alias("text"))
-    vocabulary = sorted({w for w in template_words(spark).select("word").distinct().toPandas()["word"]})
-    known = F.array(*(F.lit(w) for w in vocabulary))
+    full = full_texts()
+    known = _known([*TEMPLATES.items(), *HEADERS, *full])
     name = F.lower(F.element_at(F.split("path", "/", -1), -1))
     lines = F.filter(F.split("text", "\n", -1), lambda x: F.lower(x).rlike(ANCHORS))
     whole = F.coalesce(name.rlike(LICENCE_FILE), F.lit(False))
+    # matches of no width, so that each header line starts three lines of its own
+    three = F.regexp_extract_all("text", F.lit(rf"(?imd)^(?=([^\n]*(?:{HEADER_ANCHORS})[^\n]*(?:\n[^\n]*){{0,2}}))"), F.lit(1))
+    named = F.transform(
+        F.flatten(F.transform(F.regexp_extract_all("text", F.lit(SPDX_LINE), F.lit(1)), lambda x: F.regexp_extract_all(F.lower(x), F.lit("([a-z0-9.+-]+)"), F.lit(1)))),
+        lambda x: F.try_element_at(F.create_map(*(F.lit(v) for kv in SPDX.items() for v in kv)), x),
+    )
     # one pass over the texts: what is written has header lines, licence files' counts and each file's template words
     read = base.select(
         F.monotonically_increasing_id().alias("row"),
@@ -80,10 +192,13 @@ def scan(files: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
         F.array_intersect(known, _words("text")).alias("seen"),
         lines.alias("headers"),
         F.when(whole, _words("text")).alias("all_words"),
+        F.when(F.col("text").rlike(f"(?i){HEADER_ANCHORS}"), three).otherwise(F.array().cast("array<string>")).alias("three"),
+        F.when(F.col("text").rlike(SPDX_LINE), F.array_min(named)).alias("spdx"),
     )
     per_file = F.when(F.col("is_file"), F.array(F.col("all_words"))).otherwise(F.array().cast("array<array<string>>"))
     units = F.concat(per_file, F.transform("headers", lambda x: _words(x)))
-    marked = stored(read.select("row", "id", "path", "is_file", "seen", units.alias("units")), "license-units")
+    threes = F.transform("three", lambda x: _words(x))
+    marked = stored(read.select("row", "id", "path", "is_file", "seen", units.alias("units"), threes.alias("threes"), "spdx"), "license-units")
 
     n = marked.count()
     df = marked.select(F.explode("seen").alias("word")).groupBy("word").agg(F.count("*").alias("df"))
@@ -117,7 +232,18 @@ def scan(files: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
         .select("row", F.col("b.license").alias("own_license"), (-F.col("b.s")).alias("own_score"))
     )
     parent = F.when(F.col("path").contains("/"), F.regexp_replace("path", "/[^/]*$", "")).when(F.col("path").isNotNull(), F.lit(""))
-    judged = marked.select("row", "id", "path", "is_file", parent.alias("dir")).join(best, "row", "left")
+    files_words = marked.filter("is_file").select("row", F.slice("units", 1, 1).alias("words"))
+    texts = _likest(files_words, full, df, n, threshold).select("row", F.struct("license", "score").alias("by_text"))
+    header = _likest(marked.select("row", F.col("threes").alias("words")), HEADERS, df, n, threshold)
+    header = header.select("row", F.struct("license", "score").alias("by_header"))
+    spdx = F.when(F.col("spdx").isNotNull(), F.struct(F.col("spdx").alias("license"), F.lit(1.0).alias("score")))
+    notice = F.when(F.col("own_license").isNotNull(), F.struct(F.col("own_license").alias("license"), F.col("own_score").alias("score")))
+    better = F.when(F.col("own_score").isNull() | (F.col("by_header.score") > F.col("own_score")), F.col("by_header"))
+    judged = marked.select("row", "id", "path", "is_file", parent.alias("dir"), "spdx")
+    for found in (best, texts, header):
+        judged = judged.join(found, "row", "left")
+    own = F.coalesce(spdx, "by_text", better, notice)
+    judged = judged.select("row", "id", "path", "is_file", "dir", own["license"].alias("own_license"), own["score"].alias("own_score"))
     judged = stored(judged, "license-own")
 
     holders = (

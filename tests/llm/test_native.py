@@ -175,6 +175,39 @@ def test_root_licence(spark):
     assert got[2] == ("GPL-3.0", "") or got[2] == ("MIT", "")
 
 
+def test_real_licences(spark):
+    """SPDX lines, full texts and the headers of source files, in a table of other words."""
+    from pathlib import Path
+
+    text = {f.stem: f.read_text() for f in (Path(licenses.__file__).parent / "license_texts").glob("*.txt")}
+    who = "Copyright (c) 2021 Jane Q. Example and contributors\n\n"
+    gnu = "# This program is free software: you can redistribute it and/or modify\n# it under the terms of the GNU {} as published by\n# the Free Software Foundation, either version {} of the License, or\n# (at your option) any later version.\n"
+    want = {
+        "MIT": ["// SPDX-License-Identifier: MIT", "/* SPDX-License-Identifier: MIT */", "# " + text["MIT"].split("(c)\n\n")[1].replace("\n", "\n# ")],
+        "Apache-2.0": ["# SPDX-License-Identifier: Apache-2.0", "# SPDX-License-Identifier: MIT OR Apache-2.0", '# Licensed under the Apache License, Version 2.0 (the "License");\n# you may not use this file except in compliance with the License.\nimport x'],
+        "BSD-3-Clause": ["SPDX-License-Identifier: BSD-3-Clause\nAll rights reserved."],
+        "GPL-3.0": ["SPDX-License-Identifier: GPL-3.0-only", gnu.format("General Public License", 3)],
+        "GPL-2.0": [gnu.format("General Public License", 2)],
+        "LGPL-3.0": [gnu.format("Lesser General Public License", 3), "SPDX-License-Identifier: LGPL-3.0-or-later"],
+        "MPL-2.0": ["/* This Source Code Form is subject to the terms of the Mozilla Public\n * License, v. 2.0. If a copy of the MPL was not distributed with this\n * file, You can obtain one at https://mozilla.org/MPL/2.0/. */"],
+        None: ["SPDX-License-Identifier: Zlib", "SPDX-License-Identifier:"],
+    }
+    rows, expect = [], []
+    for name, texts in want.items():
+        for x in texts:
+            rows.append((len(rows), f"p{len(rows)}/x.py", x + "\n\nprint(zebra)\n"))
+            expect.append(name)
+    for file, name in licenses.FULL_TEXTS.items():
+        rows.append((len(rows), f"p{len(rows)}/LICENSE", who + text[file]))
+        expect.append(name)
+        rows.append((len(rows), f"p{len(rows)}/COPYING", who + " ".join(text[file].split())))
+        expect.append(name)
+    rows += [(len(rows) + k, "q/x.txt", f"the file of {k} and a list of words") for k in range(60)]
+    got = {r.id: r.own_license for r in licenses.scan(spark.createDataFrame(rows, "id long, path string, text string")).collect()}
+    assert [got[k] for k in range(len(expect))] == expect
+    assert not any(got[k] for k in range(len(expect), len(rows)))
+
+
 @pytest.mark.parametrize("name", ["op4_license_scan", "op6_secret_scan", "op10_line_dedup"])
 def test_no_python_in_plans(spark, name):
     plan = QUERIES[name](spark, SF0001)._jdf.queryExecution().executedPlan().toString()
