@@ -6,13 +6,16 @@ documents.
 
 1. quality classifier: documents that it rejects go;
 2. line dedup: lines that many sites share are cut from the texts;
-3. SimHash near-dedup: of each group the document with the smallest id stays;
+3. SimHash near-dedup: of each group one row stays, that of the smallest id;
 4. benchmark decontamination: documents that hold a benchmark window go;
 5. best-fit packing: what is left, as pieces placed in sequences.
 
-Defined cases are those of the operators. Documents without an id pass the
-stages that join by id unchanged: line dedup cuts their lines like any other's,
-near-dedup keeps them.
+Defined cases are those of the operators. Stages 3 and 4 judge each row by
+itself, whether its id is null, repeated or neither: a row without an id goes if
+it is contaminated or a copy, and no row goes for another that shares its id. In
+near-dedup ids come before null, then the smaller hash of the text, then any one
+of the rows that are left. Line dedup goes by ids: rows of one id (or of none)
+count as one document, cut alike.
 """
 
 from __future__ import annotations
@@ -21,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from caldim.llm import decontaminate, line_dedup, packing, quality, simhash
-from caldim.llm.common import read, stored
+from caldim.llm.common import read, stored, text_of
 from caldim.llm.queries import tokenizer_path
 
 #: Score from which the classifier keeps a document.
@@ -41,15 +44,17 @@ def line_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicate_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    marks = simhash.near_duplicates(docs, shingle=3, max_bits=2)
-    gone = marks.filter("doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+    rows = stored(docs.withColumn("__row", F.monotonically_increasing_id()), "pipeline-near-rows")  # row numbers are fixed from here
+    order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", F.xxhash64(text_of()).alias("hash"), F.col("__row").alias("row"))
+    marks = simhash.near_duplicates(rows.select(order.alias("doc_id"), "text"), shingle=3, max_bits=2)
+    gone = marks.filter("doc_id.row <> component_id.row").select(F.col("doc_id.row").alias("__row"))
+    return rows.join(gone, "__row", "left_anti").select(docs.columns)
 
 
 def decontamination_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    marks = decontaminate.find(docs, read(spark, sf_dir, "benchmark"), size=10)
-    gone = marks.filter("contaminated").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+    rows = docs.select(F.struct(*docs.columns).alias("doc_id"), "text")  # the row goes along with its verdict
+    marks = decontaminate.find(rows, read(spark, sf_dir, "benchmark"), size=10)
+    return marks.filter("not contaminated").select("doc_id.*")
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

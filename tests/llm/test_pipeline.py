@@ -1,7 +1,7 @@
 """The pipeline: each stage on its own input against brute force."""
 
 import corpus_pipeline as C
-from llm_fixtures import SF001
+from llm_fixtures import SF001, documents  # noqa: F401
 from test_decontaminate import plain as plain_windows
 from test_packing import check
 from test_simhash import plain_components, plain_fingerprint
@@ -50,3 +50,16 @@ def test_stages(spark):
     assert n <= least * 1.02 + 1
     digest = lambda d: sorted(map(tuple, d.select("doc_id", "piece", "ids_crc32").collect()))
     assert digest(C.run(spark, SF001)) == digest(seen[-1])
+
+
+def test_rows_without_an_id_or_with_a_shared_one(spark, documents):  # noqa: F811
+    """Each row is judged by itself; one row of a group stays."""
+    left = lambda stage, rows: sorted(map(str, ((r.doc_id, r.text) for r in stage(spark, documents(rows), SF001).collect())))
+    item = max((r.text or "" for r in spark.read.parquet(f"{SF001}/benchmark.parquet").collect()), key=len)
+    rows = [(None, item), (None, "clean"), (5, item), (5, "clean too"), (6, "x " + item), (7, None), (7, None)]
+    assert left(C.decontamination_filter, rows) == sorted(map(str, [(None, "clean"), (5, "clean too"), (7, None), (7, None)]))
+
+    a, b, c, d = (" ".join(f"{x}{k}" for k in range(40)) for x in "abcd")
+    rows = [(None, a), (None, a), (None, a), (3, b), (3, b), (4, b), (None, b), (3, c), (4, d), (None, d)]
+    assert left(C.near_duplicate_filter, rows) == sorted(map(str, [(None, a), (3, b), (3, c), (4, d)]))
+    assert left(C.near_duplicate_filter, [(None, None), (None, "")]) in (["(None, None)"], ["(None, '')"])
