@@ -14,6 +14,7 @@ from caldim.llm import (
     line_dedup,
     packing,
     quality,
+    repair,
     secrets,
     simhash,
     suffix_dedup,
@@ -86,6 +87,12 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cut.select("doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
 
 
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults and cheapest repair of every conversation, after the set damage."""
+    conversations = read(spark, sf_dir, "conversations")
+    return repair.audit_of(conversations, repair.damaged(conversations))
+
+
 def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     """Place of a public tokenizer's vocabulary file."""
     import public_tokenizers
@@ -106,6 +113,7 @@ QUERIES = {
         op8_decontamination,
         op9_arc_to_warc,
         op10_line_dedup,
+        op13_conversation_repair,
     )
 }
 
@@ -122,4 +130,5 @@ ORACLE: dict[str, str] = {
     "op8_decontamination": decontaminate.oracle_sql(),
     "op9_arc_to_warc": archives.ORACLE_SQL,
     "op10_line_dedup": line_dedup.oracle_sql(),
+    "op13_conversation_repair": repair.oracle_sql(),
 }
