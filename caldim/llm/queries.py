@@ -13,10 +13,12 @@ from caldim.llm import (
     licenses,
     line_dedup,
     packing,
+    prefix_trie,
     quality,
     repair,
     secrets,
     simhash,
+    substring_dedup,
     suffix_dedup,
 )
 from caldim.llm.common import read
@@ -87,6 +89,17 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cut.select("doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nodes of the prefix trie of all rebuilt conversations."""
+    return prefix_trie.trie(read(spark, sf_dir, "conversations"))
+
+
+def op12_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document that a 13-word window of an earlier one covers,
+    and the longest window that it shares."""
+    return substring_dedup.dedup(read(spark, sf_dir, "documents"), length=13)
+
+
 def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Faults and cheapest repair of every conversation, after the set damage."""
     conversations = read(spark, sf_dir, "conversations")
@@ -113,6 +126,8 @@ QUERIES = {
         op8_decontamination,
         op9_arc_to_warc,
         op10_line_dedup,
+        op11_prefix_trie,
+        op12_substring_dedup,
         op13_conversation_repair,
     )
 }
@@ -130,5 +145,7 @@ ORACLE: dict[str, str] = {
     "op8_decontamination": decontaminate.oracle_sql(),
     "op9_arc_to_warc": archives.ORACLE_SQL,
     "op10_line_dedup": line_dedup.oracle_sql(),
+    "op11_prefix_trie": prefix_trie.oracle_sql(),
+    "op12_substring_dedup": substring_dedup.oracle_sql(),
     "op13_conversation_repair": repair.oracle_sql(),
 }
