@@ -35,48 +35,39 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from caldim.llm.common import prepare, stored, text_of, utf8
-from caldim.llm.turns import batch, partitions
-
-#: Bytes of text in a block, bytes whose names a bucket gathers, bytes of an
-#: Arrow batch, and bytes that are hashed at once.
-BLOCK, BUCKET, BATCH, CHUNK = 2 << 20, 16 << 20, 16 << 20, 1 << 20
-NO_ID = (1 << 63) - 1
+from caldim.llm.blocks import (
+    LISTS,
+    NO_ID,
+    Hasher,
+    Names,
+    answered,
+    bits,
+    blocks_of,
+    buckets_for,
+    flags,
+    gather,
+    join,
+    kept,
+    name_lists,
+    owned,
+    owned_lists,
+    repeated,
+    rows_of,
+    said,
+)
+from caldim.llm.common import prepare
+from caldim.llm.turns import batch
+
+#: Bytes that are hashed at once.
+CHUNK = 1 << 20
 _FIVE = np.uint64((1 << 40) - 1)
 _WHITE = np.zeros(256, bool)
 _WHITE[[0x20, *range(0x09, 0x0E)]] = True
 
-
-def _stored(df: DataFrame, name: str) -> DataFrame:
-    """``stored`` with batches of some blocks at a time, as rows are large."""
-    conf, key = df.sparkSession.conf, "spark.sql.execution.arrow.maxBytesPerBatch"
-    before = conf.get(key, None)
-    conf.set(key, str(BATCH))
-    try:
-        return stored(df, name)
-    finally:
-        conf.set(key, before) if before is not None else conf.unset(key)
-
-
-# --- words and windows of a block ---------------------------------------------
-
-
-def _mix(x: np.ndarray) -> np.ndarray:
-    x = x ^ (x >> np.uint64(31))
-    x *= np.uint64(0x7FB5D329728EA185)
-    x ^= x >> np.uint64(27)
-    x *= np.uint64(0x81DADEF4BC2DD44D)
-    x ^= x >> np.uint64(33)
-    return x
-
-
-def _join(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Names of windows from those of two parts."""
-    return _mix(a * np.uint64(0x9E3779B97F4A7C15) + b)
+__all__ = ["NO_ID", "dedup", "oracle_sql"]
 
 
 class Words:
@@ -97,33 +88,14 @@ class Words:
         self.last = cuts[1:][self.row]  # behind the last word of its row
 
     def hashes(self, seed: int) -> np.ndarray:
-        rng = np.random.default_rng(seed)
-        table = rng.integers(0, 1 << 63, 256, np.uint64) * np.uint64(2) + np.uint64(1)
-        base = 6364136223846793005 + 8 * seed
-        back = np.uint64(pow(base, -1, 1 << 64))
         out, n, at = np.empty(len(self.starts), np.uint64), len(self.starts), 0
         while at < n:
             first = self.starts[at]
             to = max(at + 1, int(np.searchsorted(self.stops, first + CHUNK, "right")))
-            part = self.raw[first : self.stops[to - 1]]
-            powers = _powers(base, len(part))
-            total = np.zeros(len(part) + 1, np.uint64)
-            np.cumsum(table[part] * powers, out=total[1:])
-            a, b = self.starts[at:to] - first, self.stops[at:to] - first
-            out[at:to] = (total[b] - total[a]) * _powers(int(back), len(part))[a] + (b - a).astype(np.uint64)
+            part = Hasher(self.raw[first : self.stops[to - 1]], seed)
+            out[at:to] = part.of(self.starts[at:to] - first, self.stops[at:to] - first)
             at = to
-        return _mix(out)
-
-
-_KEPT: dict[int, np.ndarray] = {}
-
-
-def _powers(base: int, n: int) -> np.ndarray:
-    if base not in _KEPT or len(_KEPT[base]) < n:
-        steps = np.full(max(n, CHUNK), base, np.uint64)
-        steps[0] = 1
-        _KEPT[base] = np.multiply.accumulate(steps)
-    return _KEPT[base][:n]
+        return out
 
 
 def windows(h: np.ndarray, length: int) -> np.ndarray:
@@ -135,113 +107,17 @@ def windows(h: np.ndarray, length: int) -> np.ndarray:
                 out = sized
             else:
                 n = max(0, len(h) - have - size + 1)
-                out = _join(out[:n], sized[have : have + n])
+                out = join(out[:n], sized[have : have + n])
             have += size
         if have == length:
             return out
         n = max(0, len(h) - 2 * size + 1)
-        sized, size = _join(sized[:n], sized[size : size + n]), 2 * size
-
-
-class Names:
-    """Distinct names of some windows, in the order of their buckets."""
-
-    def __init__(self, names: np.ndarray, row: np.ndarray, buckets: int, second: np.ndarray | None = None):
-        bucket = ((names >> np.uint64(40)) % np.uint64(buckets)).astype(np.int64)
-        keys = (names, bucket) if second is None else (second, names, bucket)
-        self.order = np.lexsort(keys)
-        bucket, names, row = bucket[self.order], names[self.order], row[self.order]
-        new = np.ones(len(names), bool)
-        new[1:] = (bucket[1:] != bucket[:-1]) | (names[1:] != names[:-1])
-        if second is not None:
-            second = second[self.order]
-            new[1:] |= second[1:] != second[:-1]
-        self.first = np.nonzero(new)[0]
-        self.run = np.cumsum(new) - 1
-        self.names, self.second = names[self.first], None if second is None else second[self.first]
-        if len(self.first):
-            self.several = np.minimum.reduceat(row, self.first) != np.maximum.reduceat(row, self.first)
-        else:
-            self.several = np.zeros(0, bool)
-        self.cuts = np.concatenate(([0], np.nonzero(np.diff(bucket[self.first]))[0] + 1, [len(self.first)]))
-        self.bucket = bucket[self.first]
-
-    def lists(self):
-        """(bucket, from, to) of the names of each bucket."""
-        for a, b in zip(self.cuts[:-1].tolist(), self.cuts[1:].tolist(), strict=True):
-            if b > a:
-                yield int(self.bucket[a]), a, b
-
-    def spread(self, of_names: np.ndarray) -> np.ndarray:
-        """Values of the windows, in their own order, from those of the names."""
-        out = np.empty(len(self.order), of_names.dtype)
-        out[self.order] = of_names[self.run]
-        return out
-
-
-def _low(names: np.ndarray, width: int) -> bytes:
-    return np.ascontiguousarray(names.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width]).tobytes()
-
-
-def _high(data: bytes, n: int, width: int) -> np.ndarray:
-    out = np.zeros((n, 8), np.uint8)
-    out[:, :width] = np.frombuffer(data, np.uint8, n * width).reshape(n, width)
-    return out.view("<u8").reshape(-1)
-
-
-def _bits(flags: np.ndarray) -> bytes:
-    return np.packbits(flags).tobytes()
-
-
-def _flags(data: bytes, n: int, at: int = 0) -> np.ndarray:
-    return np.unpackbits(np.frombuffer(data, np.uint8, -(-n // 8), at), count=n).astype(bool)
+        sized, size = join(sized[:n], sized[size : size + n]), 2 * size
 
 
-# --- tables -------------------------------------------------------------------
-
-_BLOCKS = pa.schema([("block", pa.int64()), ("ids", pa.binary()), ("off", pa.binary()), ("raw", pa.binary())])
-_LISTS = pa.schema([("block", pa.int64()), ("bucket", pa.int64()), ("n", pa.int64()), ("data", pa.binary())])
-LISTS = "block long, bucket long, n long, data binary"
-
-
-def _blocks(docs: DataFrame) -> DataFrame:
-    """Rows of documents, some at a time: ids (and whether they are null), ends
-    of the texts, texts."""
-    rows = docs.select(
-        F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("o"), F.col("doc_id").isNull().alias("none"), text_of().alias("text")
-    )
-
-    def run(batches):
-        number, held, size = TaskContext.get().partitionId() << 33, [], 0
-
-        def block():
-            ids, none, off, raw = (np.concatenate(x) for x in zip(*held, strict=True))
-            off = np.concatenate(([0], np.cumsum(off)))
-            return number, ids.tobytes() + none.tobytes(), off.tobytes(), raw.tobytes()
-
-        for b in batches:
-            ids = b.column(0).to_numpy(zero_copy_only=False)
-            none = b.column(1).to_numpy(zero_copy_only=False)
-            raw, off = utf8(b.column(2))
-            at, n = 0, len(ids)
-            while at < n:
-                to = max(at + 1, int(np.searchsorted(off, off[at] + BLOCK - size, "right")) - 1)
-                held.append((ids[at:to], none[at:to], np.diff(off[at : to + 1]), raw[off[at] : off[to]].copy()))
-                size += int(off[to] - off[at])
-                at = to
-                if size >= BLOCK or at < n:
-                    yield batch([block()], _BLOCKS)
-                    number, held, size = number + 1, [], 0
-        if held:
-            yield batch([block()], _BLOCKS)
-
-    return _stored(rows.mapInArrow(run, "block long, ids binary, off binary, raw binary"), "blocks")
-
-
-def _read(ids: bytes, off: bytes, raw: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, Words]:
-    off = np.frombuffer(off, np.int64)
-    n = len(off) - 1
-    return np.frombuffer(ids, np.int64, n), np.frombuffer(ids, bool, n, 8 * n), off, Words(np.frombuffer(raw, np.uint8), off)
+def _read(ids: bytes, off: bytes, raw: bytes) -> tuple[np.ndarray, np.ndarray, Words]:
+    owners, none, ends = rows_of(ids, off)
+    return owners, none, Words(np.frombuffer(raw, np.uint8), ends)
 
 
 def _fits(words: Words, length: int) -> np.ndarray:
@@ -256,91 +132,15 @@ def _first_names(words: Words, half: int, buckets: int) -> tuple[np.ndarray, np.
     return at, h, Names(h[at] & _FIVE | (h[at] >> np.uint64(24)) & ~_FIVE, words.row[at], buckets)
 
 
-def _gather(lists: DataFrame, width: int, second: bool) -> DataFrame:
-    """Answers (block, bucket, data): for each name of a list a bit, whether other
-    rows have it; with ``second`` also whether a smaller id does."""
-
-    def answer(held: list[tuple]) -> list[tuple]:
-        names, more, least, several = [], [], [], []
-        for _, _, n, data in held:
-            at = n * width
-            names.append(_high(data, n, width))
-            if second:
-                more.append(np.frombuffer(data, "<u4", n, at))
-                at += 4 * n
-                ids = int.from_bytes(data[at : at + 4], "little")
-                known = np.frombuffer(data, "<i8", ids, at + 4)
-                at += 4 + 8 * ids
-                least.append(known[np.frombuffer(data, "<u2" if ids <= 1 << 16 else "<u4", n, at)])
-                at += n * (2 if ids <= 1 << 16 else 4)
-            several.append(_flags(data, n, at))
-        names, several = np.concatenate(names), np.concatenate(several)
-        if second:
-            more, least = np.concatenate(more), np.concatenate(least)
-            order = np.lexsort((more, names))
-        else:
-            order = np.argsort(names, kind="stable")
-        sorted_names = names[order]
-        new = np.ones(len(order), bool)
-        new[1:] = sorted_names[1:] != sorted_names[:-1]
-        if second:
-            new[1:] |= more[order][1:] != more[order][:-1]
-        first = np.nonzero(new)[0]
-        run = np.cumsum(new) - 1
-        size = np.diff(np.append(first, len(order)))
-        repeated = np.empty(len(order), bool)
-        repeated[order] = ((size > 1) | np.logical_or.reduceat(several[order], first))[run]
-        if second:
-            smaller = np.empty(len(order), bool)
-            smaller[order] = np.minimum.reduceat(least[order], first)[run] < least[order]
-        out, at = [], 0
-        for block, bucket, n, _ in held:
-            data = _bits(repeated[at : at + n]) + (_bits(smaller[at : at + n]) if second else b"")
-            out.append((block, bucket, n, data))
-            at += n
-        return out
-
-    def run(batches):
-        now, held = None, []
-        for b in batches:
-            for block, bucket, n, data in zip(*(c.to_pylist() for c in b.columns), strict=True):
-                if bucket != now and held:
-                    yield batch(answer(held), _LISTS)
-                    held = []
-                now = bucket
-                held.append((block, bucket, n, data))
-        if held:
-            yield batch(answer(held), _LISTS)
-
-    spread = lists.repartition(partitions(lists), "bucket").sortWithinPartitions("bucket")
-    return _stored(spread.mapInArrow(run, LISTS), "answers")
-
-
-def _answered(rows: DataFrame, answers: DataFrame) -> DataFrame:
-    """Rows of blocks with the answers to their names, in the order of these."""
-    lists = answers.groupBy("block").agg(F.sort_array(F.collect_list(F.struct("bucket", "n", "data"))).alias("answers"))
-    return rows.join(lists, "block", "left")
-
-
-def _said(answers, at: int = 0) -> np.ndarray:
-    """The bits of all names of a block."""
-    if not answers:
-        return np.zeros(0, bool)
-    return np.concatenate([_flags(a["data"], a["n"], at * -(-a["n"] // 8)) for a in answers])
-
-
 def _first_level(blocks: DataFrame, half: int, buckets: int) -> DataFrame:
     def run(batches):
         for b in batches:
             for block, ids, off, raw in zip(*b.columns, strict=True):
                 *_, words = _read(ids.as_py(), off.as_py(), raw.as_py())
                 *_, found = _first_names(words, half, buckets)
-                out = [
-                    (block.as_py(), bucket, e - a, _low(found.names[a:e], 5) + _bits(found.several[a:e])) for bucket, a, e in found.lists()
-                ]
-                yield batch(out, _LISTS)
+                yield name_lists(block.as_py(), found, 5)
 
-    return _gather(blocks.mapInArrow(run, LISTS), 5, False)
+    return gather(blocks.mapInArrow(run, LISTS), repeated(5))
 
 
 _CANDIDATES = pa.schema([(c, pa.int64() if c in ("block", "n") else pa.binary()) for c in ("block", "n", "ids", "counts", "at", "first", "second")])
@@ -354,24 +154,24 @@ def _candidates(blocks: DataFrame, answers: DataFrame, length: int, buckets: int
 
     def run(batches):
         for b in batches:
-            for block, ids, off, raw, said in zip(*b.columns, strict=True):
-                owners, _, _, words = _read(ids.as_py(), off.as_py(), raw.as_py())
+            for block, ids, off, raw, answers in zip(*b.columns, strict=True):
+                owners, _, words = _read(ids.as_py(), off.as_py(), raw.as_py())
                 at, h, found = _first_names(words, half, buckets)
                 repeats = np.zeros(len(words.row) + step, bool)
-                repeats[at] = found.spread(_said(said.as_py()))
+                repeats[at] = found.spread(said(answers.as_py()))
                 use = repeats[: len(words.row)] & repeats[step:] & _fits(words, length)
                 where = np.nonzero(use)[0]
                 g = windows(words.hashes(2), half)
-                second = (_join(g[where + step], g[where]) & np.uint64(0xFFFFFFFF)).astype("<u4")
+                second = join(g[where + step], g[where]) & np.uint64(0xFFFFFFFF)
                 yield batch(
                     [(
-                        block.as_py(), len(where), owners.tobytes(), words.counts.astype("<i8").tobytes(), _bits(use),
-                        _join(h[where], h[where + step]).astype("<u8").tobytes(), second.tobytes(),
+                        block.as_py(), len(where), owners.tobytes(), words.counts.astype("<i8").tobytes(), bits(use),
+                        join(h[where], h[where + step]).astype("<u8").tobytes(), second.astype("<u4").tobytes(),
                     )],
                     _CANDIDATES,
                 )
 
-    return _stored(_answered(blocks, answers).select("block", "ids", "off", "raw", "answers").mapInArrow(run, CANDIDATES), "candidates")
+    return kept(answered(blocks, answers).select("block", "ids", "off", "raw", "answers").mapInArrow(run, CANDIDATES), "candidates")
 
 
 class Held:
@@ -380,8 +180,8 @@ class Held:
     def __init__(self, ids, counts, at, first, second):
         self.owners, self.counts = np.frombuffer(ids, np.int64), np.frombuffer(counts, "<i8")
         self.words = int(self.counts.sum())
-        self.where = np.nonzero(_flags(at, self.words))[0]
-        self.first, self.second = np.frombuffer(first, "<u8"), np.frombuffer(second, "<u4")
+        self.where = np.nonzero(flags(at, self.words))[0]
+        self.first, self.second = np.frombuffer(first, "<u8"), np.frombuffer(second, "<u4").astype(np.uint64)
         self.row = np.searchsorted(np.cumsum(self.counts), self.where, "right")
 
     def names(self, buckets: int) -> Names:
@@ -399,18 +199,9 @@ def _decide(candidates: DataFrame, buckets: int) -> DataFrame:
             for block, *held in zip(*(c.to_pylist() for c in b.columns), strict=True):
                 held = Held(*held)
                 found = held.names(buckets)
-                out = []
-                owner = held.owners[held.row][found.order]
-                least = np.minimum.reduceat(owner, found.first) if len(found.first) else owner
-                for bucket, a, e in found.lists():
-                    known, which = np.unique(least[a:e], return_inverse=True)
-                    which = which.astype("<u2" if len(known) <= 1 << 16 else "<u4")
-                    data = _low(found.names[a:e], 8) + found.second[a:e].astype("<u4").tobytes()
-                    data += len(known).to_bytes(4, "little") + known.astype("<i8").tobytes() + which.tobytes()
-                    out.append((block, bucket, e - a, data + _bits(found.several[a:e])))
-                yield batch(out, _LISTS)
+                yield owned_lists(block, found, found.least(held.owners[held.row]))
 
-    return _gather(candidates.select(*_HELD).mapInArrow(run, LISTS), 8, True)
+    return gather(candidates.select(*_HELD).mapInArrow(run, LISTS), owned)
 
 
 _STATE = pa.schema([("block", pa.int64()), ("left", pa.int64()), ("alive", pa.binary()), ("gone", pa.binary())])
@@ -423,22 +214,20 @@ def _decided(candidates: DataFrame, answers: DataFrame, length: int, buckets: in
     def run(batches):
         for b in batches:
             out = []
-            for block, *held, said in zip(*(c.to_pylist() for c in b.columns), strict=True):
+            for block, *held, answers in zip(*(c.to_pylist() for c in b.columns), strict=True):
                 held = Held(*held)
                 found = held.names(buckets)
                 owner = held.owners[held.row]
-                least = owner[found.order]
-                least = np.minimum.reduceat(least, found.first) if len(found.first) else least
-                alive = found.spread(_said(said))
-                gone = found.spread(_said(said, 1)) | (owner > found.spread(least))
+                alive = found.spread(said(answers))
+                gone = found.spread(said(answers, 1)) | (owner > found.spread(found.least(owner)))
                 cover = np.zeros(held.words + 1, np.int64)
                 np.add.at(cover, held.where[gone], 1)
                 np.add.at(cover, held.where[gone] + length, -1)
-                out.append((block, int(alive.sum()), _bits(alive), _bits(np.cumsum(cover[:-1]) > 0)))
+                out.append((block, int(alive.sum()), bits(alive), bits(np.cumsum(cover[:-1]) > 0)))
             yield batch(out, _STATE)
 
-    rows = _answered(candidates, answers).select(*_HELD, "answers")
-    return _stored(rows.mapInArrow(run, "block long, left long, alive binary, gone binary"), "decided")
+    rows = answered(candidates, answers).select(*_HELD, "answers")
+    return kept(rows.mapInArrow(run, "block long, left long, alive binary, gone binary"), "decided")
 
 
 class Level:
@@ -458,7 +247,7 @@ class Level:
         known, width = held.first, length
         while width < 2 * size:  # a name of twice the words where both halves have one
             then = place[np.minimum(held.where + width, len(place) - 1)]
-            known = _join(known, known[np.maximum(then, 0)])
+            known = join(known, known[np.maximum(then, 0)])
             width *= 2
         self.names, self.row = known[self.which], held.row[self.which]
 
@@ -470,13 +259,11 @@ def _extend(candidates: DataFrame, state: DataFrame, length: int, size: int, buc
         for b in batches:
             for block, *held, alive in zip(*(c.to_pylist() for c in b.columns), strict=True):
                 held = Held(*held)
-                level = Level(held, _flags(alive, len(held.where)), length, size)
-                found = Names(level.names, level.row, buckets)
-                out = [(block, bucket, e - a, _low(found.names[a:e], 8) + _bits(found.several[a:e])) for bucket, a, e in found.lists()]
-                yield batch(out, _LISTS)
+                level = Level(held, flags(alive, len(held.where)), length, size)
+                yield name_lists(block, Names(level.names, level.row, buckets), 8)
 
     rows = candidates.join(state.filter("left > 0").select("block", "alive"), "block").select(*_HELD, "alive")
-    return _gather(rows.mapInArrow(run, LISTS), 8, False)
+    return gather(rows.mapInArrow(run, LISTS), repeated(8))
 
 
 _ALIVE = pa.schema([("block", pa.int64()), ("left", pa.int64()), ("alive", pa.binary()), ("longest", pa.binary())])
@@ -489,19 +276,19 @@ def _extended(candidates: DataFrame, state: DataFrame, answers: DataFrame, lengt
     def run(batches):
         for b in batches:
             out = []
-            for block, *held, alive, said in zip(*(c.to_pylist() for c in b.columns), strict=True):
+            for block, *held, alive, answers in zip(*(c.to_pylist() for c in b.columns), strict=True):
                 held = Held(*held)
-                level = Level(held, _flags(alive, len(held.where)), length, size)
+                level = Level(held, flags(alive, len(held.where)), length, size)
                 found = Names(level.names, level.row, buckets)
                 lives, rows = np.zeros(len(held.where), bool), np.zeros(len(held.counts), bool)
-                lives[level.which] = found.spread(_said(said))
+                lives[level.which] = found.spread(said(answers))
                 rows[held.row[lives]] = True
-                out.append((block, int(lives.sum()), _bits(lives), _bits(rows)))
+                out.append((block, int(lives.sum()), bits(lives), bits(rows)))
             yield batch(out, _ALIVE)
 
     rows = candidates.join(state.filter("left > 0").select("block", "alive"), "block")
-    rows = _answered(rows, answers).select(*_HELD, "alive", "answers")
-    return _stored(rows.mapInArrow(run, "block long, left long, alive binary, longest binary"), "alive")
+    rows = answered(rows, answers).select(*_HELD, "alive", "answers")
+    return kept(rows.mapInArrow(run, "block long, left long, alive binary, longest binary"), "alive")
 
 
 def dedup(docs: DataFrame, length: int = 13, keep_text: bool = False) -> DataFrame:
@@ -514,9 +301,8 @@ def dedup(docs: DataFrame, length: int = 13, keep_text: bool = False) -> DataFra
     spark = docs.sparkSession
     prepare(spark)
     kind = docs.schema["doc_id"].dataType.simpleString()
-    blocks = _blocks(docs)
-    total = blocks.agg(F.sum(F.length("raw"))).first()[0] or 0
-    buckets = max(partitions(docs), total // BUCKET)
+    blocks = blocks_of(docs)
+    buckets = buckets_for(blocks)
     first = _first_level(blocks, (length + 1) // 2, buckets)
     candidates = _candidates(blocks, first, length, buckets)
     decided = _decided(candidates, _decide(candidates, buckets), length, buckets)
@@ -541,14 +327,14 @@ def dedup(docs: DataFrame, length: int = 13, keep_text: bool = False) -> DataFra
     def run(batches):
         for b in batches:
             for ids, off, raw, at, alive, gone, levels in zip(*b.columns, strict=True):
-                owners, none, _, words = _read(ids.as_py(), off.as_py(), raw.as_py())
+                owners, none, words = _read(ids.as_py(), off.as_py(), raw.as_py())
                 n, rows = len(words.row), len(owners)
-                gone = _flags(gone.as_py(), n)
-                where = np.nonzero(_flags(at.as_py(), n))[0]
+                gone = flags(gone.as_py(), n)
+                where = np.nonzero(flags(at.as_py(), n))[0]
                 longest = np.zeros(rows, np.int64)
-                longest[words.row[where[_flags(alive.as_py(), len(where))]]] = length
+                longest[words.row[where[flags(alive.as_py(), len(where))]]] = length
                 for level in levels.as_py() or ():
-                    longest[_flags(level["rows"], rows)] = level["size"]
+                    longest[flags(level["rows"], rows)] = level["size"]
                 removed = np.bincount(words.row[gone], minlength=rows)
                 out = []
                 for k, text in enumerate(_kept(words, ~gone, rows)):
@@ -560,9 +346,9 @@ def dedup(docs: DataFrame, length: int = 13, keep_text: bool = False) -> DataFra
 
     rows = both.select("ids", "off", "raw", "at", "alive", "gone", "levels")
     ddl = "o long, n_words long, n_removed long, kept_sha256 string, longest long, kept binary"
-    out = _stored(rows.mapInArrow(run, ddl), "kept-words")
-    kept = [F.col("kept").cast("string").alias("kept")] if keep_text else []
-    return out.select(F.col("o").cast(kind).alias("doc_id"), "n_words", "n_removed", "kept_sha256", "longest", *kept)
+    out = kept(rows.mapInArrow(run, ddl), "kept-words")
+    rest = [F.col("kept").cast("string").alias("kept")] if keep_text else []
+    return out.select(F.col("o").cast(kind).alias("doc_id"), "n_words", "n_removed", "kept_sha256", "longest", *rest)
 
 
 def _kept(words: Words, keep: np.ndarray, rows: int):

@@ -1,33 +1,35 @@
-"""Exact-substring dedup by distributed difference-cover suffix sorting.
+"""Exact-substring dedup by difference-cover suffix sorting of what can repeat.
 
 Every byte covered by a ``length``-byte string that also starts in a document
-with a smaller id is removed. The suffixes that can matter are found and
-partitioned first, since sorting every suffix of a corpus would shuffle several
-times its size:
+with a smaller id is removed. Sorting every suffix of a corpus would shuffle
+several times its size, so what must be sorted is found first, by exchanges
+between stored blocks of documents (``blocks``), in which a passage that a third
+of all documents hold is one entry of each block:
 
 1. Each window of ``length`` bytes is filed under its minimizer, the smallest
    hash among its ``GRAM``-byte substrings. Equal windows have equal minimizers,
-   so a minimizer that only one document has rules its windows out. Minimizers
-   are spread by key as packed arrays; within a batch of documents each key is
-   sent once, so a passage in a third of all documents arrives pre-aggregated.
+   so a minimizer that only one document has rules its windows out.
 2. Neighbouring windows with one shared minimizer form a context (the text that
-   they cover). Contexts are spread by minimizer, so all windows that could be
-   equal meet. Minimizers with very many contexts (a bounded list) are spread by
-   the windows themselves instead. Equal contexts of a batch collapse to those
-   of the smallest document; the other documents' are covered whole.
-3. A task builds the suffix array of its distinct contexts by the difference
-   cover modulo 3: triples at places 1 and 2 mod 3 are sorted and named, the
-   names' suffixes are ranked by recursion, the remaining suffixes (place 0) are
-   sorted by their first byte and the rank that follows, and both are merged.
-   The recursion ends once names cover ``length`` bytes, as no longer prefix is
-   compared. Windows whose neighbours in the array share ``length`` bytes are
-   equal; each is covered for documents after the smallest one of its run.
-4. Covered spans meet their texts again, and the rest is put together.
+   they cover). Of equal contexts (128 bits of hashes) only the smallest
+   document's is left: the others are covered whole by it.
+3. A minimizer with one context left is settled. For the others a task builds the
+   suffix array of their contexts by the difference cover modulo 3: triples at
+   places 1 and 2 mod 3 are sorted and named, the names' suffixes are ranked by
+   recursion, the remaining suffixes (place 0) are sorted by their first byte and
+   the rank that follows, and both are merged. The recursion ends once names
+   cover ``length`` bytes, as no longer prefix is compared. Windows whose
+   neighbours in the array share ``length`` bytes are equal; each is covered for
+   documents after the smallest one of its run.
+4. A minimizer may have any number of contexts (a line that many documents
+   continue differently). Beyond ``MOST`` bytes they are too many for one task;
+   their windows then go to buckets by hashes of their own.
+5. Covered places meet their texts again.
 
 Defined cases: null text is the empty text; a null doc_id counts as larger than
 every id (rows without ids are no duplicates of each other); rows that repeat
 an id do not make each other duplicates; texts shorter than ``length`` lose
-nothing; an empty table gives none; other columns are ignored.
+nothing; an empty table gives none; other columns are ignored. A long text is a
+block of its own, gone through in slices of ``SLICE`` bytes.
 """
 
 from __future__ import annotations
@@ -39,80 +41,109 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from caldim.llm.common import prepare, stored, text_of, utf8
+from caldim.llm.blocks import (
+    LISTS,
+    NO_ID,
+    Hasher,
+    Names,
+    Runs,
+    answered,
+    bits,
+    blocks_of,
+    buckets_for,
+    flags,
+    gather,
+    ids_of,
+    ids_packed,
+    kept,
+    low,
+    name_lists,
+    owned,
+    owned_lists,
+    parts,
+    repeated,
+    rows_of,
+    said,
+)
+from caldim.llm.common import prepare
+from caldim.llm.turns import batch
 
 #: Bytes of the substrings among which a window's minimizer is chosen.
 GRAM = 20
-#: Minimizers with this many documents or more are listed as frequent, the most
-#: frequent first, FREQUENT_MOST of them at most (8 bytes each).
-FREQUENT, FREQUENT_MOST = 20_000, 200_000
+#: Bytes of the contexts of one minimizer that a task sorts at most.
+MOST = 1 << 18
 #: Bytes that are hashed, and bytes of contexts that are sorted, at once.
 SLICE, SORT = 1 << 20, 1 << 18
-NO_ID = (1 << 63) - 1
-_LOW = np.uint64((1 << 20) - 1)
 
+__all__ = ["NO_ID", "dedup", "equal_runs", "suffix_ranks"]
 
-def _byte_hashes() -> np.ndarray:
-    return np.random.default_rng(50).integers(0, 1 << 63, 256, np.uint64) * np.uint64(2) + np.uint64(1)
 
-
-_BYTES = _byte_hashes()
-
-
-def _join(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    x = a * np.uint64(0x9E3779B97F4A7C15) + b
-    x ^= x >> np.uint64(29)
-    x *= np.uint64(0xBF58476D1CE4E5B9)
-    x ^= x >> np.uint64(32)
-    return x
-
-
-def _grams(h: np.ndarray) -> np.ndarray:
-    """Hashes of the GRAM-byte substrings, from those of their halves, and so on."""
-    sized, size, out, have = h, 1, None, 0
-    while True:
-        if GRAM & size:
-            out = sized if out is None else _join(sized[: len(out) - size], out[size:][: len(sized)])
-            have += size
-        if have == GRAM:
-            return out
-        sized, size = _join(sized[: len(sized) - size], sized[size:]), 2 * size
-
-
-def contexts_of(raw: np.ndarray, off: np.ndarray, length: int):
-    """(document, key, first window, windows) arrays of one slice of documents:
-    runs of windows with the same minimizer, places within the document."""
-    none = (np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64))
-    base, n = off[0], int(off[-1] - off[0])
-    if n < length:
-        return none
-    h = _grams(_BYTES[raw[base : base + n]])
-    doc = np.repeat(np.arange(len(off) - 1), np.diff(off))
-    place = np.arange(n) - (off[:-1] - base)[doc]
-    h = (h & ~_LOW) | (place[: len(h)].astype(np.uint64) & _LOW)
+def _minimizers(raw: np.ndarray, off: np.ndarray, length: int):
+    """(first window, windows, key) of each context of some documents: runs of
+    windows with the same minimizer, places in ``raw``."""
+    n = len(raw) - length + 1
+    if n <= 0:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64)
+    h = Hasher(raw, 1).all(GRAM)
     width, have = length - GRAM + 1, 1
     while have * 2 <= width:
         h = np.minimum(h[: len(h) - have], h[have:])
         have *= 2
     if have < width:
         h = np.minimum(h[: len(h) - (width - have)], h[width - have :])
-    starts = np.nonzero(place[: len(h)] + length <= np.diff(off)[doc[: len(h)]])[0]
-    if not len(starts):
-        return none
-    h = h[starts]
-    new = np.ones(len(starts), bool)
-    new[1:] = (h[1:] != h[:-1]) | (np.diff(starts) != 1) | (doc[starts[1:]] != doc[starts[:-1]])
+    # windows stay within a document
+    inside = np.zeros(n + 1, np.int8)
+    sizes = np.diff(off) - length + 1
+    held = sizes > 0
+    inside[off[:-1][held]] += 1
+    inside[off[:-1][held] + sizes[held]] -= 1
+    inside = np.cumsum(inside[:-1], dtype=np.int8).astype(bool)
+    new = inside.copy()
+    new[1:] &= (h[1:] != h[:-1]) | ~inside[:-1]
+    new[off[:-1][held]] = True
     first = np.nonzero(new)[0]
-    return doc[starts[first]], h[first] >> np.uint64(20), place[starts[first]], np.diff(np.append(first, len(starts)))
+    ends = np.zeros(n + 1, bool)  # a context ends before the next one, or with its document's windows
+    ends[first] = True
+    ends[off[:-1][held] + sizes[held]] = True
+    stops = np.nonzero(ends)[0]
+    return first, stops[np.searchsorted(stops, first, "right")] - first, h[first]
+
+
+def _slices(off: np.ndarray, length: int):
+    """(rows, start, stop, ends) of pieces of a block of about SLICE bytes: some
+    texts, or a part of one (neighbours share ``length`` - 1 bytes)."""
+    at, n = 0, len(off) - 1
+    while at < n:
+        to = max(at + 1, int(np.searchsorted(off, off[at] + SLICE, "right")) - 1)
+        start, stop = int(off[at]), int(off[to])
+        if stop - start <= 2 * SLICE:
+            yield start, stop, off[at : to + 1] - start
+        else:
+            for a in range(start, stop - length + 1, SLICE):
+                e = min(stop, a + SLICE + length - 1)
+                yield a, e, np.array([0, e - a])
+        at = to
+
+
+class Contexts:
+    """Contexts of a block: first window (place in the block), windows, row, key."""
+
+    def __init__(self, off: np.ndarray, raw: np.ndarray, length: int, second: bool = False):
+        found = []
+        for start, stop, ends in _slices(off, length):
+            part = raw[start:stop]
+            first, windows, key = _minimizers(part, ends, length)
+            name = Hasher(part, 2).of(first, first + windows + length - 1) if second and len(first) else key
+            found.append((first + start, windows, key, name))
+        none = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.uint64))]
+        self.first, self.windows, self.key, self.name = (np.concatenate(x) for x in zip(*(found or none), strict=True))
+        self.row = np.searchsorted(off, self.first, "right") - 1
 
+    def names(self, buckets: int) -> Names:
+        return Names(self.key & _FIVE | (self.key >> np.uint64(24)) & ~_FIVE, self.row, buckets)
 
-def _slices(off: np.ndarray):
-    """Runs of documents of about SLICE bytes; a longer document is one run."""
-    at = 0
-    while at < len(off) - 1:
-        end = max(at + 1, int(np.searchsorted(off, off[at] + SLICE, "right")) - 1)
-        yield at, end
-        at = end
+
+_FIVE = np.uint64((1 << 40) - 1)
 
 
 def _triple_names(a: np.ndarray, b: np.ndarray, c: np.ndarray, most: int) -> np.ndarray:
@@ -197,237 +228,272 @@ def equal_runs(texts: list[bytes], length: int) -> tuple[np.ndarray, np.ndarray]
     return run, owner
 
 
-def _entries(rows: DataFrame, length: int, buckets: int) -> DataFrame:
-    """Minimizers of all documents, as packed arrays by bucket, and the keys
-    already known to be shared (bucket of their document)."""
+def _shared(blocks: DataFrame, length: int, buckets: int) -> DataFrame:
+    """Answers to blocks' minimizers: whether other documents have them."""
 
     def run(batches):
         for b in batches:
-            ids = b.column(0).to_numpy(zero_copy_only=False)
-            raw, off = utf8(b.column(1))
-            got = []
-            for a, e in _slices(off):
-                doc, key, _, _ = contexts_of(raw, off[a : e + 1], length)
-                got.append((ids[doc + a], key))
-            if not got:
-                continue
-            doc, key = (np.concatenate(x) for x in zip(*got, strict=True))
-            order = np.lexsort((doc, key))
-            doc, key = doc[order], key[order]
-            fresh = np.ones(len(key), bool)
-            fresh[1:] = (key[1:] != key[:-1]) | (doc[1:] != doc[:-1])
-            doc, key = doc[fresh], key[fresh]  # one for each document and key
-            first = np.nonzero(np.concatenate(([True], key[1:] != key[:-1])))[0] if len(key) else np.zeros(0, np.int64)
-            weight = np.diff(np.append(first, len(key)))
-            many = np.repeat(weight > 1, weight)
-            out = [(int(d) % buckets, int(d), k.tobytes(), 0) for d, k in _by_document(doc[many], key[many])]
-            doc, key = doc[first], key[first]
-            bucket = (key % np.uint64(buckets)).astype(np.int64)
-            order = np.lexsort((doc, bucket))
-            cuts = np.searchsorted(bucket[order], np.arange(buckets + 1))
-            for k in range(buckets):
-                at = order[cuts[k] : cuts[k + 1]]
-                if len(at):
-                    packed = key[at].tobytes() + doc[at].tobytes() + weight[at].astype("<u4").tobytes()
-                    out.append((k, None, packed, len(at)))
-            cols = list(zip(*out, strict=True)) or [(), (), (), ()]
-            types = (pa.int64(), pa.int64(), pa.binary(), pa.int64())
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types, strict=True)], names=["bucket", "o", "data", "n"])
-
-    return rows.select("o", "text").mapInArrow(run, "bucket long, o long, data binary, n long")
-
-
-def _by_document(doc: np.ndarray, key: np.ndarray):
-    order = np.argsort(doc, kind="stable")
-    doc, key = doc[order], key[order]
-    cuts = np.nonzero(np.diff(doc))[0] + 1
-    for d, k in zip(np.split(doc, cuts), np.split(key, cuts), strict=True):
-        if len(d):
-            yield d[0], k
-
-
-def shared_keys(rows: DataFrame, length: int) -> DataFrame:
-    """(o, keys, weight): for each document the minimizers that others have too
-    (packed), and, with o null, frequent minimizers with their documents."""
-    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    entries = _entries(rows, length, 4 * parts)
-
-    def meet(held):
-        key = np.concatenate([np.frombuffer(d, np.uint64, n) for d, n in held])
-        doc = np.concatenate([np.frombuffer(d, np.int64, n, 8 * n) for d, n in held])
-        weight = np.concatenate([np.frombuffer(d, "<u4", n, 16 * n) for d, n in held]).astype(np.int64)
-        order = np.argsort(key, kind="stable")
-        key, doc, weight = key[order], doc[order], weight[order]
-        first = np.nonzero(np.concatenate(([True], key[1:] != key[:-1])))[0]
-        total = np.add.reduceat(weight, first)
-        differ = np.minimum.reduceat(doc, first) != np.maximum.reduceat(doc, first)
-        many = np.repeat(differ, np.diff(np.append(first, len(key))))
-        out = [(int(d), k.tobytes(), 0) for d, k in _by_document(doc[many], key[many])]
-        hot = total >= FREQUENT
-        return out + [(None, k.tobytes(), int(w)) for k, w in zip(key[first][hot], total[hot], strict=True)]
+            for block, ids, off, raw in zip(*b.columns, strict=True):
+                *_, ends = rows_of(ids.as_py(), off.as_py())
+                yield name_lists(block.as_py(), Contexts(ends, _bytes(raw), length).names(buckets), 5)
+
+    return gather(blocks.mapInArrow(run, LISTS), repeated(5))
+
 
+def _bytes(value: pa.Scalar) -> np.ndarray:
+    return np.frombuffer(value.as_buffer(), np.uint8) if value.as_buffer().size else np.zeros(0, np.uint8)
+
+
+_HELD = pa.schema([(c, pa.int64() if c == "block" else pa.binary()) for c in ("block", "ids", "off", "first", "windows", "key", "name")])
+HELD = "block long, ids binary, off binary, first binary, windows binary, key binary, name binary"
+
+
+class Held:
+    """Contexts with shared minimizers, as they are stored: first windows by their distance."""
+
+    def __init__(self, ids, off, first, windows, key, name):
+        self.owners, _, self.off = rows_of(ids, off)
+        self.first, self.windows = np.cumsum(np.frombuffer(first, "<u4").astype(np.int64)), np.frombuffer(windows, "<u4").astype(np.int64)
+        self.key, self.name = np.frombuffer(key, "<u8"), np.frombuffer(name, "<u8")
+        self.row = np.searchsorted(self.off, self.first, "right") - 1
+        self.owner = self.owners[self.row] if len(self.row) else np.zeros(0, np.int64)
+
+    def names(self, buckets: int) -> Names:
+        """Distinct contexts; a minimizer's go to buckets by their own hash."""
+        return Names(self.key, self.row, buckets, self.name, self.key ^ self.name)
+
+
+def _held(blocks: DataFrame, answers: DataFrame, length: int, buckets: int) -> DataFrame:
     def run(batches):
-        now, held = None, []
         for b in batches:
-            out = []
-            for bucket, o, data, n in zip(*(c.to_pylist() for c in b.columns), strict=True):
-                if n == 0:
-                    out.append((o, data, 0))
-                    continue
-                if bucket != now and held:
-                    out += meet(held)
-                    held = []
-                now = bucket
-                held.append((data, n))
-            yield _rows(out)
-        if held:
-            yield _rows(meet(held))
-
-    def _rows(out):
-        cols = list(zip(*out, strict=True)) or [(), (), ()]
-        types = (pa.int64(), pa.binary(), pa.int64())
-        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types, strict=True)], names=["o", "keys", "weight"])
-
-    spread = entries.repartition(parts, "bucket").sortWithinPartitions("bucket")
-    return stored(spread.mapInArrow(run, "o long, keys binary, weight long"), "shared-minimizers")
-
-
-CONTEXT = "key long, o long, h long, s long, n long, ctx binary"
-SPAN = "o long, h long, a long, b long"
-
-
-def _contexts(rows: DataFrame, shared: DataFrame, length: int) -> DataFrame:
-    """Contexts with shared minimizers (CONTEXT); without ctx: already covered."""
-    frequent = shared.filter("o is null").orderBy(F.desc("weight"), "keys").limit(FREQUENT_MOST).select("keys").collect()
-    hot = np.sort(np.array([np.frombuffer(r[0], np.uint64)[0] for r in frequent], np.uint64))
-    hot = rows.sparkSession.sparkContext.broadcast(hot)
-    marks = shared.filter("o is not null").groupBy("o").agg(F.collect_list("keys").alias("keys"))
-    joined = rows.join(marks, "o").select("o", "h", "text", "keys")
+            for block, ids, off, raw, answer in zip(*b.columns, strict=True):
+                *_, ends = rows_of(ids.as_py(), off.as_py())
+                found = Contexts(ends, _bytes(raw), length, True)
+                use = found.names(buckets).spread(said(answer.as_py()))
+                first = np.diff(found.first[use], prepend=0).astype("<u4")
+                yield batch(
+                    [(
+                        block.as_py(), ids.as_py(), off.as_py(), first.tobytes(), found.windows[use].astype("<u4").tobytes(),
+                        found.key[use].astype("<u8").tobytes(), found.name[use].astype("<u8").tobytes(),
+                    )],
+                    _HELD,
+                )
+
+    return kept(answered(blocks, answers).select("block", "ids", "off", "raw", "answers").mapInArrow(run, HELD), "contexts")
+
+
+def _first_owners(held: DataFrame, buckets: int) -> DataFrame:
+    """Answers to contexts: whether a smaller document has an equal one."""
 
     def run(batches):
-        frequent = hot.value
         for b in batches:
-            ids, hashes = (b.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
-            raw, off = utf8(b.column(2))
-            found: dict[bytes, list] = {}
-            for a, e in _slices(off):
-                doc, key, first, count = contexts_of(raw, off[a : e + 1], length)
-                cuts = np.searchsorted(doc, np.arange(e - a + 1))
-                for d in range(e - a):
-                    mine = slice(cuts[d], cuts[d + 1])
-                    marked = np.frombuffer(b"".join(b.column(3)[a + d].as_py()), np.uint64)
-                    use = np.isin(key[mine], marked)
-                    keys = key[mine][use]
-                    body = raw[off[a + d] : off[a + d + 1]].tobytes()
-                    often = np.isin(keys, frequent).tolist()
-                    for k, f, c, hot_key in zip(keys.tolist(), first[mine][use].tolist(), count[mine][use].tolist(), often, strict=True):
-                        if hot_key:
-                            for w in range(f, f + c):
-                                found.setdefault(body[w : w + length], []).append((a + d, w, 1, None))
-                        else:
-                            found.setdefault(body[f : f + c - 1 + length], []).append((a + d, f, c, k))
-            out, known = [], {}
-            for ctx, places in found.items():
-                least = min(ids[p[0]] for p in places)
-                for d, f, c, k in places:
-                    if ids[d] > least:
-                        known.setdefault(d, []).append((f, c))
-                    else:
-                        key = _window_key(ctx) if k is None else k
-                        out.append((key, ids[d], hashes[d], f, c, ctx))
-                if len(out) > 20_000:
-                    yield _table(out, CONTEXT)
-                    out = []
-            for d, runs in known.items():
-                out += [(int(hashes[d]) ^ int(ids[d]), ids[d], hashes[d], f, c, None) for f, c in _merged(runs)]
-            yield _table(out, CONTEXT)
-
-    return joined.mapInArrow(run, CONTEXT)
-
-
-def _merged(runs: list[tuple[int, int]]) -> list[tuple[int, int]]:
-    """Runs (first window, windows) in order, those that meet as one."""
-    out: list[tuple[int, int]] = []
-    for f, c in sorted(runs):
-        if out and f <= out[-1][0] + out[-1][1]:
-            first = out[-1][0]
-            out[-1] = (first, max(out[-1][1], f + c - first))
-        else:
-            out.append((f, c))
-    return out
+            for block, *rest in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                contexts = Held(*rest)
+                found = contexts.names(buckets)
+                yield owned_lists(block, found, found.least(contexts.owner))
 
+    return gather(held.mapInArrow(run, LISTS), owned)
 
-def _window_key(window: bytes) -> int:
-    return -1 - int.from_bytes(hashlib.blake2b(window, digest_size=7).digest(), "little")
 
+_LEFT = pa.schema([(c, pa.int64() if c == "block" else pa.binary()) for c in ("block", "gone_a", "gone_b", "at", "windows", "key", "owner")])
+LEFT = "block long, gone_a binary, gone_b binary, at binary, windows binary, key binary, owner binary"
 
-def _table(rows: list[tuple], ddl: str) -> pa.RecordBatch:
-    names = [f.split(" ") for f in ddl.split(", ")]
-    cols = list(zip(*rows, strict=True)) or [()] * len(names)
-    types = [pa.int64() if kind == "long" else pa.binary() for _, kind in names]
-    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types, strict=True)], names=[n for n, _ in names])
 
+def _left(held: DataFrame, answers: DataFrame, length: int, buckets: int) -> DataFrame:
+    """Spans that equal contexts cover whole, and the contexts that are left, the
+    smallest documents' ones."""
 
-def covered(groups: list[dict[bytes, list]], length: int) -> list[tuple]:
-    """SPAN rows of some keys' contexts; a group maps a context to its places
-    (o, h, first window, windows)."""
-    out, texts, owners, least = [], [], [], []
-    for group in groups:
-        for ctx, places in group.items():
-            low = min(p[0] for p in places)
-            out += [(o, h, s, s + n - 1 + length) for o, h, s, n in places if o > low]
-            if len(group) > 1:
-                texts.append(ctx)
-                owners.append([p for p in places if p[0] == low])
-                least.append(low)
-    if not texts:
-        return out
-    run, owner = equal_runs(texts, length)
-    mine = np.array(least, np.int64)[owner]
-    low = np.full(run.max() + 1, NO_ID, np.int64)
-    np.minimum.at(low, run, mine)
-    dup = low[run] < mine
-    # runs of covered windows within a context
-    edge = np.diff(np.concatenate(([0], dup.astype(np.int8), [0])))
-    change = np.nonzero(np.diff(owner))[0] + 1
-    starts, ends = np.nonzero(edge == 1)[0], np.nonzero(edge == -1)[0]
-    begin = np.searchsorted(owner, np.arange(len(texts)))
-    cuts = np.unique(np.concatenate((starts, change[dup[change] & dup[change - 1]]))) if len(change) else starts
-    stops = np.unique(np.concatenate((ends, change[dup[change] & dup[change - 1]]))) if len(change) else ends
-    for a, b in zip(cuts.tolist(), stops.tolist(), strict=True):
-        k = owner[a]
-        for o, h, s, _ in owners[k]:
-            at = s + a - int(begin[k])
-            out.append((o, h, at, at + b - a - 1 + length))
-    return out
+    def run(batches):
+        for b in batches:
+            for block, *rest, answer in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                contexts = Held(*rest)
+                found = contexts.names(buckets)
+                least = found.spread(found.least(contexts.owner))
+                smaller = found.spread(said(answer, 1))
+                gone = smaller | (contexts.owner > least)
+                a, e = _merged(contexts.first[gone], contexts.first[gone] + contexts.windows[gone] + length - 1)
+                use = ~smaller & (contexts.owner == least)
+                yield batch(
+                    [(
+                        block, a.astype("<i8").tobytes(), e.astype("<i8").tobytes(), contexts.first[use].astype("<i8").tobytes(),
+                        contexts.windows[use].astype("<i8").tobytes(), contexts.key[use].astype("<u8").tobytes(), contexts.owner[use].astype("<i8").tobytes(),
+                    )],
+                    _LEFT,
+                )
+
+    return kept(answered(held, answers).select(*held.columns, "answers").mapInArrow(run, LEFT), "contexts-left")
+
+
+def _merged(a: np.ndarray, e: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Spans in order of their starts, those that meet as one."""
+    order = np.argsort(a, kind="stable")
+    a, e = a[order], e[order]
+    reach = np.maximum.accumulate(e) if len(e) else e
+    new = np.ones(len(a), bool)
+    new[1:] = a[1:] > reach[:-1]
+    first = np.nonzero(new)[0]
+    return a[first], reach[np.append(first[1:], len(a)) - 1] if len(a) else e
+
+
+class Left:
+    """Contexts that are left, as they are stored."""
+
+    def __init__(self, at, windows, key, owner):
+        self.at, self.windows = np.frombuffer(at, "<i8"), np.frombuffer(windows, "<i8")
+        self.key, self.owner = np.frombuffer(key, "<u8"), np.frombuffer(owner, "<i8")
 
+    def names(self, buckets: int) -> Names:
+        return Names(self.key, np.zeros(len(self.key), np.int64), buckets)
 
-def spans(rows: DataFrame, length: int) -> DataFrame:
-    """(o, h, a, b): byte ranges that go, of document (o, h)."""
-    contexts = _contexts(rows, shared_keys(rows, length), length)
+
+def _crowds(left: DataFrame, length: int, buckets: int) -> DataFrame:
+    """Answers to the minimizers of the contexts that are left: whether there are
+    two or more, and more bytes of them than a task sorts."""
 
     def run(batches):
-        now, groups, size = None, [], 0
         for b in batches:
-            out = []
-            for key, o, h, s, n, ctx in zip(*(c.to_pylist() for c in b.columns), strict=True):
-                if ctx is None:
-                    out.append((o, h, s, s + n - 1 + length))
-                    continue
-                if key != now:
-                    if size > SORT:
-                        out += covered(groups, length)
-                        groups, size = [], 0
-                    groups.append({})
-                    now = key
-                places = groups[-1].setdefault(ctx, [])
-                if not places:
-                    size += len(ctx)
-                places.append((o, h, s, n))
-            yield _table(out, SPAN)
-        yield _table(covered(groups, length), SPAN)
-
-    return stored(contexts.repartition("key").sortWithinPartitions("key").mapInArrow(run, SPAN), "covered-spans")
+            for block, *rest in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                contexts = Left(*rest)
+                found = contexts.names(buckets)
+                count, size = found.times().astype("<i8"), found.total(contexts.windows + length - 1).astype("<i8")
+                yield batch(
+                    [
+                        (block, k, e - a, low(found.names[a:e], 8) + count[a:e].tobytes() + size[a:e].tobytes())
+                        for k, a, e in found.lists()
+                    ],
+                    _LISTS,
+                )
+
+    def answer(lists):
+        runs = Runs(np.concatenate([np.frombuffer(data, "<u8", n) for n, data in lists]))
+        count, size = (
+            runs.spread(runs.over(np.add, np.concatenate([np.frombuffer(data, "<i8", n, at * n) for n, data in lists]))) for at in (8, 16)
+        )
+        return [bits(c > 1) + bits(s > MOST) for c, s in zip(parts(lists, count), parts(lists, size), strict=True)]
+
+    return gather(left.select("block", "at", "windows", "key", "owner").mapInArrow(run, LISTS), answer)
+
+
+_LISTS = pa.schema([("block", pa.int64()), ("bucket", pa.int64()), ("n", pa.int64()), ("data", pa.binary())])
+
+
+def _texts(left: DataFrame, crowds: DataFrame, blocks: DataFrame, length: int, buckets: int) -> DataFrame:
+    """LISTS of the contexts to be compared, packed with their texts (kind 0), or
+    those of crowded minimizers by the names of their windows (kind 1)."""
+
+    def run(batches):
+        for b in batches:
+            for block, *rest, answer, raw in zip(*b.columns, strict=True):
+                block, raw = block.as_py(), _bytes(raw)
+                contexts = Left(*(x.as_py() for x in rest))
+                found = contexts.names(buckets)
+                answer = answer.as_py()
+                several, crowd = found.spread(said(answer)), found.spread(said(answer, 1))
+                out = []
+                use = np.nonzero(several & ~crowd)[0]
+                bucket = ((contexts.key[use] >> np.uint64(40)) % np.uint64(buckets)).astype(np.int64)
+                order = np.lexsort((contexts.at[use], contexts.key[use], bucket))
+                use, bucket = use[order], bucket[order]
+                cuts = np.concatenate(([0], np.nonzero(np.diff(bucket))[0] + 1, [len(use)]))
+                for x, y in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
+                    if y > x:
+                        mine = use[x:y]
+                        sizes = (contexts.windows[mine] + length - 1).astype("<u4")
+                        texts = b"".join(raw[p : p + n].tobytes() for p, n in zip(contexts.at[mine].tolist(), sizes.tolist(), strict=True))
+                        data = low(contexts.key[mine], 8) + ids_packed(contexts.owner[mine]) + contexts.at[mine].astype("<i8").tobytes()
+                        out.append((0, block, int(bucket[x]), y - x, data + sizes.tobytes() + texts))
+                for k, bucket, n, data in zip(*_window_lists(contexts, crowd, raw, block, length, buckets), strict=True):
+                    out.append((1, k, bucket, n, data))
+                yield batch(out, pa.schema([("kind", pa.int32()), *_LISTS]))
+
+    rows = answered(left.select("block", "at", "windows", "key", "owner"), crowds).join(blocks.select("block", "raw"), "block")
+    rows = rows.select("block", "at", "windows", "key", "owner", "answers", "raw")
+    return kept(rows.mapInArrow(run, "kind int, " + LISTS), "context-texts")
+
+
+def _windows_of(contexts: Left, crowd: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places and owners of the windows of some contexts."""
+    use = np.nonzero(crowd)[0]
+    times = contexts.windows[use]
+    ends = np.cumsum(times)
+    places = np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(contexts.at[use] - (ends - times), times)
+    return places, np.repeat(contexts.owner[use], times)
+
+
+def _window_names(contexts: Left, crowd: np.ndarray, raw: np.ndarray, length: int, buckets: int):
+    places, owner = _windows_of(contexts, crowd)
+    first, second = np.empty(len(places), np.uint64), np.empty(len(places), np.uint64)
+    view = np.lib.stride_tricks.sliding_window_view(raw, length) if len(raw) >= length else raw.reshape(0, 1)
+    for at in range(0, len(places), 1 << 14):
+        texts = np.ascontiguousarray(view[places[at : at + (1 << 14)]]).reshape(-1)
+        starts = np.arange(len(texts) // length) * length
+        for seed, out in ((3, first), (4, second)):
+            out[at : at + len(starts)] = Hasher(texts, seed).of(starts, starts + length)
+    return places, owner, Names(first, np.zeros(len(places), np.int64), buckets, second)
+
+
+def _window_lists(contexts: Left, crowd: np.ndarray, raw: np.ndarray, block: int, length: int, buckets: int) -> list:
+    if not crowd.any():
+        return [[], [], [], []]
+    _, owner, found = _window_names(contexts, crowd, raw, length, buckets)
+    return [c.to_pylist() for c in owned_lists(block, found, found.least(owner)).columns]
+
+
+def covered(keys: np.ndarray, owners: np.ndarray, texts: list[bytes], length: int) -> list[tuple[int, int, int]]:
+    """(context, from, to): bytes of contexts that windows of others with smaller
+    owners cover. Contexts come by key; those of one key can have equal windows."""
+    out: list[tuple[int, int, int]] = []
+    cuts = np.concatenate((np.nonzero(np.concatenate(([True], keys[1:] != keys[:-1])))[0], [len(keys)])).tolist()
+    at, size, group = 0, 0, 0
+    for group in range(len(cuts) - 1):
+        size += sum(len(t) for t in texts[cuts[group] : cuts[group + 1]])
+        if size > SORT or group == len(cuts) - 2:
+            low_, high_ = cuts[at], cuts[group + 1]
+            out += [(c + low_, a, e) for c, a, e in _covered(owners[low_:high_], texts[low_:high_], length)]
+            at, size = group + 1, 0
+    return out
+
+
+def _covered(owners: np.ndarray, texts: list[bytes], length: int) -> list[tuple[int, int, int]]:
+    run, owner = equal_runs(texts, length)
+    mine = owners[owner]
+    least = np.full(run.max() + 1, NO_ID, np.int64)
+    np.minimum.at(least, run, mine)
+    dup = least[run] < mine
+    begin = np.searchsorted(owner, np.arange(len(texts)))
+    # runs of covered windows within a context
+    start, stop = dup.copy(), dup.copy()
+    same = owner[1:] == owner[:-1]
+    start[1:] &= ~(dup[:-1] & same)
+    stop[:-1] &= ~(dup[1:] & same)
+    a, e = np.nonzero(start)[0], np.nonzero(stop)[0]
+    at = begin[owner[a]]
+    return list(zip(owner[a].tolist(), (a - at).tolist(), (e - at + length).tolist(), strict=True))
+
+
+def _sorted(texts: DataFrame, length: int) -> DataFrame:
+    """Answers to packed contexts: covered spans (places in the block)."""
+
+    def answer(lists):
+        keys, owners, places, texts, which = [], [], [], [], []
+        for k, (n, data) in enumerate(lists):
+            keys.append(np.frombuffer(data, "<u8", n))
+            ids, at = ids_of(data, n, 8 * n)
+            owners.append(ids)
+            places.append(np.frombuffer(data, "<i8", n, at))
+            ends = np.cumsum(np.frombuffer(data, "<u4", n, at + 8 * n).astype(np.int64)) + at + 12 * n
+            texts += [data[a:e] for a, e in zip([at + 12 * n, *ends[:-1].tolist()], ends.tolist(), strict=True)]
+            which.append(np.full(n, k))
+        keys, owners, places, which = (np.concatenate(x) for x in (keys, owners, places, which))
+        order = np.argsort(keys, kind="stable")
+        found = covered(keys[order], owners[order], [texts[i] for i in order.tolist()], length)
+        spans: list[list] = [[] for _ in lists]
+        for c, a, e in found:
+            i = order[c]
+            spans[which[i]].append((int(places[i]) + a, int(places[i]) + e))
+        return [np.array(s, "<i8").reshape(-1, 2).tobytes() for s in spans]
+
+    return gather(texts.filter("kind = 0").drop("kind"), answer)
 
 
 def dedup(docs: DataFrame, length: int = 50, keep_text: bool = False) -> DataFrame:
@@ -436,40 +502,62 @@ def dedup(docs: DataFrame, length: int = 50, keep_text: bool = False) -> DataFra
     if length < GRAM:
         raise ValueError(f"strings have {GRAM} bytes at least")
     prepare(docs.sparkSession)
-    rows = docs.select("doc_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("o"), text_of().alias("text"))
-    rows = rows.withColumn("h", F.xxhash64("text"))
-    gone = spans(rows.select("o", "h", "text"), length)
-    gone = gone.groupBy("o", "h").agg(F.sort_array(F.collect_set(F.struct("a", "b"))).alias("spans"))
-    both = rows.join(gone, ["o", "h"], "left").select("doc_id", F.col("text").cast("binary").alias("text"), "spans")
-    schema = docs.select(
-        "doc_id",
-        *(F.lit(0).cast("long").alias(c) for c in ("n_bytes", "n_removed", "n_spans")),
-        F.lit("").alias("kept_sha256"),
-        *([F.lit(b"").alias("kept")] if keep_text else []),
-    ).schema
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    blocks = blocks_of(docs)
+    buckets = buckets_for(blocks)
+    held = _held(blocks, _shared(blocks, length, buckets), length, buckets)
+    left = _left(held, _first_owners(held, buckets), length, buckets)
+    crowds = _crowds(left, length, buckets)
+    texts = _texts(left, crowds, blocks, length, buckets)
+    sorted_spans = _sorted(texts, length)
+    windows = gather(texts.filter("kind = 1").drop("kind"), owned)
+    both = answered(answered(left, crowds, "crowds"), windows, "windows_said")
+    spans = sorted_spans.groupBy("block").agg(F.collect_list("data").alias("spans"))
+    both = both.join(spans, "block", "left").join(blocks, "block")
+    both = both.select("ids", "off", "raw", "gone_a", "gone_b", "at", "windows", "key", "owner", "crowds", "windows_said", "spans")
+    schema = pa.schema([
+        ("o", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept_sha256", pa.string()),
+        ("kept", pa.binary()),
+    ])
 
     def run(batches):
         for b in batches:
-            out = []
-            for text, found in zip(b.column(1), b.column(2), strict=True):
-                text, at, runs, kept = text.as_py(), 0, 0, []
-                removed = 0
-                for span in found.as_py() or ():
-                    a, e = span["a"], span["b"]
-                    if a > at or not runs:
-                        kept.append(text[at:a])
-                        runs += 1
-                        removed += e - a
-                        at = e
-                    elif e > at:
-                        removed += e - at
-                        at = e
-                kept.append(text[at:])
-                rest = b"".join(kept)
-                out.append((len(text), removed, runs, hashlib.sha256(rest).hexdigest(), rest))
-            cols = list(zip(*out, strict=True)) or [()] * 5
-            types = [pa.int64()] * 3 + [pa.string(), pa.binary()]
-            arrays = [pa.array(c, t) for c, t in zip(cols, types, strict=True)]
-            yield pa.RecordBatch.from_arrays([b.column(0), *arrays[: 4 + keep_text]], names=schema.names)
-
-    return both.mapInArrow(run, schema)
+            for ids, off, raw, gone_a, gone_b, *rest, crowd, answers, spans in zip(*b.columns, strict=True):
+                owners, none, ends = rows_of(ids.as_py(), off.as_py())
+                raw = _bytes(raw)
+                found = [np.stack([np.frombuffer(x.as_py(), "<i8") for x in (gone_a, gone_b)], 1)]
+                found += [np.frombuffer(s, "<i8").reshape(-1, 2) for s in spans.as_py() or ()]
+                answers = answers.as_py()
+                if answers:
+                    contexts = Left(*(x.as_py() for x in rest))
+                    many = contexts.names(buckets).spread(said(crowd.as_py(), 1))
+                    places, owner, names = _window_names(contexts, many, raw, length, buckets)
+                    gone = names.spread(said(answers, 1)) | (owner > names.spread(names.least(owner)))
+                    found.append(np.stack((places[gone], places[gone] + length), 1))
+                yield batch(list(_digests(raw, ends, owners, none, np.concatenate(found), keep_text)), schema)
+
+    ddl = "o long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary"
+    out = kept(both.mapInArrow(run, ddl), "kept-bytes")
+    return out.select(F.col("o").cast(kind).alias("doc_id"), "n_bytes", "n_removed", "n_spans", "kept_sha256", *(["kept"] if keep_text else []))
+
+
+def _digests(raw, off, owners, none, spans, keep_text):
+    change = np.zeros(len(raw) + 1, np.int64)
+    np.add.at(change, spans[:, 0], 1)
+    np.add.at(change, spans[:, 1], -1)
+    gone = np.cumsum(change[:-1]) > 0
+    start = gone.copy()
+    start[1:] &= ~gone[:-1]
+    inner = off[:-1][(off[:-1] < len(raw)) & (np.diff(off) > 0)]
+    start[inner] = gone[inner]
+    removed = np.concatenate(([0], np.cumsum(gone, dtype=np.int64)))[off]
+    runs = np.concatenate(([0], np.cumsum(start, dtype=np.int64)))[off]
+    rest, at = raw[~gone].tobytes(), 0
+    for k in range(len(owners)):
+        size, lost = int(off[k + 1] - off[k]), int(removed[k + 1] - removed[k])
+        text = rest[at : at + size - lost]
+        at += size - lost
+        yield (
+            None if none[k] else int(owners[k]), size, lost, int(runs[k + 1] - runs[k]), hashlib.sha256(text).hexdigest(),
+            text if keep_text else None,
+        )

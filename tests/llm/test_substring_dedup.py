@@ -9,6 +9,7 @@ import pytest
 from llm_fixtures import SF0001, documents  # noqa: F401
 from pyspark.sql import functions as F
 
+from caldim.llm import blocks as B
 from caldim.llm import substring_dedup as S
 from caldim.llm.queries import QUERIES
 
@@ -72,7 +73,7 @@ def test_query(spark):
 
 @pytest.mark.parametrize("length", [13, 2, 5])
 def test_odd_documents(documents, monkeypatch, length):
-    monkeypatch.setattr(S, "BLOCK", 2000)
+    monkeypatch.setattr(B, "BLOCK", 2000)
     monkeypatch.setattr(S, "CHUNK", 300)
     rows = some_rows(1, 60)
     rows += [(100, None), (101, ""), (102, " \t\n"), (None, rows[3][1] + " tail"), (None, rows[3][1]), (5, "again " + rows[5][1]), (-3, rows[7][1])]
@@ -89,7 +90,7 @@ def test_empty_tables(documents):
 
 
 def test_hot_passage_and_copies(documents, monkeypatch):
-    monkeypatch.setattr(S, "BLOCK", 4000)
+    monkeypatch.setattr(B, "BLOCK", 4000)
     hot = " ".join(f"hot{k}" for k in range(40))
     rows = [(k, f"start {k} {hot} end {k}") for k in range(300)] + [(1000 + k, "copy " * 30 + "of it") for k in range(100)]
     assert got(S.dedup(documents(rows).repartition(11), keep_text=True)) == expected(rows)

@@ -7,6 +7,7 @@ import pytest
 from llm_fixtures import SF0001, documents  # noqa: F401
 from pyspark.sql import functions as F
 
+from caldim.llm import blocks as B
 from caldim.llm import suffix_dedup as S
 from caldim.llm.queries import QUERIES
 
@@ -70,11 +71,14 @@ def corpus():
     return rows
 
 
-@pytest.mark.parametrize("frequent", [S.FREQUENT, 3])
-def test_matches_brute_force(documents, monkeypatch, frequent):
+@pytest.mark.parametrize(("most", "block", "part"), [(S.MOST, B.BLOCK, S.SLICE), (200, 3000, 500), (S.MOST, 20_000, 2000)])
+def test_matches_brute_force(documents, monkeypatch, most, block, part):
     """Copies, near copies, repeats, ties, nulls and repeated ids; also with
-    every minimizer of a few documents spread by its windows."""
-    monkeypatch.setattr(S, "FREQUENT", frequent)
+    every minimizer of a few bytes of contexts spread by its windows, small blocks and
+    texts cut in slices."""
+    monkeypatch.setattr(S, "MOST", most)
+    monkeypatch.setattr(B, "BLOCK", block)
+    monkeypatch.setattr(S, "SLICE", part)
     rows = corpus()
     got = digest(S.dedup(documents(rows).withColumn("n_bytes", F.lit("clash")).repartition(5)))
     assert got == brute([(NO_ID if i is None else i, t) for i, t in rows])
@@ -91,3 +95,12 @@ def test_query(spark):
     docs = spark.read.parquet(f"{SF0001}/documents.parquet")
     rows = [(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()]
     assert digest(QUERIES["op1_suffix_array_dedup"](spark, SF0001)) == brute(rows)
+
+
+def test_one_passage_in_thousands_of_documents(documents):
+    """Each continues it differently, so one minimizer has contexts without end."""
+    line = "The same sixty bytes stand in every one of these documents."
+    rows = [(k, f"{k * 7919 % 10007:09d}{line}{k * 104729 % 100003:09d}") for k in range(4000)]
+    got = {r.doc_id: r.n_removed for r in S.dedup(documents(rows).repartition(7)).collect()}
+    want = {r[0]: r[2] for r in brute(rows)}
+    assert got == want and sum(v >= 50 for v in got.values()) == 3999
