@@ -22,7 +22,7 @@ from caldim.llm.common import stored, text_of, utf8
 from caldim.llm.turns import batch, partitions
 
 #: Bytes of text in a block, bytes of text whose names a bucket gathers, bytes of an Arrow batch.
-BLOCK, BUCKET, BATCH = 2 << 20, 16 << 20, 16 << 20
+BLOCK, BUCKET, BATCH = 1 << 20, 8 << 20, 8 << 20
 NO_ID = (1 << 63) - 1
 
 _BLOCKS = pa.schema([("block", pa.int64()), ("ids", pa.binary()), ("off", pa.binary()), ("raw", pa.binary())])
@@ -149,12 +149,14 @@ class Names:
     each place's row; ``several``: names that different rows have."""
 
     def __init__(self, names: np.ndarray, row: np.ndarray, buckets: int, second: np.ndarray | None = None, by: np.ndarray | None = None):
-        """Names are equal where ``second`` is too; buckets go by ``by`` or the names."""
-        bucket = (((names if by is None else by) >> np.uint64(40)) % np.uint64(buckets)).astype(np.int64)
-        self.order = np.lexsort((names, bucket) if second is None else (second, names, bucket))
-        bucket, names, row = bucket[self.order], names[self.order], row[self.order]
+        """Names are equal where ``second`` is too; buckets are ranges of ``by`` or
+        of the names. (Should ``by`` tie for different names, a name may come
+        twice; buckets compare names whole.)"""
+        place = names if by is None else by
+        self.order = np.argsort(place)
+        names, row = names[self.order], row[self.order]
         new = np.ones(len(names), bool)
-        new[1:] = (bucket[1:] != bucket[:-1]) | (names[1:] != names[:-1])
+        new[1:] = names[1:] != names[:-1]
         if second is not None:
             second = second[self.order]
             new[1:] |= second[1:] != second[:-1]
@@ -162,7 +164,8 @@ class Names:
         self.run = np.cumsum(new) - 1
         self.names, self.second = names[self.first], None if second is None else second[self.first]
         self.several = self.least(row, True) != self.most(row, True)
-        self.bucket = bucket[self.first]
+        at = place[self.order[self.first]] >> np.uint64(32)
+        self.bucket = ((at * np.uint64(buckets)) >> np.uint64(32)).astype(np.int64)
         self.cuts = np.concatenate(([0], np.nonzero(np.diff(self.bucket))[0] + 1, [len(self.first)]))
 
     def least(self, values: np.ndarray, ordered: bool = False) -> np.ndarray:
@@ -276,14 +279,18 @@ class Runs:
     """Equal names of a bucket's lists."""
 
     def __init__(self, names: np.ndarray, second: np.ndarray | None = None):
-        self.order = np.argsort(names, kind="stable") if second is None else np.lexsort((second, names))
-        ordered = names[self.order]
+        self.order = np.argsort(names)
+        new = self._new(names)
+        if second is not None and (self._new(second) & ~new).any():  # one name, two seconds
+            self.order = np.lexsort((second, names))
+            new = self._new(names) | self._new(second)
+        self.first, self.run = np.nonzero(new)[0], np.cumsum(new) - 1
+
+    def _new(self, values: np.ndarray) -> np.ndarray:
+        ordered = values[self.order]
         new = np.ones(len(ordered), bool)
         new[1:] = ordered[1:] != ordered[:-1]
-        if second is not None:
-            ordered = second[self.order]
-            new[1:] |= ordered[1:] != ordered[:-1]
-        self.first, self.run = np.nonzero(new)[0], np.cumsum(new) - 1
+        return new
 
     def size(self) -> np.ndarray:
         return np.diff(np.append(self.first, len(self.order)))

@@ -62,8 +62,7 @@ from caldim.llm.common import prepare
 from caldim.llm.turns import batch
 
 #: Bytes that are hashed at once.
-CHUNK = 1 << 20
-_FIVE = np.uint64((1 << 40) - 1)
+CHUNK = 1 << 19
 _WHITE = np.zeros(256, bool)
 _WHITE[[0x20, *range(0x09, 0x0E)]] = True
 
@@ -129,7 +128,7 @@ def _first_names(words: Words, half: int, buckets: int) -> tuple[np.ndarray, np.
     """Places of the first level's windows, their names, and these made distinct."""
     h = windows(words.hashes(1), half)
     at = np.nonzero(_fits(words, half))[0]
-    return at, h, Names(h[at] & _FIVE | (h[at] >> np.uint64(24)) & ~_FIVE, words.row[at], buckets)
+    return at, h, Names(h[at], words.row[at], buckets)
 
 
 def _first_level(blocks: DataFrame, half: int, buckets: int) -> DataFrame:
@@ -220,10 +219,10 @@ def _decided(candidates: DataFrame, answers: DataFrame, length: int, buckets: in
                 owner = held.owners[held.row]
                 alive = found.spread(said(answers))
                 gone = found.spread(said(answers, 1)) | (owner > found.spread(found.least(owner)))
-                cover = np.zeros(held.words + 1, np.int64)
-                np.add.at(cover, held.where[gone], 1)
-                np.add.at(cover, held.where[gone] + length, -1)
-                out.append((block, int(alive.sum()), bits(alive), bits(np.cumsum(cover[:-1]) > 0)))
+                cover = np.zeros(held.words + 1, np.int8)
+                cover[held.where[gone]] += 1
+                cover[held.where[gone] + length] -= 1
+                out.append((block, int(alive.sum()), bits(alive), bits(np.cumsum(cover[:-1], dtype=np.int32) > 0)))
             yield batch(out, _STATE)
 
     rows = answered(candidates, answers).select(*_HELD, "answers")
@@ -359,8 +358,8 @@ def _kept(words: Words, keep: np.ndarray, rows: int):
     more[:-1] = row[1:] == row[:-1]
     ends = stops + more
     change = np.zeros(len(words.raw) + 2, np.int8)
-    np.add.at(change, starts, 1)
-    np.add.at(change, ends, -1)
+    change[starts] += 1
+    change[ends] -= 1
     use = np.cumsum(change[: len(words.raw)], dtype=np.int8).astype(bool)
     text = words.raw.copy()
     text[stops[more]] = 0x20

@@ -57,6 +57,7 @@ from caldim.llm.blocks import (
     ids_packed,
     kept,
     low,
+    mix,
     name_lists,
     owned,
     owned_lists,
@@ -73,7 +74,7 @@ GRAM = 20
 #: Bytes of the contexts of one minimizer that a task sorts at most.
 MOST = 1 << 18
 #: Bytes that are hashed, and bytes of contexts that are sorted, at once.
-SLICE, SORT = 1 << 20, 1 << 18
+SLICE, SORT = 1 << 19, 1 << 18
 
 __all__ = ["NO_ID", "dedup", "equal_runs", "suffix_ranks"]
 
@@ -125,6 +126,11 @@ def _slices(off: np.ndarray, length: int):
         at = to
 
 
+def _spread(key: np.ndarray) -> np.ndarray:
+    """Minimizers are small numbers; these spread over all buckets alike."""
+    return mix(key)
+
+
 class Contexts:
     """Contexts of a block: first window (place in the block), windows, row, key."""
 
@@ -140,10 +146,7 @@ class Contexts:
         self.row = np.searchsorted(off, self.first, "right") - 1
 
     def names(self, buckets: int) -> Names:
-        return Names(self.key & _FIVE | (self.key >> np.uint64(24)) & ~_FIVE, self.row, buckets)
-
-
-_FIVE = np.uint64((1 << 40) - 1)
+        return Names(_spread(self.key), self.row, buckets)
 
 
 def _triple_names(a: np.ndarray, b: np.ndarray, c: np.ndarray, most: int) -> np.ndarray:
@@ -260,7 +263,7 @@ class Held:
 
     def names(self, buckets: int) -> Names:
         """Distinct contexts; a minimizer's go to buckets by their own hash."""
-        return Names(self.key, self.row, buckets, self.name, self.key ^ self.name)
+        return Names(self.key, self.row, buckets, self.name, mix(self.key) ^ self.name)
 
 
 def _held(blocks: DataFrame, answers: DataFrame, length: int, buckets: int) -> DataFrame:
@@ -343,7 +346,7 @@ class Left:
         self.key, self.owner = np.frombuffer(key, "<u8"), np.frombuffer(owner, "<i8")
 
     def names(self, buckets: int) -> Names:
-        return Names(self.key, np.zeros(len(self.key), np.int64), buckets)
+        return Names(_spread(self.key), np.zeros(len(self.key), np.int64), buckets)
 
 
 def _crowds(left: DataFrame, length: int, buckets: int) -> DataFrame:
@@ -391,7 +394,7 @@ def _texts(left: DataFrame, crowds: DataFrame, blocks: DataFrame, length: int, b
                 several, crowd = found.spread(said(answer)), found.spread(said(answer, 1))
                 out = []
                 use = np.nonzero(several & ~crowd)[0]
-                bucket = ((contexts.key[use] >> np.uint64(40)) % np.uint64(buckets)).astype(np.int64)
+                bucket = (contexts.key[use] % np.uint64(buckets)).astype(np.int64)
                 order = np.lexsort((contexts.at[use], contexts.key[use], bucket))
                 use, bucket = use[order], bucket[order]
                 cuts = np.concatenate(([0], np.nonzero(np.diff(bucket))[0] + 1, [len(use)]))
