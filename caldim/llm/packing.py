@@ -28,15 +28,19 @@ from functools import lru_cache
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from caldim.llm.common import prepare, stored, text_of
+from caldim.llm.common import prepare, stored, text_of, utf8
 
 #: Pieces that a task packs together, on average.
 GROUP = 4096
-#: Words whose ids a worker keeps; the store is emptied when full.
-KEPT_WORDS = 200_000
+#: Words whose ids a worker keeps; the store is emptied when full. As many words
+#: without their punctuation are kept apart from it.
+KEPT_WORDS = 400_000
+#: Bytes of text that are split at once.
+SLICE = 4 << 20
 #: ASCII separators that Python splits at and the tokenizer does not. Fixed value.
 NOT_SPACE = "\x1c\x1d\x1e\x1f"
 PUNCTUATION = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
@@ -70,11 +74,11 @@ class WordTokenizer:
         keep = [*range(33, 127), *range(161, 173), *range(174, 256)]
         other = [b for b in range(256) if b not in set(keep)]
         self.chars = {b: chr(b) for b in keep} | {b: chr(256 + k) for k, b in enumerate(other)}
+        self.core: dict[str, bytes] = {}
         self._clear()
 
     def _clear(self) -> None:
         self.at = _Words(self._add)
-        self.core: dict[str, bytes] = {}
         self.ids, self.starts = array("I"), array("q", [0])
 
     def _add(self, word: str) -> int:
@@ -86,6 +90,8 @@ class WordTokenizer:
         """Ids as bytes: plain objects, which Python's garbage collector skips."""
         got = self.core.get(word)
         if got is None:
+            if len(self.core) > KEPT_WORDS:
+                self.core.clear()
             shown = word if word.isascii() else word.encode().decode("latin-1").translate(self.chars)
             got = self.core[word] = array("I", [t.id for t in self.model.tokenize(shown)]).tobytes()
         return got
@@ -101,19 +107,32 @@ class WordTokenizer:
         return array("I", self.tok.encode(word, add_special_tokens=False).ids).tobytes()
 
     def __call__(self, text: str) -> np.ndarray:
-        if any(c in text for c in NOT_SPACE):
-            return np.array(self.tok.encode(text, add_special_tokens=False).ids, np.uint32)
-        words = text.split()
-        if not words:
-            return np.zeros(0, np.uint32)
+        return self.many(pa.array([text]))[0]
+
+    def many(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of some texts in a row, and where each text's end. A batch's words
+        are made distinct first, and each distinct one is looked up once."""
+        if pc.any(pc.match_substring_regex(texts, f"[{NOT_SPACE}]")).as_py():
+            ids = [self._odd(t) for t in texts.to_pylist()]
+            return np.concatenate(ids), np.cumsum([len(x) for x in ids])
+        split = pc.utf8_split_whitespace(texts)
+        words = split.flatten().dictionary_encode()
         if len(self.at) > KEPT_WORDS:
             self._clear()
-        index = np.array(list(map(self.at.__getitem__, words)))
+        number = np.fromiter(map(self.at.__getitem__, words.dictionary.to_pylist()), np.int64, len(words.dictionary))
+        index = number[words.indices.to_numpy()]
         s, flat = np.frombuffer(self.starts, np.int64), np.frombuffer(self.ids, np.uint32)
         first = s[index]
         n = s[index + 1] - first
-        ends = np.cumsum(n)
-        return flat[np.arange(ends[-1]) + np.repeat(first - ends + n, n)]
+        ends = np.concatenate(([0], np.cumsum(n)))
+        ids = flat[np.arange(ends[-1]) + np.repeat(first - ends[:-1], n)]
+        return ids, ends[np.cumsum(pc.list_value_length(split).to_numpy())]
+
+    def _odd(self, text: str) -> np.ndarray:
+        """Ids of a text that may hold separators which the tokenizer does not split at."""
+        if any(c in text for c in NOT_SPACE):
+            return np.array(self.tok.encode(text, add_special_tokens=False).ids, np.uint32)
+        return self(text)
 
 
 @lru_cache(1)
@@ -135,15 +154,28 @@ def pieces(docs: DataFrame, path: str, capacity: int = 4096, end_id: int = 1) ->
         encode = tokenizer(path)
         for b in batches:
             row, piece, start, length, crc = [], [], [], [], []
-            for k, text in enumerate(b.column(1)):
-                ids = np.append(encode(text.as_py()), np.uint32(end_id)).astype("<u4")
-                for p, s in enumerate(range(0, len(ids), capacity)):
-                    part = ids[s : s + capacity]
-                    row.append(k)
-                    piece.append(p)
-                    start.append(s)
-                    length.append(len(part))
-                    crc.append(zlib.crc32(part.tobytes()))
+            _, off = utf8(b.column(1))
+            at = 0
+            while at < b.num_rows:
+                to = max(at + 1, int(np.searchsorted(off, off[at] + SLICE, "right")) - 1)
+                ids, ends = encode.many(b.column(1).slice(at, to - at))
+                # each text's ids, then the end id
+                rows = np.arange(to - at)
+                counts = np.diff(ends, prepend=0)
+                whole = np.full(len(ids) + len(rows), end_id, "<u4")
+                whole[np.arange(len(ids)) + np.repeat(rows, counts)] = ids
+                stops = (ends + rows + 1).tolist()
+                first = 0
+                for k, stop in enumerate(stops, at):
+                    for p, s in enumerate(range(first, stop, capacity)):
+                        part = whole[s : min(s + capacity, stop)]
+                        row.append(k)
+                        piece.append(p)
+                        start.append(s - first)
+                        length.append(len(part))
+                        crc.append(zlib.crc32(part))
+                    first = stop
+                at = to
             yield pa.RecordBatch.from_arrays(
                 [
                     b.column(0).take(pa.array(row, pa.int64())),

@@ -3,7 +3,10 @@
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from llm_fixtures import SF0001, documents  # noqa: F401
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -61,7 +64,23 @@ def test_store_of_words_is_bounded(monkeypatch):
     for k in range(20):
         text = " ".join(f"w{k}x{j}, abc" for j in range(8))
         assert own(text).tolist() == tok.encode(text, add_special_tokens=False).ids
-        assert len(own.at) <= 30
+        assert len(own.at) <= 30 and len(own.core) <= 30
+
+
+def test_batches_of_texts():
+    tok, own = Tokenizer.from_file(tokenizer_path()), P.WordTokenizer(tokenizer_path())
+    for texts in (ODD, [t for t in ODD if not any(c in t for c in P.NOT_SPACE)], ["", " ", "a", ""]):
+        ids, ends = own.many(pa.array(["before", *texts]).slice(1))
+        want = [tok.encode(t, add_special_tokens=False).ids for t in texts]
+        assert ids.tolist() == sum(want, []) and ends.tolist() == np.cumsum([len(w) for w in want]).tolist()
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.text(st.one_of(st.sampled_from("abcXYZ .,'!\n\t\x1c\x85\xa0\u2003Σσß<|>1²é"), st.characters(exclude_categories=["Cs"]))), max_size=4))
+def test_any_text(texts):
+    tok, own = Tokenizer.from_file(tokenizer_path()), P.tokenizer(tokenizer_path())
+    ids, _ = own.many(pa.array(texts, pa.string()))
+    assert ids.tolist() == sum((tok.encode(t, add_special_tokens=False).ids for t in texts), [])
 
 
 def test_query(spark):
