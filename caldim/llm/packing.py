@@ -10,8 +10,8 @@ Packing: pieces in decreasing length; a piece goes to an open sequence that has
 room in every dimension - tokens, documents and attention cost (sum of squared
 lengths) - chosen by ``rule``: "dot" takes the largest weighted dot product of
 demand and residual, "norm" the smallest weighted norm of the residual that
-would be left. With tokens as the binding dimension, "norm" is best-fit
-decreasing. A sequence is opened only if none has room.
+would be left. Tokens weigh most; documents and cost decide between sequences that
+would be left about as full. A sequence is opened only if none has room.
 
 Defined cases: null text is the empty text (its only id is the end id); a null
 doc_id keeps its row; repeated rows are packed each for itself, their doc_id
@@ -225,20 +225,20 @@ def pack(
     docs: DataFrame,
     path: str,
     capacity: int = 4096,
-    max_docs: int | None = None,
+    max_docs: int = 1024,
     max_cost: int | None = None,
     end_id: int = 1,
     rule: str = "norm",
-    weights: tuple[float, float, float] = (1.0, 0.0, 0.0),
+    weights: tuple[float, float, float] = (1.0, 0.2, 0.2),
 ) -> DataFrame:
     """(doc_id, piece, start, length, ids_crc32, sequence_id, offset).
 
-    ``max_docs`` pieces and an attention cost of ``max_cost`` fit a sequence;
-    the defaults are what its tokens allow at most (``capacity`` and
-    ``capacity`` squared), so that only tokens bind."""
+    ``max_docs`` pieces and an attention cost of ``max_cost`` fit a sequence; by
+    default that is the cost of one piece of full length, as less would not let
+    full pieces in."""
     if rule not in ("dot", "norm"):
         raise ValueError("rule is 'dot' or 'norm'")
-    max_docs, max_cost = max_docs or capacity, max_cost or capacity * capacity
+    max_cost = max_cost or capacity * capacity
     if max_cost < capacity * capacity:
         # a piece alone must fit its sequence
         capacity_of_piece = int(max_cost**0.5)
