@@ -52,6 +52,18 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """Column names that ``df`` does not have, like the given ones."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def text_of(col: str = "text") -> Column:
     """A text column as string, null as the empty text."""
     return F.coalesce(F.col(col).cast("string"), F.lit(""))

@@ -13,9 +13,10 @@ whatever the input) go to all executors, which score sparse dot products.
 
 Defined cases: null text is the empty text, scored by the intercept alone; a
 null doc_id is scored, is not held out and never trains; rows that repeat a
-doc_id are scored each; of contradicting labels the smallest counts, null
-labels do not; without any training row every score is 0.5; an empty table
-gives none; other columns are ignored.
+doc_id are scored each, and the one whose text has the smallest hash trains; of
+contradicting labels the smallest counts, null labels do not; without any
+training row every score is 0.5; an empty table gives none; other columns are
+ignored. A text takes some 60 bytes of a task's memory for each of its own.
 """
 
 from __future__ import annotations
@@ -25,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from caldim.llm.common import prepare, text_of, utf8
+from caldim.llm.common import fresh, prepare, text_of, utf8
 
 #: Places of the hashed features.
 BUCKETS = 1 << 18
@@ -114,7 +115,8 @@ def train(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> t
     marked = labels.filter("doc_id is not null and quality is not null").groupBy("doc_id").agg(F.min("quality").alias("y"))
     chosen = marked.filter(~held_out()).orderBy(F.xxhash64("doc_id"), "doc_id").limit(train_rows)
     some = docs.select("doc_id", text_of().alias("text")).join(F.broadcast(chosen), "doc_id")
-    order = some.dropDuplicates(["doc_id"]).repartition(1).sortWithinPartitions(F.xxhash64("doc_id"), "doc_id").select("text", "y")
+    one = some.groupBy("doc_id").agg(F.min(F.struct(F.xxhash64("text").alias("hash"), "text", "y")).alias("row"))
+    order = one.repartition(1).sortWithinPartitions(F.xxhash64("doc_id"), "doc_id").select("row.text", "row.y")
 
     def fit(batches):
         rows, y = [], []
@@ -131,13 +133,17 @@ def train(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> t
     return np.frombuffer(fitted[0]["w"], "<f4"), fitted[0]["b"]
 
 
-def score(docs: DataFrame, model: tuple[np.ndarray, float], threshold: float = 0.7) -> DataFrame:
-    """The documents with score (0 to 1) and predicted (1 from ``threshold``);
-    all columns of ``docs`` stay, but for clashing score or predicted."""
+def score(
+    docs: DataFrame, model: tuple[np.ndarray, float], threshold: float = 0.7, names: tuple[str, str] = ("score", "predicted")
+) -> DataFrame:
+    """The documents with score (0 to 1) and predicted (1 from ``threshold``),
+    under the given names; all columns of ``docs`` stay, but for those of these names."""
     prepare(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    rows = docs.drop("score", "predicted").withColumn("__text", text_of())
-    schema = rows.drop("__text").withColumn("score", F.lit(0.0)).withColumn("predicted", F.lit(0)).schema
+    rows = docs.drop(*names)
+    (text,) = fresh(rows, "text_")
+    schema = rows.withColumn(names[0], F.lit(0.0)).withColumn(names[1], F.lit(0)).schema
+    rows = rows.withColumn(text, text_of())
 
     def run(batches):
         w, b0 = shared.value
@@ -150,6 +156,6 @@ def score(docs: DataFrame, model: tuple[np.ndarray, float], threshold: float = 0
                 s[k] = w[at] @ x + b0
             p = 1 / (1 + np.exp(-np.clip(s, -35, 35)))
             cols = [*b.columns[:-1], pa.array(p), pa.array((p >= threshold).astype(np.int32))]
-            yield pa.RecordBatch.from_arrays(cols, names=[*b.schema.names[:-1], "score", "predicted"])
+            yield pa.RecordBatch.from_arrays(cols, names=[*b.schema.names[:-1], *names])
 
     return rows.mapInArrow(run, schema)

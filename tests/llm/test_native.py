@@ -15,7 +15,7 @@ from caldim.llm.queries import ORACLE, QUERIES
 @pytest.fixture(scope="module")
 def con():
     c = duckdb.connect()
-    for t in ("documents", "embeddings", "pages", "benchmark"):
+    for t in ("documents", "embeddings", "pages", "benchmark", "conversations"):
         c.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF0001}/{t}.parquet')")
     return c
 
@@ -41,6 +41,7 @@ def test_lines(documents):  # noqa: F811
     rows += [(100 + k, "twelve lines of ten sites each", f"s{k % 10}") for k in range(12)]
     rows += [(200 + k, "twelve lines of nine sites each", f"s{k % 9}") for k in range(12)]
     rows += [(300 + k, "short and wide", f"s{k}") for k in range(20)]
+    rows += [(500 + k, f"alone with its site {k}", f"s{k}") for k in range(50)]  # thresholds go by the number of sites
     rows += [(400, LONG + "\n\n" + LONG, "s1"), (None, LONG, "s2"), (401, None, "s3"), (402, "", "s4"), (403, "no site\n" + LONG, None), (20, LONG, "s5")]
     df = documents(rows).withColumn("key", F.lit("clash")).withColumn("salt", F.lit("clash")).withColumn("first", F.lit(1))
     got = {}
@@ -63,6 +64,24 @@ def test_sketches_and_exact_counts_agree(documents):  # noqa: F811
     assert {r.n: r.x for r in got} == {1: 0, 5: 0, 9: 0, 10: 9, 11: 10, 12: 11, 40: 39, 90: 89}
 
 
+def test_thresholds_go_by_the_number_of_sites(documents):  # noqa: F811
+    """Two sites in a table of few, a quarter, ten at most; twice as many for short lines."""
+    assert [line_dedup.thresholds(n) for n in (0, 1, 2, 8, 9, 20, 40, 1000)] == [(2, 3), (2, 3), (2, 3), (2, 4), (3, 5), (5, 10), (10, 20), (10, 50)]
+    rows = [(k, f"Home\n\nA longer line that two sites share\nown line of the document {k}", f"s{k % 2}") for k in range(6)]
+    rows += [(10 + k, f"Home\nabout\nown {k}", f"t{k}") for k in range(3)]
+    got = {r.doc_id: r.text for r in line_dedup.remove_boilerplate(documents(rows)).collect()}
+    assert got[0] == rows[0][1] and got[3] == "\nown line of the document 3"  # five sites: two, or three for short lines
+    assert got[11] == "about\nown 1".replace("about\n", "") and got[10] == "about\nown 0"
+
+
+def test_hot_lines_and_the_others_meet_alike(documents, monkeypatch):  # noqa: F811
+    monkeypatch.setattr(line_dedup, "FEW", 5)
+    monkeypatch.setattr(line_dedup, "HOT_KEYS", 10)
+    rows = [(k, f"{LONG}\na line for {k // 4} that four of them have\nown {k}", f"s{k}") for k in range(40)]
+    got = {r.doc_id: r.n_removed for r in line_dedup.remove_boilerplate(documents(rows), most_sites=3).collect()}
+    assert got == {k: (k > 0) + (k % 4 > 0) for k in range(40)}
+
+
 # secret scan
 
 

@@ -2,6 +2,7 @@
 
 import corpus_pipeline as C
 from llm_fixtures import SF001, documents  # noqa: F401
+from pyspark.sql import functions as F
 from test_decontaminate import plain as plain_windows
 from test_packing import check
 from test_simhash import plain_components, plain_fingerprint
@@ -33,8 +34,9 @@ def test_stages(spark):
             k = line.strip(" \t\r")
             sites.setdefault(k, set()).add(source[i])
             first[k] = min(first.get(k, i), i)
+    usual, short = line_dedup.thresholds(len({source[i] for i in rows[1]}))
     for i, t in rows[1].items():
-        lines = [x for x in t.split("\n") if len(k := x.strip(" \t\r")) < line_dedup.MIN_CHARS or len(sites[k]) < line_dedup.MIN_SITES or first[k] == i]
+        lines = [x for x in t.split("\n") if not (k := x.strip(" \t\r")) or len(sites[k]) < (short if len(k) < 20 else usual) or first[k] == i]
         assert rows[2][i] == "\n".join(lines)
     assert all(r.n_chars == len(r.text) for r in seen[2].collect() if rows[1][r.doc_id] != r.text)
 
@@ -63,3 +65,19 @@ def test_rows_without_an_id_or_with_a_shared_one(spark, documents):  # noqa: F81
     rows = [(None, a), (None, a), (None, a), (3, b), (3, b), (4, b), (None, b), (3, c), (4, d), (None, d)]
     assert left(C.near_duplicate_filter, rows) == sorted(map(str, [(None, a), (3, b), (3, c), (4, d)]))
     assert left(C.near_duplicate_filter, [(None, None), (None, "")]) in (["(None, None)"], ["(None, '')"])
+
+
+def test_columns_of_any_name_stay(spark, documents):  # noqa: F811
+    """Extra columns come out as they went in, whatever the stages call theirs."""
+    line = "A line that every one of these sites has in its documents."
+    rows = [(k, f"{line}\nwords of {k} alone and more of them {k * 7}", f"s{k}") for k in range(12)]
+    docs = documents(rows)
+    extra = ["score", "predicted", "n_lines", "n_removed", "row", "__row", "cut", "cut_of", "kept_lines", "__id", "__cut", "__kept", "text_", "hot", "cold", "salt", "key"]
+    for c in extra:
+        docs = docs.withColumn(c, F.concat(F.lit(c), F.col("doc_id").cast("string")))
+    for name, stage in C.STAGES[:-1]:
+        out = stage(spark, docs, SF001)
+        assert out.columns == docs.columns and out.dtypes == docs.dtypes, name
+        got = out.collect()
+        assert got or name == "quality_classifier"
+        assert all(r[c] == f"{c}{r.doc_id}" for r in got for c in extra), name
