@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from caldim.llm import decontaminate, line_dedup, packing, quality, simhash
-from caldim.llm.common import read, stored, text_of
+from caldim.llm.common import fresh, read, stored, text_of
 from caldim.llm.queries import tokenizer_path
 
 #: Score from which the classifier keeps a document.
@@ -33,22 +33,25 @@ KEEP_FROM = 0.5
 
 def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = quality.train(docs, read(spark, sf_dir, "labels"))
-    return quality.score(docs, model, KEEP_FROM).filter("predicted = 1").select(docs.columns)
+    names = fresh(docs, "score", "predicted")
+    return quality.score(docs, model, KEEP_FROM, tuple(names)).filter(F.col(names[1]) == 1).select(docs.columns)
 
 
 def line_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    cut = line_dedup.remove_boilerplate(docs)
+    n_lines, n_removed = fresh(docs, "n_lines", "n_removed")
+    cut = line_dedup.remove_boilerplate(docs, counts=(n_lines, n_removed))
     if "n_chars" in docs.columns:
-        cut = cut.withColumn("n_chars", F.when(F.col("n_removed") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars")))
+        cut = cut.withColumn("n_chars", F.when(F.col(n_removed) > 0, F.length("text").cast("long")).otherwise(F.col("n_chars")))
     return cut.select(docs.columns)
 
 
 def near_duplicate_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    rows = stored(docs.withColumn("__row", F.monotonically_increasing_id()), "pipeline-near-rows")  # row numbers are fixed from here
-    order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", F.xxhash64(text_of()).alias("hash"), F.col("__row").alias("row"))
+    (row,) = fresh(docs, "row")
+    rows = stored(docs.withColumn(row, F.monotonically_increasing_id()), "pipeline-near-rows")  # row numbers are fixed from here
+    order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", F.xxhash64(text_of()).alias("hash"), F.col(row).alias("row"))
     marks = simhash.near_duplicates(rows.select(order.alias("doc_id"), "text"), shingle=3, max_bits=2)
-    gone = marks.filter("doc_id.row <> component_id.row").select(F.col("doc_id.row").alias("__row"))
-    return rows.join(gone, "__row", "left_anti").select(docs.columns)
+    gone = marks.filter("doc_id.row <> component_id.row").select(F.col("doc_id.row").alias(row))
+    return rows.join(gone, row, "left_anti").select(docs.columns)
 
 
 def decontamination_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
