@@ -1,7 +1,7 @@
 """Documents in stored blocks, and exchanges of packed names between them.
 
 A block is some rows' texts, ids and ends, stored once, so that a place in a
-block means the same in every later pass. What blocks have in common is found by
+block means the same in every later pass, and dealt to buckets of a table by block. What blocks have in common is found by
 an exchange: each block packs its distinct names (hashes) into one list for each
 bucket; a bucket gathers the lists of all blocks and answers each of them in the
 order of its names; a block meets its answers again. A name that a third of all
@@ -15,11 +15,12 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from caldim.llm.common import stored, text_of, utf8
+from caldim.llm.common import CLEANUP, settings, stored, text_of, utf8
 from caldim.llm.turns import batch, partitions
+from caldim.session import work_dir
 
 #: Bytes of text in a block, bytes of text whose names a bucket gathers, bytes of an Arrow batch.
 BLOCK, BUCKET, BATCH = 1 << 20, 8 << 20, 8 << 20
@@ -32,16 +33,36 @@ LISTS = "block long, bucket long, n long, data binary"
 
 def kept(df: DataFrame, name: str) -> DataFrame:
     """``stored`` with batches of some blocks at a time, as rows are large."""
-    conf, key = df.sparkSession.conf, "spark.sql.execution.arrow.maxBytesPerBatch"
-    before = conf.get(key, None)
-    conf.set(key, str(BATCH))
-    try:
+    with settings(df.sparkSession, {"spark.sql.execution.arrow.maxBytesPerBatch": str(BATCH)}):
         return stored(df, name)
-    finally:
-        conf.set(key, before) if before is not None else conf.unset(key)
 
 
-def blocks_of(docs: DataFrame) -> DataFrame:
+class Tables:
+    """Tables of blocks dealt by block, so that answers come to them and they are
+    not shuffled again. They are known to the session until ``close``; their files
+    lie in the shared work folder like all others."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.names = spark, []
+
+    def dealt(self, df: DataFrame, name: str) -> DataFrame:
+        n = partitions(df)
+        path = work_dir(self.spark, name)
+        self.names.append(f"caldim_{name.replace('-', '_')}_{path[-12:]}")
+        with settings(self.spark, {"spark.sql.execution.arrow.maxBytesPerBatch": str(BATCH), CLEANUP: "true"}):
+            spread = df.repartition(n, "block").write.bucketBy(n, "block").option("path", path).option("compression", "zstd")
+            spread.saveAsTable(self.names[-1])
+        return self.spark.table(self.names[-1])
+
+    def __enter__(self) -> Tables:
+        return self
+
+    def __exit__(self, *_) -> None:
+        for name in self.names:
+            self.spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+def blocks_of(docs: DataFrame, tables: Tables) -> DataFrame:
     """(block, ids, off, raw) of documents: ids (and whether they are null), ends
     of the texts, texts. A long text is a block of its own."""
     rows = docs.select(
@@ -72,7 +93,7 @@ def blocks_of(docs: DataFrame) -> DataFrame:
         if held:
             yield batch([block()], _BLOCKS)
 
-    return kept(rows.mapInArrow(run, "block long, ids binary, off binary, raw binary"), "blocks")
+    return tables.dealt(rows.mapInArrow(run, "block long, ids binary, off binary, raw binary"), "blocks")
 
 
 def buckets_for(blocks: DataFrame) -> int:
@@ -257,7 +278,7 @@ def gather(lists: DataFrame, answer: Callable[[list[tuple]], list[bytes]]) -> Da
 def answered(rows: DataFrame, answers: DataFrame, name: str = "answers") -> DataFrame:
     """Rows of blocks with the answers to their names, in the order of these."""
     lists = answers.groupBy("block").agg(F.sort_array(F.collect_list(F.struct("bucket", "n", "data"))).alias(name))
-    return rows.join(lists, "block", "left")
+    return rows.join(lists.hint("shuffle_hash"), "block", "left")  # few bits each, while rows are large
 
 
 def said(answers, at: int = 0) -> np.ndarray:

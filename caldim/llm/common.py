@@ -5,6 +5,8 @@ from __future__ import annotations
 import os
 import tempfile
 import zipfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 import numpy as np
@@ -38,17 +40,30 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Frees a query's shuffle files with its end, as nothing reads them again.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
+    """Session settings for the length of a block; what held before holds again."""
+    before = {k: spark.conf.get(k, None) for k in values}
+    for k, v in values.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """The rows written as Parquet below the shared work folder and read back:
-    cuts lineage, and survives the loss of executors. The shuffle files of the
-    write go with its end, as nothing reads them again."""
-    spark, cleanup = df.sparkSession, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-    path, before = work_dir(spark, name), spark.conf.get(cleanup, None)
-    spark.conf.set(cleanup, "true")
-    try:
+    cuts lineage, and survives the loss of executors."""
+    spark = df.sparkSession
+    path = work_dir(spark, name)
+    with settings(spark, {CLEANUP: "true"}):
         df.write.option("compression", "zstd").parquet(path)
-    finally:
-        spark.conf.set(cleanup, before) if before is not None else spark.conf.unset(cleanup)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -43,6 +43,7 @@ from caldim.llm.blocks import (
     NO_ID,
     Hasher,
     Names,
+    Tables,
     answered,
     bits,
     blocks_of,
@@ -146,7 +147,7 @@ _CANDIDATES = pa.schema([(c, pa.int64() if c in ("block", "n") else pa.binary())
 CANDIDATES = "block long, n long, ids binary, counts binary, at binary, first binary, second binary"
 
 
-def _candidates(blocks: DataFrame, answers: DataFrame, length: int, buckets: int) -> DataFrame:
+def _candidates(blocks: DataFrame, answers: DataFrame, length: int, buckets: int, tables: Tables) -> DataFrame:
     """Windows of ``length`` words whose two halves repeat: a bit for each word
     of a block, and the windows' names."""
     half, step = (length + 1) // 2, length // 2
@@ -170,7 +171,8 @@ def _candidates(blocks: DataFrame, answers: DataFrame, length: int, buckets: int
                     _CANDIDATES,
                 )
 
-    return kept(answered(blocks, answers).select("block", "ids", "off", "raw", "answers").mapInArrow(run, CANDIDATES), "candidates")
+    rows = answered(blocks, answers).select("block", "ids", "off", "raw", "answers")
+    return tables.dealt(rows.mapInArrow(run, CANDIDATES), "candidates")
 
 
 class Held:
@@ -261,7 +263,7 @@ def _extend(candidates: DataFrame, state: DataFrame, length: int, size: int, buc
                 level = Level(held, flags(alive, len(held.where)), length, size)
                 yield name_lists(block, Names(level.names, level.row, buckets), 8)
 
-    rows = candidates.join(state.filter("left > 0").select("block", "alive"), "block").select(*_HELD, "alive")
+    rows = candidates.join(state.filter("left > 0").select("block", "alive").hint("shuffle_hash"), "block").select(*_HELD, "alive")
     return gather(rows.mapInArrow(run, LISTS), repeated(8))
 
 
@@ -285,7 +287,7 @@ def _extended(candidates: DataFrame, state: DataFrame, answers: DataFrame, lengt
                 out.append((block, int(lives.sum()), bits(lives), bits(rows)))
             yield batch(out, _ALIVE)
 
-    rows = candidates.join(state.filter("left > 0").select("block", "alive"), "block")
+    rows = candidates.join(state.filter("left > 0").select("block", "alive").hint("shuffle_hash"), "block")
     rows = answered(rows, answers).select(*_HELD, "alive", "answers")
     return kept(rows.mapInArrow(run, "block long, left long, alive binary, longest binary"), "alive")
 
@@ -297,13 +299,19 @@ def dedup(docs: DataFrame, length: int = 13, keep_text: bool = False) -> DataFra
     remaining words joined by a space."""
     if length < 2:
         raise ValueError("windows have two words at least")
-    spark = docs.sparkSession
-    prepare(spark)
+    prepare(docs.sparkSession)
+    with Tables(docs.sparkSession) as tables:
+        out = _deduped(docs, length, keep_text, tables)
     kind = docs.schema["doc_id"].dataType.simpleString()
-    blocks = blocks_of(docs)
+    rest = [F.col("kept").cast("string").alias("kept")] if keep_text else []
+    return out.select(F.col("o").cast(kind).alias("doc_id"), "n_words", "n_removed", "kept_sha256", "longest", *rest)
+
+
+def _deduped(docs: DataFrame, length: int, keep_text: bool, tables: Tables) -> DataFrame:
+    blocks = blocks_of(docs, tables)
     buckets = buckets_for(blocks)
     first = _first_level(blocks, (length + 1) // 2, buckets)
-    candidates = _candidates(blocks, first, length, buckets)
+    candidates = _candidates(blocks, first, length, buckets, tables)
     decided = _decided(candidates, _decide(candidates, buckets), length, buckets)
     state, size = decided, length
     reached = None
@@ -313,11 +321,12 @@ def dedup(docs: DataFrame, length: int = 13, keep_text: bool = False) -> DataFra
         size *= 2
         rows = state.select("block", F.struct(F.lit(size).alias("size"), F.col("longest").alias("rows")).alias("level"))
         reached = rows if reached is None else reached.unionByName(rows)
-    both = blocks.join(candidates.select("block", "at"), "block").join(decided.select("block", "alive", "gone"), "block")
+    both = blocks.join(candidates.select("block", "at"), "block").join(decided.select("block", "alive", "gone").hint("shuffle_hash"), "block")
     if reached is None:
         both = both.withColumn("levels", F.lit(None).cast("array<struct<size:int,rows:binary>>"))
     else:
-        both = both.join(reached.groupBy("block").agg(F.sort_array(F.collect_list("level")).alias("levels")), "block", "left")
+        levels = reached.groupBy("block").agg(F.sort_array(F.collect_list("level")).alias("levels"))
+        both = both.join(levels.hint("shuffle_hash"), "block", "left")
     schema = pa.schema([
         ("o", pa.int64()), ("n_words", pa.int64()), ("n_removed", pa.int64()), ("kept_sha256", pa.string()), ("longest", pa.int64()),
         ("kept", pa.binary()),
@@ -345,9 +354,7 @@ def dedup(docs: DataFrame, length: int = 13, keep_text: bool = False) -> DataFra
 
     rows = both.select("ids", "off", "raw", "at", "alive", "gone", "levels")
     ddl = "o long, n_words long, n_removed long, kept_sha256 string, longest long, kept binary"
-    out = kept(rows.mapInArrow(run, ddl), "kept-words")
-    rest = [F.col("kept").cast("string").alias("kept")] if keep_text else []
-    return out.select(F.col("o").cast(kind).alias("doc_id"), "n_words", "n_removed", "kept_sha256", "longest", *rest)
+    return kept(rows.mapInArrow(run, ddl), "kept-words")
 
 
 def _kept(words: Words, keep: np.ndarray, rows: int):

@@ -47,6 +47,7 @@ from caldim.llm.blocks import (
     Hasher,
     Names,
     Runs,
+    Tables,
     answered,
     bits,
     blocks_of,
@@ -266,7 +267,7 @@ class Held:
         return Names(self.key, self.row, buckets, self.name, mix(self.key) ^ self.name)
 
 
-def _held(blocks: DataFrame, answers: DataFrame, length: int, buckets: int) -> DataFrame:
+def _held(blocks: DataFrame, answers: DataFrame, length: int, buckets: int, tables: Tables) -> DataFrame:
     def run(batches):
         for b in batches:
             for block, ids, off, raw, answer in zip(*b.columns, strict=True):
@@ -282,7 +283,7 @@ def _held(blocks: DataFrame, answers: DataFrame, length: int, buckets: int) -> D
                     _HELD,
                 )
 
-    return kept(answered(blocks, answers).select("block", "ids", "off", "raw", "answers").mapInArrow(run, HELD), "contexts")
+    return tables.dealt(answered(blocks, answers).select("block", "ids", "off", "raw", "answers").mapInArrow(run, HELD), "contexts")
 
 
 def _first_owners(held: DataFrame, buckets: int) -> DataFrame:
@@ -302,7 +303,7 @@ _LEFT = pa.schema([(c, pa.int64() if c == "block" else pa.binary()) for c in ("b
 LEFT = "block long, gone_a binary, gone_b binary, at binary, windows binary, key binary, owner binary"
 
 
-def _left(held: DataFrame, answers: DataFrame, length: int, buckets: int) -> DataFrame:
+def _left(held: DataFrame, answers: DataFrame, length: int, buckets: int, tables: Tables) -> DataFrame:
     """Spans that equal contexts cover whole, and the contexts that are left, the
     smallest documents' ones."""
 
@@ -324,7 +325,7 @@ def _left(held: DataFrame, answers: DataFrame, length: int, buckets: int) -> Dat
                     _LEFT,
                 )
 
-    return kept(answered(held, answers).select(*held.columns, "answers").mapInArrow(run, LEFT), "contexts-left")
+    return tables.dealt(answered(held, answers).select(*held.columns, "answers").mapInArrow(run, LEFT), "contexts-left")
 
 
 def _merged(a: np.ndarray, e: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -505,18 +506,24 @@ def dedup(docs: DataFrame, length: int = 50, keep_text: bool = False) -> DataFra
     if length < GRAM:
         raise ValueError(f"strings have {GRAM} bytes at least")
     prepare(docs.sparkSession)
+    with Tables(docs.sparkSession) as tables:
+        out = _deduped(docs, length, keep_text, tables)
     kind = docs.schema["doc_id"].dataType.simpleString()
-    blocks = blocks_of(docs)
+    return out.select(F.col("o").cast(kind).alias("doc_id"), "n_bytes", "n_removed", "n_spans", "kept_sha256", *(["kept"] if keep_text else []))
+
+
+def _deduped(docs: DataFrame, length: int, keep_text: bool, tables: Tables) -> DataFrame:
+    blocks = blocks_of(docs, tables)
     buckets = buckets_for(blocks)
-    held = _held(blocks, _shared(blocks, length, buckets), length, buckets)
-    left = _left(held, _first_owners(held, buckets), length, buckets)
+    held = _held(blocks, _shared(blocks, length, buckets), length, buckets, tables)
+    left = _left(held, _first_owners(held, buckets), length, buckets, tables)
     crowds = _crowds(left, length, buckets)
     texts = _texts(left, crowds, blocks, length, buckets)
     sorted_spans = _sorted(texts, length)
     windows = gather(texts.filter("kind = 1").drop("kind"), owned)
     both = answered(answered(left, crowds, "crowds"), windows, "windows_said")
     spans = sorted_spans.groupBy("block").agg(F.collect_list("data").alias("spans"))
-    both = both.join(spans, "block", "left").join(blocks, "block")
+    both = blocks.join(both.join(spans.hint("shuffle_hash"), "block", "left"), "block")
     both = both.select("ids", "off", "raw", "gone_a", "gone_b", "at", "windows", "key", "owner", "crowds", "windows_said", "spans")
     schema = pa.schema([
         ("o", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept_sha256", pa.string()),
@@ -540,8 +547,7 @@ def dedup(docs: DataFrame, length: int = 50, keep_text: bool = False) -> DataFra
                 yield batch(list(_digests(raw, ends, owners, none, np.concatenate(found), keep_text)), schema)
 
     ddl = "o long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary"
-    out = kept(both.mapInArrow(run, ddl), "kept-bytes")
-    return out.select(F.col("o").cast(kind).alias("doc_id"), "n_bytes", "n_removed", "n_spans", "kept_sha256", *(["kept"] if keep_text else []))
+    return kept(both.mapInArrow(run, ddl), "kept-bytes")
 
 
 def _digests(raw, off, owners, none, spans, keep_text):
