@@ -126,31 +126,34 @@ def join(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return mix(a * np.uint64(0x9E3779B97F4A7C15) + b)
 
 
+_POWERS: dict[int, np.ndarray] = {}
+
+
+def powers(seed: int, n: int) -> np.ndarray:
+    """The first powers of an odd number modulo 2 ** 64; of its inverse for a
+    negative seed."""
+    if seed not in _POWERS or len(_POWERS[seed]) < n:
+        base = 6364136223846793005 + 8 * abs(seed)
+        steps = np.full(max(n, 1 << 16), base if seed > 0 else pow(base, -1, 1 << 64), np.uint64)
+        steps[0] = 1
+        _POWERS[seed] = np.multiply.accumulate(steps)
+    return _POWERS[seed][:n]
+
+
 class Hasher:
     """Hashes of any ranges of a byte string, equal wherever equal bytes stand:
     sums of byte values times powers of an odd number modulo 2 ** 64, with the
     power of the first place taken off."""
 
-    _powers: dict[int, np.ndarray] = {}
-
     def __init__(self, raw: np.ndarray, seed: int):
         rng = np.random.default_rng(seed)
         table = rng.integers(0, 1 << 63, 256, np.uint64) * np.uint64(2) + np.uint64(1)
-        base = 6364136223846793005 + 8 * seed
-        self.back = self._to(pow(base, -1, 1 << 64), len(raw) + 1)
+        self.back = powers(-seed, len(raw) + 1)
         self.total = np.zeros(len(raw) + 1, np.uint64)
         values = table[raw]
-        values *= self._to(base, len(raw))
+        values *= powers(seed, len(raw))
         np.cumsum(values, out=self.total[1:])
 
-    @classmethod
-    def _to(cls, base: int, n: int) -> np.ndarray:
-        if base not in cls._powers or len(cls._powers[base]) < n:
-            steps = np.full(max(n, 1 << 20), base, np.uint64)
-            steps[0] = 1
-            cls._powers[base] = np.multiply.accumulate(steps)
-        return cls._powers[base][:n]
-
     def of(self, starts: np.ndarray, stops: np.ndarray) -> np.ndarray:
         return mix((self.total[stops] - self.total[starts]) * self.back[starts] + (stops - starts).astype(np.uint64))
 
@@ -252,7 +255,8 @@ def ids_of(data: bytes, n: int, at: int) -> tuple[np.ndarray, int]:
 
 def gather(lists: DataFrame, answer: Callable[[list[tuple]], list[bytes]]) -> DataFrame:
     """The lists (LISTS) answered: ``answer`` gets the (n, data) of a bucket's
-    lists and returns a byte string for each."""
+    lists and returns a byte string for each. A block's own notes (``note``) come
+    back as they are."""
 
     def run(batches):
         now, held = None, []
@@ -262,12 +266,18 @@ def gather(lists: DataFrame, answer: Callable[[list[tuple]], list[bytes]]) -> Da
             return batch([(block, now, n, data) for (block, n, _), data in zip(held, said, strict=True)], _LISTS)
 
         for b in batches:
+            notes = []
             for block, bucket, n, data in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                if bucket < 0:
+                    notes.append((block, bucket, n, data))
+                    continue
                 if bucket != now and held:
                     yield answers()
                     held = []
                 now = bucket
                 held.append((block, n, data))
+            if notes:
+                yield batch(notes, _LISTS)
         if held:
             yield answers()
 
@@ -283,6 +293,7 @@ def answered(rows: DataFrame, answers: DataFrame, name: str = "answers") -> Data
 
 def said(answers, at: int = 0) -> np.ndarray:
     """The bits of all names of a block, the ``at``-th ones of each list."""
+    answers = [a for a in answers or () if a["bucket"] >= 0]
     if not answers:
         return np.zeros(0, bool)
     return np.concatenate([flags(a["data"], a["n"], at * -(-a["n"] // 8)) for a in answers])
@@ -366,6 +377,11 @@ def owned_lists(block: int, found: Names, least: np.ndarray) -> pa.RecordBatch:
     return batch(out, _LISTS)
 
 
+def note(block: int, n: int, data: bytes) -> pa.RecordBatch:
+    """A list that only its own block reads again: what it knows besides the answers."""
+    return batch([(block, -1 - block % 4096, n, data)], _LISTS)
+
+
 def name_lists(block: int, found: Names, width: int) -> pa.RecordBatch:
     """Names, and a bit for those that several rows have."""
     out = [(block, bucket, e - a, low(found.names[a:e], width) + bits(found.several[a:e])) for bucket, a, e in found.lists()]

@@ -19,7 +19,8 @@ window is known by its place in a block. One level is one exchange:
 The first level sends five bytes a window and only prunes, so that a hash that
 two windows share does no harm. At ``length`` names have 96 bits, which decide
 equality, and carry the smallest id that a block has for them. Later levels work
-on the names of that one, joined by doubling, without any text.
+on the names of that one, without any text: a window of twice the length is named
+by those of its parts.
 
 Words are runs of bytes other than space and x09 to x0D. Defined cases: null
 text has no words; a null doc_id counts as larger than every id (rows without
@@ -52,9 +53,12 @@ from caldim.llm.blocks import (
     gather,
     join,
     kept,
+    mix,
     name_lists,
+    note,
     owned,
     owned_lists,
+    powers,
     repeated,
     rows_of,
     said,
@@ -205,12 +209,12 @@ def _decide(candidates: DataFrame, buckets: int) -> DataFrame:
     return gather(candidates.select(*_HELD).mapInArrow(run, LISTS), owned)
 
 
-_STATE = pa.schema([("block", pa.int64()), ("left", pa.int64()), ("alive", pa.binary()), ("gone", pa.binary())])
+_STATE = pa.schema([("block", pa.int64()), ("alive", pa.binary()), ("gone", pa.binary())])
 
 
 def _decided(candidates: DataFrame, answers: DataFrame, length: int, buckets: int) -> DataFrame:
-    """(block, left, alive, gone): windows that repeat, a bit for each candidate,
-    and words that go, a bit for each word."""
+    """(block, alive, gone): windows that repeat, a bit for each candidate, and
+    words that go, a bit for each word."""
 
     def run(batches):
         for b in batches:
@@ -224,72 +228,69 @@ def _decided(candidates: DataFrame, answers: DataFrame, length: int, buckets: in
                 cover = np.zeros(held.words + 1, np.int8)
                 cover[held.where[gone]] += 1
                 cover[held.where[gone] + length] -= 1
-                out.append((block, int(alive.sum()), bits(alive), bits(np.cumsum(cover[:-1], dtype=np.int32) > 0)))
+                out.append((block, bits(alive), bits(np.cumsum(cover[:-1], dtype=np.int32) > 0)))
             yield batch(out, _STATE)
 
     rows = answered(candidates, answers).select(*_HELD, "answers")
-    return kept(rows.mapInArrow(run, "block long, left long, alive binary, gone binary"), "decided")
-
-
-class Level:
-    """Windows of a doubled length, from those of ``length`` that are alive."""
-
-    def __init__(self, held: Held, alive: np.ndarray, length: int, size: int):
-        """``alive`` marks candidates whose windows of ``size`` words repeat;
-        ``where`` are those of twice that, ``names`` theirs."""
-        place = np.full(held.words + 2 * size, -1, np.int64)
-        place[held.where] = np.arange(len(held.where))
-        lives = np.zeros(held.words + 2 * size, bool)
+    return kept(rows.mapInArrow(run, "block long, alive binary, gone binary"), "decided")
+
+
+class Ladder:
+    """Names of the windows of doubled lengths: sums of the names of windows
+    ``length`` words apart, times powers, so that any length takes one step."""
+
+    def __init__(self, held: Held, length: int):
+        self.held, self.length = held, length
+        rows = -(-held.words // length) + 1
+        known = np.zeros(rows * length, np.uint64)
+        known[held.where] = held.first
+        sums = np.zeros((rows + 1, length), np.uint64)
+        np.cumsum(known.reshape(rows, length) * powers(5, rows)[:, None], axis=0, out=sums[1:])
+        self.sums, self.back = sums.reshape(-1), powers(-5, rows + 1)
+
+    def candidates(self, alive: np.ndarray, size: int) -> np.ndarray:
+        """Numbers of the candidates that begin a window of twice ``size`` words
+        whose halves repeat; ``alive`` marks those whose windows of ``size`` do."""
+        held = self.held
+        lives = np.zeros(held.words + size, bool)
         lives[held.where[alive]] = True
         end = np.cumsum(held.counts)[held.row]
-        at = held.where
-        use = lives[at] & lives[at + size] & (at + 2 * size <= end)
-        self.which = np.nonzero(use)[0]  # candidates that begin a window of 2 * size words
-        known, width = held.first, length
-        while width < 2 * size:  # a name of twice the words where both halves have one
-            then = place[np.minimum(held.where + width, len(place) - 1)]
-            known = join(known, known[np.maximum(then, 0)])
-            width *= 2
-        self.names, self.row = known[self.which], held.row[self.which]
+        return np.nonzero(alive & lives[held.where + size] & (held.where + 2 * size <= end))[0]
 
+    def names(self, which: np.ndarray, size: int, buckets: int) -> Names:
+        at = self.held.where[which]
+        return Names(mix((self.sums[at + size] - self.sums[at]) * self.back[at // self.length]), self.held.row[which], buckets)
 
-def _extend(candidates: DataFrame, state: DataFrame, length: int, size: int, buckets: int) -> DataFrame:
-    """Answers to the names of the windows of twice ``size`` words."""
-
-    def run(batches):
-        for b in batches:
-            for block, *held, alive in zip(*(c.to_pylist() for c in b.columns), strict=True):
-                held = Held(*held)
-                level = Level(held, flags(alive, len(held.where)), length, size)
-                yield name_lists(block, Names(level.names, level.row, buckets), 8)
-
-    rows = candidates.join(state.filter("left > 0").select("block", "alive").hint("shuffle_hash"), "block").select(*_HELD, "alive")
-    return gather(rows.mapInArrow(run, LISTS), repeated(8))
 
-
-_ALIVE = pa.schema([("block", pa.int64()), ("left", pa.int64()), ("alive", pa.binary()), ("longest", pa.binary())])
-
-
-def _extended(candidates: DataFrame, state: DataFrame, answers: DataFrame, length: int, size: int, buckets: int) -> DataFrame:
-    """(block, left, alive, rows): windows of twice ``size`` words that repeat,
-    and the rows that have one, a bit for each."""
+def _climb(candidates: DataFrame, known: DataFrame, length: int, size: int, buckets: int) -> DataFrame:
+    """Answers to the names of the windows of twice ``size`` words, and each
+    block's note: for ``size`` words, which candidates repeat (n: how many) and
+    for each row how many lengths it has reached. ``known`` are the same for the
+    length before, or at first the state after the decision."""
+    first = size == length
 
     def run(batches):
         for b in batches:
-            out = []
-            for block, *held, alive, answers in zip(*(c.to_pylist() for c in b.columns), strict=True):
+            for block, *held, before in zip(*(c.to_pylist() for c in b.columns), strict=True):
                 held = Held(*held)
-                level = Level(held, flags(alive, len(held.where)), length, size)
-                found = Names(level.names, level.row, buckets)
-                lives, rows = np.zeros(len(held.where), bool), np.zeros(len(held.counts), bool)
-                lives[level.which] = found.spread(said(answers))
-                rows[held.row[lives]] = True
-                out.append((block, int(lives.sum()), bits(lives), bits(rows)))
-            yield batch(out, _ALIVE)
-
-    rows = candidates.join(state.filter("left > 0").select("block", "alive").hint("shuffle_hash"), "block")
-    rows = answered(rows, answers).select(*_HELD, "alive", "answers")
-    return kept(rows.mapInArrow(run, "block long, left long, alive binary, longest binary"), "alive")
+                n, ladder = len(held.where), Ladder(held, length)
+                if first:
+                    alive, reached = flags(before, n), np.zeros(len(held.counts), np.uint8)
+                else:
+                    (own,) = (a["data"] for a in before if a["bucket"] < 0)
+                    reached = np.frombuffer(own, np.uint8, len(held.counts)).copy()
+                    which = ladder.candidates(flags(own, n, len(reached)), size // 2)
+                    alive = np.zeros(n, bool)
+                    alive[which] = ladder.names(which, size, buckets).spread(said(before))
+                reached[held.row[alive]] += 1
+                yield note(block, int(alive.sum()), reached.tobytes() + bits(alive))
+                yield name_lists(block, ladder.names(ladder.candidates(alive, size), 2 * size, buckets), 8)
+
+    if first:
+        rows = candidates.join(known.select("block", "alive").hint("shuffle_hash"), "block").select(*_HELD, "alive")
+    else:
+        rows = answered(candidates, known).select(*_HELD, "answers")
+    return gather(rows.mapInArrow(run, LISTS), repeated(8))
 
 
 def dedup(docs: DataFrame, length: int = 13, keep_text: bool = False) -> DataFrame:
@@ -313,20 +314,12 @@ def _deduped(docs: DataFrame, length: int, keep_text: bool, tables: Tables) -> D
     first = _first_level(blocks, (length + 1) // 2, buckets)
     candidates = _candidates(blocks, first, length, buckets, tables)
     decided = _decided(candidates, _decide(candidates, buckets), length, buckets)
-    state, size = decided, length
-    reached = None
-    while not state.filter("left > 0").isEmpty():
-        answers = _extend(candidates, state, length, size, buckets)
-        state = _extended(candidates, state, answers, length, size, buckets)
+    size, known = length, _climb(candidates, decided, length, length, buckets)
+    while known.filter("bucket < 0").agg(F.sum("n")).first()[0]:
         size *= 2
-        rows = state.select("block", F.struct(F.lit(size).alias("size"), F.col("longest").alias("rows")).alias("level"))
-        reached = rows if reached is None else reached.unionByName(rows)
-    both = blocks.join(candidates.select("block", "at"), "block").join(decided.select("block", "alive", "gone").hint("shuffle_hash"), "block")
-    if reached is None:
-        both = both.withColumn("levels", F.lit(None).cast("array<struct<size:int,rows:binary>>"))
-    else:
-        levels = reached.groupBy("block").agg(F.sort_array(F.collect_list("level")).alias("levels"))
-        both = both.join(levels.hint("shuffle_hash"), "block", "left")
+        known = _climb(candidates, known, length, size, buckets)
+    notes = known.filter("bucket < 0").select("block", F.col("data").alias("note"))
+    both = blocks.join(decided.select("block", "gone").hint("shuffle_hash"), "block").join(notes.hint("shuffle_hash"), "block")
     schema = pa.schema([
         ("o", pa.int64()), ("n_words", pa.int64()), ("n_removed", pa.int64()), ("kept_sha256", pa.string()), ("longest", pa.int64()),
         ("kept", pa.binary()),
@@ -334,15 +327,12 @@ def _deduped(docs: DataFrame, length: int, keep_text: bool, tables: Tables) -> D
 
     def run(batches):
         for b in batches:
-            for ids, off, raw, at, alive, gone, levels in zip(*b.columns, strict=True):
+            for ids, off, raw, gone, own in zip(*b.columns, strict=True):
                 owners, none, words = _read(ids.as_py(), off.as_py(), raw.as_py())
                 n, rows = len(words.row), len(owners)
                 gone = flags(gone.as_py(), n)
-                where = np.nonzero(flags(at.as_py(), n))[0]
-                longest = np.zeros(rows, np.int64)
-                longest[words.row[where[flags(alive.as_py(), len(where))]]] = length
-                for level in levels.as_py() or ():
-                    longest[flags(level["rows"], rows)] = level["size"]
+                reached = np.frombuffer(own.as_py(), np.uint8, rows).astype(np.int64)
+                longest = np.where(reached > 0, length << np.maximum(reached - 1, 0), 0)
                 removed = np.bincount(words.row[gone], minlength=rows)
                 out = []
                 for k, text in enumerate(_kept(words, ~gone, rows)):
@@ -352,7 +342,7 @@ def _deduped(docs: DataFrame, length: int, keep_text: bool, tables: Tables) -> D
                     ))
                 yield batch(out, schema)
 
-    rows = both.select("ids", "off", "raw", "at", "alive", "gone", "levels")
+    rows = both.select("ids", "off", "raw", "gone", "note")
     ddl = "o long, n_words long, n_removed long, kept_sha256 string, longest long, kept binary"
     return kept(rows.mapInArrow(run, ddl), "kept-words")
 
