@@ -247,11 +247,13 @@ def daypart_profile(spark: SparkSession, fact: DataFrame, ts_col: str, measures:
 
 
 class Load(NamedTuple):
-    """Rows loaded, the new mark, and rows of the source without a time."""
+    """Rows loaded, the new mark, rows of the source without a time, and rows
+    below the old mark that no load took (None if they were not counted)."""
 
     rows: int
     mark: dt.datetime
     rows_without_time: int
+    rows_late: int | None = None
 
 
 def incremental_load(
@@ -265,6 +267,7 @@ def incremental_load(
     country: str | None = None,
     upper: dt.datetime | None = None,
     load_ts: dt.datetime | None = None,
+    count_late: bool = False,
 ) -> Load:
     """Append the rows with mark <= ``ts_col`` < ``upper`` to ``target_path``
     and log ``upper`` as the new mark with the row count (X6).
@@ -276,6 +279,11 @@ def incremental_load(
     on the day itself waits for the next load. A load whose ``upper`` does not
     pass the mark loads nothing and keeps it.
 
+    With ``count_late`` the source's rows below the mark are counted (one column
+    is read) and held against those loaded so far: what arrived late is in the
+    result and, if there is any, in the audit table. (``maintenance`` keeps a
+    rollup that takes late rows.)
+
     Rows without a time belong to no interval: all of the source's are kept,
     newest state only, in ``<target_path>_without_time``, and counted in the
     result and, if there are any, in the audit table.
@@ -310,8 +318,14 @@ def incremental_load(
     without = written(source.where(time.isNull()), f"{target_path}_without_time")
     if without:
         logs.log_audit("INCREMENTAL_LOAD", table_name, f"rows without {ts_col}: {without}", schema_name, table_name, load_ts)
+    late = None
+    if count_late:
+        below = source.where(time < instant(mark)).count() if mark is not None else 0
+        late = below - logs.rows_processed(table_name, schema_name, country)
+        if late > 0:
+            logs.log_audit("INCREMENTAL_LOAD", table_name, f"rows of {ts_col} below the mark that no load took: {late}", schema_name, table_name, load_ts)
     logs.log_process_date(table_name, schema_name, upper, rows, country, ts=load_ts)
-    return Load(rows, upper, without)
+    return Load(rows, upper, without, late)
 
 
 def dimension_checks(

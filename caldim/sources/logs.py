@@ -114,9 +114,15 @@ class LogTables:
     def last_process_date(self, table_name: str, schema_name: str | None = None, country: str | None = None):
         """High-water mark of a table: the latest last_process_date logged for
         exactly this schema and country, where none is a value of its own."""
-        df = self.process_dates().where(
+        return self._loads(table_name, schema_name, country).agg(F.max("last_process_date")).first()[0]
+
+    def rows_processed(self, table_name: str, schema_name: str | None = None, country: str | None = None) -> int:
+        """Rows of all loads logged for exactly this table, schema and country."""
+        return self._loads(table_name, schema_name, country).agg(F.sum("last_process_rowcount")).first()[0] or 0
+
+    def _loads(self, table_name: str, schema_name: str | None, country: str | None) -> DataFrame:
+        return self.process_dates().where(
             (F.col("table_name") == table_name)
             & F.col("schema_name").eqNullSafe(F.lit(schema_name))
             & F.col("country").eqNullSafe(F.lit(country))
         )
-        return df.agg(F.max("last_process_date")).first()[0]

@@ -19,6 +19,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from caldim.functions import timeofday as tod
 from caldim.sources.store import single_file
+from caldim.streaming.sessions import counted
 
 
 def daypart_windows(stream: DataFrame, ts_col: str, window: str, watermark: str, value_col: str | None) -> DataFrame:
@@ -70,7 +71,8 @@ def start_daypart_stream(
         source_path = folder
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    windows = daypart_windows(reader.parquet(source_path), ts_col, window, watermark, value_col)
+    # no window holds rows without a time: they are counted (``sessions.batch_counts``), as are late ones
+    windows = daypart_windows(counted(reader.parquet(source_path), ts_col), ts_col, window, watermark, value_col)
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         # A batch updates at most (windows it touches x 6 dayparts) rows, so
