@@ -20,7 +20,6 @@ and piece repeat; an empty table gives none; other columns are ignored.
 
 from __future__ import annotations
 
-import unicodedata
 import zlib
 from array import array
 from functools import lru_cache
@@ -36,34 +35,37 @@ from caldim.llm.common import prepare, stored, text_of, utf8
 
 #: Pieces that a task packs together, on average.
 GROUP = 4096
-#: Words whose ids a worker keeps; the store is emptied when full. As many words
-#: without their punctuation are kept apart from it.
+#: Words whose ids a worker keeps; the store is emptied when full.
 KEPT_WORDS = 400_000
 #: Bytes of text that are split at once.
 SLICE = 4 << 20
 #: ASCII separators that Python splits at and the tokenizer does not. Fixed value.
 NOT_SPACE = "\x1c\x1d\x1e\x1f"
+#: Words whose lower case and composition are plain: characters below U+0250,
+#: but for the dotted capital I.
+LATIN = r"^[\x00-\x{12F}\x{131}-\x{24F}]*$"
 PUNCTUATION = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 
 
-class _Words(dict):
-    """Numbers of words; a new word is handed to ``add`` for its number."""
+class _Numbers(dict):
+    """Numbers of strings; a new one is handed to ``add`` for its number."""
 
     def __init__(self, add):
         self.add = add
 
-    def __missing__(self, word: str) -> int:
-        number = self[word] = self.add(word)
+    def __missing__(self, text: str) -> int:
+        number = self[text] = self.add(text)
         return number
 
 
 class WordTokenizer:
-    """Ids of a text by its white-space separated words.
+    """Ids of texts by their white-space separated words.
 
     White space ends every token of this kind of vocabulary, so a text's ids
-    are its words' ids in order, and a word's are looked up if met before. A
-    word of letters followed by ASCII punctuation is two tokens' worth of
-    work; anything else goes to the tokenizer as it is."""
+    are its words' ids in order. A word of Latin letters followed by ASCII
+    punctuation is the ids of its lower-case letters and those of the rest,
+    which are looked up if met before; any other word goes to the tokenizer as
+    it is. A batch's words are made distinct first, so Python sees each once."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -74,59 +76,73 @@ class WordTokenizer:
         keep = [*range(33, 127), *range(161, 173), *range(174, 256)]
         other = [b for b in range(256) if b not in set(keep)]
         self.chars = {b: chr(b) for b in keep} | {b: chr(256 + k) for k, b in enumerate(other)}
-        self.core: dict[str, bytes] = {}
         self._clear()
 
     def _clear(self) -> None:
-        self.at = _Words(self._add)
-        self.ids, self.starts = array("I"), array("q", [0])
+        self.letters, self.numbers = pa.array([], pa.string()), np.zeros(0, np.int64)
+        self.signs, self.words = _Numbers(self._add_part), _Numbers(self._add_word)
+        self.ids, self.starts = array("I"), array("q", [0, 0])  # number 0 has no ids
 
-    def _add(self, word: str) -> int:
-        self.ids.frombytes(self._encode(word))
+    def _add(self, ids: list[int]) -> int:
+        self.ids.extend(ids)
         self.starts.append(len(self.ids))
         return len(self.starts) - 2
 
-    def _letters(self, word: str) -> bytes:
-        """Ids as bytes: plain objects, which Python's garbage collector skips."""
-        got = self.core.get(word)
-        if got is None:
-            if len(self.core) > KEPT_WORDS:
-                self.core.clear()
-            shown = word if word.isascii() else word.encode().decode("latin-1").translate(self.chars)
-            got = self.core[word] = array("I", [t.id for t in self.model.tokenize(shown)]).tobytes()
-        return got
-
-    def _encode(self, word: str) -> bytes:
-        """Ids of one word, without any store of whole words."""
-        if word.isascii() or ("Σ" not in word and unicodedata.is_normalized("NFC", word)):
-            low = word.lower()
-            core = low.rstrip(PUNCTUATION)
-            if core.isalpha() and "<|" not in word:
-                tail = low[len(core) :]
-                return self._letters(core) + (self._letters(tail) if tail else b"")
-        return array("I", self.tok.encode(word, add_special_tokens=False).ids).tobytes()
+    def _add_part(self, text: str) -> int:
+        shown = text if text.isascii() else text.encode().decode("latin-1").translate(self.chars)
+        return self._add([t.id for t in self.model.tokenize(shown)])
+
+    def _add_word(self, text: str) -> int:
+        return self._add(self.tok.encode(text, add_special_tokens=False).ids)
+
+    def _numbers(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Numbers of the letters and of the punctuation behind them, of each
+        distinct word; of other words, their own and 0."""
+        low = pc.utf8_lower(words)
+        core = pc.utf8_rtrim(low, PUNCTUATION)
+        plain = pc.and_(pc.match_substring_regex(words, LATIN), pc.match_substring_regex(core, r"^\pL+$"))
+        plain = pc.and_not(plain, pc.match_substring(words, "<|"))
+        first, second = np.zeros(len(words), np.int64), np.zeros(len(words), np.int64)
+        plain = plain.to_numpy(zero_copy_only=False)
+        at = pc.index_in(core, value_set=self.letters)
+        new = plain & at.is_null().to_numpy(zero_copy_only=False)
+        if new.any():
+            unknown = pc.unique(core.filter(pa.array(new)))
+            self.letters = pa.concat_arrays([self.letters, unknown])
+            self.numbers = np.append(self.numbers, [self._add_part(t) for t in unknown.to_pylist()])
+            at = pc.index_in(core, value_set=self.letters)
+        first[plain] = self.numbers[at.fill_null(0).to_numpy()[plain]]
+        other = words.filter(pa.array(~plain)).to_pylist()
+        first[~plain] = np.fromiter(map(self.words.__getitem__, other), np.int64, len(other))
+        size = pc.subtract(pc.binary_length(low), pc.binary_length(core)).to_numpy()
+        raw, off = utf8(low)
+        one = np.nonzero(plain & (size == 1))[0]
+        signs, which = np.unique(raw[off[one + 1] - 1], return_inverse=True)
+        second[one] = np.array([self.signs[chr(c)] for c in signs], np.int64)[which] if len(one) else 0
+        for k in np.nonzero(plain & (size > 1))[0].tolist():
+            second[k] = self.signs[raw[off[k + 1] - size[k] : off[k + 1]].tobytes().decode()]
+        return first, second
 
     def __call__(self, text: str) -> np.ndarray:
         return self.many(pa.array([text]))[0]
 
     def many(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of some texts in a row, and where each text's end. A batch's words
-        are made distinct first, and each distinct one is looked up once."""
+        """Ids of some texts in a row, and where each text's end."""
         if pc.any(pc.match_substring_regex(texts, f"[{NOT_SPACE}]")).as_py():
             ids = [self._odd(t) for t in texts.to_pylist()]
             return np.concatenate(ids), np.cumsum([len(x) for x in ids])
         split = pc.utf8_split_whitespace(texts)
         words = split.flatten().dictionary_encode()
-        if len(self.at) > KEPT_WORDS:
+        if len(self.letters) + len(self.signs) + len(self.words) > KEPT_WORDS:
             self._clear()
-        number = np.fromiter(map(self.at.__getitem__, words.dictionary.to_pylist()), np.int64, len(words.dictionary))
-        index = number[words.indices.to_numpy()]
+        both = np.stack(self._numbers(words.dictionary), 1)
+        index = both[words.indices.to_numpy()].reshape(-1)
         s, flat = np.frombuffer(self.starts, np.int64), np.frombuffer(self.ids, np.uint32)
         first = s[index]
         n = s[index + 1] - first
         ends = np.concatenate(([0], np.cumsum(n)))
         ids = flat[np.arange(ends[-1]) + np.repeat(first - ends[:-1], n)]
-        return ids, ends[np.cumsum(pc.list_value_length(split).to_numpy())]
+        return ids, ends[2 * np.cumsum(pc.list_value_length(split).to_numpy())]
 
     def _odd(self, text: str) -> np.ndarray:
         """Ids of a text that may hold separators which the tokenizer does not split at."""

@@ -64,7 +64,7 @@ def test_store_of_words_is_bounded(monkeypatch):
     for k in range(20):
         text = " ".join(f"w{k}x{j}, abc" for j in range(8))
         assert own(text).tolist() == tok.encode(text, add_special_tokens=False).ids
-        assert len(own.at) <= 30 and len(own.core) <= 30
+        assert len(own.letters) + len(own.signs) + len(own.words) <= 30
 
 
 def test_batches_of_texts():
