@@ -5,18 +5,21 @@ side to convert, and for tests). ``read_arc`` reads ARC files of either version:
 a file's first record, the version block, tells the version and so the fields
 of the header lines; records are cut by their declared lengths. ``convert``
 synthesises what WARC has and ARC lacks: record ids (UUIDs derived from
-place, date and payload, so a rerun gives the same), ISO timestamps, payload
-digests and record types, and writes WARC files. ``read_warc`` reads those back.
+file and place, so no two are equal and a rerun gives the same), ISO timestamps,
+payload and block digests and record types, and writes WARC files of one gzip
+member a record, so that a record can be read by its offset. ``read_warc`` reads
+those back.
 
 Of records with equal payloads of ``min_revisit`` bytes or more, the one with
-the smallest page_id keeps its payload; the others become revisit records. The
-smallest ids come from a grouped minimum of digests alone; payloads are shuffled
-once, dealt by digest and a salt, so a page that a third of all records repeat
-does not meet in one task.
+the smallest page_id keeps its payload; the others become revisit records that
+name its id, URI and date. Who is a revisit of whom is found from digests and
+places alone, without payloads: a digest that a large share of all records have
+meets them by broadcast (such digests are few), the others by shuffle. The files
+then meet the list of their own revisits, and are converted file by file.
 
-Files are written by Spark's text writer, whose line separator is the format's
-record separator, so that they reach any file system Spark does; every file has
-at most ``records`` records, which bounds what a reading task holds.
+Files are written by Spark's text writer, so that they reach any file system
+Spark does; every file has at most ``records`` records, which bounds what a
+task holds.
 
 Defined cases: null html is the empty payload; a null url is written as
 urn:page:<id>; a null page_id is never the smallest and is a revisit if a
@@ -27,6 +30,7 @@ result; other columns are ignored.
 
 from __future__ import annotations
 
+import gzip
 import hashlib
 import re
 import uuid
@@ -36,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from caldim.llm.common import prepare
+from caldim.llm.common import prepare, settings, stored
 from caldim.session import work_dir
 
 #: Header fields by version. Fixed values.
@@ -58,8 +62,9 @@ ARC_FIELDS = {
 NAMESPACE = uuid.UUID("6ba7b811-9dad-11d1-80b4-00c04fd430c8")  # that of URLs
 #: Records of a file, at most.
 RECORDS = 2000
-#: Records meet their payload's first by digest in so many parts.
-SALTS = 16
+#: Digests that may be broadcast: any other has fewer than FEW records, or than
+#: a share of 1 / HOT_DIGESTS of all records with a shared payload.
+HOT_DIGESTS, FEW = 100_000, 256
 #: Archive date of rows that have none.
 NO_DATE = "19700101000000"
 
@@ -151,26 +156,34 @@ def parse_arc(raw: bytes):
         at = end + 1 + size
 
 
+def _records(path: str, raw: bytes):
+    """(page_id, url, ip, date, mime, digest, http headers, payload) of each record of an ARC file."""
+    for url, ip, date, mime, doc in parse_arc(_content(path, raw)):
+        http, _, payload = doc.partition(b"\r\n\r\n")
+        page = re.search(rb"(?im)^X-Page-Id: (-?\d+)\r?$", http)
+        yield int(page[1]) if page else None, url, ip, date, mime, hashlib.sha256(payload).hexdigest(), http, payload
+
+
+def _arc_files(spark, paths: list[str]) -> DataFrame:
+    prepare(spark)
+    return spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(paths).select("path", "content")
+
+
 def read_arc(spark, paths: list[str]) -> DataFrame:
     """The records of ARC files, as RECORD; http holds the response's headers."""
-    prepare(spark)
 
     def run(batches):
         for b in batches:
             for path, raw in zip(b.column(0).to_pylist(), b.column(1), strict=True):
                 rows = []
-                for url, ip, date, mime, doc in parse_arc(_content(path, raw.as_py())):
-                    http, _, payload = doc.partition(b"\r\n\r\n")
-                    page = re.search(rb"(?im)^X-Page-Id: (-?\d+)\r?$", http)
-                    digest = hashlib.sha256(payload).hexdigest()
-                    rows.append((int(page[1]) if page else None, url, ip, date, mime, digest, len(payload), http.decode(), payload.decode()))
+                for *known, http, payload in _records(path, raw.as_py()):
+                    rows.append((*known, len(payload), http.decode(), payload.decode()))
                     if len(rows) == 256:
                         yield _batch(rows, RECORD)
                         rows = []
                 yield _batch(rows, RECORD)
 
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(paths)
-    return files.select("path", "content").mapInArrow(run, RECORD)
+    return _arc_files(spark, paths).mapInArrow(run, RECORD)
 
 
 def _batch(rows: list[tuple], ddl: str) -> pa.RecordBatch:
@@ -182,8 +195,9 @@ def _batch(rows: list[tuple], ddl: str) -> pa.RecordBatch:
     )
 
 
-def record_id(url: str, date: str, page: int | None, digest: str) -> str:
-    return f"<urn:uuid:{uuid.uuid5(NAMESPACE, f'{url} {date} {page} {digest}')}>"
+def record_id(kind: str, path: str, place: int) -> str:
+    """Id of a record made from the one at ``place`` in the file at ``path``."""
+    return f"<urn:uuid:{uuid.uuid5(NAMESPACE, f'{kind} {path} {place}')}>"
 
 
 def iso(date: str) -> str:
@@ -192,48 +206,101 @@ def iso(date: str) -> str:
     return f"{d[:4]}-{d[4:6]}-{d[6:8]}T{d[8:10]}:{d[10:12]}:{d[12:14]}Z"
 
 
-def convert(records: DataFrame, path: str, min_revisit: int = 100, per_file: int = RECORDS) -> None:
-    """WARC files of ``records`` (as RECORD) below ``path``."""
-    shared = (
-        records.filter(F.col("length") >= min_revisit)
-        .groupBy("digest")
-        .agg(F.count("*").alias("n"), F.min("page_id").alias("first"))
-        .filter("n > 1 and first is not null")
-        .select("digest", "first", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
-    )
-    dealt = records.withColumn("salt", F.pmod(F.xxhash64("page_id", "url"), F.lit(SALTS)).cast("int"))
-    rows = dealt.join(shared, ["digest", "salt"], "left").select(
-        *(f.split(" ")[0] for f in RECORD.split(", ")),
-        F.when(~F.col("page_id").eqNullSafe(F.col("first")), F.col("first")).alias("refers"),
-    )
+PLACE = "page_id long, path string, place long, url string, date string, digest string, length long"
+REVISIT = ["place", "first_page", "first_path", "first_place", "first_url", "first_date"]
 
-    def run(batches):
-        n = 0
-        for b in batches:
-            out = []
-            for page, url, ip, date, mime, digest, _, http, payload, refers in zip(*(c.to_pylist() for c in b.columns), strict=True):
-                if n % per_file == 0:
-                    info = "software: caldim\r\nformat: WARC File Format 1.1"
-                    out.append(warc("warcinfo", f"<urn:uuid:{uuid.uuid5(NAMESPACE, digest)}>", iso(date), [], "application/warc-fields", info))
-                n += 1
-                more = [("WARC-Target-URI", url), ("WARC-IP-Address", ip), ("WARC-Payload-Digest", f"sha256:{digest}")]
-                more += [("WARC-Identified-Payload-Type", mime)] + ([] if page is None else [("Page-Id", page)])
-                block = f"{http}\r\n\r\n"
-                if refers is None:
-                    kind, block = "response", block + payload
-                else:
-                    kind = "revisit"
-                    more += [("WARC-Profile", "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"), ("Refers-To-Page-Id", refers)]
-                out.append(warc(kind, record_id(url, date, page, digest), iso(date), more, "application/http; msgtype=response", block))
-            yield pa.RecordBatch.from_arrays([pa.array(out, pa.string())], names=["value"])
 
-    _files(rows.mapInArrow(run, "value string"), path, "\r\n\r\n", per_file)
+def _places(files: DataFrame) -> DataFrame:
+    """PLACE rows of the records of ARC files: all but headers and payloads."""
 
+    def run(batches):
+        for b in batches:
+            for path, raw in zip(b.column(0).to_pylist(), b.column(1), strict=True):
+                rows = []
+                for place, (page, url, _, date, _, digest, _, payload) in enumerate(_records(path, raw.as_py())):
+                    rows.append((page, path, place, url, date, digest, len(payload)))
+                yield _batch(rows, PLACE)
+
+    return files.mapInArrow(run, PLACE)
+
+
+def revisits(places: DataFrame, min_revisit: int) -> DataFrame:
+    """(path, revisits) of files that hold records with the payload of another
+    one, of a smaller page_id: for each its place, and the other's page, path,
+    place, url and date."""
+    long = places.filter(F.col("length") >= min_revisit)
+    own = F.when(F.col("page_id").isNotNull(), F.struct("page_id", "path", "place", "url", "date"))
+    firsts = long.groupBy("digest").agg(F.count("*").alias("n"), F.min(own).alias("first"))
+    firsts = stored(firsts.filter("n > 1 and first is not null"), "shared-payloads")
+    most = max(FEW, (firsts.agg(F.sum("n")).first()[0] or 0) // HOT_DIGESTS)
+    hot = firsts.filter(F.col("n") > most).select("digest", F.col("first").alias("hot"))
+    rest = firsts.filter(F.col("n") <= most).select("digest", F.lit(0).alias("salt"), F.col("first").alias("cold"))
+    met = long.select("digest", "page_id", "path", "place").join(F.broadcast(hot), "digest", "left")
+    # records with a hot digest need no partner and go anywhere
+    salt = F.when(F.col("hot").isNotNull(), F.pmod(F.xxhash64("path", "place"), F.lit(1 << 20)).cast("int") + 1).otherwise(0)
+    met = met.withColumn("salt", salt).join(rest, ["digest", "salt"], "left").withColumn("first", F.coalesce("hot", "cold"))
+    met = met.filter(F.col("first").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first.page_id")))
+    one = F.struct(F.col("place"), *(F.col(f"first.{c}").alias(n) for c, n in zip(("page_id", "path", "place", "url", "date"), REVISIT[1:], strict=True)))
+    return met.groupBy("path").agg(F.collect_list(one).alias("revisits"))  # as many as a file has records
+
+
+def convert(spark, paths: list[str], path: str, min_revisit: int = 100, per_file: int = RECORDS) -> None:
+    """WARC files below ``path`` of the records of the ARC files below ``paths``."""
+    files = _arc_files(spark, paths)
+    again = revisits(stored(_places(files), "record-places"), min_revisit)
+    rows = files.join(again.hint("shuffle_hash"), "path", "left")
 
-def warc(kind: str, ident: str, date: str, more: list[tuple], mime: str, block: str) -> str:
+    def run(batches):
+        n = 0
+        for b in batches:
+            for arc, raw, known in zip(*b.columns, strict=True):
+                arc, known = arc.as_py(), {r["place"]: r for r in known.as_py() or ()}
+                out = []
+                for place, (page, url, ip, date, mime, digest, http, payload) in enumerate(_records(arc, raw.as_py())):
+                    if n % per_file == 0:
+                        info = b"software: caldim\r\nformat: WARC File Format 1.1"
+                        out.append(member(warc("warcinfo", record_id("warcinfo", arc, place), iso(date), [], "application/warc-fields", info)))
+                    n += 1
+                    refers = known.get(place)
+                    kind, block = ("response", payload) if refers is None else ("revisit", b"")
+                    more = [("WARC-Target-URI", url), ("WARC-IP-Address", ip), ("WARC-Payload-Digest", f"sha256:{digest}")]
+                    more += [("WARC-Identified-Payload-Type", mime)] + ([] if page is None else [("Page-Id", page)])
+                    if refers is not None:
+                        more += [
+                            ("WARC-Profile", "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"),
+                            ("WARC-Refers-To", record_id("record", refers["first_path"], refers["first_place"])),
+                            ("WARC-Refers-To-Target-URI", refers["first_url"]), ("WARC-Refers-To-Date", iso(refers["first_date"])),
+                            ("Refers-To-Page-Id", refers["first_page"]),
+                        ]
+                    block = http + b"\r\n\r\n" + block
+                    out.append(member(warc(kind, record_id("record", arc, place), iso(date), more, "application/http; msgtype=response", block)))
+                    if len(out) >= 256:
+                        yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], names=["value"])
+                        out = []
+                yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], names=["value"])
+
+    # the text writer puts its separator behind each row: the zero byte that every member ends with
+    members = rows.select("path", "content", "revisits").mapInArrow(run, "value binary").select(F.col("value").cast("string"))
+    with settings(spark, {"spark.sql.castBinaryToString.validateUtf8.enabled": "false"}):
+        members.write.option("lineSep", "\0").option("maxRecordsPerFile", per_file + 1).text(path)
+
+
+#: A gzip member of nothing.
+_EMPTY = gzip.compress(b"", mtime=0)
+
+
+def member(record: bytes) -> bytes:
+    """A record as a gzip member without its last byte, which is zero: the
+    highest one of its length, or of that of an empty member behind it."""
+    out = gzip.compress(record, mtime=0)
+    return out[:-1] if out[-1] == 0 else out + _EMPTY[:-1]
+
+
+def warc(kind: str, ident: str, date: str, more: list[tuple], mime: str, block: bytes) -> bytes:
+    """A record with its closing empty lines."""
     head = [("WARC-Type", kind), ("WARC-Record-ID", ident), ("WARC-Date", date), *more]
-    head += [("Content-Type", mime), ("Content-Length", len(block.encode()))]
-    return "WARC/1.1\r\n" + "".join(f"{k}: {v}\r\n" for k, v in head) + "\r\n" + block
+    head += [("WARC-Block-Digest", f"sha256:{hashlib.sha256(block).hexdigest()}"), ("Content-Type", mime), ("Content-Length", len(block))]
+    return ("WARC/1.1\r\n" + "".join(f"{k}: {v}\r\n" for k, v in head) + "\r\n").encode() + block + b"\r\n\r\n"
 
 
 def parse_warc(raw: bytes):
@@ -287,7 +354,7 @@ def round_trip(pages: DataFrame) -> DataFrame:
     for v, path in zip((1, 2), old, strict=True):
         write_arc(pages.filter(odd == v - 1), path, v)
     new = work_dir(spark, "warc")
-    convert(read_arc(spark, old), new)
+    convert(spark, old, new)
     return read_warc(spark, new)
 
 

@@ -2,6 +2,7 @@
 
 import gzip
 import hashlib
+import zlib
 
 import pytest
 from llm_fixtures import SF0001
@@ -66,11 +67,52 @@ def test_parse_versions():
 
 def test_synthesised_headers():
     assert A.iso("20010203040506") == "2001-02-03T04:05:06Z" and A.iso("2001") == "2001-01-01T00:00:00Z"
-    a, b = A.record_id("u", "2001", 1, "d"), A.record_id("u", "2001", 2, "d")
-    assert a != b and a == A.record_id("u", "2001", 1, "d") and a.startswith("<urn:uuid:")
-    record = A.warc("response", a, A.iso("2001"), [("Page-Id", 1)], "application/http", "é")
-    (head, block), = A.parse_warc(record.encode() + b"\r\n\r\n")
+    a, b = A.record_id("record", "f", 1), A.record_id("record", "f", 2)
+    assert a != b and a == A.record_id("record", "f", 1) and a.startswith("<urn:uuid:")
+    record = A.warc("response", a, A.iso("2001"), [("Page-Id", 1)], "application/http", "é".encode())
+    (head, block), = A.parse_warc(record)
     assert head["Content-Length"] == "2" and block == "é".encode() and head["WARC-Record-ID"] == a
+    assert head["WARC-Block-Digest"] == "sha256:" + hashlib.sha256(block).hexdigest()
+
+
+def test_members():
+    """Every record is a member of its own, whatever its length."""
+    for n in (0, 1, 100, (1 << 24) - 1, 1 << 24, (1 << 24) + 7):
+        body = bytes(n)
+        raw = A.member(body) + b"\0"
+        assert A._content("f", raw) == body and gzip.decompress(raw) == body
+
+
+def test_ids_are_unique_and_revisits_name_their_first(spark, scratch):
+    """Repeated rows too; each record can be read by the offset of its member."""
+    big = "same payload " * 20
+    rows = [(k, f"http://a/{k}", big) for k in range(30)] + [(3, "http://a/3", big)] * 4 + [(40, "http://b", "own " * 50)] * 3 + [(None, "http://c", big)]
+    A.write_arc(made(spark, rows).repartition(3), f"{scratch}/arc", 1, records=7)
+    A.convert(spark, [f"{scratch}/arc"], f"{scratch}/warc", per_file=5)
+    heads, n_files = [], 0
+    for r in spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(f"{scratch}/warc").collect():
+        raw, at = bytes(r.content), 0
+        n_files += 1
+        while at < len(raw):
+            d = zlib.decompressobj(31)
+            (head, block), = A.parse_warc(d.decompress(raw[at:]))
+            assert head["WARC-Block-Digest"] == "sha256:" + hashlib.sha256(block).hexdigest()
+            heads.append(head)
+            at = len(raw) - len(d.unused_data)
+    ids = [h["WARC-Record-ID"] for h in heads]
+    assert len(set(ids)) == len(ids) == len(rows) + sum(h["WARC-Type"] == "warcinfo" for h in heads) and n_files > 3
+    first = [h for h in heads if h.get("Page-Id") == "0"]
+    again = [h for h in heads if h["WARC-Type"] == "revisit"]
+    assert len(first) == 1 and len(again) == 29 + 4 + 1
+    for h in again:
+        assert h["WARC-Refers-To"] == first[0]["WARC-Record-ID"] and h["WARC-Refers-To-Target-URI"] == "http://a/0"
+        assert h["WARC-Refers-To-Date"] == first[0]["WARC-Date"] and h["Refers-To-Page-Id"] == "0"
+
+
+def test_hot_and_other_payloads_meet_alike(spark, monkeypatch):
+    monkeypatch.setattr(A, "FEW", 3)
+    rows = [(k, f"http://a/{k}", f"payload {k % 7} " * 30 if k < 14 else "hot " * 60) for k in range(40)]
+    assert sorted((tuple(r) for r in A.round_trip(made(spark, rows)).collect()), key=str) == plain(rows)
 
 
 def test_query(spark):
