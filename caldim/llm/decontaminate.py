@@ -8,9 +8,11 @@ later; blocks that no pattern has move it by the most. At shift zero the
 suffix-hash bucket of the block gives the patterns that end so, and direct
 comparison of all words confirms.
 
-Patterns are held in blocks of bounded size (``block_windows``): one block is
-collected and broadcast at a time, and each adds its finds to those of the
-blocks before, in one pass over the documents.
+Patterns are held in blocks of bounded size (``block_windows`` window and item
+pairs): one block is collected and broadcast at a time, searched in one pass over
+the documents, and gone from the driver and all workers before the next; finds
+are stored between passes and put together at the end. A benchmark of one block,
+as usual, takes one pass without anything stored between.
 
 Defined cases: null text has no words, n_words 0; null item text or one without
 words makes no window; a null item_id is written as an empty string among the
@@ -27,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from caldim.llm.common import lower_ascii, prepare, text_of
+from caldim.llm.common import lower_ascii, prepare, stored, text_of
 
 #: Words: letters and digits of ASCII, and whatever is not ASCII. Fixed value.
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -96,16 +98,30 @@ def find(docs: DataFrame, benchmark: DataFrame, size: int = 10, block_windows: i
         raise ValueError("windows have 1 to 63 words")
     spark = docs.sparkSession
     prepare(spark)
-    wins = windows(benchmark, size)
-    blocks = max(1, -(-wins.count() // block_windows))
+    wins = stored(windows(benchmark, size), "benchmark-windows")
+    pairs = wins.agg(F.sum(F.size("items"))).first()[0] or 0
+    blocks = max(1, -(-pairs // block_windows))
     rows = docs.select("doc_id", text_of().cast("binary").alias("text"))
-    rows = rows.select("*", F.array().cast("array<long>").alias("hits"), F.array().cast("array<string>").alias("items"))
-    schema = rows.schema
+    none = [F.array().cast("array<long>").alias("hits"), F.array().cast("array<string>").alias("items")]
+    if blocks == 1:
+        rows = rows.select("*", *none)
+        tables = spark.sparkContext.broadcast([(r[0], r[1]) for r in wins.collect()])
+        return rows.mapInArrow(_pass(tables), rows.schema).mapInArrow(_digest, _result_schema(docs))
+    rows = stored(rows.withColumn("rid", F.monotonically_increasing_id()), "decontamination-rows")
+    look = rows.select("rid", "text", *none)
+    finds = None
     for k in range(blocks):
-        part = wins.filter(F.pmod(F.xxhash64("window"), F.lit(blocks)) == k) if blocks > 1 else wins
+        part = wins.filter(F.pmod(F.xxhash64("window"), F.lit(blocks)) == k)
         tables = spark.sparkContext.broadcast([(r[0], r[1]) for r in part.collect()])
-        rows = rows.mapInArrow(_pass(tables), schema)
-    return rows.mapInArrow(_digest, _result_schema(docs))
+        hit = look.mapInArrow(_pass(tables), look.schema).filter(F.size("hits") > 0).drop("text")
+        hit = stored(hit, "decontamination-finds")
+        tables.destroy()
+        finds = hit if finds is None else finds.unionByName(hit)
+    together = lambda c: F.array_distinct(F.flatten(F.collect_list(c))).alias(c)
+    both = rows.join(finds.groupBy("rid").agg(together("hits"), together("items")), "rid", "left")
+    empty = {c: F.coalesce(F.col(c), d) for c, d in zip(("hits", "items"), none, strict=True)}
+    both = both.select("doc_id", "text", *(d.alias(c) for c, d in empty.items()))
+    return both.mapInArrow(_digest, _result_schema(docs))
 
 
 def _pass(tables):

@@ -89,3 +89,20 @@ def test_shifts_skip(spark):
 
     machine.search(Counted([b"other"] * 9000), hit := set(), set())
     assert not hit and Counted.reads <= 2 * 1001
+
+
+def test_many_blocks_keep_the_driver_small(spark, documents, monkeypatch):  # noqa: F811
+    """However many windows there are, a block of them is collected at a time."""
+    import random
+
+    rnd = random.Random(6)
+    text = lambda n: " ".join(rnd.choice("abcdefgh") for _ in range(n))
+    items = [(k, text(rnd.randint(3, 40))) for k in range(120)]
+    docs = [(k, text(rnd.randint(0, 60)) + " " + rnd.choice(items)[1]) for k in range(50)]
+    seen, build = [], D._pass
+    monkeypatch.setattr(D, "_pass", lambda tables: seen.append(sum(len(i) for _, i in tables.value)) or build(tables))
+    got = D.find(documents(docs), spark.createDataFrame(items, "item_id long, text string"), size=8, block_windows=300)
+    assert sorted(map(tuple, got.collect())) == plain(docs, items, 8)
+    assert len(seen) > 5 and max(seen) < 600
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert plan.split("== Initial Plan ==")[0].count("MapInArrow") == 1
