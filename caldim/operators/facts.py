@@ -247,13 +247,11 @@ def daypart_profile(spark: SparkSession, fact: DataFrame, ts_col: str, measures:
 
 
 class Load(NamedTuple):
-    """Rows loaded, the new mark, rows of the source without a time, and rows
-    below the old mark that no load took (None if they were not counted)."""
+    """Rows loaded, the new mark, and rows of the source without a time."""
 
     rows: int
     mark: dt.datetime
     rows_without_time: int
-    rows_late: int | None = None
 
 
 def incremental_load(
@@ -267,7 +265,6 @@ def incremental_load(
     country: str | None = None,
     upper: dt.datetime | None = None,
     load_ts: dt.datetime | None = None,
-    count_late: bool = False,
 ) -> Load:
     """Append the rows with mark <= ``ts_col`` < ``upper`` to ``target_path``
     and log ``upper`` as the new mark with the row count (X6).
@@ -279,10 +276,8 @@ def incremental_load(
     on the day itself waits for the next load. A load whose ``upper`` does not
     pass the mark loads nothing and keeps it.
 
-    With ``count_late`` the source's rows below the mark are counted (one column
-    is read) and held against those loaded so far: what arrived late is in the
-    result and, if there is any, in the audit table. (``maintenance`` keeps a
-    rollup that takes late rows.)
+    Rows that arrive below the mark are not loaded: ``late_rows`` counts them, and
+    ``maintenance`` keeps a rollup that takes them.
 
     Rows without a time belong to no interval: all of the source's are kept,
     newest state only, in ``<target_path>_without_time``, and counted in the
@@ -318,18 +313,50 @@ def incremental_load(
     without = written(source.where(time.isNull()), f"{target_path}_without_time")
     if without:
         logs.log_audit("INCREMENTAL_LOAD", table_name, f"rows without {ts_col}: {without}", schema_name, table_name, load_ts)
-    late = None
-    if count_late:
-        below = source.where(time < instant(mark)).count() if mark is not None else 0
-        late = below - logs.rows_processed(table_name, schema_name, country)
-        if late > 0:
-            logs.log_audit("INCREMENTAL_LOAD", table_name, f"rows of {ts_col} below the mark that no load took: {late}", schema_name, table_name, load_ts)
     logs.log_process_date(table_name, schema_name, upper, rows, country, ts=load_ts)
-    return Load(rows, upper, without, late)
+    return Load(rows, upper, without)
+
+
+def late_rows(
+    logs: LogTables,
+    source: DataFrame,
+    ts_col: str,
+    table_name: str,
+    schema_name: str | None = None,
+    country: str | None = None,
+    load_ts: dt.datetime | None = None,
+) -> int:
+    """Rows of the source below the mark that no load took, as they arrived too
+    late: those below it (one column is read) less all that were loaded. They are
+    written to the audit table if there are any."""
+    mark = logs.last_process_date(table_name, schema_name, country)
+    if mark is None:
+        return 0
+    below = source.where(F.col(ts_col) < F.lit(mark.strftime("%Y-%m-%d %H:%M:%S.%f")).cast("timestamp_ntz")).count()
+    late = below - logs.rows_processed(table_name, schema_name, country)
+    if late > 0:
+        step = f"rows of {ts_col} below the mark that no load took: {late}"
+        logs.log_audit("INCREMENTAL_LOAD", table_name, step, schema_name, table_name, load_ts)
+    return late
+
+
+def fact_days(facts: list[tuple[DataFrame, str]]) -> DataFrame:
+    """(source, d, n): rows of each fact by date (rows without one are left
+    out), map-side first; ``source`` is the date column's name. A row a day and
+    fact, so a stored copy answers whatever is asked about the facts' dates."""
+    parts = [
+        df.select(cal.as_date(c).alias("d")).where("d is not null").groupBy("d").agg(F.count(F.lit(1)).alias("n"))
+        .select(F.lit(c).alias("source"), "d", "n")
+        for df, c in facts
+    ]
+    both = parts[0]
+    for p in parts[1:]:
+        both = both.unionByName(p)
+    return both
 
 
 def dimension_checks(
-    dim: DataFrame, fin_cal: DataFrame, facts: list[tuple[DataFrame, str]]
+    dim: DataFrame, fin_cal: DataFrame, facts: list[tuple[DataFrame, str]], days: DataFrame | None = None
 ) -> DataFrame:
     """Quality checks of a date dimension (X8), one row per check with the
     number of failures: duplicate dates, missing days inside its span, rows
@@ -338,17 +365,20 @@ def dimension_checks(
 
     Every source is reduced to its dates with a count, map-side first; the
     counts meet in one grouping by date, and one aggregate over the days
-    gives all checks."""
+    gives all checks. With ``days`` (``fact_days`` of the same facts) the facts
+    themselves are not read."""
+    if days is None:
+        days = fact_days(facts)
+    names = ["dim", "fin", *(f"fact{k}" for k in range(len(facts)))]
+
+    def per_date(df: DataFrame, name: str) -> DataFrame:
+        return df.select("d", *[(F.col("n") if x == name else F.lit(0).cast("long")).alias(x) for x in names])
 
-    def per_date(df: DataFrame, date: Column, name: str) -> DataFrame:
-        names = ["dim", "fin", *(f"fact{k}" for k in range(len(facts)))]
-        return (
-            df.select(date.alias("d")).where("d is not null").groupBy("d").agg(F.count(F.lit(1)).alias("n"))
-            .select("d", *[(F.col("n") if x == name else F.lit(0).cast("long")).alias(x) for x in names])
-        )
+    def dates(df: DataFrame) -> DataFrame:
+        return df.select(F.col("calendar_date").alias("d")).where("d is not null").groupBy("d").agg(F.count(F.lit(1)).alias("n"))
 
-    parts = [per_date(dim, F.col("calendar_date"), "dim"), per_date(fin_cal, F.col("calendar_date"), "fin")]
-    parts += [per_date(df, cal.as_date(c), f"fact{k}") for k, (df, c) in enumerate(facts)]
+    parts = [per_date(dates(dim), "dim"), per_date(dates(fin_cal), "fin")]
+    parts += [per_date(days.where(F.col("source") == c), f"fact{k}") for k, (_, c) in enumerate(facts)]
     both = parts[0]
     for p in parts[1:]:
         both = both.unionByName(p)

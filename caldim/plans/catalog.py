@@ -422,19 +422,22 @@ def lineitem_date_attributes_q(spark, base):
 def dim_quality_checks_q(spark, base):
     """The checks of a sound dimension, and of one that is damaged by what
     the facts hold: the year after the first order is missing, the last order's
-    day occurs twice, and the financial calendar ends before the last ship date."""
-    i = Inputs(spark, base)
+    day occurs twice, and the financial calendar ends before the last ship date.
+    Each fact is read once, into its rows by day; span, damage and checks follow
+    from these."""
     fact_dates = [(read_table(spark, base, t, c), c) for t, c in DATE_COLUMNS.items()]
-    orders, items = (df.select(cal.as_date(c).alias("d")) for df, c in fact_dates)
+    path = work_dir(spark, "fact-days")
+    facts.fact_days(fact_dates).write.parquet(path)
+    days = spark.read.parquet(path)
+    spans = {r["source"]: (r["a"], r["e"]) for r in days.groupBy("source").agg(F.min("d").alias("a"), F.max("d").alias("e")).collect()}
+    first, last = min(a for a, _ in spans.values()), max(e for _, e in spans.values())
+    i = Inputs(spark, base, (dt.date(first.year, 1, 1), dt.date(last.year + 1, 1, 1)))
     sound = i.dim().select("calendar_date")
-    # sides of one row: an aggregate each
-    year = F.broadcast(orders.agg((F.year(F.min("d")) + 1).alias("year")))
-    last = F.broadcast(orders.agg(F.max("d").alias("calendar_date")))
-    shipped = F.broadcast(items.agg(F.max("d").alias("last")))
-    damaged = sound.join(year, F.year("calendar_date") == F.col("year"), "left_anti")
-    damaged = damaged.unionByName(sound.join(last, "calendar_date", "left_semi"))
-    shorter = i.fin.join(shipped, F.col("calendar_date") >= F.col("last"), "left_anti")
-    checks = [facts.dimension_checks(d, f, fact_dates) for d, f in ((sound, i.fin), (damaged, shorter))]
+    (first_order, last_order), (_, last_shipped) = (spans[c] for c in DATE_COLUMNS.values())
+    damaged = sound.where(F.year("calendar_date") != first_order.year + 1)
+    damaged = damaged.unionByName(sound.where(F.col("calendar_date") == F.lit(last_order)))
+    shorter = i.fin.where(F.col("calendar_date") < F.lit(last_shipped))
+    checks = [facts.dimension_checks(d, f, fact_dates, days) for d, f in ((sound, i.fin), (damaged, shorter))]
     names = ("sound", "damaged")
     parts = [c.select(F.lit(n).alias("dimension"), "*") for n, c in zip(names, checks, strict=True)]
     return parts[0].unionByName(parts[1])

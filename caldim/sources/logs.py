@@ -1,8 +1,9 @@
 """Audit, error and process-date tables: append-only parquet datasets.
 
-The surrogate keys (AUDIT_KEY, ERROR_KEY) are assigned by the single writer
-as max(key) + 1; the tables hold a few rows per job run. A procedure hands
-over all its audit rows at once: one read of the highest key, one append.
+The surrogate keys (AUDIT_KEY, ERROR_KEY) are assigned by the single writer.
+Each append of rows with keys is a folder named by its first key, so the next
+key follows from the newest folder alone, however long the log is. A procedure
+hands over all its audit rows at once: one read of that folder, one append.
 """
 
 from __future__ import annotations
@@ -14,7 +15,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from caldim import schemas
-from caldim.sources.store import _missing, path_exists
+from caldim.sources.store import _missing, folders, path_exists
+
+#: Folders of appended rows are named by their first key.
+FOLDER = "from="
 
 
 def utc_now() -> dt.datetime:
@@ -34,7 +38,7 @@ class LogTables:
         if path_exists(self.spark, path) is False:
             return self.spark.createDataFrame([], schema)
         try:
-            return self.spark.read.schema(schema).parquet(path)
+            return self.spark.read.schema(schema).option("recursiveFileLookup", "true").parquet(path)
         except AnalysisException as e:
             if _missing(e):
                 return self.spark.createDataFrame([], schema)
@@ -49,11 +53,21 @@ class LogTables:
     def process_dates(self) -> DataFrame:
         return self._read(self.process_date_path, schemas.PROCESS_DATE)
 
-    def _next_key(self, df: DataFrame, key: str) -> int:
-        return (df.agg(F.max(key)).first()[0] or 0) + 1
-
-    def _append(self, path: str, schema, *rows: tuple) -> None:
-        self.spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(path)
+    def _next_key(self, path: str, schema, key: str) -> int:
+        """One more than the highest key of the newest folder (folders without
+        rows, of appends that failed, are passed over)."""
+        for folder in sorted((f for f in folders(self.spark, path) if f.startswith(FOLDER)), reverse=True):
+            last = self.spark.read.schema(schema).parquet(f"{path}/{folder}").agg(F.max(key)).first()[0]
+            if last is not None:
+                return last + 1
+        return 1
+
+    def _append(self, path: str, schema, *rows: tuple, key: int | None = None) -> None:
+        w = self.spark.createDataFrame(rows, schema).coalesce(1).write
+        if key is None:
+            w.mode("append").parquet(path)
+        else:
+            w.mode("overwrite").parquet(f"{path}/{FOLDER}{key:020d}")
 
     def log_audit(
         self,
@@ -75,9 +89,9 @@ class LogTables:
         ts: dt.datetime | None = None,
     ) -> int:
         """Audit rows of (step, result) pairs, in order; the first one's key."""
-        key, ts = self._next_key(self.audit(), "audit_key"), ts or utc_now()
+        key, ts = self._next_key(self.audit_path, schemas.AUDIT, "audit_key"), ts or utc_now()
         rows = [(key + k, procedure, step, result, schema_name, table_name, ts) for k, (step, result) in enumerate(steps)]
-        self._append(self.audit_path, schemas.AUDIT, *rows)
+        self._append(self.audit_path, schemas.AUDIT, *rows, key=key)
         return key
 
     def log_error(
@@ -90,9 +104,9 @@ class LogTables:
         stack: str | None,
         ts: dt.datetime | None = None,
     ) -> int:
-        key = self._next_key(self.errors(), "error_key")
+        key = self._next_key(self.error_path, schemas.ERROR, "error_key")
         self._append(
-            self.error_path, schemas.ERROR, (key, procedure, step, code, message, state, stack, ts or utc_now())
+            self.error_path, schemas.ERROR, (key, procedure, step, code, message, state, stack, ts or utc_now()), key=key
         )
         return key
 

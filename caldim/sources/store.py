@@ -2,46 +2,22 @@
 
 Layout under a table folder:
 
-    <path>/v=<n>-<id>/   one write attempt of version n, written once
-    <path>/_commits/     one JSON record per committed version
-
-A writer computes version n+1 from version n, writes it to a folder of its
-own and only then appends the commit record naming that folder, so a reader
-(which resolves the highest committed version) never sees a half-written
-version, a failed or interrupted write leaves version n current (its folder
-is simply never committed), and no committed folder is ever overwritten.
-Before committing, the writer checks that version n is still the current
-one, and the record of version n+1 is one file created without overwrite:
-of two writers the file system lets one create it, and the other raises
-``ConcurrentCommit``. A failed
-or refused attempt leaves its folder uncommitted; readers never see it, and
-storage lifecycle rules may remove folders absent from the commit log.
+    <path>/v=<n>/     version n, written once
+    <path>/current   the number of the current version
+
+A writer computes version n+1 from version n, writes it to its folder and only
+then replaces the pointer, by renaming a new one over it. A reader resolves the
+pointer first, so it never sees a half-written version, and a failed or
+interrupted write leaves version n current: its folder is written anew by the
+retry. There is one writer, as the procedures that write are scheduled one after
+another. Older versions stay until storage rules remove them.
 """
 
 from __future__ import annotations
 
-import datetime as dt
-import json
-import uuid
-
-from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-COMMIT_SCHEMA = T.StructType(
-    [
-        T.StructField("version", T.LongType(), False),
-        T.StructField("folder", T.StringType(), True),
-        T.StructField("rows", T.LongType(), True),
-        T.StructField("committed_at", T.StringType(), True),
-    ]
-)
-
-
-class ConcurrentCommit(RuntimeError):
-    """Another writer committed a version while this one was writing."""
 
 
 def _missing(e: AnalysisException) -> bool:
@@ -55,9 +31,8 @@ def path_exists(spark: SparkSession, path: str) -> bool | None:
     not reachable (e.g. a Spark Connect client), and callers then try the
     read and catch PATH_NOT_FOUND."""
     try:
-        sc = spark.sparkContext
-        jpath = sc._jvm.org.apache.hadoop.fs.Path(path)
-        return bool(jpath.getFileSystem(sc._jsc.hadoopConfiguration()).exists(jpath))
+        fs, jpath = _file_system(spark, path)
+        return bool(fs.exists(jpath))
     except Exception:  # noqa: BLE001
         return None
 
@@ -66,25 +41,36 @@ def single_file(spark: SparkSession, path: str) -> str | None:
     """The full path if ``path`` names one file; None for a folder or a glob."""
     if any(ch in path for ch in "*?["):
         return None
-    jpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    fs = jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs, jpath = _file_system(spark, path)
     return fs.makeQualified(jpath).toString() if fs.exists(jpath) and fs.getFileStatus(jpath).isFile() else None
 
 
-def _create(spark: SparkSession, path: str, text: str) -> bool:
-    """Create a file with ``text``; False if it was there already."""
-    jpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    fs = jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    fs.mkdirs(jpath.getParent())
-    try:
-        out = fs.create(jpath, False)
-    except Py4JJavaError as e:
-        if "AlreadyExists" in e.java_exception.getClass().getName() or fs.exists(jpath):
-            return False
-        raise
+def folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders in a folder; none if it does not exist."""
+    fs, jpath = _file_system(spark, path)
+    return [s.getPath().getName() for s in fs.listStatus(jpath) if s.isDirectory()] if fs.exists(jpath) else []
+
+
+def _file_system(spark: SparkSession, path: str):
+    sc = spark.sparkContext
+    jpath = sc._jvm.org.apache.hadoop.fs.Path(path)
+    return jpath.getFileSystem(sc._jsc.hadoopConfiguration()), jpath
+
+
+def _replace(spark: SparkSession, path: str, text: str) -> None:
+    """The file at ``path`` with new content, in one step: readers see the old
+    file or the new one."""
+    sc = spark.sparkContext
+    fs, new = _file_system(spark, f"{path}.new")
+    fs.mkdirs(new.getParent())
+    out = fs.create(new, True)
     out.write(bytearray(text, "utf-8"))
     out.close()
-    return True
+    hadoop = sc._jvm.org.apache.hadoop.fs
+    how = sc._gateway.new_array(hadoop.Options.Rename, 1)
+    how[0] = hadoop.Options.Rename.OVERWRITE
+    files = hadoop.FileContext.getFileContext(fs.makeQualified(new).toUri(), sc._jsc.hadoopConfiguration())
+    files.rename(fs.makeQualified(new), fs.makeQualified(hadoop.Path(path)), how)
 
 
 class VersionedTable:
@@ -92,61 +78,33 @@ class VersionedTable:
         self.spark = spark
         self.path = path.rstrip("/")
 
-    def _commits(self) -> DataFrame | None:
-        if path_exists(self.spark, f"{self.path}/_commits") is False:
-            return None
-        try:
-            return self.spark.read.schema(COMMIT_SCHEMA).json(f"{self.path}/_commits")
-        except AnalysisException as e:
-            if _missing(e):
-                return None
-            raise
-
-    def _head(self, version: int | None = None):
-        """The commit record of the given (or the highest) version."""
-        commits = self._commits()
-        if commits is None:
-            return None
-        if version is not None:
-            commits = commits.where(F.col("version") == version)
-        return commits.orderBy(F.col("version").desc(), F.col("committed_at").desc()).take(1) or None
-
-    @staticmethod
-    def _folder(record) -> str:
-        # records written before folders were named per attempt lack "folder"
-        return record["folder"] or f"v={record['version']}"
-
     def current_version(self) -> int | None:
-        head = self._head()
-        return None if head is None else head[0]["version"]
+        pointer = f"{self.path}/current"
+        if path_exists(self.spark, pointer) is False:
+            return None
+        return int(self.spark.read.text(pointer).first()[0])
 
     def version_path(self, version: int) -> str:
-        head = self._head(version)
-        if head is None:
-            raise FileNotFoundError(f"version {version} of {self.path} is not committed")
-        return f"{self.path}/{self._folder(head[0])}"
+        current = self.current_version()
+        if current is None or not 1 <= version <= current:
+            raise FileNotFoundError(f"{self.path} has no version {version}")
+        return f"{self.path}/v={version}"
 
     def read(self, version: int | None = None) -> DataFrame | None:
-        """The given version (FileNotFoundError if it was never committed) or
-        the current one (None if nothing is committed yet)."""
-        if version is not None:
-            return self.spark.read.parquet(self.version_path(version))
-        head = self._head()
-        return None if head is None else self.spark.read.parquet(f"{self.path}/{self._folder(head[0])}")
+        """The given version (FileNotFoundError if there is none) or the current
+        one (None if nothing is written yet)."""
+        if version is None:
+            version = self.current_version()
+            if version is None:
+                return None
+        return self.spark.read.parquet(self.version_path(version))
 
     def write(self, df: DataFrame, row_count_name: str = "number of rows inserted") -> tuple[int, int]:
         """Write ``df`` as the next version; returns (version, rows). The row
         count is observed during the write itself, not by a second job."""
-        cur = self.current_version()
-        n = 1 if cur is None else cur + 1
-        folder = f"v={n}-{uuid.uuid4().hex[:12]}"
-        obs = Observation(f"rows_v{n}_{folder[-12:]}")
-        df.observe(obs, F.count(F.lit(1)).alias(row_count_name)).write.mode("errorifexists").parquet(
-            f"{self.path}/{folder}"
-        )
+        n = (self.current_version() or 0) + 1
+        obs = Observation()
+        df.observe(obs, F.count(F.lit(1)).alias(row_count_name)).write.mode("overwrite").parquet(f"{self.path}/v={n}")
         rows = obs.get[row_count_name]
-        at = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None).isoformat()
-        record = json.dumps({"version": n, "folder": folder, "rows": rows, "committed_at": at})
-        if self.current_version() != cur or not _create(self.spark, f"{self.path}/_commits/{n:020d}.json", record):
-            raise ConcurrentCommit(f"{self.path}: version {n} was committed by another writer")
+        _replace(self.spark, f"{self.path}/current", f"{n}\n")
         return n, rows

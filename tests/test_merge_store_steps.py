@@ -187,40 +187,37 @@ def test_interrupted_write_keeps_current_version(spark, scratch):
     assert t.read().count() == 5
 
 
-def test_concurrent_commit_is_refused(spark, scratch):
-    from caldim.sources.store import ConcurrentCommit
-
+def test_pointer_names_a_whole_version(spark, scratch):
+    """A folder without a pointer to it is no version; the next write replaces it."""
     t = VersionedTable(spark, f"{scratch}/t")
     t.write(spark.range(3))
-    other = VersionedTable(spark, f"{scratch}/t")
-
-    class Racing(VersionedTable):
-        def current_version(self):
-            v = super().current_version()
-            if not getattr(self, "_raced", False) and v == 1:
-                self._raced = True
-                other.write(spark.range(4))  # another writer commits version 2 meanwhile
-            return v
-
-    with pytest.raises(ConcurrentCommit):
-        Racing(spark, f"{scratch}/t").write(spark.range(5))
-    assert t.current_version() == 2 and t.read().count() == 4
-
-
-def test_commit_record_is_never_overwritten(spark, scratch):
-    """Two writers that both saw version 1 as current: one commits version 2."""
-    from caldim.sources.store import ConcurrentCommit
+    spark.range(99).write.parquet(f"{scratch}/t/v=2")  # a writer that died before it moved the pointer
+    assert t.current_version() == 1 and t.read().count() == 3
+    with pytest.raises(FileNotFoundError):
+        t.read(2)
+    assert t.write(spark.range(4)) == (2, 4)
+    assert t.read().count() == 4 and t.read(1).count() == 3
+    assert VersionedTable(spark, f"{scratch}/t/").current_version() == 2
 
-    class Stale(VersionedTable):
-        def current_version(self):
-            return 1
 
+def test_a_version_may_be_computed_from_the_one_before(spark, scratch):
     t = VersionedTable(spark, f"{scratch}/t")
     t.write(spark.range(3))
-    t.write(spark.range(4))
-    with pytest.raises(ConcurrentCommit):
-        Stale(spark, f"{scratch}/t").write(spark.range(5))
-    assert t.current_version() == 2 and t.read().count() == 4
+    for k in range(3):
+        t.write(t.read().unionByName(spark.range(100 + k, 101 + k)))
+    assert t.current_version() == 4 and t.read().count() == 6 and t.read(2).count() == 4
+
+
+def test_log_keys_follow_the_newest_append(spark, scratch):
+    """Keys stay gapless over appends of several rows, and over one that failed."""
+    logs = LogTables(spark, scratch)
+    assert logs.log_audits("p", [("a", "1"), ("b", "2"), ("c", "3")]) == 1
+    assert logs.log_audit("p", "d", "4") == 4
+    logs.audit().limit(0).write.parquet(f"{logs.audit_path}/from={5:020d}")  # an append without rows
+    assert logs.log_audits("p", [("e", "5"), ("f", "6")]) == 5
+    assert logs.log_error("p", "s", None, "m", None, None) == 1 and logs.log_error("p", "s", None, "m", None, None) == 2
+    assert sorted(r.audit_key for r in logs.audit().collect()) == [1, 2, 3, 4, 5, 6]
+    assert sorted(r.error_key for r in logs.errors().collect()) == [1, 2]
 
 
 def test_work_folder_needs_a_shared_place_on_a_cluster(spark, monkeypatch):

@@ -315,9 +315,11 @@ def test_late_rows_below_the_mark_are_counted(spark, scratch):
 
     logs, t = LogTables(spark, f"{scratch}/logs"), lambda d: dt.datetime(2020, 1, d)
     rows = lambda days: spark.createDataFrame([(t(d),) for d in days], T.StructType([T.StructField("ts", T.TimestampNTZType())]))
-    load = lambda df, d: facts.incremental_load(spark, logs, df, "ts", f"{scratch}/t", "tab", upper=t(d), count_late=True)
-    assert load(rows([1, 2, 2, 5]), 3) == (3, t(3), 0, 0)
-    assert load(rows([1, 2, 2, 5, 1, 2]), 6) == (1, t(6), 0, 2)
+    load = lambda df, d: facts.incremental_load(spark, logs, df, "ts", f"{scratch}/t", "tab", upper=t(d))[:2]
+    late = lambda df: facts.late_rows(logs, df, "ts", "tab")
+    assert late(rows([1, 2])) == 0
+    assert load(rows([1, 2, 2, 5]), 3) == (3, t(3)) and late(rows([1, 2, 2, 5])) == 0
+    assert load(rows([1, 2, 2, 5, 1, 2]), 6) == (1, t(6)) and late(rows([1, 2, 2, 5, 1, 2])) == 2
     assert [r.step_result for r in logs.audit().collect()] == ["rows of ts below the mark that no load took: 2"]
 
 
