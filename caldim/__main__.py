@@ -5,10 +5,13 @@
     python -m caldim time-of-day --base <path>
     python -m caldim step --base <path> --procedure P --step S --sql "select count(*) from fact_sales" \
         [--view fact_sales=<parquet path> ...]
+    python -m caldim load --base <path> --source <parquet path> --table T --time-column C [--schema S] [--country C] [--until D]
 
 ``--base`` is the folder holding ``dim_date``, ``dim_time_of_day`` and the log
 tables. Without --as-of, generate uses today and roll uses yesterday, both in
---zone.
+--zone. ``load`` appends the source's rows from the table's high-water mark up
+to --until (today's midnight in --zone) to ``<base>/<T>`` and moves the mark;
+rows that arrived below it are counted in the audit table.
 """
 
 from __future__ import annotations
@@ -41,7 +44,14 @@ def main(argv: list[str] | None = None) -> int:
     st.add_argument("--step", required=True)
     st.add_argument("--sql", required=True)
     st.add_argument("--view", action="append", default=[], help="name=parquet path, exposed to the SQL")
-    for p in (g, r, t, st):
+    ld = sub.add_parser("load", help="append the rows behind a table's high-water mark")
+    ld.add_argument("--source", required=True)
+    ld.add_argument("--table", required=True)
+    ld.add_argument("--time-column", required=True)
+    ld.add_argument("--schema")
+    ld.add_argument("--country")
+    ld.add_argument("--until", type=_date)
+    for p in (g, r, t, st, ld):
         p.add_argument("--base", required=True)
         p.add_argument("--as-of", type=_date)
         p.add_argument("--zone", default="Pacific/Auckland")
@@ -71,6 +81,15 @@ def main(argv: list[str] | None = None) -> int:
         )
     elif a.cmd == "time-of-day":
         out = steps.build_time_of_day_procedure(spark, VersionedTable(spark, f"{base}/dim_time_of_day"), logs)
+    elif a.cmd == "load":
+        from caldim.operators import facts
+
+        source = spark.read.parquet(a.source)
+        of = dict(table_name=a.table, schema_name=a.schema, country=a.country)
+        late = facts.late_rows(logs, source, a.time_column, **of)
+        until = dt.datetime.combine(a.until or today, dt.time())
+        done = facts.incremental_load(spark, logs, source, a.time_column, f"{base}/{a.table}", upper=until, **of)
+        out = f"rows loaded: {done.rows}, late: {late}, without time: {done.rows_without_time}, mark: {done.mark}"
     else:
 
         def action():

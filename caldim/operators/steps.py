@@ -67,7 +67,8 @@ def run_step(
 ) -> str:
     """Run ``action``; on success log 'name: value' to the audit table and
     return it; on failure log the error and return '<step> failed: <message>'
-    (or re-raise when ``raise_errors``)."""
+    (or re-raise when ``raise_errors``). If the step succeeds but its audit row
+    cannot be written, that is logged as an error of the step "<step> (audit)"."""
     try:
         name, value = first_value(spark, action)
     except Exception as err:  # noqa: BLE001 - every failure is logged
@@ -77,7 +78,14 @@ def run_step(
             raise
         return f"{step} failed: {message}"
     message = f"{name}: {value}"
-    logs.log_audit(procedure, step, message, ts=ts)
+    try:
+        logs.log_audit(procedure, step, message, ts=ts)
+    except Exception as err:  # noqa: BLE001
+        code, text, state = _error_fields(err)
+        logs.log_error(procedure, f"{step} (audit)", code, text, state, traceback.format_exc(), ts=ts)
+        if raise_errors:
+            raise
+        return f"{step} (audit) failed: {text}"
     return message
 
 

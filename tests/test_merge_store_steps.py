@@ -264,3 +264,30 @@ def test_command_line_step_with_a_bad_view_is_logged(spark, scratch):
     assert main(["step", "--base", scratch, "--procedure", "p", "--step", "t", "--sql", "select 1",
                  "--view", f"x={scratch}/missing"]) == 1
     assert sorted(r["sql_step"] for r in LogTables(spark, f"{scratch}/logs").errors().collect()) == ["s", "t"]
+
+
+def test_command_line_load(spark, scratch, capsys):
+    from caldim.__main__ import main
+
+    src = "/root/testdata/sf0.001/orders.parquet"
+    run = lambda until: main(["load", "--base", scratch, "--source", src, "--table", "orders", "--time-column", "o_orderdate",
+                              "--schema", "tpch", "--until", until])
+    assert run("1998-01-01") == 0 and run("2003-01-01") == 0 and run("2003-01-01") == 0
+    lines = [x for x in capsys.readouterr().out.splitlines() if x.startswith("rows loaded")]
+    loaded = [int(x.split(",")[0].split(": ")[1]) for x in lines]
+    assert sum(loaded) == spark.read.parquet(src).count() == spark.read.parquet(f"{scratch}/orders").count()
+    assert loaded[0] > 0 and loaded[2] == 0 and all("late: 0, without time: 0" in x for x in lines)
+    assert str(LogTables(spark, f"{scratch}/logs").last_process_date("orders", "tpch")) == "2003-01-01 00:00:00"
+
+
+def test_a_failing_audit_write_is_told_from_a_failing_step(spark, scratch, monkeypatch):
+    logs = LogTables(spark, scratch)
+
+    def broken(*_, **__):
+        raise OSError("no space left")
+
+    monkeypatch.setattr(logs, "log_audit", broken)
+    assert run_step(spark, logs, "P", "count", "SELECT 1 AS n") == "count (audit) failed: no space left"
+    assert [(r.sql_step, r.error_code) for r in logs.errors().collect()] == [("count (audit)", "OSError")]
+    with pytest.raises(OSError):
+        run_step(spark, logs, "P", "count", "SELECT 1 AS n", raise_errors=True)
