@@ -16,6 +16,9 @@ licences that resemble one of the notices', so that GPL 2 is not taken for
 GPL 3. An SPDX line decides (of several identifiers the first licence by name),
 then a full text, else the best of notices and headers, at a tie the notice.
 
+All identifiers of a file's SPDX lines, those of no known licence and of
+expressions too (``A OR B``), are in the result as they come.
+
 A file without an own licence inherits that of the nearest directory at or above
 its own which holds a licence file with a licence: directories (not files) are
 joined by path prefixes, then files take their directory's answer.
@@ -103,9 +106,12 @@ HEADER_ANCHORS = ANCHORS + "|permission is hereby granted|permission to use, cop
 SPDX = {
     **{x.lower(): x for x in ("Apache-2.0", "BSD-2-Clause", "BSD-3-Clause", "ISC", "MIT", "MPL-2.0", *_CC_KINDS)},
     **{f"{x}{y}".lower(): x for x in ("AGPL-3.0", "GPL-2.0", "GPL-3.0", "LGPL-2.1", "LGPL-3.0") for y in ("", "+", "-only", "-or-later")},
+    **{x.lower(): x for x in ("0BSD", "Artistic-2.0", "BSL-1.0", "CDDL-1.0", "EPL-1.0", "EPL-2.0", "EUPL-1.2", "MIT-0", "NCSA", "PostgreSQL", "Python-2.0", "WTFPL", "Zlib")},
     "unlicense": "Public-Domain",
     "cc0-1.0": "Public-Domain",
 }
+#: Words of an SPDX expression that are no identifiers.
+SPDX_OPERATORS = ("or", "and", "with")
 SPDX_LINE = r"(?i)spdx-license-identifier:[ \t]*([^\n]*)"
 THRESHOLD = 0.6
 WORD = r"[\p{L}\p{N}]+"
@@ -167,9 +173,10 @@ def _words(col):
 
 
 def scan(files: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """(id, path, own_license, own_score, license, license_dir) of every file;
-    ``files`` has id, path and text. license is the own or inherited one,
-    license_dir the directory that it was inherited from."""
+    """(id, path, own_license, own_score, license, license_dir, spdx) of every
+    file; ``files`` has id, path and text. license is the own or inherited one,
+    license_dir the directory that it was inherited from, spdx the identifiers
+    of SPDX lines, joined by commas."""
     spark = files.sparkSession
     base = files.select("id", F.col("path").cast("string").alias("path"), text_of().alias("text"))
     full = full_texts()
@@ -179,10 +186,9 @@ def scan(files: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     whole = F.coalesce(name.rlike(LICENCE_FILE), F.lit(False))
     # matches of no width, so that each header line starts three lines of its own
     three = F.regexp_extract_all("text", F.lit(rf"(?imd)^(?=([^\n]*(?:{HEADER_ANCHORS})[^\n]*(?:\n[^\n]*){{0,2}}))"), F.lit(1))
-    named = F.transform(
-        F.flatten(F.transform(F.regexp_extract_all("text", F.lit(SPDX_LINE), F.lit(1)), lambda x: F.regexp_extract_all(F.lower(x), F.lit("([a-z0-9.+-]+)"), F.lit(1)))),
-        lambda x: F.try_element_at(F.create_map(*(F.lit(v) for kv in SPDX.items() for v in kv)), x),
-    )
+    met = F.transform(F.regexp_extract_all("text", F.lit(SPDX_LINE), F.lit(1)), lambda x: F.regexp_extract_all(x, F.lit("([A-Za-z0-9.+-]+)"), F.lit(1)))
+    met = F.array_distinct(F.filter(F.flatten(met), lambda x: ~F.lower(x).isin(*SPDX_OPERATORS)))
+    named = F.transform(met, lambda x: F.try_element_at(F.create_map(*(F.lit(v) for kv in SPDX.items() for v in kv)), F.lower(x)))
     # one pass over the texts: what is written has header lines, licence files' counts and each file's template words
     read = base.select(
         F.monotonically_increasing_id().alias("row"),
@@ -193,7 +199,7 @@ def scan(files: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
         lines.alias("headers"),
         F.when(whole, _words("text")).alias("all_words"),
         F.when(F.col("text").rlike(f"(?i){HEADER_ANCHORS}"), three).otherwise(F.array().cast("array<string>")).alias("three"),
-        F.when(F.col("text").rlike(SPDX_LINE), F.array_min(named)).alias("spdx"),
+        F.when(F.col("text").rlike(SPDX_LINE), F.struct(F.array_min(named).alias("license"), F.array_join(met, ",").alias("ids"))).alias("spdx"),
     )
     per_file = F.when(F.col("is_file"), F.array(F.col("all_words"))).otherwise(F.array().cast("array<array<string>>"))
     units = F.concat(per_file, F.transform("headers", lambda x: _words(x)))
@@ -236,14 +242,15 @@ def scan(files: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     texts = _likest(files_words, full, df, n, threshold).select("row", F.struct("license", "score").alias("by_text"))
     header = _likest(marked.select("row", F.col("threes").alias("words")), HEADERS, df, n, threshold)
     header = header.select("row", F.struct("license", "score").alias("by_header"))
-    spdx = F.when(F.col("spdx").isNotNull(), F.struct(F.col("spdx").alias("license"), F.lit(1.0).alias("score")))
+    spdx = F.when(F.col("spdx.license").isNotNull(), F.struct(F.col("spdx.license").alias("license"), F.lit(1.0).alias("score")))
     notice = F.when(F.col("own_license").isNotNull(), F.struct(F.col("own_license").alias("license"), F.col("own_score").alias("score")))
     better = F.when(F.col("own_score").isNull() | (F.col("by_header.score") > F.col("own_score")), F.col("by_header"))
     judged = marked.select("row", "id", "path", "is_file", parent.alias("dir"), "spdx")
     for found in (best, texts, header):
         judged = judged.join(found, "row", "left")
     own = F.coalesce(spdx, "by_text", better, notice)
-    judged = judged.select("row", "id", "path", "is_file", "dir", own["license"].alias("own_license"), own["score"].alias("own_score"))
+    ids = F.when(F.col("spdx.ids") != "", F.col("spdx.ids")).alias("spdx")
+    judged = judged.select("row", "id", "path", "is_file", "dir", ids, own["license"].alias("own_license"), own["score"].alias("own_score"))
     judged = stored(judged, "license-own")
 
     holders = (
@@ -271,11 +278,15 @@ def scan(files: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
         "own_score",
         F.coalesce("own_license", "held").alias("license"),
         F.when(~own, F.col("from_dir")).alias("license_dir"),
+        "spdx",
     )
 
 
 def oracle_sql(files: str, threshold: float = THRESHOLD) -> str:
-    """The scan over ``files``, SQL that gives id, path and text."""
+    """The scan by notices and SPDX lines over ``files``, SQL that gives id, path and text."""
+    known = ", ".join(f"('{k}', '{v}')" for k, v in SPDX.items())
+    operators = ", ".join(f"'{x}'" for x in SPDX_OPERATORS)
+    line = SPDX_LINE.replace("[ \\t]", "[ \t]").replace("[^\\n]", "[^\n]")
     templates = ", ".join("('" + k + "', '" + v.replace("'", "''") + "')" for k, v in TEMPLATES.items())
 
     def words(of: str) -> str:
@@ -303,10 +314,18 @@ def oracle_sql(files: str, threshold: float = THRESHOLD) -> str:
     s AS (SELECT id, unit, license, sum(tf * idf * y) AS dot FROM c JOIN vec USING (word) GROUP BY ALL),
     best AS (SELECT id, license, round(dot / norm, 6) AS score FROM s JOIN un USING (id, unit)
       WHERE round(dot / norm, 6) >= {threshold} QUALIFY row_number() OVER (PARTITION BY id ORDER BY round(dot / norm, 6) DESC, license) = 1),
-    own AS (SELECT f.id, path, dir, whole, license, score FROM f LEFT JOIN best USING (id)),
+    ids AS (SELECT id, found AS met FROM (
+      SELECT id, list_filter(flatten(list_transform(regexp_extract_all(text, '{line}', 1), lambda x: regexp_extract_all(x, '[A-Za-z0-9.+-]+'))),
+        lambda x: lower(x) NOT IN ({operators})) AS found FROM f)),
+    spdx AS (
+      SELECT id, (SELECT min(v.license) FROM (VALUES {known}) v(name, license) WHERE list_contains(list_transform(met, lambda x: lower(x)), v.name)) AS named,
+        CASE WHEN len(met) > 0 THEN array_to_string(list_filter(met, lambda x, i: list_position(met, x) = i), ',') END AS spdx
+      FROM ids),
+    own AS (SELECT f.id, path, dir, whole, coalesce(named, license) AS license, CASE WHEN named IS NULL THEN score ELSE 1.0 END AS score, spdx
+      FROM f LEFT JOIN best USING (id) JOIN spdx USING (id)),
     holder AS (SELECT dir AS above, arg_min(license, path) AS held FROM own WHERE whole AND license IS NOT NULL GROUP BY dir),
     nearest AS (SELECT d.dir, arg_max(above, length(above)) AS from_dir, arg_max(held, length(above)) AS held
       FROM (SELECT DISTINCT dir FROM own) d JOIN holder ON d.dir = above OR starts_with(d.dir, above || '/') OR above = '' GROUP BY d.dir)
     SELECT own.id AS doc_id, path, license AS own_license, score AS own_score, coalesce(license, held) AS license,
-           CASE WHEN license IS NULL THEN from_dir END AS license_dir
+           CASE WHEN license IS NULL THEN from_dir END AS license_dir, spdx
     FROM own LEFT JOIN nearest USING (dir)"""

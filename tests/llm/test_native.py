@@ -209,7 +209,8 @@ def test_real_licences(spark):
         "GPL-2.0": [gnu.format("General Public License", 2)],
         "LGPL-3.0": [gnu.format("Lesser General Public License", 3), "SPDX-License-Identifier: LGPL-3.0-or-later"],
         "MPL-2.0": ["/* This Source Code Form is subject to the terms of the Mozilla Public\n * License, v. 2.0. If a copy of the MPL was not distributed with this\n * file, You can obtain one at https://mozilla.org/MPL/2.0/. */"],
-        None: ["SPDX-License-Identifier: Zlib", "SPDX-License-Identifier:"],
+        "Zlib": ["SPDX-License-Identifier: Zlib"],
+        None: ["SPDX-License-Identifier: LicenseRef-Own", "SPDX-License-Identifier:"],
     }
     rows, expect = [], []
     for name, texts in want.items():
@@ -222,11 +223,30 @@ def test_real_licences(spark):
         rows.append((len(rows), f"p{len(rows)}/COPYING", who + " ".join(text[file].split())))
         expect.append(name)
     rows += [(len(rows) + k, "q/x.txt", f"the file of {k} and a list of words") for k in range(60)]
-    got = {r.id: r.own_license for r in licenses.scan(spark.createDataFrame(rows, "id long, path string, text string")).collect()}
+    found = licenses.scan(spark.createDataFrame(rows, "id long, path string, text string")).collect()
+    got, ids = {r.id: r.own_license for r in found}, {r.id: r.spdx for r in found}
+    assert ids[expect.index("Apache-2.0") + 1] == "MIT,Apache-2.0" and ids[expect.index("MIT")] == "MIT"
+    assert [ids[k] for k, e in enumerate(expect) if e is None] == ["LicenseRef-Own", None]
     assert [got[k] for k in range(len(expect))] == expect
     assert not any(got[k] for k in range(len(expect), len(rows)))
 
 
+def test_spdx_lines_by_sql(spark):
+    """The SQL judges them too: several in a line, unknown ones, in licence files."""
+    rows = [(1, "a/x.py", "# SPDX-License-Identifier: MIT\ncode"), (2, "a/LICENSE", "SPDX-License-Identifier: (Apache-2.0 OR GPL-2.0-only) AND Own-1.0")]
+    rows += [(3, "a/b/y.py", "nothing"), (4, "c.py", "spdx-license-identifier:\tmit\r\nSPDX-License-Identifier: MIT"), (5, "d.py", "SPDX-License-Identifier: Own"), (6, "e.py", None)]
+    df = spark.createDataFrame(rows, "id long, path string, text string")
+    c = duckdb.connect()
+    c.execute("CREATE TABLE f (id BIGINT, path VARCHAR, text VARCHAR)")
+    c.executemany("INSERT INTO f VALUES (?, ?, ?)", rows)
+    got = licenses.scan(df).withColumnRenamed("id", "doc_id")
+    res = c.execute(licenses.oracle_sql("SELECT * FROM f"))
+    cols = [d[0] for d in res.description]
+    want = sorted(str([dict(zip(cols, r))[x] for x in sorted(cols)]) for r in res.fetchall())
+    assert sorted(str([r[x] for x in sorted(cols)]) for r in got.collect()) == want
+    assert {r.doc_id: (r.license, r.spdx) for r in got.collect()}[3] == ("Apache-2.0", None)
+
+
 @pytest.mark.parametrize("name", ["op4_license_scan", "op6_secret_scan", "op10_line_dedup"])
 def test_no_python_in_plans(spark, name):
     plan = QUERIES[name](spark, SF0001)._jdf.queryExecution().executedPlan().toString()
