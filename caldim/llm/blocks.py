@@ -51,7 +51,7 @@ class Tables:
         self.names.append(f"caldim_{name.replace('-', '_')}_{path[-12:]}")
         with settings(self.spark, {"spark.sql.execution.arrow.maxBytesPerBatch": str(BATCH), CLEANUP: "true"}):
             spread = df.repartition(n, "block").write.bucketBy(n, "block").option("path", path).option("compression", "zstd")
-            spread.saveAsTable(self.names[-1])
+            spread.format("parquet").saveAsTable(self.names[-1])
         return self.spark.table(self.names[-1])
 
     def __enter__(self) -> Tables:
