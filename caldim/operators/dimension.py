@@ -53,28 +53,35 @@ def assert_unique_dates(fin_cal: DataFrame) -> None:
         raise DuplicateCalendarDate(f"calendar date {dup[0]['calendar_date']} occurs {dup[0]['count']} times")
 
 
-def check_and_position(fin_cal: DataFrame, as_of: dt.date) -> Position:
-    """One job over the financial calendar: raise on duplicate dates (they
-    would fan out the join and reach the merge twice) and read the as-of
-    position (raise if the as-of date is missing)."""
-    hit = F.col("calendar_date") == F.lit(as_of)
+def check_and_positions(fin_cal: DataFrame, as_ofs: list[dt.date]) -> dict[dt.date, Position]:
+    """One job over the financial calendar, however many as-of dates: raise on
+    duplicate dates (they would fan out the join and reach the merge twice) and
+    read each as-of position (raise if an as-of date is missing)."""
     pos = F.struct(
         fis.year_no(F.col("financial_year")).alias("y"),
         F.col("financial_quarter").cast("int").alias("q"),
         fis.period_no(F.col("financial_period")).alias("p"),
         fis.week_no(F.col("financial_week")).alias("w"),
     )
-    r = fin_cal.agg(
-        (F.count("calendar_date") - F.count_distinct("calendar_date")).alias("dups"),
-        F.count_if(hit).alias("hits"),
-        F.max(F.when(hit, pos)).alias("pos"),
-    ).first()
+    found = []
+    for k, as_of in enumerate(as_ofs):
+        hit = F.col("calendar_date") == F.lit(as_of)
+        found += [F.count_if(hit).alias(f"hits{k}"), F.max(F.when(hit, pos)).alias(f"pos{k}")]
+    r = fin_cal.agg((F.count("calendar_date") - F.count_distinct("calendar_date")).alias("dups"), *found).first()
     if r["dups"]:
         raise DuplicateCalendarDate(f"{r['dups']} duplicate calendar date(s) in the financial calendar")
-    if not r["hits"]:
-        raise asof_rules.AsOfNotFound(f"as-of date {as_of} has no row in the financial calendar")
-    p = r["pos"]
-    return Position(as_of, p["y"], p["q"], p["p"], p["w"])
+    out = {}
+    for k, as_of in enumerate(as_ofs):
+        if not r[f"hits{k}"]:
+            raise asof_rules.AsOfNotFound(f"as-of date {as_of} has no row in the financial calendar")
+        p = r[f"pos{k}"]
+        out[as_of] = Position(as_of, p["y"], p["q"], p["p"], p["w"])
+    return out
+
+
+def check_and_position(fin_cal: DataFrame, as_of: dt.date) -> Position:
+    """``check_and_positions`` of one as-of date."""
+    return check_and_positions(fin_cal, [as_of])[as_of]
 
 
 def _asof_inputs() -> dict[str, Column]:
@@ -212,11 +219,16 @@ def generate_date_dim(
     load_ts: dt.datetime | None = None,
     variant: str = "generate",
     counts: Counts | None = None,
+    position: Position | None = None,
 ) -> DataFrame:
     """Stage the span and merge it into ``target`` (emptied first when
     ``initial_load``); returns the new dimension, 47 columns. ``counts``
-    observes the rows of each logical statement."""
-    stage = stage_date(spark, start, end, fin_cal, as_of, variant=variant, load_ts=load_ts, counts=counts)
+    observes the rows of each logical statement. A ``position`` comes from
+    ``check_and_positions`` of the same calendar, which is then not read again
+    for it."""
+    stage = stage_date(
+        spark, start, end, fin_cal, as_of, variant=variant, load_ts=load_ts, counts=counts, position=position, check_unique=position is None
+    )
     if counts:
         stage = counts.rows(stage, "stage")
     return merge_dim(None if initial_load else target, stage, load_ts, counts)

@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from caldim import schemas
+from caldim.functions import asof
 from caldim.functions import calendar as cal
 from caldim.functions import fiscal as fis
 from caldim.functions import timeofday as tod
@@ -65,6 +66,14 @@ class Inputs:
             [(read_table(spark, base, t, c), c) for t, c in DATE_COLUMNS.items()]
         )
         self.fin = formula_financial_calendar(date_spine(self.spark, self.start, self.end))
+        self._positions: dict[dt.date, asof.Position] = {}
+
+    def position(self, as_of: dt.date, *others: dt.date) -> asof.Position:
+        """Financial position of an as-of date; one job for it and ``others``,
+        which also checks the calendar."""
+        if as_of not in self._positions:
+            self._positions |= dim_ops.check_and_positions(self.fin, [as_of, *others])
+        return self._positions[as_of]
 
     @property
     def split_years(self) -> tuple[dt.date, dt.date]:
@@ -76,7 +85,9 @@ class Inputs:
         return dt.date(ym + 1, 1, 1), dt.date(ym, 1, 1)
 
     def stage(self, start, end, as_of, variant, ts) -> DataFrame:
-        return dim_ops.stage_date(self.spark, start, end, self.fin, as_of, variant=variant, load_ts=ts)
+        return dim_ops.stage_date(
+            self.spark, start, end, self.fin, as_of, variant=variant, load_ts=ts, position=self.position(as_of), check_unique=False
+        )
 
     def dim(self, as_of=AS_OF, variant="roll", ts=TS_MERGE) -> DataFrame:
         return dim_ops.insert_rows(self.stage(self.start, self.end, as_of, variant, ts), ts)
@@ -198,8 +209,9 @@ def merge_upsert_q(spark, base):
     target holding the first half as of the day before (one year overlaps)."""
     i = Inputs(spark, base)
     _, stage_start = i.split_years
+    position = i.position(AS_OF, PRIOR_AS_OF)
     return dim_ops.generate_date_dim(
-        spark, stage_start, i.end, i.fin, AS_OF, target=_merge_target(i), load_ts=TS_MERGE
+        spark, stage_start, i.end, i.fin, AS_OF, target=_merge_target(i), load_ts=TS_MERGE, position=position
     )
 
 

@@ -62,6 +62,7 @@ def orders_customers_to_date_q(spark, base):
     path = work_dir(spark, "sketches")
     rollups.daily_sketches(orders, "o_orderdate", by, "o_custkey", "o_totalprice").write.parquet(path)
     sketches = spark.read.parquet(path)
+    i.position(AS_OF, PRIOR_AS_OF)
     sets = [rollups.flagged_days(i.dim(as_of=a), F.lit(a)) for a in (AS_OF, PRIOR_AS_OF)]
     out = rollups.decisions(
         sketches, sets[0].unionByName(sets[1]), orders, "o_orderdate", by, "o_custkey", "o_totalprice", MANY_CUSTOMERS, PRICE_LIMIT
