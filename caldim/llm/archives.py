@@ -60,6 +60,8 @@ ARC_FIELDS = {
     ],
 }
 NAMESPACE = uuid.UUID("6ba7b811-9dad-11d1-80b4-00c04fd430c8")  # that of URLs
+#: Level of compression: pages take 4 % more room than by the usual one, and half of its time.
+LEVEL = 2
 #: Records of a file, at most.
 RECORDS = 2000
 #: Digests that may be broadcast: any other has fewer than FEW records, or than
@@ -110,7 +112,7 @@ def write_arc(pages: DataFrame, path: str, version: int, records: int = RECORDS)
 
 def _files(rows: DataFrame, path: str, separator: str, records: int) -> None:
     """One leading record and ``records`` others a file."""
-    w = rows.write.option("lineSep", separator).option("compression", "gzip")
+    w = rows.write.option("lineSep", separator).option("compression", "gzip").option("zlib.compress.level", "TWO")
     w.option("maxRecordsPerFile", records + 1).text(path)
 
 
@@ -292,7 +294,7 @@ _EMPTY = gzip.compress(b"", mtime=0)
 def member(record: bytes) -> bytes:
     """A record as a gzip member without its last byte, which is zero: the
     highest one of its length, or of that of an empty member behind it."""
-    out = gzip.compress(record, mtime=0)
+    out = gzip.compress(record, LEVEL, mtime=0)
     return out[:-1] if out[-1] == 0 else out + _EMPTY[:-1]
 
 
