@@ -285,10 +285,10 @@ def gather(lists: DataFrame, answer: Callable[[list[tuple]], list[bytes]]) -> Da
     return kept(spread.mapInArrow(run, LISTS), "answers")
 
 
-def answered(rows: DataFrame, answers: DataFrame, name: str = "answers") -> DataFrame:
+def answered(rows: DataFrame, answers: DataFrame, name: str = "answers", how: str = "left") -> DataFrame:
     """Rows of blocks with the answers to their names, in the order of these."""
     lists = answers.groupBy("block").agg(F.sort_array(F.collect_list(F.struct("bucket", "n", "data"))).alias(name))
-    return rows.join(lists.hint("shuffle_hash"), "block", "left")  # few bits each, while rows are large
+    return rows.join(lists.hint("shuffle_hash"), "block", how)  # few bits each, while rows are large
 
 
 def said(answers, at: int = 0) -> np.ndarray:

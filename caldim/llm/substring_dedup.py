@@ -67,7 +67,7 @@ from caldim.llm.common import prepare
 from caldim.llm.turns import batch
 
 #: Bytes that are hashed at once.
-CHUNK = 1 << 19
+CHUNK = 1 << 17
 _WHITE = np.zeros(256, bool)
 _WHITE[[0x20, *range(0x09, 0x0E)]] = True
 
@@ -266,7 +266,8 @@ def _climb(candidates: DataFrame, known: DataFrame, length: int, size: int, buck
     """Answers to the names of the windows of twice ``size`` words, and each
     block's note: for ``size`` words, which candidates repeat (n: how many) and
     for each row how many lengths it has reached. ``known`` are the same for the
-    length before, or at first the state after the decision."""
+    length before, or at first the state after the decision; blocks in which
+    nothing repeated are not gone through again."""
     first = size == length
 
     def run(batches):
@@ -289,7 +290,7 @@ def _climb(candidates: DataFrame, known: DataFrame, length: int, size: int, buck
     if first:
         rows = candidates.join(known.select("block", "alive").hint("shuffle_hash"), "block").select(*_HELD, "alive")
     else:
-        rows = answered(candidates, known).select(*_HELD, "answers")
+        rows = answered(candidates, known.filter("bucket >= 0 or n > 0"), how="inner").select(*_HELD, "answers")
     return gather(rows.mapInArrow(run, LISTS), repeated(8))
 
 
@@ -315,10 +316,13 @@ def _deduped(docs: DataFrame, length: int, keep_text: bool, tables: Tables) -> D
     candidates = _candidates(blocks, first, length, buckets, tables)
     decided = _decided(candidates, _decide(candidates, buckets), length, buckets)
     size, known = length, _climb(candidates, decided, length, length, buckets)
-    while known.filter("bucket < 0").agg(F.sum("n")).first()[0]:
+    last = "bucket < 0 and n = 0"  # a block's last note
+    notes = known.filter(last)
+    while not known.filter("bucket < 0 and n > 0").isEmpty():
         size *= 2
         known = _climb(candidates, known, length, size, buckets)
-    notes = known.filter("bucket < 0").select("block", F.col("data").alias("note"))
+        notes = notes.unionByName(known.filter(last))
+    notes = notes.select("block", F.col("data").alias("note"))
     both = blocks.join(decided.select("block", "gone").hint("shuffle_hash"), "block").join(notes.hint("shuffle_hash"), "block")
     schema = pa.schema([
         ("o", pa.int64()), ("n_words", pa.int64()), ("n_removed", pa.int64()), ("kept_sha256", pa.string()), ("longest", pa.int64()),

@@ -75,7 +75,7 @@ GRAM = 20
 #: Bytes of the contexts of one minimizer that a task sorts at most.
 MOST = 1 << 18
 #: Bytes that are hashed, and bytes of contexts that are sorted, at once.
-SLICE, SORT = 1 << 19, 1 << 18
+SLICE, SORT = 1 << 17, 1 << 18
 
 __all__ = ["NO_ID", "dedup", "equal_runs", "suffix_ranks"]
 
