@@ -98,15 +98,13 @@ def _turns(conversations: DataFrame) -> DataFrame:
 
 def _words() -> Column:
     """Words of a text."""
-    body = F.btrim(F.regexp_replace("text", f"[{WHITE}]+", " "), F.lit(" "))
-    return F.when(body == "", 0).otherwise(F.size(F.split(body, " ", -1))).cast("long")
+    return F.regexp_count("text", F.lit(f"[^{WHITE}]+")).cast("long")
 
 
 def _hashes(attempt: int) -> list[Column]:
-    pair = F.to_json(F.struct("role", "text"))
     return [
         F.xxhash64(F.lit(attempt), F.col("role"), F.col("text")).alias("h1"),
-        F.xxhash64(F.lit("second"), F.lit(attempt), pair).alias("h2"),
+        F.xxhash64(F.lit("second"), F.lit(attempt), F.col("text"), F.col("role")).alias("h2"),
     ]
 
 

@@ -200,10 +200,9 @@ def symbols_of(codes: np.ndarray) -> np.ndarray:
 
 def _segments(t: DataFrame) -> DataFrame:
     """(conv_id, part, codes): a byte for each row of a segment."""
-    pair = F.to_json(F.struct("role", "text"))
     rows = t.select(
         "conv_id", "part", "rid", _codes().alias("code"),
-        F.xxhash64(F.col("role"), F.col("text")).alias("h1"), F.xxhash64(F.lit("second"), pair).alias("h2"),
+        F.xxhash64(F.col("role"), F.col("text")).alias("h1"), F.xxhash64(F.lit("second"), F.col("text"), F.col("role")).alias("h2"),
     )
     first = rows.filter("code < 8").groupBy("conv_id", "h1", "h2").agg(F.min("rid").alias("rid"))
     first = first.select("rid", F.lit(True).alias("fresh"))
