@@ -182,18 +182,21 @@ def _candidates(blocks: DataFrame, answers: DataFrame, length: int, buckets: int
 class Held:
     """Candidates of a block as ``_candidates`` stores them."""
 
-    def __init__(self, ids, counts, at, first, second):
+    def __init__(self, counts, at, first, ids=b"", second=b""):
         self.owners, self.counts = np.frombuffer(ids, np.int64), np.frombuffer(counts, "<i8")
         self.words = int(self.counts.sum())
-        self.where = np.nonzero(flags(at, self.words))[0]
+        held = flags(at, self.words)
+        self.where = np.nonzero(held)[0]
         self.first, self.second = np.frombuffer(first, "<u8"), np.frombuffer(second, "<u4").astype(np.uint64)
-        self.row = np.searchsorted(np.cumsum(self.counts), self.where, "right")
+        self.row = np.repeat(np.arange(len(self.counts)), self.counts)[held]
 
     def names(self, buckets: int) -> Names:
         return Names(self.first, self.row, buckets, self.second)
 
 
-_HELD = ["block", "ids", "counts", "at", "first", "second"]
+#: What the levels need of the candidates, and what the decision needs.
+_NAMED = ["block", "counts", "at", "first"]
+_HELD = [*_NAMED, "ids", "second"]
 
 
 def _decide(candidates: DataFrame, buckets: int) -> DataFrame:
@@ -288,9 +291,9 @@ def _climb(candidates: DataFrame, known: DataFrame, length: int, size: int, buck
                 yield name_lists(block, ladder.names(ladder.candidates(alive, size), 2 * size, buckets), 8)
 
     if first:
-        rows = candidates.join(known.select("block", "alive").hint("shuffle_hash"), "block").select(*_HELD, "alive")
+        rows = candidates.join(known.select("block", "alive").hint("shuffle_hash"), "block").select(*_NAMED, "alive")
     else:
-        rows = answered(candidates, known.filter("bucket >= 0 or n > 0"), how="inner").select(*_HELD, "answers")
+        rows = answered(candidates, known.filter("bucket >= 0 or n > 0"), how="inner").select(*_NAMED, "answers")
     return gather(rows.mapInArrow(run, LISTS), repeated(8))
 
 
