@@ -59,14 +59,20 @@ def number_rows(
 
 
 def running_total(
-    df: DataFrame, by: Sequence[str], order: Sequence[str], values: dict[str, Column], block: Column
+    df: DataFrame, by: Sequence[str], order: Sequence[str], values: dict[str, Column], block: Column | None = None
 ) -> DataFrame:
     """``df`` with a running total of each value within its group ``by``, over
     the rows in ``order``, this one included.
 
     A group's rows are cut by ``block``, a column that grows with the order:
     running totals within blocks, the totals of blocks before (a window over one
-    row a block), and both added. So a task holds a block, not a group."""
+    row a block), and both added. So a task holds a block, not a group. Without
+    ``block`` it holds a group, which needs ``df`` once: for groups of a row a date."""
+    if block is None:
+        sofar = Window.partitionBy(*by).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        kept = [c for c in df.columns if c not in values]
+        types = df.agg(*(F.sum(v).alias(name) for name, v in values.items())).schema  # of sums, so that totals are as wide as sums of sums
+        return df.select(*kept, *(F.sum(v.cast(types[name].dataType)).over(sofar).alias(name) for name, v in values.items()))
     df = df.withColumn("_block", block)
     within = Window.partitionBy(*by, "_block").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     rows = df.withColumns({name: F.sum(v).over(within) for name, v in values.items()})

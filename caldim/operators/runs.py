@@ -2,9 +2,10 @@
 
 A key's activity is first reduced to the units (weeks, periods, days) it has,
 map-side, so a key with a third of all rows sends one row a unit from each task.
-Runs and carried values are then found in two steps, within blocks of units and
-across them, so a task holds a block of a key's series at most, and a few rows
-for each block.
+Runs are then found in two steps, within blocks of units and across them, so a
+task holds a block of a key's series at most, and a few rows for each block.
+Balances are found over the days that have a movement, a row a key and day, and
+spread over the days between afterwards.
 """
 
 from __future__ import annotations
@@ -57,20 +58,35 @@ def gap_summary(found: DataFrame, key: str) -> DataFrame:
     )
 
 
-def densified(daily: DataFrame, key: str, date: str, zeros: Sequence[str]) -> DataFrame:
+def densified(daily: DataFrame, key: str, date: str, zeros: Sequence[str], held: Sequence[str] = ()) -> DataFrame:
     """``daily`` (one row a key and date) with a row for every date between a
-    key's first and last: ``zeros`` are 0 there, other columns null. Days are made
-    for each key from its own span, so nothing is multiplied by the whole calendar."""
-    spans = daily.where(F.col(date).isNotNull()).groupBy(key).agg(F.min(date).alias("a"), F.max(date).alias("e"))
-    days = spans.select(F.col(key).alias("_k"), F.explode(F.sequence("a", "e")).alias("_d"))
-    both = days.join(daily, F.col("_k").eqNullSafe(F.col(key)) & (F.col("_d") == F.col(date)), "left")
-    fill = lambda c: F.coalesce(F.col(c), F.lit(0).cast(daily.schema[c].dataType)) if c in zeros else F.col(c)
-    return both.select(F.col("_k").alias(key), F.col("_d").alias(date), *(fill(c).alias(c) for c in daily.columns if c not in (key, date)))
-
-
-def carried_forward(series: DataFrame, by: Sequence[str], order: str, values: Sequence[str], block: Column) -> DataFrame:
+    key's first and last: ``zeros`` are 0 there, ``held`` keep the row before's
+    value, other columns are null. Each row makes the days up to the key's next
+    one, so nothing is joined or multiplied by the whole calendar, and only the
+    rows of ``daily`` are sorted."""
+    following = F.lead(date).over(Window.partitionBy(key).orderBy(date))
+    rows = daily.where(F.col(date).isNotNull()).withColumn("_until", F.greatest(F.col(date), F.date_sub(following, 1)))
+    days = rows.select("*", F.explode(F.sequence(F.col(date), F.col("_until"))).alias("_d"))
+    own = F.col("_d") == F.col(date)
+
+    def value(c: str) -> Column:
+        if c in held:
+            return F.col(c)
+        if c in zeros:
+            zero = F.lit(0).cast(daily.schema[c].dataType)
+            return F.when(own, F.coalesce(F.col(c), zero)).otherwise(zero)
+        return F.when(own, F.col(c))
+
+    return days.select(key, F.col("_d").alias(date), *(value(c).alias(c) for c in daily.columns if c not in (key, date)))
+
+
+def carried_forward(series: DataFrame, by: Sequence[str], order: str, values: Sequence[str], block: Column | None = None) -> DataFrame:
     """``series`` with nulls of ``values`` replaced by the last value before them
-    in the group, within blocks first, then from the last block that has one."""
+    in the group: within blocks first, then from the last block that has one.
+    Without ``block`` a task holds a group: for groups of a row a date."""
+    if block is None:
+        sofar = Window.partitionBy(*by).orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        return series.withColumns({v: F.last(v, ignorenulls=True).over(sofar) for v in values})
     rows = series.withColumn("_block", block)
     within = Window.partitionBy(*by, "_block").orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     ends = rows.groupBy(*by, "_block").agg(
@@ -89,10 +105,18 @@ def carried_forward(series: DataFrame, by: Sequence[str], order: str, values: Se
     return both.select(*(F.coalesce(F.col(c), F.col(f"_before_{c}")).alias(c) if c in values else F.col(c) for c in series.columns))
 
 
-def daily_balance(daily: DataFrame, key: str, date: str, movement: str) -> DataFrame:
+def daily_balance(daily: DataFrame, key: str, date: str, movement: str, as_type: str | None = None) -> DataFrame:
     """(key, date, movement, balance, last_movement): every day between a key's
-    first and last movement, the running balance, and the last movement carried."""
-    series = densified(daily.withColumn("last_movement", F.col(movement)), key, date, [movement])
-    month = F.year(date) * 12 + F.month(date)
-    summed = running_total(series.withColumn("balance", F.col(movement)), [key], [date], {"balance": F.col("balance")}, month)
-    return carried_forward(summed, [key], date, ["last_movement"], month).select(key, date, movement, "balance", "last_movement")
+    first and last movement, the running balance, and the last movement carried;
+    the figures of ``as_type``, to which they are cast after they are summed.
+
+    ``daily`` has one row a key and date, so a key's rows are bounded by the
+    calendar: they meet in one task, are sorted once, and the days between them
+    are made last."""
+    moves = daily.where(F.col(date).isNotNull()).select(key, date, movement)
+    moves = moves.withColumns({"balance": F.coalesce(F.col(movement), F.lit(0).cast(daily.schema[movement].dataType)), "last_movement": F.col(movement)})
+    summed = running_total(moves, [key], [date], {"balance": F.col("balance")})
+    carried = carried_forward(summed, [key], date, ["last_movement"])
+    if as_type:  # a few rows a key here, one a day below
+        carried = carried.withColumns({c: F.col(c).cast(as_type) for c in (movement, "balance", "last_movement")})
+    return densified(carried, key, date, [movement], ["balance", "last_movement"]).select(key, date, movement, "balance", "last_movement")

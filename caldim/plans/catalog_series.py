@@ -145,8 +145,7 @@ def supplier_daily_balance_q(spark, base):
     items = read_table(spark, base, "lineitem", "l_suppkey", "l_shipdate", "l_extendedprice")
     daily = facts.daily_totals(items.where("l_shipdate is not null"), "l_shipdate", {"movement": _money("l_extendedprice")}, ["l_suppkey"])
     daily = daily.select("l_suppkey", F.col("_d").alias("day"), "movement")
-    out = runs.daily_balance(daily, "l_suppkey", "day", "movement")
-    return out.select("l_suppkey", "day", *(F.col(c).cast("double") for c in ("movement", "balance", "last_movement")))
+    return runs.daily_balance(daily, "l_suppkey", "day", "movement", "double")
 
 
 def _maintained(spark, base) -> MaintainedRollup:

@@ -268,6 +268,55 @@ def test_balance_against_brute_force(spark):
     assert "NestedLoop" not in plan_of(got) and "SinglePartition" not in plan_of(got)
 
 
+def test_balance_reads_once_and_makes_days_last(spark):
+    """The line items are read once, nothing is joined, a key's days with a movement
+    are dealt and sorted once, and the days between are made and the figures cast
+    behind that."""
+    plan = plan_of(E.queries()["supplier_daily_balance"](spark, SF0001))
+    assert scans(plan, "l_suppkey") == 1 and "Join" not in plan
+    assert plan.count("Exchange ") == 2 and plan.count("Sort [") == 1
+    top, below = plan.split("Generate explode")  # the plan's top comes first
+    assert "Window" not in top and "cast(" not in top and "Window" in below
+
+
+def test_balance_of_odd_rows(spark):
+    """Rows without a day are left out; a movement of null counts as zero and is
+    not carried; a single day, days before 1970, a leap day and the type asked for."""
+    day = dt.date.fromisoformat
+    rows = [
+        ("a", day("2020-02-28"), None), ("a", day("2020-03-01"), 5), ("a", day("2020-03-02"), None), ("a", None, 7),
+        (None, day("1969-12-31"), 2), (None, day("1970-01-02"), -2), ("gone", None, 1), ("none", day("2021-01-01"), None),
+    ]
+    df = spark.createDataFrame(rows, "k string, d date, v int").withColumn("v", F.col("v").cast("decimal(18,2)"))
+    got = runs.daily_balance(df, "k", "d", "v", "double")
+    assert got.dtypes == [("k", "string"), ("d", "date"), ("v", "double"), ("balance", "double"), ("last_movement", "double")]
+    assert sorted([(r[0] or "", str(r[1]), *r[2:]) for r in got.collect()]) == [
+        ("", "1969-12-31", 2.0, 2.0, 2.0), ("", "1970-01-01", 0.0, 2.0, 2.0), ("", "1970-01-02", -2.0, 0.0, -2.0),
+        ("a", "2020-02-28", 0.0, 0.0, None), ("a", "2020-02-29", 0.0, 0.0, None), ("a", "2020-03-01", 5.0, 5.0, 5.0), ("a", "2020-03-02", 0.0, 5.0, 5.0),
+        ("none", "2021-01-01", 0.0, 0.0, None),
+    ]
+
+
+def test_densified_columns(spark):
+    """Made days: zeros, values held, nulls; a date that comes twice keeps both rows."""
+    day = dt.date.fromisoformat
+    df = spark.createDataFrame([(1, day("2020-01-01"), 4, 8, 9), (1, day("2020-01-03"), None, 7, None), (1, day("2020-01-03"), None, 7, None)], "k int, d date, z int, h int, o int")
+    got = sorted(map(tuple, runs.densified(df, "k", "d", ["z"], ["h"]).collect()), key=str)
+    assert got == [(1, day("2020-01-01"), 4, 8, 9), (1, day("2020-01-02"), 0, 8, None), *[(1, day("2020-01-03"), 0, 7, None)] * 2]
+
+
+def test_blocks_or_whole_groups(spark):
+    """Running totals and carried values are the same with blocks as without."""
+    rng = random.Random(5)
+    df = spark.createDataFrame([(rng.choice(["a", "b", None]), t, rng.choice([None, None, 1, 2])) for t in range(200)], "g string, t int, v int")
+    for f in (
+        lambda block: numbering.running_total(df, ["g"], ["t"], {"v": F.col("v"), "w": F.col("v").cast("decimal(18,2)")}, block),
+        lambda block: runs.carried_forward(df, ["g"], "t", ["v"], block),
+    ):
+        whole, blocks = f(None), f(F.expr("t div 7"))
+        assert whole.dtypes == blocks.dtypes and sorted(map(str, whole.collect())) == sorted(map(str, blocks.collect()))
+
+
 # maintained rollups
 
 
